@@ -133,3 +133,126 @@ def q_narrow_u32(spark, d):
         F.when(F.col("l_linenumber") % 2 == 0, F.lit(-1)).otherwise(F.lit(1))
     return li.select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
                      raw.alias("raw"), narrow_u32(raw).alias("narrowed"))
+
+
+# ------------------------------------------------------------------ distinct counts and reconciliation
+from ledgerline.operators import reconcile as R  # noqa: E402
+from ledgerline.functions.scalars import epoch_seconds  # noqa: E402
+
+AS_OF = "2024-02-01T02:00:00"
+CHECK_DAYS = 31            # the stand-in spans January 2024; 7 is the reference default
+START, END = R.time_window(AS_OF, lag_hours=2, check_days=CHECK_DAYS)
+
+_SQL_EVKEY = """
+ev AS (SELECT user_id, event_type, epoch_us(ts) // 1000000 AS ets FROM events)"""
+
+
+@register("distinct_per_hour", _with(_SQL_EVKEY) + """
+SELECT ets - ets % 3600 AS hour, CAST(count(DISTINCT (user_id, event_type)) AS BIGINT) AS unique_count
+FROM ev GROUP BY 1""")
+def q_distinct_hour(spark, d):
+    ev = S.table(spark, d, "events").withColumn("ets", epoch_seconds("ts"))
+    return R.distinct_per_hour(ev, key=("user_id", "event_type"), ts="ets")
+
+
+@register("distinct_per_minute", _with(_SQL_EVKEY) + """
+SELECT ets - ets % 60 AS minute, CAST(count(DISTINCT (user_id, event_type)) AS BIGINT) AS unique_count
+FROM ev GROUP BY 1""")
+def q_distinct_minute(spark, d):
+    ev = S.table(spark, d, "events").withColumn("ets", epoch_seconds("ts"))
+    return R.distinct_per_minute(ev, key=("user_id", "event_type"), ts="ets")
+
+
+@register("distinct_per_day_dupkey", """
+WITH li AS (SELECT l_orderkey, l_linenumber, epoch_us(l_shipdate) // 1000000 AS ets FROM lineitem)
+SELECT ets - ets % 86400 AS day, CAST(count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) AS unique_count
+FROM li GROUP BY 1""")
+def q_distinct_day_dupkey(spark, d):
+    """DUPKEY: (l_orderkey, l_linenumber) repeats, so exact distinct matters."""
+    li = S.table(spark, d, "lineitem").withColumn("ets", epoch_seconds("l_shipdate"))
+    return R.distinct_per_bucket(li, 86400, key=("l_orderkey", "l_linenumber"), ts="ets", bucket="day")
+
+
+_SQL_LOCAL_REMOTE = f"""
+loc AS (SELECT 'sig' || CAST(user_id AS VARCHAR) AS signature, event_id AS instruction_index,
+               epoch_us(ts) // 1000000 AS "timestamp", event_type, value FROM events),
+rem AS (SELECT * FROM loc WHERE instruction_index % 97 <> 0
+        UNION ALL SELECT * FROM loc WHERE instruction_index % 89 = 0),
+lh AS (SELECT "timestamp" - "timestamp" % 3600 AS hour, count(DISTINCT (signature, instruction_index)) AS c
+       FROM loc WHERE "timestamp" >= {START} AND "timestamp" < {END} GROUP BY 1),
+rh AS (SELECT "timestamp" - "timestamp" % 3600 AS hour, count(DISTINCT (signature, instruction_index)) AS c
+       FROM rem WHERE "timestamp" >= {START} AND "timestamp" < {END} GROUP BY 1),
+dh AS (SELECT coalesce(lh.hour, rh.hour) AS hour, CAST(coalesce(lh.c, 0) AS BIGINT) AS local_count,
+              CAST(coalesce(rh.c, 0) AS BIGINT) AS remote_count
+       FROM lh FULL OUTER JOIN rh ON lh.hour = rh.hour WHERE coalesce(lh.c, 0) <> coalesce(rh.c, 0)),
+lm AS (SELECT "timestamp" - "timestamp" % 60 AS minute, count(DISTINCT (signature, instruction_index)) AS c
+       FROM loc WHERE "timestamp" - "timestamp" % 3600 IN (SELECT hour FROM dh) GROUP BY 1),
+rm AS (SELECT "timestamp" - "timestamp" % 60 AS minute, count(DISTINCT (signature, instruction_index)) AS c
+       FROM rem WHERE "timestamp" - "timestamp" % 3600 IN (SELECT hour FROM dh) GROUP BY 1),
+dm AS (SELECT coalesce(lm.minute, rm.minute) AS minute, CAST(coalesce(lm.c, 0) AS BIGINT) AS local_count,
+              CAST(coalesce(rm.c, 0) AS BIGINT) AS remote_count
+       FROM lm FULL OUTER JOIN rm ON lm.minute = rm.minute WHERE coalesce(lm.c, 0) <> coalesce(rm.c, 0)),
+resend AS (SELECT * FROM loc WHERE "timestamp" - "timestamp" % 60 IN (SELECT minute FROM dm))"""
+
+_SQL_DIRECTION = """CASE WHEN remote_count = 0 THEN 'remote_missing' WHEN local_count = 0 THEN 'remote_only'
+            WHEN local_count > remote_count THEN 'remote_short' ELSE 'remote_extra' END AS direction"""
+
+
+def _local_remote(spark, d):
+    local = S.event_table(spark, d)
+    return local, S.remote_copy(local)
+
+
+@register("reconcile_hour", _with(_SQL_LOCAL_REMOTE) + f"""
+SELECT hour, local_count, remote_count, {_SQL_DIRECTION} FROM dh""")
+def q_reconcile_hour(spark, d):
+    local, remote = _local_remote(spark, d)
+    return R.reconcile_hours(local, remote, START, END).orderBy("hour")
+
+
+@register("reconcile_minute", _with(_SQL_LOCAL_REMOTE) + f"""
+SELECT minute, minute - minute % 3600 AS hour, local_count, remote_count, {_SQL_DIRECTION} FROM dm""")
+def q_reconcile_minute(spark, d):
+    local, remote = _local_remote(spark, d)
+    return R.reconcile_minutes(local, remote, START, END) \
+        .select("minute", "hour", "local_count", "remote_count", "direction")
+
+
+def _diff_minutes(spark, d):
+    local, remote = _local_remote(spark, d)
+    return local, remote, R.reconcile_minutes(local, remote, START, END)
+
+
+@register("repair_counts", _with(_SQL_LOCAL_REMOTE) + """
+SELECT dm.minute, CAST(count(r.instruction_index) AS BIGINT) AS local_rows
+FROM dm LEFT JOIN resend r ON r."timestamp" - r."timestamp" % 60 = dm.minute GROUP BY dm.minute""")
+def q_repair_counts(spark, d):
+    local, _, dm = _diff_minutes(spark, d)
+    return R.repair_counts(local, dm)
+
+
+@register("repair_append", _with(_SQL_LOCAL_REMOTE) + """
+SELECT * FROM resend""")
+def q_repair_append(spark, d):
+    local, remote, dm = _diff_minutes(spark, d)
+    return R.repair_rows(local, remote, dm, mode="append")
+
+
+@register("repair_missing_only", _with(_SQL_LOCAL_REMOTE) + """
+SELECT * FROM resend s WHERE NOT EXISTS (
+  SELECT 1 FROM rem r WHERE r.signature = s.signature AND r.instruction_index = s.instruction_index
+    AND r."timestamp" - r."timestamp" % 60 IN (SELECT minute FROM dm))""")
+def q_repair_missing_only(spark, d):
+    local, remote, dm = _diff_minutes(spark, d)
+    return R.repair_rows(local, remote, dm, mode="missing_only")
+
+
+@register("reconcile_summary", _with(_SQL_LOCAL_REMOTE) + """
+SELECT 'events' AS table_name, (SELECT CAST(count(*) AS BIGINT) FROM dh) AS diff_hours,
+       (SELECT CAST(count(*) AS BIGINT) FROM dm) AS diff_minutes,
+       (SELECT CAST(count(*) AS BIGINT) FROM resend) AS synced_records""")
+def q_reconcile_summary(spark, d):
+    local, remote = _local_remote(spark, d)
+    dh = R.reconcile_hours(local, remote, START, END)
+    dm = R.reconcile_minutes(local, remote, START, END, diff_hours=dh)
+    return R.reconcile_summary("events", dh, dm, R.repair_rows(local, remote, dm, mode="append"))
