@@ -256,3 +256,74 @@ def q_reconcile_summary(spark, d):
     dh = R.reconcile_hours(local, remote, START, END)
     dm = R.reconcile_minutes(local, remote, START, END, diff_hours=dh)
     return R.reconcile_summary("events", dh, dm, R.repair_rows(local, remote, dm, mode="append"))
+
+
+# ------------------------------------------------------------------ daily extract / export / import
+from ledgerline.sources import transfer as X  # noqa: E402
+from ledgerline.session import scratch_dir  # noqa: E402
+
+DAY_FIRST, DAY_LAST = "2024-01-01", "2024-01-31"   # January 2024; the 31st has no rows
+MAPPING = {"events": "events_copy"}
+_SQL_SRC_RANGE = f"""
+rng AS (SELECT * FROM src WHERE "timestamp" >= {X._day_epoch(DAY_FIRST)}
+        AND "timestamp" < {X._day_epoch(DAY_LAST) + 86400})"""
+_SRC_COLS = "signature, slot, transaction_index, instruction_index, \"timestamp\", event_type"
+
+
+@register("extract_daily", _with(S.SQL_DAILY_SOURCE, _SQL_SRC_RANGE) + f"""
+SELECT {_SRC_COLS}, CAST(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000) AS DATE) AS event_date FROM rng""")
+def q_extract_daily(spark, d):
+    return X.extract_daily(S.daily_source(spark, d), DAY_FIRST, DAY_LAST)
+
+
+def _exported(spark, d):
+    root = scratch_dir(spark, "export")
+    X.export_daily(S.daily_source(spark, d), "events", root, DAY_FIRST, DAY_LAST)
+    return root
+
+
+@register("export_daily", _with(S.SQL_DAILY_SOURCE, _SQL_SRC_RANGE) + f"""
+SELECT CAST(g.d AS DATE) AS event_date, CAST(count(r.instruction_index) AS BIGINT) AS rows
+FROM generate_series(TIMESTAMP '{DAY_FIRST}', TIMESTAMP '{DAY_LAST}', INTERVAL 1 DAY) AS g(d)
+LEFT JOIN rng r ON CAST(make_timestamp(CAST(r."timestamp" AS BIGINT) * 1000000) AS DATE) = CAST(g.d AS DATE)
+GROUP BY 1""")
+def q_export_daily(spark, d):
+    """Write all days, read the folder back: rows per requested day (0 if empty)."""
+    root = _exported(spark, d)
+    back = X.read_daily_folder(spark, f"{root}/events", S.daily_source(spark, d).schema)
+    counts = back.groupBy("event_date").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+    days = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(DAY_FIRST)), F.to_date(F.lit(DAY_LAST))))
+                                 .alias("event_date"))
+    return days.join(counts, "event_date", "left") \
+        .select("event_date", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
+
+
+def _import(spark, d, times: int, dedupe: bool):
+    root = _exported(spark, d)
+    target_root = scratch_dir(spark, "import")
+    schema = S.daily_source(spark, d).schema
+    for _ in range(times):
+        X.import_folder(spark, root, "events", MAPPING, target_root, schema, dedupe=dedupe)
+    return X.read_target(spark, target_root, MAPPING["events"], schema).drop("event_date")
+
+
+@register("import_folder", _with(S.SQL_DAILY_SOURCE, _SQL_SRC_RANGE) + f"\nSELECT {_SRC_COLS} FROM rng")
+def q_import_folder(spark, d):
+    return _import(spark, d, 1, dedupe=False)
+
+
+@register("import_idempotent", _with(S.SQL_DAILY_SOURCE, _SQL_SRC_RANGE) + f"\nSELECT {_SRC_COLS} FROM rng")
+def q_import_idempotent(spark, d):
+    """Two imports of the same folder with dedupe: the target holds each row once."""
+    return _import(spark, d, 2, dedupe=True)
+
+
+@register("import_totals", _with(S.SQL_DAILY_SOURCE, _SQL_SRC_RANGE) + """,
+per_day AS (SELECT CAST(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000) AS DATE) AS event_date, CAST(count(*) AS BIGINT) AS rows
+            FROM rng GROUP BY 1)
+SELECT event_date, rows, CAST(sum(rows) OVER (ORDER BY event_date ROWS UNBOUNDED PRECEDING) AS BIGINT)
+       AS running_rows FROM per_day""")
+def q_import_totals(spark, d):
+    root = _exported(spark, d)
+    back = X.read_daily_folder(spark, f"{root}/events", S.daily_source(spark, d).schema)
+    return X.import_totals(back).drop("files")

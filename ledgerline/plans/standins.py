@@ -255,3 +255,19 @@ def sql_projection(kind: str) -> str:
             expr = "CAST(CASE WHEN p_id % 2 = 0 THEN 1 ELSE 0 END AS SMALLINT)"
         cols.append(f"{expr} AS \"{name}\"")
     return ",\n       ".join(cols)
+
+
+def daily_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` shaped as an event table with the total order columns."""
+    ev = table(spark, sf_dir, "events")
+    ets = epoch_seconds("ts")
+    return ev.select(F.concat(F.lit("sig"), F.col("user_id").cast("string")).alias("signature"),
+                     ets.cast(U64).alias("slot"), F.col("user_id").alias("transaction_index"),
+                     F.col("event_id").alias("instruction_index"), ets.alias("timestamp"), "event_type")
+
+
+SQL_DAILY_SOURCE = """
+src AS (SELECT 'sig' || CAST(user_id AS VARCHAR) AS signature,
+               CAST(epoch_us(ts) // 1000000 AS DECIMAL(20,0)) AS slot, user_id AS transaction_index,
+               event_id AS instruction_index, epoch_us(ts) // 1000000 AS "timestamp", event_type
+        FROM events)"""
