@@ -327,3 +327,71 @@ def q_import_totals(spark, d):
     root = _exported(spark, d)
     back = X.read_daily_folder(spark, f"{root}/events", S.daily_source(spark, d).schema)
     return X.import_totals(back).drop("files")
+
+
+# ------------------------------------------------------------------ archive pairs, slot index, ledger
+from ledgerline.sources import archive as A  # noqa: E402
+
+
+@register("archive_pairs", _with(S.SQL_FILES) + """
+SELECT prefix, meta_path, bin_path, meta_length, bin_length, start_slot FROM manifest""")
+def q_archive_pairs(spark, d):
+    return A.archive_pairs(S.archive_listing(spark, d)) \
+        .select("prefix", "meta_path", "bin_path", "meta_length", "bin_length", "start_slot")
+
+
+@register("archive_pending", _with(S.SQL_FILES, S.SQL_LEDGER) + """
+SELECT prefix, start_slot FROM manifest m WHERE NOT EXISTS (SELECT 1 FROM processed p WHERE p.prefix = m.prefix)""")
+def q_archive_pending(spark, d):
+    manifest = A.archive_pairs(S.archive_listing(spark, d))
+    return A.pending_pairs(manifest, A.processed_prefixes(S.ledger_source(spark, d))).select("prefix", "start_slot")
+
+
+@register("slot_index_scan", _with(S.SQL_FILES) + f"""
+, ent AS (SELECT {S._SQL_PFX.format(k='l_orderkey')} AS prefix,
+                 CAST(l_orderkey * 100 + l_linenumber AS DECIMAL(20,0)) AS slot,
+                 CASE WHEN l_partkey % 10 <> 0 THEN CAST(floor(l_extendedprice) * 3 AS DECIMAL(20,0)) END AS "offset",
+                 CAST(floor(l_quantity) * 100 AS DECIMAL(20,0)) AS size
+          FROM lineitem)
+SELECT e.prefix, e.slot, e."offset", e.size,
+       CASE WHEN e."offset" IS NULL THEN 'no_offset' WHEN m.bin_length IS NULL THEN 'missing_file'
+            WHEN e."offset" + e.size > m.bin_length THEN 'out_of_range' ELSE 'ok' END AS status
+FROM ent e LEFT JOIN manifest m ON m.prefix = e.prefix""")
+def q_slot_index_scan(spark, d):
+    manifest = A.archive_pairs(S.archive_listing(spark, d))
+    return A.slot_status(S.slot_entries(spark, d), manifest).select("prefix", "slot", "offset", "size", "status")
+
+
+@register("ledger_load", _with(S.SQL_LEDGER) + "\nSELECT prefix FROM processed")
+def q_ledger_load(spark, d):
+    return A.processed_prefixes(S.ledger_source(spark, d))
+
+
+def _sql_compact(order: str) -> str:
+    return _with(S.SQL_LEDGER) + f"""
+, ranked AS (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY ord {order}) AS rn
+             FROM parsed WHERE line_kind = 'entry' AND n_fields >= 2)
+SELECT ord, text AS line, line_kind FROM ranked WHERE rn = 1
+UNION ALL SELECT ord, text AS line, line_kind FROM parsed WHERE line_kind <> 'entry'"""
+
+
+@register("ledger_compact_first", _sql_compact("ASC"))
+def q_ledger_compact_first(spark, d):
+    return A.compact_ledger(S.ledger_source(spark, d), keep="first")
+
+
+@register("ledger_compact_last", _sql_compact("DESC"))
+def q_ledger_compact_last(spark, d):
+    return A.compact_ledger(S.ledger_source(spark, d), keep="last")
+
+
+@register("ledger_stats", _with(S.SQL_LEDGER) + "\nSELECT CAST(count(*) AS BIGINT) AS processed_count FROM processed")
+def q_ledger_stats(spark, d):
+    return A.ledger_stats(S.ledger_source(spark, d))
+
+
+@register("ledger_tail", _with(S.SQL_LEDGER) + """
+SELECT prefix, CAST(greatest((SELECT count(*) FROM processed) - 10, 0) AS BIGINT) AS others
+FROM processed ORDER BY prefix DESC LIMIT 10""")
+def q_ledger_tail(spark, d):
+    return A.ledger_tail(S.ledger_source(spark, d), 10)

@@ -271,3 +271,116 @@ src AS (SELECT 'sig' || CAST(user_id AS VARCHAR) AS signature,
                CAST(epoch_us(ts) // 1000000 AS DECIMAL(20,0)) AS slot, user_id AS transaction_index,
                event_id AS instruction_index, epoch_us(ts) // 1000000 AS "timestamp", event_type
         FROM events)"""
+
+
+# --------------------------------------------------------------------------- FILES / LEDGER (from orders)
+def _prefix(k: Column) -> Column:
+    base = F.concat(k.cast("string"), F.lit("_"), (k + 99).cast("string"))
+    return F.when(k % 7 == 0, F.concat(F.lit("slot"), base)).otherwise(base)
+
+
+def archive_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FILES: one directory listing (path, name, length) derived from ``orders``:
+    ``.meta`` (some as ``.meta.meta``) and ``.bin`` files, incomplete pairs,
+    non-numeric start slots and junk names."""
+    o = table(spark, sf_dir, "orders")
+    k, prio, status = F.col("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus")
+    pfx = _prefix(k)
+    files = F.array(
+        F.struct(F.when(prio != "5-LOW", F.concat(pfx, F.when(k % 5 == 0, F.lit(".meta.meta")).otherwise(F.lit(".meta"))))
+                 .alias("name"), (k % 1000 + 1).alias("length")),
+        F.struct(F.when(~((status == "P") & (k % 2 == 0)), F.concat(pfx, F.lit(".bin"))).alias("name"),
+                 F.floor("o_totalprice").cast("bigint").alias("length")),
+        F.struct(F.when(prio == "1-URGENT", F.concat(k.cast("string"), F.lit(".txt"))).alias("name"),
+                 F.lit(10).cast("bigint").alias("length")),
+        F.struct(F.when((prio == "2-HIGH") & (k % 3 == 0), F.concat(F.lit("x"), k.cast("string"))).alias("name"),
+                 F.lit(5).cast("bigint").alias("length")),
+        F.struct(F.when(k % 1000 == 1, F.lit(".meta")).alias("name"), F.lit(1).cast("bigint").alias("length")),
+    )
+    return o.select(F.inline(files)).where(F.col("name").isNotNull()) \
+        .select(F.concat(F.lit("/archive/"), F.col("name")).alias("path"), "name", "length")
+
+
+def slot_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot index entries (prefix, slot, offset, size) derived from ``lineitem``."""
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey")
+    return li.select(
+        _prefix(k).alias("prefix"),
+        (k * 100 + F.col("l_linenumber")).cast(U64).alias("slot"),
+        F.when(F.col("l_partkey") % 10 != 0, (F.floor("l_extendedprice") * 3).cast(U64)).alias("offset"),
+        (F.floor("l_quantity") * 100).cast(U64).alias("size"))
+
+
+def ledger_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LEDGER: (line, ord) text lines from ``orders``: completed / failed
+    entries of prefixes shared by up to 4 orders, short lines, comments,
+    blank lines and padded lines; ``ord`` is the line number."""
+    o = table(spark, sf_dir, "orders")
+    k, prio = F.col("o_orderkey"), F.col("o_orderpriority")
+    p = (k / 4).cast("bigint") * 4
+    ts = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    pfx = _prefix(p)
+    status = F.when(F.col("o_orderstatus") == "F", F.lit("failed")).otherwise(F.lit("completed"))
+    line = F.when((prio == "4-NOT SPECIFIED") & (k % 2 == 0), F.concat(F.lit("# note "), k.cast("string"))) \
+        .when((prio == "3-MEDIUM") & (k % 10 == 0), F.lit("  ")) \
+        .when(prio == "5-LOW", F.concat_ws(",", ts, pfx)) \
+        .otherwise(F.concat_ws(",", ts, pfx, status))
+    line = F.when(k % 13 == 0, F.concat(F.lit("  "), line)).otherwise(line)
+    return o.select(line.alias("line"), k.alias("ord"))
+
+
+_SQL_PFX = ("CASE WHEN {k} % 7 = 0 THEN 'slot' ELSE '' END || CAST({k} AS VARCHAR) || '_' || "
+            "CAST({k} + 99 AS VARCHAR)")
+
+SQL_FILES = f"""
+o AS (SELECT *, {_SQL_PFX.format(k='o_orderkey')} AS pfx FROM orders),
+files AS (
+  SELECT '/archive/' || name AS path, name, length FROM (
+    SELECT CASE WHEN o_orderpriority <> '5-LOW'
+                THEN pfx || CASE WHEN o_orderkey % 5 = 0 THEN '.meta.meta' ELSE '.meta' END END AS name,
+           CAST(o_orderkey % 1000 + 1 AS BIGINT) AS length FROM o
+    UNION ALL
+    SELECT CASE WHEN NOT (o_orderstatus = 'P' AND o_orderkey % 2 = 0) THEN pfx || '.bin' END,
+           CAST(floor(o_totalprice) AS BIGINT) FROM o
+    UNION ALL
+    SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(o_orderkey AS VARCHAR) || '.txt' END, 10 FROM o
+    UNION ALL
+    SELECT CASE WHEN o_orderpriority = '2-HIGH' AND o_orderkey % 3 = 0 THEN 'x' || CAST(o_orderkey AS VARCHAR) END,
+           5 FROM o
+    UNION ALL
+    SELECT CASE WHEN o_orderkey % 1000 = 1 THEN '.meta' END, 1 FROM o
+  ) WHERE name IS NOT NULL),
+metas AS (SELECT prefix, min(path) AS meta_path, arg_min(length, path) AS meta_length FROM (
+            SELECT regexp_replace(name, '(\\.meta)+$', '') AS prefix, path, length FROM files
+            WHERE name LIKE '%.meta') WHERE prefix <> '' GROUP BY prefix),
+bins AS (SELECT prefix, min(path) AS bin_path, arg_min(length, path) AS bin_length FROM (
+            SELECT regexp_replace(name, '(\\.bin)+$', '') AS prefix, path, length FROM files
+            WHERE name LIKE '%.bin') WHERE prefix <> '' GROUP BY prefix),
+manifest AS (
+  SELECT m.prefix, meta_path, meta_length, bin_path, bin_length,
+         COALESCE(CASE WHEN regexp_matches(split_part(m.prefix, '_', 1), '^[0-9]+$')
+                       THEN TRY_CAST(split_part(m.prefix, '_', 1) AS DECIMAL(20,0)) END,
+                  CAST(0 AS DECIMAL(20,0))) AS start_slot
+  FROM metas m JOIN bins b ON m.prefix = b.prefix)"""
+
+SQL_LEDGER = f"""
+lo AS (SELECT o_orderkey AS ord, (o_orderkey // 4) * 4 AS p, o_orderpriority, o_orderstatus,
+              strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS lts FROM orders),
+lines AS (
+  SELECT ord, CASE WHEN ord % 13 = 0 THEN '  ' ELSE '' END || CASE
+    WHEN o_orderpriority = '4-NOT SPECIFIED' AND ord % 2 = 0 THEN '# note ' || CAST(ord AS VARCHAR)
+    WHEN o_orderpriority = '3-MEDIUM' AND ord % 10 = 0 THEN '  '
+    WHEN o_orderpriority = '5-LOW' THEN lts || ',' || {_SQL_PFX.format(k='p')}
+    ELSE lts || ',' || {_SQL_PFX.format(k='p')} || ',' ||
+         CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'completed' END END AS line
+  FROM lo),
+parsed AS (
+  SELECT ord, trim(line) AS text,
+         CASE WHEN trim(line) = '' THEN 'blank' WHEN starts_with(trim(line), '#') THEN 'comment'
+              ELSE 'entry' END AS line_kind,
+         len(string_split(trim(line), ',')) AS n_fields,
+         string_split(trim(line), ',')[2] AS prefix, string_split(trim(line), ',')[3] AS status
+  FROM lines),
+processed AS (SELECT DISTINCT prefix FROM parsed
+              WHERE line_kind = 'entry' AND n_fields >= 3 AND status = 'completed')"""
