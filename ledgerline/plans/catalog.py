@@ -395,3 +395,85 @@ SELECT prefix, CAST(greatest((SELECT count(*) FROM processed) - 10, 0) AS BIGINT
 FROM processed ORDER BY prefix DESC LIMIT 10""")
 def q_ledger_tail(spark, d):
     return A.ledger_tail(S.ledger_source(spark, d), 10)
+
+
+# ------------------------------------------------------------------ envelopes and statistics
+from ledgerline.operators import envelope as V  # noqa: E402
+from ledgerline.operators import stats as T  # noqa: E402
+
+RETAIN_AS_OF, RETAIN_TTL, RETAIN_MSGS, RETAIN_BYTES = "2024-01-30 12:00:00", 86400, 100, 700
+
+
+@register("envelope_build", _with(S.SQL_CONV_ENV) + """
+SELECT channel, ts, uuid, parent_uuid, sender_agent, authority, content_type, payload_bytes, payload_sha FROM env""")
+def q_envelope_build(spark, d):
+    env = S.conversation_envelopes(spark, d)
+    return env.select("channel", "ts", "uuid", "parent_uuid", "sender_agent", "authority", "content_type",
+                      "payload_bytes", F.sha2("payload", 256).alias("payload_sha"))
+
+
+@register("envelope_route", _with(S.SQL_CONV_ENV) + """
+SELECT uuid, 'telepath_' || CAST(channel AS VARCHAR) || '.lv' || CAST(authority AS VARCHAR) AS subject FROM env""")
+def q_envelope_route(spark, d):
+    return V.route(S.conversation_envelopes(spark, d)).select("uuid", "subject")
+
+
+@register("envelope_subscribe", _with(S.SQL_CONV_ENV) + """
+, subs AS (SELECT DISTINCT 'agent_' || CAST(conv_id % 3 AS VARCHAR) AS subscriber, conv_id AS channel
+           FROM conversations)
+SELECT s.subscriber, e.uuid, 'telepath_' || CAST(e.channel AS VARCHAR) || '.lv' || CAST(e.authority AS VARCHAR) AS subject
+FROM env e JOIN subs s ON starts_with('telepath_' || CAST(e.channel AS VARCHAR) || '.lv' || CAST(e.authority AS VARCHAR),
+                                      'telepath_' || CAST(s.channel AS VARCHAR) || '.')""")
+def q_envelope_subscribe(spark, d):
+    routed = V.route(S.conversation_envelopes(spark, d))
+    subs = S.table(spark, d, "conversations").select(
+        F.concat(F.lit("agent_"), (F.col("conv_id") % 3).cast("string")).alias("subscriber"),
+        F.col("conv_id").alias("channel")).distinct()
+    return V.subscribe(routed, subs).select("subscriber", "uuid", "subject")
+
+
+@register("envelope_sequence", _with(S.SQL_EVENT_ENV) + """
+SELECT channel, uuid, row_number() OVER (PARTITION BY channel ORDER BY ts, uuid) AS seq FROM env""")
+def q_envelope_sequence(spark, d):
+    return V.sequence(S.event_envelopes(spark, d)).select("channel", "uuid", "seq")
+
+
+@register("envelope_retention", _with(S.SQL_EVENT_ENV) + f"""
+, recent AS (SELECT * FROM env WHERE ts >= TIMESTAMP '{RETAIN_AS_OF}' - INTERVAL {RETAIN_TTL} SECOND
+                                 AND ts <= TIMESTAMP '{RETAIN_AS_OF}'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY ts DESC, uuid DESC) AS rn,
+                  sum(payload_bytes) OVER (PARTITION BY channel ORDER BY ts DESC, uuid DESC
+                                           ROWS UNBOUNDED PRECEDING) AS running_bytes
+           FROM recent)
+SELECT channel, uuid, ts, payload_bytes FROM ranked WHERE rn <= {RETAIN_MSGS} AND running_bytes <= {RETAIN_BYTES}""")
+def q_envelope_retention(spark, d):
+    kept = V.retain(S.event_envelopes(spark, d), RETAIN_AS_OF, RETAIN_TTL, RETAIN_MSGS, RETAIN_BYTES)
+    return kept.select("channel", "uuid", "ts", "payload_bytes")
+
+
+@register("ingest_stats", _with(S.SQL_LOGS) + """
+, g AS (SELECT epoch - epoch % 60 AS period_start, count(*) AS n, sum(sig) AS b, sum(bytes) AS byt,
+               sum(processing_us) AS pr FROM lg GROUP BY 1)
+SELECT period_start, CAST(n AS BIGINT) AS transactions, n / 60.0 AS tx_per_sec, CAST(b AS BIGINT) AS bundles,
+       CAST(b AS BIGINT) AS rows_written, CAST(byt AS BIGINT) AS bytes, CAST(byt AS DOUBLE) / 1048576.0 AS mb,
+       CAST(byt AS DOUBLE) / 1048576.0 / 60.0 AS mb_per_sec,
+       CASE WHEN n > 0 THEN CAST(pr AS DOUBLE) / n ELSE 0.0 END AS avg_processing_us
+FROM g""")
+def q_ingest_stats(spark, d):
+    return T.ingest_stats(S.ingest_log(spark, d))
+
+
+@register("signal_stats", _with(S.SQL_LOGS) + """
+, g AS (SELECT epoch - epoch % 60 AS period_start, count(*) AS n, sum(sig) AS s, sum(processing_us) AS conv,
+               sum(CASE WHEN sig = 1 THEN bytes * 3 ELSE 0 END) AS ser,
+               sum(CASE WHEN sig = 1 THEN send_us ELSE 0 END) AS snd,
+               sum(CASE WHEN sig = 1 THEN bytes ELSE 0 END) AS byt FROM lg GROUP BY 1)
+SELECT period_start, CAST(n AS BIGINT) AS messages, CAST(s AS BIGINT) AS signals,
+       CAST(CASE WHEN n > 0 THEN conv // n ELSE 0 END AS BIGINT) AS avg_conversion_us,
+       CAST(CASE WHEN s > 0 THEN ser // s ELSE 0 END AS BIGINT) AS avg_serialization_us,
+       CAST(CASE WHEN s > 0 THEN snd // s ELSE 0 END AS BIGINT) AS avg_send_us,
+       CAST(CASE WHEN s > 0 THEN byt // s ELSE 0 END AS BIGINT) AS avg_bytes,
+       CAST(byt AS DOUBLE) / 1048576.0 AS total_mb
+FROM g""")
+def q_signal_stats(spark, d):
+    return T.signal_stats(S.signal_log(spark, d))

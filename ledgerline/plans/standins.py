@@ -384,3 +384,89 @@ parsed AS (
   FROM lines),
 processed AS (SELECT DISTINCT prefix FROM parsed
               WHERE line_kind = 'entry' AND n_fields >= 3 AND status = 'completed')"""
+
+
+# --------------------------------------------------------------------------- ENV and logs
+EPOCH_2024 = 1704067200
+
+
+def conversation_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENV: one envelope per ``conversations`` turn; channel = conv_id, role ->
+    authority text, text = payload, event time derived from (conv_id, turn)."""
+    from ledgerline.operators.envelope import build_envelopes
+    c = table(spark, sf_dir, "conversations")
+    ts = F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("conv_id") * 3600 + F.col("turn") * 60).cast("timestamp_ntz")
+    auth = F.when(F.col("role") == "system", F.lit("LV5")) \
+        .when(F.col("role") == "assistant", F.concat(F.lit("lv"), (F.col("turn") % 6).cast("string"))) \
+        .otherwise(F.lit("user"))
+    env = build_envelopes(c, channel="conv_id", ts=ts, payload=F.col("text"), id_cols=[F.lit("conv"), "conv_id", "turn"],
+                          authority_text=auth, sender_agent="ledgerline")
+    return env.withColumn("payload_bytes", F.length("payload").cast("bigint"))
+
+
+def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENV over ``events``: channel = event_type (a few hot channels)."""
+    from ledgerline.operators.envelope import build_envelopes
+    ev = table(spark, sf_dir, "events")
+    env = build_envelopes(ev, channel="event_type", ts="ts", payload=F.col("props"), id_cols=[F.lit("ev"), "event_id"],
+                          authority_text=F.concat(F.lit("lv"), (F.col("user_id") % 7).cast("string")),
+                          sender_agent="ledgerline")
+    return env.withColumn("payload_bytes", F.length("payload").cast("bigint"))
+
+
+def _sql_uuid(expr: str) -> str:
+    h = f"sha256({expr})"
+    return (f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || "
+            f"substr({h}, 17, 4) || '-' || substr({h}, 21, 12))")
+
+
+def _sql_authority(text: str) -> str:
+    arms = " ".join(f"WHEN 'LV{i}' THEN {i}" for i in range(6))
+    return f"CAST(CASE upper({text}) {arms} ELSE 0 END AS INTEGER)"
+
+
+SQL_CONV_ENV = f"""
+env AS (
+  SELECT conv_id AS channel,
+         make_timestamp(CAST({EPOCH_2024} + conv_id * 3600 + turn * 60 AS BIGINT) * 1000000) AS ts,
+         {_sql_uuid("'conv|' || CAST(conv_id AS VARCHAR) || '|' || CAST(turn AS VARCHAR)")} AS uuid,
+         '' AS parent_uuid, 'ledgerline' AS sender_agent,
+         {_sql_authority("CASE WHEN role = 'system' THEN 'LV5' WHEN role = 'assistant' "
+                         "THEN 'lv' || CAST(turn % 6 AS VARCHAR) ELSE 'user' END")} AS authority,
+         'parsed_transaction' AS content_type, CAST(strlen(text) AS BIGINT) AS payload_bytes,
+         sha256(text) AS payload_sha
+  FROM conversations)"""
+
+SQL_EVENT_ENV = f"""
+env AS (
+  SELECT event_type AS channel, ts,
+         {_sql_uuid("'ev|' || CAST(event_id AS VARCHAR)")} AS uuid,
+         {_sql_authority("'lv' || CAST(user_id % 7 AS VARCHAR)")} AS authority,
+         CAST(strlen(props) AS BIGINT) AS payload_bytes
+  FROM events)"""
+
+
+def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ingest-log row per ``events`` row: value -> processing time, props -> bytes."""
+    ev = table(spark, sf_dir, "events")
+    is_ev = F.col("event_type").isin(*EVENT_NAMES).cast("int")
+    return ev.select(epoch_seconds("ts").alias("epoch"), F.length("props").cast("bigint").alias("bytes"),
+                     F.round(F.col("value") * 100).cast("bigint").alias("processing_us"),
+                     is_ev.alias("bundles"), is_ev.alias("rows_written"))
+
+
+def signal_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return ev.select(epoch_seconds("ts").alias("epoch"),
+                     F.col("event_type").isin(*EVENT_NAMES).cast("int").alias("signal"),
+                     F.round(F.col("value") * 100).cast("bigint").alias("conversion_us"),
+                     (F.length("props") * 3).cast("bigint").alias("serialization_us"),
+                     (F.col("event_id") % 1000).alias("send_us"),
+                     F.length("props").cast("bigint").alias("bytes"))
+
+
+SQL_LOGS = """
+lg AS (SELECT epoch_us(ts) // 1000000 AS epoch, CAST(strlen(props) AS BIGINT) AS bytes,
+              CAST(round(value * 100) AS BIGINT) AS processing_us,
+              CAST(event_type IN ('purchase', 'error') AS INTEGER) AS sig, event_id % 1000 AS send_us
+       FROM events)"""
