@@ -30,11 +30,13 @@ def stable_uuid(*cols) -> Column:
 
 
 def build_envelopes(df: DataFrame, *, channel, ts, payload, id_cols, authority_text,
-                    sender_agent: str, content_type: str = CONTENT_TYPE_V2, parent_uuid: str = "") -> DataFrame:
-    """One envelope per input row."""
+                    sender_agent: str, content_type: str = CONTENT_TYPE_V2, parent_uuid: str = "",
+                    keep=()) -> DataFrame:
+    """One envelope per input row (``keep``: extra columns carried along)."""
     def c(x):
         return F.col(x) if isinstance(x, str) else x
     return df.select(
+        *keep,
         c(channel).alias("channel"),
         c(ts).alias("ts"),
         stable_uuid(*id_cols).alias("uuid"),

@@ -92,10 +92,13 @@ def event_bundle(paired: DataFrame, tx_keys: list[str]) -> DataFrame:
     return rows.groupBy(*tx_keys).agg(*aggs)
 
 
+def bundle_total() -> Column:
+    return sum((F.size(t.name) for t in TABLES[1:]), F.size(TABLES[0].name)).cast("bigint")
+
+
 def bundle_sizes(bundles: DataFrame, tx_keys: list[str]) -> DataFrame:
     cols = [F.size(t.name).cast("bigint").alias(f"n_{t.name}") for t in TABLES]
-    total = sum((F.size(t.name) for t in TABLES[1:]), F.size(TABLES[0].name)).cast("bigint")
-    return bundles.select(*tx_keys, *cols, total.alias("n_events"))
+    return bundles.select(*tx_keys, *cols, bundle_total().alias("n_events"))
 
 
 def bundle_json(bundles: DataFrame) -> Column:

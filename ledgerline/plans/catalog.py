@@ -477,3 +477,84 @@ SELECT period_start, CAST(n AS BIGINT) AS messages, CAST(s AS BIGINT) AS signals
 FROM g""")
 def q_signal_stats(spark, d):
     return T.signal_stats(S.signal_log(spark, d))
+
+
+# ------------------------------------------------------------------ streaming
+from ledgerline.streaming import jobs as J  # noqa: E402
+
+STATS_DELAY, DISTINCT_DELAY = 600, 7200
+
+
+def _event_stream(spark, d):
+    schema = S.table(spark, d, "events").schema
+    return J.file_stream(spark, d, schema, glob="events.parquet")
+
+
+def _fanout(spark, d, runs: int):
+    sink, ckpt = scratch_dir(spark, "fanout"), scratch_dir(spark, "fanout-ckpt")
+    for _ in range(runs):
+        J.run_fanout(_event_stream(spark, d), S.transactions_from, sink, ckpt)
+    return J.sink_counts(spark, sink)
+
+
+@register("stream_event_fanout", ORACLES["event_counts"])
+def q_stream_event_fanout(spark, d):
+    """File stream of ``events`` -> pair -> 8 idempotent appends; counts read back."""
+    return _fanout(spark, d, 1)
+
+
+@register("stream_archive_once", ORACLES["event_counts"])
+def q_stream_archive_once(spark, d):
+    """Single-pass mode run twice on one checkpoint: the restart adds no rows."""
+    return _fanout(spark, d, 2)
+
+
+@register("stream_ingest_stats", ORACLES["ingest_stats"].replace("\nFROM g", f"""
+FROM g WHERE (period_start + 60) * 1000000 <= (SELECT max(epoch_us(ts)) FROM events) - {STATS_DELAY * 1000000}"""))
+def q_stream_ingest_stats(spark, d):
+    """Tumbling 60 s statistics on a stream; only windows the watermark closed."""
+    sink, ckpt = scratch_dir(spark, "stats"), scratch_dir(spark, "stats-ckpt")
+    log = _event_stream(spark, d).withColumn("event_ts", F.col("ts").cast("timestamp"))
+    J.closed_window_stats(S.ingest_log_from(log, keep=["event_ts"]), T.ingest_stats, sink, ckpt,
+                          "event_ts", f"{STATS_DELAY} seconds")
+    return spark.read.parquet(sink)
+
+
+@register("stream_distinct_minute", _with(_SQL_EVKEY) + f"""
+SELECT ets - ets % 60 AS window_start, CAST(count(DISTINCT (user_id, event_type)) AS BIGINT) AS unique_count
+FROM ev GROUP BY 1
+HAVING (ets - ets % 60 + 60) * 1000000 <= (SELECT max(epoch_us(ts)) FROM events) - {DISTINCT_DELAY * 1000000}""")
+def q_stream_distinct_minute(spark, d):
+    """Exact distinct (user_id, event_type) per minute on a stream, 2 h settle lag."""
+    sink, ckpt = scratch_dir(spark, "distinct"), scratch_dir(spark, "distinct-ckpt")
+    st = _event_stream(spark, d).withColumn("event_ts", F.col("ts").cast("timestamp"))
+    J.run_append(J.distinct_per_window(st, ["user_id", "event_type"], "event_ts", "1 minute",
+                                       f"{DISTINCT_DELAY} seconds"), sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@register("envelope_bundle_stream", _with(S.SQL_INSTRUCTIONS) + f"""
+SELECT user_id, chunk, {S._sql_uuid("'tx|' || CAST(user_id AS VARCHAR) || '|' || CAST(chunk AS VARCHAR)")} AS uuid,
+       'events' AS channel, 0 AS authority, 'bytes' AS content_type, 'telepath_events.lv0' AS subject,
+       CAST(count(*) AS BIGINT) AS n_events
+FROM paired WHERE {S.sql_valid()} GROUP BY user_id, chunk""")
+def q_envelope_bundle_stream(spark, d):
+    sink, ckpt = scratch_dir(spark, "bundles"), scratch_dir(spark, "bundles-ckpt")
+    J.run_foreach(_event_stream(spark, d),
+                  J.bundle_envelopes_batch(S.transactions_from, ["user_id", "chunk"], sink, "ledgerline"), ckpt)
+    return spark.read.parquet(sink).select("user_id", "chunk", "uuid", "channel", "authority", "content_type",
+                                           "subject", "n_events")
+
+
+@register("envelope_raw_stream", _with(S.SQL_EVENT_ENV) + """
+SELECT uuid, 'telepath_' || channel || '.lv' || CAST(authority AS VARCHAR) AS subject, payload_bytes FROM env""")
+def q_envelope_raw_stream(spark, d):
+    sink, ckpt = scratch_dir(spark, "raw"), scratch_dir(spark, "raw-ckpt")
+    st = _event_stream(spark, d)
+    env = J.raw_envelopes(st, channel="event_type", ts="ts", payload=F.col("props"),
+                          id_cols=[F.lit("ev"), "event_id"],
+                          authority_text=F.concat(F.lit("lv"), (F.col("user_id") % 7).cast("string")),
+                          sender_agent="ledgerline")
+    J.run_append(env.withColumn("payload_bytes", F.length("payload").cast("bigint")), sink, ckpt,
+                 partition_by=["subject"])
+    return spark.read.parquet(sink).select("uuid", "subject", "payload_bytes")

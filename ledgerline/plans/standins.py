@@ -102,7 +102,10 @@ def tx_columns(user_id: Column, chunk: Column) -> list[Column]:
 
 def flat_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TX as flat rows (one per instruction), ordered by (ts, event_id)."""
-    ev = table(spark, sf_dir, "events")
+    return flat_instructions_from(table(spark, sf_dir, "events"))
+
+
+def flat_instructions_from(ev: DataFrame) -> DataFrame:
     return ev.select("user_id", (F.col("event_id") / F.lit(TX_CHUNK)).cast("bigint").alias("chunk"),
                      "ts", "event_id", "event_type", instruction_struct().alias("instruction"))
 
@@ -110,7 +113,12 @@ def flat_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TX nested: one row per transaction with its ordered instruction array.
     Groups are bounded by TX_CHUNK rows."""
-    flat = flat_instructions(spark, sf_dir)
+    return transactions_from(table(spark, sf_dir, "events"))
+
+
+def transactions_from(ev: DataFrame) -> DataFrame:
+    """TX nested, from any DataFrame (or micro-batch) of ``events`` rows."""
+    flat = flat_instructions_from(ev)
     grouped = flat.groupBy("user_id", "chunk").agg(
         F.array_sort(F.collect_list(F.struct("ts", "event_id", "instruction"))).alias("_ins"))
     return grouped.select(
@@ -448,9 +456,12 @@ env AS (
 
 def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ingest-log row per ``events`` row: value -> processing time, props -> bytes."""
-    ev = table(spark, sf_dir, "events")
+    return ingest_log_from(table(spark, sf_dir, "events"))
+
+
+def ingest_log_from(ev: DataFrame, keep=()) -> DataFrame:
     is_ev = F.col("event_type").isin(*EVENT_NAMES).cast("int")
-    return ev.select(epoch_seconds("ts").alias("epoch"), F.length("props").cast("bigint").alias("bytes"),
+    return ev.select(*keep, epoch_seconds("ts").alias("epoch"), F.length("props").cast("bigint").alias("bytes"),
                      F.round(F.col("value") * 100).cast("bigint").alias("processing_us"),
                      is_ev.alias("bundles"), is_ev.alias("rows_written"))
 
