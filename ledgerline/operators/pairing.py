@@ -40,7 +40,9 @@ def explode_instructions(tx: DataFrame, instructions: str = "instructions") -> D
 
 
 _FOLD = """
-aggregate(
+IF(coalesce(size({arr}), 0) <= 0,
+  CAST(array() AS array<struct<position:int,partner_position:int>>),
+  aggregate(
   sequence(0, size({arr}) - 1),
   named_struct('stack', CAST(array() AS array<int>),
                'out', CAST(array() AS array<struct<position:int,partner_position:int>>)),
@@ -53,7 +55,7 @@ aggregate(
       'out', array_append(acc.out, named_struct('position', i,
                                                 'partner_position', element_at(acc.stack, -1))))
   END,
-  acc -> acc.out)
+  acc -> acc.out))
 """
 
 

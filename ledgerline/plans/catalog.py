@@ -558,3 +558,17 @@ def q_envelope_raw_stream(spark, d):
     J.run_append(env.withColumn("payload_bytes", F.length("payload").cast("bigint")), sink, ckpt,
                  partition_by=["subject"])
     return spark.read.parquet(sink).select("uuid", "subject", "payload_bytes")
+
+
+# ------------------------------------------------------------------ key dictionary
+from ledgerline.functions.scalars import key_from_long  # noqa: E402
+from ledgerline.operators.keys import address_dictionary  # noqa: E402
+
+
+@register("address_dictionary", f"""
+WITH k AS (SELECT o_custkey * 1000003 + 7 AS v FROM orders UNION SELECT doc_id * 1000003 + 11 FROM documents)
+SELECT lpad(hex(v), 64, '0') AS key_hex, {S.sql_b58('v', 32)} AS address FROM k""")
+def q_address_dictionary(spark, d):
+    keys = S.table(spark, d, "orders").select(key_from_long(F.col("o_custkey") * 1000003 + 7).alias("k1")) \
+        .unionByName(S.table(spark, d, "documents").select(key_from_long(F.col("doc_id") * 1000003 + 11).alias("k1")))
+    return address_dictionary(keys, ["k1"]).select(F.hex("key").alias("key_hex"), "address")
