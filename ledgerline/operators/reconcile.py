@@ -91,10 +91,18 @@ def _max_hours(start: int, end: int) -> int:
     return max(1, (end - start) // 3600 + 2)
 
 
-def _in_hours(df: DataFrame, hours: DataFrame, ts: str, bound: int) -> DataFrame:
+def hour_span(start: int, end: int) -> tuple[int, int]:
+    """Whole hours covering ``[start, end)``: the drill-down reads whole hours."""
+    return start - start % 3600, end + (-end) % 3600
+
+
+def _in_hours(df: DataFrame, hours: DataFrame, ts: str, bound: int, span: tuple[int, int] | None) -> DataFrame:
     """Rows whose whole hour differs.  ``hours`` has at most ``bound`` rows
-    (one per hour of the checked range), so it is broadcast."""
+    (one per hour of the checked range), so it is broadcast.  The literal hour
+    span is added as well so the scan prunes row groups / partitions."""
     assert bound < 1_000_000, "hour list must stay small enough to broadcast"
+    if span is not None:
+        df = df.where(_in_range(span[0], span[1], ts))
     tagged = df.withColumn("_hour", bucket_start(F.col(ts), 3600))
     return tagged.join(F.broadcast(hours.select(F.col("hour").alias("_hour"))), "_hour", "left_semi").drop("_hour")
 
@@ -103,43 +111,46 @@ def reconcile_minutes(local: DataFrame, remote: DataFrame, start: int, end: int,
                       diff_hours: DataFrame | None = None) -> DataFrame:
     """Minutes of the differing hours that differ; hours are taken whole."""
     hours = diff_hours if diff_hours is not None else reconcile_hours(local, remote, start, end, key, ts)
-    bound = _max_hours(start, end)
-    lm = distinct_per_minute(_in_hours(local, hours, ts, bound), key=key, ts=ts)
-    rm = distinct_per_minute(_in_hours(remote, hours, ts, bound), key=key, ts=ts)
+    bound, span = _max_hours(start, end), hour_span(start, end)
+    lm = distinct_per_minute(_in_hours(local, hours, ts, bound, span), key=key, ts=ts)
+    rm = distinct_per_minute(_in_hours(remote, hours, ts, bound, span), key=key, ts=ts)
     return compare_counts(lm, rm, "minute").withColumn("hour", bucket_start(F.col("minute"), 3600))
 
 
-def _in_minutes(df: DataFrame, minutes: DataFrame, ts: str) -> DataFrame:
+def _in_minutes(df: DataFrame, minutes: DataFrame, ts: str, span: tuple[int, int] | None = None) -> DataFrame:
     """Rows of the differing minutes.  Minutes are bounded by 60 per
     differing hour, i.e. by 60 x the hour bound of the checked range."""
+    if span is not None:
+        df = df.where(_in_range(span[0], span[1], ts))
     tagged = df.withColumn("_minute", bucket_start(F.col(ts), 60))
     return tagged.join(F.broadcast(minutes.select(F.col("minute").alias("_minute"))), "_minute", "left_semi") \
         .drop("_minute")
 
 
-def repair_counts(local: DataFrame, diff_minutes: DataFrame, ts=TS) -> DataFrame:
+def repair_counts(local: DataFrame, diff_minutes: DataFrame, ts=TS, span=None) -> DataFrame:
     """A3: local rows per differing minute, duplicates included (0 if none)."""
-    rows = _in_minutes(local, diff_minutes, ts).groupBy(bucket_start(F.col(ts), 60).alias("minute")) \
+    rows = _in_minutes(local, diff_minutes, ts, span).groupBy(bucket_start(F.col(ts), 60).alias("minute")) \
         .agg(F.count(F.lit(1)).cast("bigint").alias("local_rows"))
     return diff_minutes.select("minute").join(rows, "minute", "left") \
         .select("minute", F.coalesce("local_rows", F.lit(0)).cast("bigint").alias("local_rows"))
 
 
 def repair_rows(local: DataFrame, remote: DataFrame, diff_minutes: DataFrame, mode: str = "missing_only",
-                key=KEY, ts=TS) -> DataFrame:
+                key=KEY, ts=TS, span: tuple[int, int] | None = None) -> DataFrame:
     """K4: rows to append to the remote copy.
 
     ``append``: every local row of each differing minute (the reference's
     behaviour; not idempotent, partial minutes gain duplicates).
     ``missing_only``: only local rows whose key the remote side lacks in
-    those minutes (safe to repeat).
+    those minutes (safe to repeat).  ``span`` (see ``hour_span``) lets the
+    scans skip everything outside the checked hours.
     """
-    rows = _in_minutes(local, diff_minutes, ts)
+    rows = _in_minutes(local, diff_minutes, ts, span)
     if mode == "append":
         return rows
     if mode != "missing_only":
         raise ValueError(f"unknown repair mode {mode}")
-    have = _in_minutes(remote, diff_minutes, ts).select(*key)
+    have = _in_minutes(remote, diff_minutes, ts, span).select(*key)
     return rows.join(have, on=list(key), how="left_anti")
 
 

@@ -218,6 +218,9 @@ def q_reconcile_minute(spark, d):
         .select("minute", "hour", "local_count", "remote_count", "direction")
 
 
+SPAN = R.hour_span(START, END)
+
+
 def _diff_minutes(spark, d):
     local, remote = _local_remote(spark, d)
     return local, remote, R.reconcile_minutes(local, remote, START, END)
@@ -228,14 +231,14 @@ SELECT dm.minute, CAST(count(r.instruction_index) AS BIGINT) AS local_rows
 FROM dm LEFT JOIN resend r ON r."timestamp" - r."timestamp" % 60 = dm.minute GROUP BY dm.minute""")
 def q_repair_counts(spark, d):
     local, _, dm = _diff_minutes(spark, d)
-    return R.repair_counts(local, dm)
+    return R.repair_counts(local, dm, span=SPAN)
 
 
 @register("repair_append", _with(_SQL_LOCAL_REMOTE) + """
 SELECT * FROM resend""")
 def q_repair_append(spark, d):
     local, remote, dm = _diff_minutes(spark, d)
-    return R.repair_rows(local, remote, dm, mode="append")
+    return R.repair_rows(local, remote, dm, mode="append", span=SPAN)
 
 
 @register("repair_missing_only", _with(_SQL_LOCAL_REMOTE) + """
@@ -244,7 +247,7 @@ SELECT * FROM resend s WHERE NOT EXISTS (
     AND r."timestamp" - r."timestamp" % 60 IN (SELECT minute FROM dm))""")
 def q_repair_missing_only(spark, d):
     local, remote, dm = _diff_minutes(spark, d)
-    return R.repair_rows(local, remote, dm, mode="missing_only")
+    return R.repair_rows(local, remote, dm, mode="missing_only", span=SPAN)
 
 
 @register("reconcile_summary", _with(_SQL_LOCAL_REMOTE) + """
@@ -255,7 +258,7 @@ def q_reconcile_summary(spark, d):
     local, remote = _local_remote(spark, d)
     dh = R.reconcile_hours(local, remote, START, END)
     dm = R.reconcile_minutes(local, remote, START, END, diff_hours=dh)
-    return R.reconcile_summary("events", dh, dm, R.repair_rows(local, remote, dm, mode="append"))
+    return R.reconcile_summary("events", dh, dm, R.repair_rows(local, remote, dm, mode="append", span=SPAN))
 
 
 # ------------------------------------------------------------------ daily extract / export / import

@@ -106,7 +106,7 @@ def flat_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_instructions_from(ev: DataFrame) -> DataFrame:
-    return ev.select("user_id", (F.col("event_id") / F.lit(TX_CHUNK)).cast("bigint").alias("chunk"),
+    return ev.select("user_id", F.expr(f"event_id div {TX_CHUNK}").alias("chunk"),
                      "ts", "event_id", "event_type", instruction_struct().alias("instruction"))
 
 
@@ -326,7 +326,7 @@ def ledger_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     blank lines and padded lines; ``ord`` is the line number."""
     o = table(spark, sf_dir, "orders")
     k, prio = F.col("o_orderkey"), F.col("o_orderpriority")
-    p = (k / 4).cast("bigint") * 4
+    p = F.expr("o_orderkey div 4") * 4
     ts = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     pfx = _prefix(p)
     status = F.when(F.col("o_orderstatus") == "F", F.lit("failed")).otherwise(F.lit("completed"))

@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # the instruction superset struct (event + accounts) has ~90 nested fields;
+    # keep whole-stage codegen on for it (the default cut-off is 100 fields)
+    "spark.sql.codegen.maxFields": "1000",
 }
 
 
@@ -41,9 +44,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """All epoch/hour/day arithmetic in this package is UTC."""
+    """All epoch/hour/day arithmetic in this package is UTC; wide instruction
+    structs stay inside whole-stage codegen."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if int(spark.conf.get("spark.sql.codegen.maxFields", "100")) < 1000:
+        spark.conf.set("spark.sql.codegen.maxFields", "1000")
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -109,8 +109,10 @@ def import_folder(spark: SparkSession, folder_root: str, table: str, mapping: di
     rows = read_daily_folder(spark, f"{folder_root.rstrip('/')}/{table}", schema).drop("file_name")
     target_path = f"{target_root.rstrip('/')}/{target}"
     if dedupe and _exists(spark, target_path):
-        have = spark.read.schema(rows.schema).parquet(target_path).select(*key)
-        rows = rows.join(have, on=list(key), how="left_anti")
+        # a key's day is fixed by its timestamp, so joining on event_date too lets
+        # dynamic partition pruning read only the target days being imported
+        have = spark.read.schema(rows.schema).parquet(target_path).select("event_date", *key)
+        rows = rows.join(have, on=["event_date", *key], how="left_anti")
     rows.write.mode("append").partitionBy("event_date").parquet(target_path)
     return rows
 
