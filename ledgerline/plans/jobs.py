@@ -98,13 +98,16 @@ def reconcile_and_repair(tables: dict[str, tuple[DataFrame, DataFrame, str | Non
     summaries, errors = [], []
     for name, (local, remote, remote_path) in tables.items():
         try:
-            dh = R.reconcile_hours(local, remote, start, end)
-            dm = R.reconcile_minutes(local, remote, start, end, diff_hours=dh)
+            # the difference lists are small (bounded by the checked hours) and
+            # must not be re-evaluated after the repair changed the remote copy:
+            # cut their lineage with reliable checkpoints before writing
+            dh = R.reconcile_hours(local, remote, start, end).checkpoint(eager=True)
+            dm = R.reconcile_minutes(local, remote, start, end, diff_hours=dh).checkpoint(eager=True)
             rows = R.repair_rows(local, remote, dm, mode=mode, span=span)
+            summary = R.reconcile_summary(name, dh, dm, rows).checkpoint(eager=True)
             if apply and remote_path:
-                rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
                 R.apply_repair(rows, remote_path)
-            summaries.append(R.reconcile_summary(name, dh, dm, rows))
+            summaries.append(summary)
         except Exception as e:  # noqa: BLE001
             errors.append(f"{name}: {e}")
     summary = None
