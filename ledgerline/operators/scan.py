@@ -5,8 +5,11 @@ holds a third of the data then becomes one straggler task.  ``segmented_scan``
 computes the same running values without that:
 
 1. ``repartitionByRange`` on ``(keys, order)`` -- the range sampler splits a
-   hot key over many partitions -- then ``sortWithinPartitions`` and a reliable
-   ``checkpoint`` so partition ids are stable for the two passes below;
+   hot key over many partitions -- then ``sortWithinPartitions``; the result is
+   persisted, so both passes below read one materialization.  The range
+   bounds live in the shuffle dependency, so a lost block is recomputed into
+   the same partition (``durable=True`` takes a reliable checkpoint instead,
+   cutting the lineage at the cost of writing the data once);
 2. pass 1 (``mapInPandas``) emits one summary row per partition: first/last
    key, running totals of the last key, last value for lags;
 3. carries for the first key of each partition are derived from the summary
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,7 +103,8 @@ def _local_scan(pdf: pd.DataFrame, keys, cumsums, rownum, lags, state):
 
 def segmented_scan(df: DataFrame, keys: list[str], order: list[str], *,
                    cumsums: dict[str, str] | None = None, rownum: str | None = None,
-                   lags: dict[str, str] | None = None, num_partitions: int | None = None) -> DataFrame:
+                   lags: dict[str, str] | None = None, num_partitions: int | None = None,
+                   durable: bool = False) -> DataFrame:
     """Add running columns per key group ordered by ``order``.
 
     ``cumsums``: ``{out: src}`` inclusive running sum of ``src``;
@@ -113,8 +118,8 @@ def segmented_scan(df: DataFrame, keys: list[str], order: list[str], *,
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *keys, *order)
               .sortWithinPartitions(*keys, *order)
-              .withColumn(_PID, F.spark_partition_id())
-              .checkpoint(eager=True))
+              .withColumn(_PID, F.spark_partition_id()))
+    ranged = ranged.checkpoint(eager=True) if durable else ranged.persist(StorageLevel.MEMORY_AND_DISK)
     fields = {f.name: f.dataType for f in ranged.schema.fields}
 
     def cs_type(src):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,12 +49,14 @@ def export_daily(df: DataFrame, table: str, root: str, start_date: str, end_date
     spark = df.sparkSession
     dates = day_range(start_date, end_date)
     path = f"{root.rstrip('/')}/{table}"
-    out = extract_daily(df, start_date, end_date, ts, order)
+    # the days that received rows in *this* run, observed during the write
+    # (a set bounded by the number of requested days; no second scan)
+    seen = Observation(f"export_{table}")
+    out = extract_daily(df, start_date, end_date, ts, order) \
+        .observe(seen, F.collect_set(F.date_format("event_date", "yyyy-MM-dd")).alias("days"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy("event_date").parquet(path))
-    # bounded by the number of requested days, not by the data
-    written = {r[0].isoformat() for r in
-               spark.read.parquet(path).select("event_date").distinct().collect()} if _exists(spark, path) else set()
+    written = set(seen.get.get("days") or [])
     empty = spark.createDataFrame([], out.drop("event_date").schema)
     for d in dates:
         if d not in written:

@@ -54,3 +54,12 @@ def test_unknown_event_type():
     from ledgerline.schemas import table_schema
     with pytest.raises(KeyError, match="Unknown event type"):
         table_schema("PumpfunCompleteEventV2")
+
+
+def test_rerun_clears_day_that_lost_its_rows(spark):
+    root = scratch_dir(spark, "t-rerun")
+    df = src(spark)
+    X.export_daily(df, "trade", root, "2025-01-15", "2025-01-16")
+    X.export_daily(df.where(F.col("timestamp") >= D15 + 86400), "trade", root, "2025-01-15", "2025-01-16")
+    back = X.read_daily_folder(spark, f"{root}/trade", df.schema)
+    assert {str(r.event_date) for r in back.collect()} == {"2025-01-16"}
