@@ -16,6 +16,7 @@ from ledgerline.operators.project import project
 from ledgerline.schemas import TABLES
 from ledgerline.sources import archive as A
 from ledgerline.sources import transfer as X
+from ledgerline.streaming.jobs import by_day_ranges
 
 
 def write_event_tables(paired: DataFrame, sink_root: str, table_names: dict[str, str] | None = None,
@@ -25,7 +26,7 @@ def write_event_tables(paired: DataFrame, sink_root: str, table_names: dict[str,
     input is not scanned once per table; each table is appended partitioned
     by ``event_date``; a kind without rows writes nothing (P15)."""
     names = table_names or {t.name: t.table for t in TABLES}
-    paired = paired.persist(StorageLevel.MEMORY_AND_DISK)
+    paired = by_day_ranges(paired).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for kind in kinds:
             rows = project(paired, kind).withColumn("event_date", epoch_to_date(F.col("timestamp")))

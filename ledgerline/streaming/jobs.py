@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.scalars import epoch_to_date
+from ledgerline.functions.scalars import epoch_to_date, narrow_u32
 from ledgerline.operators.envelope import SIGNAL_TYPE_V1, build_envelopes, route
 from ledgerline.operators.pairing import pair_fold
 from ledgerline.operators.project import bundle_json, bundle_total, event_bundle, project
@@ -36,6 +36,16 @@ def file_stream(spark: SparkSession, directory: str, schema: T.StructType, glob:
     return r.parquet(directory)
 
 
+def by_day_ranges(paired: DataFrame) -> DataFrame:
+    """Range-partition paired events on (event day, slot, tx index, position)
+    once, before the 8 projections: each task then covers a contiguous run of
+    days, so a date-partitioned write makes about one file per partition
+    instead of tasks x days, a hot day still spreads over several files, and
+    rows land in the reference's total order.  Projections keep the layout."""
+    day = epoch_to_date(narrow_u32(F.col("event.event.timestamp")))
+    return paired.repartitionByRange(day, "slot", "index", "position")
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str]) -> None:
     """Idempotent per-batch append: overwrite only this batch's partitions."""
     (df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
@@ -58,7 +68,7 @@ def fanout_batch(to_transactions: Callable[[DataFrame], DataFrame], sink_root: s
     append per event table, partitioned by ``event_date``.  A kind without
     rows writes nothing."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        paired = pair_fold(to_transactions(batch)).persist()
+        paired = by_day_ranges(pair_fold(to_transactions(batch))).persist()
         try:
             for kind in kinds:
                 rows = project(paired, kind).withColumn("event_date", epoch_to_date(F.col("timestamp")))
