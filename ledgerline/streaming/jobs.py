@@ -46,6 +46,12 @@ def by_day_ranges(paired: DataFrame) -> DataFrame:
     return paired.repartitionByRange(day, "slot", "index", "position")
 
 
+def dedupe_within(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
+    """Drop redelivered messages (at-least-once sources): one row per key while
+    the key's event time is inside the watermark delay; state is bounded by it."""
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str]) -> None:
     """Idempotent per-batch append: overwrite only this batch's partitions."""
     (df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
