@@ -101,5 +101,7 @@ def to_mb(bytes_col) -> Column:
 
 
 def key_from_long(col, width: int = 32) -> Column:
-    """Big-endian ``width``-byte key holding a non-negative BIGINT (stand-in keys)."""
-    return F.unhex(F.lpad(F.hex(_c(col).cast("bigint")), width * 2, "0"))
+    """Big-endian ``width``-byte key holding a non-negative BIGINT (stand-in keys):
+    a constant zero prefix and the 8 value bytes."""
+    low = F.unhex(F.lpad(F.hex(_c(col).cast("bigint")), 16, "0"))
+    return F.concat(F.lit(bytes(width - 8)), low) if width > 8 else low

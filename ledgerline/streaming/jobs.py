@@ -3,9 +3,9 @@
 * Sources are ``readStream`` with explicit schemas (a file source here; any
   connector in production); back-pressure is ``maxFilesPerTrigger`` /
   ``maxOffsetsPerTrigger``, the reference's size/time flush is the trigger.
-* Sinks write inside ``foreachBatch`` with dynamic partition overwrite keyed
-  by the batch id: a replayed batch (crash after write, before commit)
-  replaces its own output, so a restart adds no duplicates.
+* Sinks write inside ``foreachBatch`` into a directory owned by the batch id:
+  a replayed batch (crash after write, before commit) replaces its own
+  output, so a restart adds no duplicates.
 * An exception in ``foreachBatch`` stops the query without committing the
   batch -- the ack-after-success behaviour of the reference's callbacks.
 """
@@ -53,10 +53,13 @@ def dedupe_within(stream: DataFrame, keys: list[str], event_time: str, delay: st
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str]) -> None:
-    """Idempotent per-batch append: overwrite only this batch's partitions."""
-    (df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(BATCH_COL, *partition_by).parquet(path))
+    """Idempotent per-batch append: the batch owns ``{path}/batch_id=N`` and
+    overwrites it whole, so a replayed batch replaces its own output and never
+    touches other batches (readers discover ``batch_id`` as a partition)."""
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
 
 
 def _run(writer, trigger: dict):
@@ -72,9 +75,10 @@ def fanout_batch(to_transactions: Callable[[DataFrame], DataFrame], sink_root: s
                  kinds=tuple(t.name for t in TABLES)):
     """Per micro-batch, pair once (persisted), then one
     append per event table, partitioned by ``event_date``.  A kind without
-    rows writes nothing."""
+    rows writes nothing.  A micro-batch is bounded by the trigger limits and
+    spans few days, so no re-layout is needed before the dated writes."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        paired = by_day_ranges(pair_fold(to_transactions(batch))).persist()
+        paired = pair_fold(to_transactions(batch)).persist()
         try:
             for kind in kinds:
                 rows = project(paired, kind).withColumn("event_date", epoch_to_date(F.col("timestamp")))
