@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TWO_32 = 4294967296
+U64_MAX = 18446744073709551615
 MB = 1048576.0
 
 
@@ -72,8 +73,6 @@ def start_slot(prefix) -> Column:
     return F.when(ok, value.cast("decimal(20,0)"))
 
 
-U64_MAX = 18446744073709551615
-
 
 # Authority level names, matched case-insensitively; others -> 0.
 AUTHORITY_LEVELS = {"LV0": 0, "LV1": 1, "LV2": 2, "LV3": 3, "LV4": 4, "LV5": 5}
@@ -87,13 +86,19 @@ def authority_level(text) -> Column:
     return expr.cast("int")
 
 
+# Channel stream name ``telepath_{channel}`` and subject
+# ``telepath_{channel}.lv{authority}`` formats.
+STREAM_PREFIX = "telepath_"
+SUBJECT_LEVEL = ".lv"
+
+
 def channel_stream(channel) -> Column:
-    return F.concat(F.lit("telepath_"), _c(channel).cast("string"))
+    return F.concat(F.lit(STREAM_PREFIX), _c(channel).cast("string"))
 
 
 def channel_subject(channel, authority) -> Column:
     """``telepath_{name}.lv{n}``."""
-    return F.concat(channel_stream(channel), F.lit(".lv"), _c(authority).cast("string"))
+    return F.concat(channel_stream(channel), F.lit(SUBJECT_LEVEL), _c(authority).cast("string"))
 
 
 def to_mb(bytes_col) -> Column:

@@ -42,3 +42,13 @@ def test_spark_udf(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k binary")
     got = {bytes(r.k): r.a for r in df.select("k", base58("k").alias("a")).collect()}
     assert got == {k: plain_b58(k) for k in keys}
+
+
+def test_start_slot_and_suffix(spark):
+    from ledgerline.functions.scalars import start_slot, strip_repeated_suffix
+    df = spark.createDataFrame([("123_456",), ("+5_1",), ("slot7_8",), ("18446744073709551615_x",),
+                                ("18446744073709551616_x",), ("007_1",), ("",)], "p string")
+    got = [None if r.s is None else int(r.s) for r in df.select(start_slot("p").alias("s")).collect()]
+    assert got == [123, 5, None, 18446744073709551615, None, 7, None]
+    names = spark.createDataFrame([("a.meta.meta",), ("b.meta",), (".meta",), ("c.bin.meta",)], "n string")
+    assert [r.p for r in names.select(strip_repeated_suffix("n", ".meta").alias("p")).collect()] == ["a", "b", "", "c.bin"]
