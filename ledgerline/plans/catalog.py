@@ -343,11 +343,19 @@ def q_archive_pairs(spark, d):
         .select("prefix", "meta_path", "bin_path", "meta_length", "bin_length", "start_slot")
 
 
+def _ledger(spark, d):
+    """LEDGER as what it is, a text file: the stand-in lines are written in line
+    order (range-partitioned part files) and read back with their order key."""
+    path = scratch_dir(spark, "ledger")
+    S.ledger_source(spark, d).orderBy("ord").select(F.col("line").alias("value")).write.mode("overwrite").text(path)
+    return A.read_ledger_lines(spark, path)
+
+
 @register("archive_pending", _with(S.SQL_FILES, S.SQL_LEDGER) + """
 SELECT prefix, start_slot FROM manifest m WHERE NOT EXISTS (SELECT 1 FROM processed p WHERE p.prefix = m.prefix)""")
 def q_archive_pending(spark, d):
     manifest = A.archive_pairs(S.archive_listing(spark, d))
-    return A.pending_pairs(manifest, A.processed_prefixes(S.ledger_source(spark, d))).select("prefix", "start_slot")
+    return A.pending_pairs(manifest, A.processed_prefixes(_ledger(spark, d))).select("prefix", "start_slot")
 
 
 @register("slot_index_scan", _with(S.SQL_FILES) + f"""
@@ -367,37 +375,37 @@ def q_slot_index_scan(spark, d):
 
 @register("ledger_load", _with(S.SQL_LEDGER) + "\nSELECT prefix FROM processed")
 def q_ledger_load(spark, d):
-    return A.processed_prefixes(S.ledger_source(spark, d))
+    return A.processed_prefixes(_ledger(spark, d))
 
 
 def _sql_compact(order: str) -> str:
     return _with(S.SQL_LEDGER) + f"""
 , ranked AS (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY ord {order}) AS rn
              FROM parsed WHERE line_kind = 'entry' AND n_fields >= 2)
-SELECT ord, text AS line, line_kind FROM ranked WHERE rn = 1
-UNION ALL SELECT ord, text AS line, line_kind FROM parsed WHERE line_kind <> 'entry'"""
+SELECT text AS line, line_kind FROM ranked WHERE rn = 1
+UNION ALL SELECT text AS line, line_kind FROM parsed WHERE line_kind <> 'entry'"""
 
 
 @register("ledger_compact_first", _sql_compact("ASC"))
 def q_ledger_compact_first(spark, d):
-    return A.compact_ledger(S.ledger_source(spark, d), keep="first")
+    return A.compact_ledger(_ledger(spark, d), keep="first").drop("ord")
 
 
 @register("ledger_compact_last", _sql_compact("DESC"))
 def q_ledger_compact_last(spark, d):
-    return A.compact_ledger(S.ledger_source(spark, d), keep="last")
+    return A.compact_ledger(_ledger(spark, d), keep="last").drop("ord")
 
 
 @register("ledger_stats", _with(S.SQL_LEDGER) + "\nSELECT CAST(count(*) AS BIGINT) AS processed_count FROM processed")
 def q_ledger_stats(spark, d):
-    return A.ledger_stats(S.ledger_source(spark, d))
+    return A.ledger_stats(_ledger(spark, d))
 
 
 @register("ledger_tail", _with(S.SQL_LEDGER) + """
 SELECT prefix, CAST(greatest((SELECT count(*) FROM processed) - 10, 0) AS BIGINT) AS others
 FROM processed ORDER BY prefix DESC LIMIT 10""")
 def q_ledger_tail(spark, d):
-    return A.ledger_tail(S.ledger_source(spark, d), 10)
+    return A.ledger_tail(_ledger(spark, d), 10)
 
 
 # ------------------------------------------------------------------ envelopes and statistics

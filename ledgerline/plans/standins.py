@@ -327,7 +327,7 @@ def ledger_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k, prio = F.col("o_orderkey"), F.col("o_orderpriority")
     p = F.expr("o_orderkey div 4") * 4
-    ts = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    ts = F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("T00:00:00Z"))
     pfx = _prefix(p)
     status = F.when(F.col("o_orderstatus") == "F", F.lit("failed")).otherwise(F.lit("completed"))
     line = F.when((prio == "4-NOT SPECIFIED") & (k % 2 == 0), F.concat(F.lit("# note "), k.cast("string"))) \
@@ -374,7 +374,7 @@ manifest AS (
 
 SQL_LEDGER = f"""
 lo AS (SELECT o_orderkey AS ord, (o_orderkey // 4) * 4 AS p, o_orderpriority, o_orderstatus,
-              strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS lts FROM orders),
+              CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || 'T00:00:00Z' AS lts FROM orders),
 lines AS (
   SELECT ord, CASE WHEN ord % 13 = 0 THEN '  ' ELSE '' END || CASE
     WHEN o_orderpriority = '4-NOT SPECIFIED' AND ord % 2 = 0 THEN '# note ' || CAST(ord AS VARCHAR)
