@@ -114,9 +114,8 @@ def ledger_tail(lines: DataFrame, n: int = 10) -> DataFrame:
     the number of the others."""
     processed = processed_prefixes(lines)
     top = processed.orderBy(F.col("prefix").desc()).limit(n)
-    total = processed.agg(F.count(F.lit(1)).alias("_n"))
-    return top.withColumn("_k", F.lit(1)).join(total.withColumn("_k", F.lit(1)), "_k") \
-        .select("prefix", F.greatest(F.col("_n") - F.lit(n), F.lit(0)).cast("bigint").alias("others"))
+    total = processed.agg(F.count(F.lit(1))).scalar()      # scalar subquery, no join
+    return top.select("prefix", F.greatest(total - F.lit(n), F.lit(0)).cast("bigint").alias("others"))
 
 
 def ledger_lines(prefixes: DataFrame, ts: str, status: str = "completed") -> DataFrame:
