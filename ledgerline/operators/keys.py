@@ -1,6 +1,6 @@
 """Key dictionary (F1): base58 text of the distinct binary keys of a table.
 
-Encoding is an Arrow-batched, numpy-vectorized ``pandas_udf``; applying it to
+Encoding is a numpy-vectorized Arrow UDF; applying it to
 the distinct keys only pays off when keys repeat a lot (mints, pools).  The
 join back is left to the planner: AQE turns it into a broadcast join when the
 dictionary's runtime size is under the broadcast threshold and keeps a
