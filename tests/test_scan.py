@@ -15,3 +15,19 @@ def test_hot_key_cumsum_rownum_lag(spark):
     lag = g["o"].shift(1)
     assert got["lg"].isna().equals(lag.isna())
     assert (got["lg"].dropna().astype("int64").to_numpy() == lag.dropna().astype("int64").to_numpy()).all()
+
+
+def test_empty_partitions_and_null_keys(spark):
+    rows = [(None if i % 5 == 0 else i % 3, i, 1) for i in range(30)] + [(7, 100 + i, 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, o long, v long")
+    out = segmented_scan(df, ["k"], ["o"], cumsums={"cs": "v"}, rownum="rn", lags={"lg": "o"},
+                         num_partitions=50).toPandas()
+    exp = pd.DataFrame(rows, columns=["k", "o", "v"])
+    exp["kk"] = exp["k"].fillna(-1)
+    exp = exp.sort_values(["kk", "o"]).reset_index(drop=True)
+    got = out.assign(kk=out["k"].fillna(-1)).sort_values(["kk", "o"]).reset_index(drop=True)
+    g = exp.groupby("kk")
+    assert (got["cs"].to_numpy() == g["v"].cumsum().to_numpy()).all()
+    assert (got["rn"].to_numpy() == (g.cumcount() + 1).to_numpy()).all()
+    lag = g["o"].shift(1)
+    assert got["lg"].isna().equals(lag.isna())
