@@ -40,14 +40,14 @@ def explode_instructions(tx: DataFrame, instructions: str = "instructions") -> D
 
 
 _FOLD = """
-IF(coalesce(size({arr}), 0) <= 0,
+IF(coalesce(size({types}), 0) <= 0,
   CAST(array() AS array<struct<position:int,partner_position:int>>),
   aggregate(
-  sequence(0, size({arr}) - 1),
+  sequence(0, size({types}) - 1),
   named_struct('stack', CAST(array() AS array<int>),
                'out', CAST(array() AS array<struct<position:int,partner_position:int>>)),
   (acc, i) -> CASE
-    WHEN NOT ({arr}[i].type IN ({events})) THEN
+    WHEN NOT ({types}[i] IN ({events})) THEN
       named_struct('stack', array_append(acc.stack, i), 'out', acc.out)
     WHEN size(acc.stack) = 0 THEN acc
     ELSE named_struct(
@@ -60,16 +60,27 @@ IF(coalesce(size({arr}), 0) <= 0,
 
 
 def pair_positions_expr(instructions: str = "instructions") -> Column:
+    """The fold reads only ``instructions.type`` (a string array), so a scan of
+    a nested transactions table prunes every other instruction field unless a
+    later projection asks for it."""
     events = ", ".join(f"'{e}'" for e in EVENT_TYPES)
-    return F.expr(_FOLD.format(arr=f"`{instructions}`", events=events))
+    return F.expr(_FOLD.format(types=f"`{instructions}`.type", events=events))
 
 
-def pair_fold(tx: DataFrame, instructions: str = "instructions") -> DataFrame:
+def pair_fold(tx: DataFrame, instructions: str = "instructions",
+              fields: tuple[list[str], list[str]] | None = None) -> DataFrame:
     """J2 (fold form): one row per paired event with ``event`` and ``partner``
-    instruction structs, the event's ``position`` and the partner's position."""
+    instruction structs, the event's ``position`` and the partner's position.
+
+    ``fields=(event_fields, account_fields)`` carries only those nested fields
+    (as per-field arrays, which a Parquet scan prunes to) instead of the whole
+    instruction array; ``event``/``partner`` are then slim structs with the
+    same shape for those fields."""
     others = [c for c in tx.columns if c != instructions]
-    arr = F.col(instructions)
-    paired = tx.select(*others, arr.alias("_ins"), F.explode(pair_positions_expr(instructions)).alias("_p"))
+    if fields is not None:
+        return _pair_fold_slim(tx, instructions, others, *fields)
+    paired = tx.select(*others, F.col(instructions).alias("_ins"),
+                       F.explode(pair_positions_expr(instructions)).alias("_p"))
     return paired.select(
         *others,
         F.col("_p.position").cast("bigint").alias("position"),
@@ -79,6 +90,35 @@ def pair_fold(tx: DataFrame, instructions: str = "instructions") -> DataFrame:
     )
 
 
+def _pair_fold_slim(tx: DataFrame, instructions: str, others: list[str], event_fields, account_fields) -> DataFrame:
+    """Builds the slim event/partner structs inside a ``transform`` over the pair
+    array, so only the finished rows pass through the generator and the scan
+    keeps just the nested fields referenced here."""
+    ins = f"`{instructions}`"
+
+    def at(path: str, i):
+        return F.get(F.col(f"{ins}.{path}"), i)
+
+    def ins_struct(i):
+        parts = [at("type", i).alias("type"), at("kind", i).alias("kind"),
+                 F.struct(*[at(f"event.{f}", i).alias(f) for f in event_fields]).alias("event")]
+        if account_fields:
+            acc = F.struct(*[at(f"accounts.{f}", i).alias(f) for f in account_fields])
+            present = F.get(F.col(f"{ins}.accounts"), i).isNotNull()
+            parts.append(F.when(present, acc).alias("accounts"))
+        else:
+            parts.append(F.lit(None).cast("struct<_:binary>").alias("accounts"))
+        parts.append(at("is_main_pool", i).alias("is_main_pool"))
+        return F.struct(*parts)
+
+    rows = F.transform(pair_positions_expr(instructions), lambda p: F.struct(
+        p["position"].cast("bigint").alias("position"),
+        p["partner_position"].cast("bigint").alias("partner_position"),
+        ins_struct(p["position"]).alias("event"),
+        ins_struct(p["partner_position"]).alias("partner")))
+    return tx.select(*others, F.explode(rows).alias("_r")).select(*others, "_r.*")
+
+
 def pair_window(flat: DataFrame, tx_cols: list[str], order_cols: list[str], type_col: str = "type", *,
                 skew_safe: bool = True, position_col: str | None = None) -> DataFrame:
     """J2 (window form) on flat instructions.
@@ -118,15 +158,17 @@ def target_table(event_type) -> Column:
     return expr
 
 
-def pair_is_valid(event: str = "event", partner: str = "partner") -> Column:
+def pair_is_valid(event: str = "event", partner: str = "partner", tables=TABLES) -> Column:
     """P10: the event carries its own variant; trade/create/migrate accept any
-    parsed partner; AMM kinds need an allowed partner variant with accounts."""
+    parsed partner; AMM kinds need an allowed partner variant with accounts.
+    Restricting ``tables`` keeps the predicate (and the nested read) to the
+    fields those kinds need."""
     ev_type = F.col(f"{event}.type")
     ev_kind = F.col(f"{event}.kind")
     p_kind = F.col(f"{partner}.kind")
     p_acc = F.col(f"{partner}.accounts")
     expr = F.lit(False)
-    for t in reversed(TABLES):
+    for t in reversed(tuple(tables)):
         ok = (ev_kind == F.lit(t.event_kind)) & p_kind.isNotNull()
         if t.partner_kinds:
             ok = ok & p_kind.isin(*t.partner_kinds)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.base58 import base58
 from ledgerline.functions.scalars import flag_u8, narrow_u32
-from ledgerline.operators.pairing import pair_is_valid, target_table
+from ledgerline.operators.pairing import pair_fold, pair_is_valid, target_table
 from ledgerline.schemas import TABLES, TableSpec, table_spec
 
 TX_COLS = {"signature": "signature", "slot": "slot", "index": "index", "position": "position"}
@@ -49,10 +49,26 @@ def column_exprs(spec: TableSpec, event: str = "event", partner: str = "partner"
 def project(paired: DataFrame, kind: str) -> DataFrame:
     """Rows of one event table from paired events (fold or window form)."""
     spec = table_spec(kind)
-    rows = paired.where((F.col("event.type") == F.lit(spec.event_type)) & pair_is_valid())
+    rows = paired.where((F.col("event.type") == F.lit(spec.event_type)) & pair_is_valid(tables=[spec]))
     return rows.select(*column_exprs(spec))
 
 
+def fields_of(kind: str) -> tuple[list[str], list[str]]:
+    """Nested instruction fields one table needs: (event fields, account fields)."""
+    spec = table_spec(kind)
+    ev = [f for _, src, f, _ in spec.columns if src == "event"]
+    acc = [f for _, src, f, _ in spec.columns if src == "accounts"]
+    if spec.needs_accounts and not acc:
+        acc = ["pool"]
+    return ev, acc
+
+
+def project_tx(tx: DataFrame, kind: str) -> DataFrame:
+    """P2-P9 straight from nested transactions, reading only this table's
+    nested fields (pairing itself needs only ``instructions.type``)."""
+    return project(pair_fold(tx, fields=fields_of(kind)), kind)
+
+
 def project_all(paired: DataFrame) -> dict[str, DataFrame]:
     """All 8 tables.  Persist ``paired`` (or pass a written table) when all 8 are
     materialized, or the input is scanned once per table."""

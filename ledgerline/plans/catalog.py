@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import narrow_u32
 from ledgerline.operators.pairing import explode_instructions, pair_fold, pair_window
-from ledgerline.operators.project import bundle_sizes, classify_pairs, event_bundle, event_counts, project
+from ledgerline.operators.project import bundle_sizes, classify_pairs, event_bundle, event_counts, project_tx
 from ledgerline.plans import standins as S
 from ledgerline.schemas import TABLES
 
@@ -97,7 +97,7 @@ FROM paired WHERE e_type = '{event_type}' AND {S.sql_valid()}"""
 
     @register(f"project_{kind}", sql)
     def q(spark, d):
-        return project(pair_fold(S.transactions(spark, d)), kind)
+        return project_tx(S.transactions(spark, d), kind)
     return q
 
 
