@@ -36,6 +36,7 @@ def _with(*ctes: str) -> str:
 
 
 # ------------------------------------------------------------------ pairing and projections
+CLASSIFY_FIELDS = ([], ["pool"])     # validity needs kinds and accounts presence only
 @register("event_classify", _with(S.SQL_INSTRUCTIONS) + """
 SELECT user_id, chunk, pos AS position, type AS instruction_type, is_ev AS is_event FROM ins""")
 def q_event_classify(spark, d):
@@ -85,7 +86,7 @@ SELECT user_id, chunk, position, {S.sql_table_name()} AS event_table, p_kind AS
        {S.sql_valid()} AS valid
 FROM paired""")
 def q_pair_validity(spark, d):
-    p = classify_pairs(pair_fold(S.transactions(spark, d)))
+    p = classify_pairs(pair_fold(S.transactions(spark, d), fields=CLASSIFY_FIELDS))
     return p.select("user_id", "chunk", "position", "event_table", F.col("partner.kind").alias("partner_kind"),
                     "valid")
 
@@ -109,7 +110,7 @@ for _t in TABLES:
 SELECT {S.sql_table_name()} AS event_table, CAST(count(*) AS BIGINT) AS row_count
 FROM paired WHERE {S.sql_valid()} GROUP BY 1""")
 def q_event_counts(spark, d):
-    return event_counts(pair_fold(S.transactions(spark, d)))
+    return event_counts(pair_fold(S.transactions(spark, d), fields=CLASSIFY_FIELDS))
 
 
 @register("event_bundle", _with(S.SQL_INSTRUCTIONS) + "\nSELECT user_id, chunk, " + ", ".join(
