@@ -118,13 +118,16 @@ def reconcile_minutes(local: DataFrame, remote: DataFrame, start: int, end: int,
 
 
 def _in_minutes(df: DataFrame, minutes: DataFrame, ts: str, span: tuple[int, int] | None = None) -> DataFrame:
-    """Rows of the differing minutes.  Minutes are bounded by 60 per
-    differing hour, i.e. by 60 x the hour bound of the checked range."""
+    """Rows of the differing minutes.  With a ``span`` the minute list is
+    cut to it, so it holds at most ``(hi - lo) / 60`` rows and is broadcast;
+    without one the join strategy is left to AQE's runtime size check."""
+    keys = minutes.select(F.col("minute").alias("_minute"))
     if span is not None:
         df = df.where(_in_range(span[0], span[1], ts))
+        assert (span[1] - span[0]) // 60 < 10_000_000, "minute list must stay small enough to broadcast"
+        keys = F.broadcast(keys.where((F.col("_minute") >= span[0]) & (F.col("_minute") < span[1])))
     tagged = df.withColumn("_minute", bucket_start(F.col(ts), 60))
-    return tagged.join(F.broadcast(minutes.select(F.col("minute").alias("_minute"))), "_minute", "left_semi") \
-        .drop("_minute")
+    return tagged.join(keys, "_minute", "left_semi").drop("_minute")
 
 
 def repair_counts(local: DataFrame, diff_minutes: DataFrame, ts=TS, span=None) -> DataFrame:
