@@ -48,6 +48,14 @@ def build_envelopes(df: DataFrame, *, channel, ts, payload, id_cols, authority_t
     )
 
 
+def to_v1(env: DataFrame) -> DataFrame:
+    """v1 envelope shape: ``signal_type`` and a oneof content (``text`` or
+    ``binary_data``; binary payloads go to ``binary_data``)."""
+    return env.withColumnRenamed("content_type", "signal_type") \
+        .withColumn("text", F.lit(None).cast("string")) \
+        .withColumnRenamed("payload", "binary_data")
+
+
 def route(env: DataFrame) -> DataFrame:
     """Subject per envelope."""
     return env.withColumn("subject", channel_subject(F.col("channel"), F.col("authority")))

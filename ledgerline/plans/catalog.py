@@ -552,14 +552,14 @@ def q_stream_distinct_minute(spark, d):
 
 @register("envelope_bundle_stream", _with(S.SQL_INSTRUCTIONS) + f"""
 SELECT user_id, chunk, {S._sql_uuid("'tx|' || CAST(user_id AS VARCHAR) || '|' || CAST(chunk AS VARCHAR)")} AS uuid,
-       'events' AS channel, 0 AS authority, 'bytes' AS content_type, 'telepath_events.lv0' AS subject,
+       'events' AS channel, 0 AS authority, 'bytes' AS signal_type, 'telepath_events.lv0' AS subject,
        CAST(count(*) AS BIGINT) AS n_events
 FROM paired WHERE {S.sql_valid()} GROUP BY user_id, chunk""")
 def q_envelope_bundle_stream(spark, d):
     sink, ckpt = scratch_dir(spark, "bundles"), scratch_dir(spark, "bundles-ckpt")
     J.run_foreach(_event_stream(spark, d),
                   J.bundle_envelopes_batch(S.transactions_from, ["user_id", "chunk"], sink, "ledgerline"), ckpt)
-    return spark.read.parquet(sink).select("user_id", "chunk", "uuid", "channel", "authority", "content_type",
+    return spark.read.parquet(sink).select("user_id", "chunk", "uuid", "channel", "authority", "signal_type",
                                            "subject", "n_events")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.scalars import epoch_to_date, narrow_u32
-from ledgerline.operators.envelope import SIGNAL_TYPE_V1, build_envelopes, route
+from ledgerline.operators.envelope import SIGNAL_TYPE_V1, build_envelopes, route, to_v1
 from ledgerline.operators.pairing import pair_fold
 from ledgerline.operators.project import bundle_json, bundle_total, event_bundle, project
 from ledgerline.schemas import TABLES
@@ -150,7 +150,7 @@ def bundle_envelopes_batch(to_transactions, tx_keys: list[str], sink: str, sende
         env = build_envelopes(sized, channel=F.lit(channel), ts=F.current_timestamp(), payload="_payload",
                               id_cols=[F.lit("tx"), *tx_keys], authority_text=F.lit(authority_text),
                               sender_agent=sender_agent, content_type=SIGNAL_TYPE_V1, keep=[*tx_keys, "n_events"])
-        write_batch(route(env), sink, batch_id, [])
+        write_batch(to_v1(route(env)), sink, batch_id, [])
     return handle
 
 
