@@ -120,7 +120,7 @@ def _pair_fold_slim(tx: DataFrame, instructions: str, others: list[str], event_f
 
 
 def pair_window(flat: DataFrame, tx_cols: list[str], order_cols: list[str], type_col: str = "type", *,
-                skew_safe: bool = True, position_col: str | None = None) -> DataFrame:
+                skew_safe: bool = True, position_col: str | None = None, durable: bool = False) -> DataFrame:
     """J2 (window form) on flat instructions.
 
     ``order_cols`` order instructions inside a transaction (total order).  If
@@ -133,11 +133,11 @@ def pair_window(flat: DataFrame, tx_cols: list[str], order_cols: list[str], type
     pos = position_col or "position"
     if skew_safe:
         df = segmented_scan(df, tx_cols, order_cols, cumsums={"_s": "_step"},
-                            rownum=None if position_col else "_rn")
+                            rownum=None if position_col else "_rn", durable=durable)
         if not position_col:
             df = df.withColumn(pos, F.col("_rn") - 1).drop("_rn")
         df = df.withColumn("_edge", F.when(F.col("is_event"), F.col("_s")).otherwise(F.col("_s") - 1))
-        df = segmented_scan(df, tx_cols + ["_edge"], [pos], lags={"_lag": pos})
+        df = segmented_scan(df, tx_cols + ["_edge"], [pos], lags={"_lag": pos}, durable=durable)
     else:
         w_tx = Window.partitionBy(*tx_cols).orderBy(*order_cols)
         if not position_col:

@@ -63,3 +63,10 @@ def test_rerun_clears_day_that_lost_its_rows(spark):
     X.export_daily(df.where(F.col("timestamp") >= D15 + 86400), "trade", root, "2025-01-15", "2025-01-16")
     back = X.read_daily_folder(spark, f"{root}/trade", df.schema)
     assert {str(r.event_date) for r in back.collect()} == {"2025-01-16"}
+
+
+def test_export_without_any_rows(spark):
+    root = scratch_dir(spark, "t-empty")
+    df = src(spark).where(F.lit(False))
+    assert X.export_daily(df, "trade", root, "2030-01-01", "2030-01-02") == ["2030-01-01", "2030-01-02"]
+    assert X.read_daily_folder(spark, f"{root}/trade", df.schema).count() == 0
