@@ -11,11 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.scalars import narrow_u32
+from ledgerline.functions.scalars import epoch_seconds, key_from_long, narrow_u32
+from ledgerline.operators import envelope as V
+from ledgerline.operators import reconcile as R
+from ledgerline.operators import stats as T
+from ledgerline.operators.keys import address_dictionary
 from ledgerline.operators.pairing import explode_instructions, pair_fold, pair_window
 from ledgerline.operators.project import bundle_sizes, classify_pairs, event_bundle, event_counts, project_tx
 from ledgerline.plans import standins as S
 from ledgerline.schemas import TABLES
+from ledgerline.session import scratch_dir
+from ledgerline.sources import archive as A
+from ledgerline.sources import transfer as X
+from ledgerline.streaming import jobs as J
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,8 +145,6 @@ def q_narrow_u32(spark, d):
 
 
 # ------------------------------------------------------------------ distinct counts and reconciliation
-from ledgerline.operators import reconcile as R  # noqa: E402
-from ledgerline.functions.scalars import epoch_seconds  # noqa: E402
 
 AS_OF = "2024-02-01T02:00:00"
 CHECK_DAYS = 31            # the stand-in spans January 2024; 7 is the reference default
@@ -263,8 +269,6 @@ def q_reconcile_summary(spark, d):
 
 
 # ------------------------------------------------------------------ daily extract / export / import
-from ledgerline.sources import transfer as X  # noqa: E402
-from ledgerline.session import scratch_dir  # noqa: E402
 
 DAY_FIRST, DAY_LAST = "2024-01-01", "2024-01-31"   # January 2024; the 31st has no rows
 MAPPING = {"events": "events_copy"}
@@ -334,7 +338,6 @@ def q_import_totals(spark, d):
 
 
 # ------------------------------------------------------------------ archive pairs, slot index, ledger
-from ledgerline.sources import archive as A  # noqa: E402
 
 
 @register("archive_pairs", _with(S.SQL_FILES) + """
@@ -410,8 +413,6 @@ def q_ledger_tail(spark, d):
 
 
 # ------------------------------------------------------------------ envelopes and statistics
-from ledgerline.operators import envelope as V  # noqa: E402
-from ledgerline.operators import stats as T  # noqa: E402
 
 RETAIN_AS_OF, RETAIN_TTL, RETAIN_MSGS, RETAIN_BYTES = "2024-01-30 12:00:00", 86400, 100, 700
 
@@ -492,7 +493,6 @@ def q_signal_stats(spark, d):
 
 
 # ------------------------------------------------------------------ streaming
-from ledgerline.streaming import jobs as J  # noqa: E402
 
 STATS_DELAY, DISTINCT_DELAY = 600, 7200
 
@@ -578,8 +578,6 @@ def q_envelope_raw_stream(spark, d):
 
 
 # ------------------------------------------------------------------ key dictionary
-from ledgerline.functions.scalars import key_from_long  # noqa: E402
-from ledgerline.operators.keys import address_dictionary  # noqa: E402
 
 
 @register("address_dictionary", f"""
