@@ -49,3 +49,17 @@ def test_reconcile_and_repair_applies_missing_only(spark):
     assert after.count() == 10
     start, end = R.time_window("2024-01-02T02:00:00", 2, 1)
     assert R.reconcile_hours(local, after, start, end).count() == 0
+
+
+def test_ingest_rerun_after_lost_ledger_is_idempotent(spark):
+    d = scratch_dir(spark, "archive2")
+    for name in ["100_199.meta", "100_199.bin", "300_399.meta", "300_399.bin"]:
+        with open(os.path.join(d.replace("file:", "", 1), name), "wb") as f:
+            f.write(b"x")
+    sink = scratch_dir(spark, "sink2")
+    schema = T.StructType(list(TRANSACTION_SCHEMA.fields) + [T.StructField("prefix", T.StringType())])
+    txs = spark.createDataFrame(_tx_rows(), schema)
+    jobs.ingest_batch(spark, d, scratch_dir(spark, "ledgerA"), txs, sink, "t1")
+    # crash before the ledger line: a fresh ledger makes every pair pending again
+    jobs.ingest_batch(spark, d, scratch_dir(spark, "ledgerB"), txs, sink, "t2")
+    assert spark.read.parquet(f"{sink}/pumpfun_trade_event_v2").count() == 2
