@@ -121,3 +121,28 @@ def _b58_udf(keys: pa.Array) -> pa.Array:
 def base58(col: Column | str) -> Column:
     """Column expression: base58 text of a BINARY column."""
     return _b58_udf(F.col(col) if isinstance(col, str) else col)
+
+
+def encode_nested_keys(arr: pa.Array) -> pa.Array:
+    """``list<struct<...>>`` with every binary field replaced by its base58 text
+    (other fields, nulls and list offsets unchanged)."""
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    offsets = arr.offsets
+    start = offsets[0].as_py() if len(offsets) else 0
+    values = arr.values.slice(start, (offsets[-1].as_py() - start) if len(offsets) else 0)
+    rel = pc.subtract(offsets, pa.scalar(start, offsets.type))
+    children, names = [], []
+    for i, f in enumerate(values.type):
+        child = values.field(i)
+        if pa.types.is_binary(f.type) or pa.types.is_large_binary(f.type):
+            child = encode_arrow(child)
+        children.append(child)
+        names.append(f.name)
+    struct = pa.StructArray.from_arrays(children, names=names, mask=values.is_null() if values.null_count else None)
+    return pa.ListArray.from_arrays(rel, struct, mask=arr.is_null() if arr.null_count else None)
+
+
+def nested_base58(col: Column, out_type: T.DataType) -> Column:
+    """Arrow UDF over an array of structs: binary fields become base58 text."""
+    return F.arrow_udf(encode_nested_keys, out_type)(col)

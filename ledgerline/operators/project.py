@@ -88,11 +88,10 @@ def event_counts(paired: DataFrame) -> DataFrame:
 
 
 def event_bundle(paired: DataFrame, tx_keys: list[str]) -> DataFrame:
-    """Per transaction, one array of typed rows per kind, ordered by
-    instruction_index; transactions without any valid event are dropped (P12).
-
-    The regrouping shuffle is on the transaction key; a transaction's row count
-    is bounded by its instruction array.
+    """A11 for flat (window-form) pairs: per transaction, one array of typed
+    rows per kind, ordered by instruction_index; transactions without any
+    valid event are dropped (P12).  This regroups on the transaction key (a
+    shuffle); nested transactions use ``event_bundle_inrow``, which needs none.
     """
     valid = classify_pairs(paired).where("valid")
     structs = []
@@ -108,6 +107,64 @@ def event_bundle(paired: DataFrame, tx_keys: list[str]) -> DataFrame:
     return rows.groupBy(*tx_keys).agg(*aggs)
 
 
+def _lambda_value(src: str, field: str, conv: str, ins: str, p, tx_cols) -> Column:
+    """Column value of one table column for pair ``p`` inside a ``transform``
+    over the fold's pair array; keys stay binary (encoded afterwards)."""
+    pos, ppos = p["position"], p["partner_position"]
+    if src == "tx":
+        c = F.col(TX_COLS[field]) if field != "position" else pos
+    elif src == "event":
+        c = F.get(F.col(f"{ins}.event.{field}"), pos)
+    elif src == "accounts":
+        c = F.get(F.col(f"{ins}.accounts.{field}"), ppos)
+    else:
+        c = F.get(F.col(f"{ins}.{field}"), ppos)
+    if conv == "u32":
+        return narrow_u32(c)
+    if conv == "u8":
+        return flag_u8(c)
+    if conv == "key":
+        return c.cast("binary")
+    from ledgerline.schemas import OUT_TYPES
+    return c.cast(OUT_TYPES[conv])
+
+
+def _lambda_valid(spec: TableSpec, ins: str, p) -> Column:
+    pos, ppos = p["position"], p["partner_position"]
+    ok = (F.get(F.col(f"{ins}.type"), pos) == F.lit(spec.event_type)) & \
+        (F.get(F.col(f"{ins}.kind"), pos) == F.lit(spec.event_kind)) & F.get(F.col(f"{ins}.kind"), ppos).isNotNull()
+    if spec.partner_kinds:
+        ok = ok & F.get(F.col(f"{ins}.kind"), ppos).isin(*spec.partner_kinds)
+    if spec.needs_accounts:
+        ok = ok & F.get(F.col(f"{ins}.accounts"), ppos).isNotNull()
+    return F.coalesce(ok, F.lit(False))
+
+
+def event_bundle_inrow(tx: DataFrame, tx_keys: list[str], instructions: str = "instructions") -> DataFrame:
+    """A11 / P12 without any shuffle: the 8 arrays are built inside each
+    transaction row from the fold's pairs (``transform`` + ``filter``, already
+    in instruction order), and key fields are base58-encoded in place by an
+    Arrow UDF over the nested arrays.  Transactions without a valid event are
+    dropped."""
+    from pyspark.sql import types as T
+    from ledgerline.functions.base58 import nested_base58
+    from ledgerline.operators.pairing import pair_positions_expr
+    ins = f"`{instructions}`"
+    pairs = pair_positions_expr(instructions)
+    def valid_of(spec):
+        return lambda p: _lambda_valid(spec, ins, p)
+
+    def row_of(spec):
+        return lambda p: F.struct(*[_lambda_value(src, field, conv, ins, p, TX_COLS).alias(name)
+                                    for name, src, field, conv in spec.columns])
+
+    raw = tx.select(*tx_keys, *[F.transform(F.filter(pairs, valid_of(t)), row_of(t)).alias(t.name) for t in TABLES])
+    # drop empty bundles on the raw arrays, before any key is encoded
+    kept = raw.where(bundle_total() > 0)
+    return kept.select(*tx_keys, *[nested_base58(F.col(t.name), T.ArrayType(t.schema, False)).alias(t.name)
+                                   for t in TABLES])
+
+
 def bundle_total() -> Column:
     return sum((F.size(t.name) for t in TABLES[1:]), F.size(TABLES[0].name)).cast("bigint")
 

@@ -17,7 +17,7 @@ from ledgerline.operators import reconcile as R
 from ledgerline.operators import stats as T
 from ledgerline.operators.keys import address_dictionary
 from ledgerline.operators.pairing import explode_instructions, pair_fold, pair_window
-from ledgerline.operators.project import bundle_sizes, classify_pairs, event_bundle, event_counts, project_tx
+from ledgerline.operators.project import bundle_sizes, classify_pairs, event_bundle_inrow, event_counts, project_tx
 from ledgerline.plans import standins as S
 from ledgerline.schemas import TABLES
 from ledgerline.session import scratch_dir
@@ -125,7 +125,7 @@ def q_event_counts(spark, d):
     f"CAST(count(*) FILTER (WHERE e_type = '{t.event_type}') AS BIGINT) AS n_{t.name}" for t in TABLES)
     + f", CAST(count(*) AS BIGINT) AS n_events FROM paired WHERE {S.sql_valid()} GROUP BY user_id, chunk")
 def q_event_bundle(spark, d):
-    b = event_bundle(pair_fold(S.transactions(spark, d)), ["user_id", "chunk"])
+    b = event_bundle_inrow(S.transactions(spark, d), ["user_id", "chunk"])
     return bundle_sizes(b, ["user_id", "chunk"])
 
 

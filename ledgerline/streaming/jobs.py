@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ledgerline.functions.scalars import epoch_to_date, narrow_u32
 from ledgerline.operators.envelope import SIGNAL_TYPE_V1, build_envelopes, route, to_v1
 from ledgerline.operators.pairing import pair_fold
-from ledgerline.operators.project import bundle_json, bundle_total, event_bundle, project
+from ledgerline.operators.project import bundle_json, bundle_total, event_bundle_inrow, project
 from ledgerline.schemas import TABLES
 
 BATCH_COL = "batch_id"
@@ -145,7 +145,7 @@ def bundle_envelopes_batch(to_transactions, tx_keys: list[str], sink: str, sende
     dropped; each bundle becomes one envelope (replay-stable uuid, payload =
     self-describing JSON of the bundle), routed by authority."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        bundles = event_bundle(pair_fold(to_transactions(batch)), tx_keys)
+        bundles = event_bundle_inrow(to_transactions(batch), tx_keys)
         sized = bundles.select(*tx_keys, bundle_total().alias("n_events"), bundle_json(bundles).alias("_payload"))
         env = build_envelopes(sized, channel=F.lit(channel), ts=F.current_timestamp(), payload="_payload",
                               id_cols=[F.lit("tx"), *tx_keys], authority_text=F.lit(authority_text),

@@ -76,3 +76,17 @@ def test_signature_is_base58(spark):
     got = run(spark, [t], "trade")
     assert got[0].signature == "1" * 64 and got[0].instruction_index == 1
     assert F is not None
+
+
+def test_inrow_bundle_equals_regrouped(spark):
+    from ledgerline.operators.project import event_bundle, event_bundle_inrow
+    from ledgerline.plans import standins as S
+    from ledgerline.schemas import TABLES
+    tx = S.transactions(spark, "/root/testdata/sf0.001")
+
+    def norm(df):
+        return sorted((r["user_id"], r["chunk"], tuple(tuple(tuple(x) for x in r[t.name]) for t in TABLES))
+                      for r in df.collect())
+    assert norm(event_bundle(pair_fold(tx), ["user_id", "chunk"])) == norm(event_bundle_inrow(tx, ["user_id", "chunk"]))
+    plan = event_bundle_inrow(tx, ["user_id", "chunk"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1          # only the stand-in's own grouping
