@@ -161,8 +161,9 @@ def event_bundle_inrow(tx: DataFrame, tx_keys: list[str], instructions: str = "i
     raw = tx.select(*tx_keys, *[F.transform(F.filter(pairs, valid_of(t)), row_of(t)).alias(t.name) for t in TABLES])
     # drop empty bundles on the raw arrays, before any key is encoded
     kept = raw.where(bundle_total() > 0)
-    return kept.select(*tx_keys, *[nested_base58(F.col(t.name), T.ArrayType(t.schema, False)).alias(t.name)
-                                   for t in TABLES])
+    def row_type(spec):      # nullable like the projection path: inputs may lack fields
+        return T.ArrayType(T.StructType([T.StructField(f.name, f.dataType, True) for f in spec.schema.fields]), False)
+    return kept.select(*tx_keys, *[nested_base58(F.col(t.name), row_type(t)).alias(t.name) for t in TABLES])
 
 
 def bundle_total() -> Column:

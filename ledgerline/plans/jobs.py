@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.scalars import epoch_to_date
 from ledgerline.operators import reconcile as R
 from ledgerline.operators.pairing import pair_fold
-from ledgerline.operators.project import project
+from ledgerline.operators.project import event_bundle_inrow, project
 from ledgerline.schemas import TABLES
 from ledgerline.sources import archive as A
 from ledgerline.sources import transfer as X
@@ -52,6 +52,33 @@ def write_event_tables(paired: DataFrame, sink_root: str, table_names: dict[str,
         base.unpersist()
 
 
+def write_tables_from_transactions(tx: DataFrame, sink_root: str, table_names: dict[str, str] | None = None,
+                                   kinds=tuple(t.name for t in TABLES), dedupe: bool = False,
+                                   layout: bool = True) -> None:
+    """T2 / K1 from nested transactions: the 8 arrays are built in each
+    transaction row (``event_bundle_inrow``: no shuffle, base58 once per row for
+    all kinds) and persisted -- that is about the size of the output, not of
+    the instruction structs -- then each table is one ``explode`` of its array.
+    ``layout`` range-partitions each table by (day, total order) before the
+    dated write; ``dedupe`` skips keys the target already holds."""
+    names = table_names or {t.name: t.table for t in TABLES}
+    spark = tx.sparkSession
+    bundles = event_bundle_inrow(tx, []).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for kind in kinds:
+            path = f"{sink_root.rstrip('/')}/{names[kind]}"
+            rows = bundles.select(F.explode(kind).alias("_r")).select("_r.*") \
+                .withColumn("event_date", epoch_to_date(F.col("timestamp")))
+            if layout:
+                rows = rows.repartitionByRange("event_date", "slot", "transaction_index", "instruction_index")
+            if dedupe and X._exists(spark, path):
+                have = spark.read.schema(rows.schema).parquet(path).select("event_date", *NATURAL_KEY)
+                rows = rows.join(have, ["event_date", *NATURAL_KEY], "left_anti")
+            rows.write.mode("append").partitionBy("event_date").parquet(path)
+    finally:
+        bundles.unpersist()
+
+
 def ingest_batch(spark: SparkSession, archive_dir: str, ledger_path: str, transactions: DataFrame,
                  sink_root: str, now: str) -> DataFrame:
     """Archive pairs not yet in the ledger -> their transactions -> 8 event
@@ -67,7 +94,7 @@ def ingest_batch(spark: SparkSession, archive_dir: str, ledger_path: str, transa
         done = spark.createDataFrame([], "prefix string")
     pending = A.pending_pairs(manifest, done).select("prefix")
     todo = transactions.join(pending, "prefix", "left_semi")
-    write_event_tables(pair_fold(todo.drop("prefix")), sink_root, dedupe=True)
+    write_tables_from_transactions(todo.drop("prefix"), sink_root, dedupe=True)
     A.append_ledger(pending, ledger_path, now)
     return pending
 
