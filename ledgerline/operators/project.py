@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.base58 import base58
 from ledgerline.functions.scalars import flag_u8, narrow_u32
 from ledgerline.operators.pairing import pair_fold, pair_is_valid, target_table
-from ledgerline.schemas import TABLES, TableSpec, table_spec
+from ledgerline.schemas import OUT_TYPES, TABLES, TableSpec, table_spec
 
 TX_COLS = {"signature": "signature", "slot": "slot", "index": "index", "position": "position"}
 
@@ -81,6 +81,21 @@ def classify_pairs(paired: DataFrame) -> DataFrame:
         .withColumn("valid", pair_is_valid())
 
 
+def table_rows(paired: DataFrame) -> DataFrame:
+    """All 8 tables' rows in one codegen'd projection: per valid pair its
+    ``event_table`` and one struct column per kind (non-null only for its own
+    kind).  Persisting this keeps about the output's size, not the instruction
+    structs; ``rows_of(kind)`` then selects one table."""
+    valid = classify_pairs(paired).where("valid")
+    return valid.select("event_table", *[
+        F.when(F.col("event_table") == F.lit(t.name), F.struct(*column_exprs(t))).alias(f"_t_{t.name}")
+        for t in TABLES])
+
+
+def rows_of(rows: DataFrame, kind: str) -> DataFrame:
+    return rows.where(F.col("event_table") == F.lit(kind)).select(f"_t_{kind}.*")
+
+
 def event_counts(paired: DataFrame) -> DataFrame:
     """Rows written per event table, from one scan of the pairs."""
     return classify_pairs(paired).where("valid").groupBy("event_table") \
@@ -109,34 +124,35 @@ def event_bundle(paired: DataFrame, tx_keys: list[str]) -> DataFrame:
 
 def _lambda_value(src: str, field: str, conv: str, ins: str, p, tx_cols) -> Column:
     """Column value of one table column for pair ``p`` inside a ``transform``
-    over the fold's pair array; keys stay binary (encoded afterwards)."""
+    over the fold's pair array; keys stay binary (encoded afterwards).  Element
+    access (``instructions[i].event.f``) is O(1) per field; the bundle needs
+    every field, so there is nothing to prune here."""
     pos, ppos = p["position"], p["partner_position"]
+    ev, pt = F.get(F.col(ins), pos), F.get(F.col(ins), ppos)
     if src == "tx":
         c = F.col(TX_COLS[field]) if field != "position" else pos
     elif src == "event":
-        c = F.get(F.col(f"{ins}.event.{field}"), pos)
+        c = ev["event"][field]
     elif src == "accounts":
-        c = F.get(F.col(f"{ins}.accounts.{field}"), ppos)
+        c = pt["accounts"][field]
     else:
-        c = F.get(F.col(f"{ins}.{field}"), ppos)
+        c = pt[field]
     if conv == "u32":
         return narrow_u32(c)
     if conv == "u8":
         return flag_u8(c)
     if conv == "key":
         return c.cast("binary")
-    from ledgerline.schemas import OUT_TYPES
     return c.cast(OUT_TYPES[conv])
 
 
 def _lambda_valid(spec: TableSpec, ins: str, p) -> Column:
-    pos, ppos = p["position"], p["partner_position"]
-    ok = (F.get(F.col(f"{ins}.type"), pos) == F.lit(spec.event_type)) & \
-        (F.get(F.col(f"{ins}.kind"), pos) == F.lit(spec.event_kind)) & F.get(F.col(f"{ins}.kind"), ppos).isNotNull()
+    ev, pt = F.get(F.col(ins), p["position"]), F.get(F.col(ins), p["partner_position"])
+    ok = (ev["type"] == F.lit(spec.event_type)) & (ev["kind"] == F.lit(spec.event_kind)) & pt["kind"].isNotNull()
     if spec.partner_kinds:
-        ok = ok & F.get(F.col(f"{ins}.kind"), ppos).isin(*spec.partner_kinds)
+        ok = ok & pt["kind"].isin(*spec.partner_kinds)
     if spec.needs_accounts:
-        ok = ok & F.get(F.col(f"{ins}.accounts"), ppos).isNotNull()
+        ok = ok & pt["accounts"].isNotNull()
     return F.coalesce(ok, F.lit(False))
 
 

@@ -12,71 +12,50 @@ from pyspark.sql import functions as F
 from ledgerline.functions.scalars import epoch_to_date
 from ledgerline.operators import reconcile as R
 from ledgerline.operators.pairing import pair_fold
-from ledgerline.operators.project import event_bundle_inrow, project
+from ledgerline.operators.project import rows_of, table_rows
 from ledgerline.schemas import TABLES
 from ledgerline.sources import archive as A
 from ledgerline.sources import transfer as X
-from ledgerline.streaming.jobs import by_day_ranges
 
 
 NATURAL_KEY = ("signature", "instruction_index")
 
 
 def write_event_tables(paired: DataFrame, sink_root: str, table_names: dict[str, str] | None = None,
-                       kinds=tuple(t.name for t in TABLES), dedupe: bool = False) -> None:
-    """The 8 tables from one pairing.  The pairs are persisted once
-    (a lost executor only recomputes its own blocks from lineage) so the
-    input is not scanned once per table, and laid out by (day, total order)
-    so a multi-day backfill writes about one file per partition instead of
-    tasks x days; each table is appended partitioned by ``event_date``; a
-    kind without rows writes nothing (P15).  ``dedupe=True`` skips rows whose
-    natural key ``(signature, instruction_index)`` the target already holds
-    (anti join on the key plus ``event_date``, so only the days being written
-    are read), which makes a repeated run idempotent."""
+                       kinds=tuple(t.name for t in TABLES), dedupe: bool = False, layout: bool = True) -> None:
+    """The 8 tables from one pairing.  All tables' rows come from one
+    codegen'd projection (``table_rows``: the event table tag plus one struct
+    per kind) that is persisted -- about the size of the output, and a lost
+    executor only recomputes its own blocks -- so the input is not scanned
+    once per table.  ``layout`` range-partitions each table by (day, total
+    order) so a multi-day backfill writes about one file per partition instead
+    of tasks x days, and rows land in the reference order; ``dedupe`` skips
+    rows whose natural key (signature, instruction_index) the target already
+    holds (anti join on the key plus ``event_date``, so only the days being
+    written are read), which makes a repeated run idempotent.  A kind without
+    rows writes nothing (P15)."""
     names = table_names or {t.name: t.table for t in TABLES}
-    # persisted before the range layout, so the range sampler reads the cache
-    # instead of recomputing the pairing
-    base = paired.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = by_day_ranges(base).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = paired.sparkSession
+    rows_all = table_rows(paired).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        spark = paired.sparkSession
         for kind in kinds:
             path = f"{sink_root.rstrip('/')}/{names[kind]}"
-            rows = project(ranged, kind).withColumn("event_date", epoch_to_date(F.col("timestamp")))
+            rows = rows_of(rows_all, kind).withColumn("event_date", epoch_to_date(F.col("timestamp")))
+            if layout:
+                rows = rows.repartitionByRange("event_date", "slot", "transaction_index", "instruction_index")
             if dedupe and X._exists(spark, path):
                 have = spark.read.schema(rows.schema).parquet(path).select("event_date", *NATURAL_KEY)
                 rows = rows.join(have, ["event_date", *NATURAL_KEY], "left_anti")
             rows.write.mode("append").partitionBy("event_date").parquet(path)
     finally:
-        ranged.unpersist()
-        base.unpersist()
+        rows_all.unpersist()
 
 
 def write_tables_from_transactions(tx: DataFrame, sink_root: str, table_names: dict[str, str] | None = None,
                                    kinds=tuple(t.name for t in TABLES), dedupe: bool = False,
                                    layout: bool = True) -> None:
-    """T2 / K1 from nested transactions: the 8 arrays are built in each
-    transaction row (``event_bundle_inrow``: no shuffle, base58 once per row for
-    all kinds) and persisted -- that is about the size of the output, not of
-    the instruction structs -- then each table is one ``explode`` of its array.
-    ``layout`` range-partitions each table by (day, total order) before the
-    dated write; ``dedupe`` skips keys the target already holds."""
-    names = table_names or {t.name: t.table for t in TABLES}
-    spark = tx.sparkSession
-    bundles = event_bundle_inrow(tx, []).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for kind in kinds:
-            path = f"{sink_root.rstrip('/')}/{names[kind]}"
-            rows = bundles.select(F.explode(kind).alias("_r")).select("_r.*") \
-                .withColumn("event_date", epoch_to_date(F.col("timestamp")))
-            if layout:
-                rows = rows.repartitionByRange("event_date", "slot", "transaction_index", "instruction_index")
-            if dedupe and X._exists(spark, path):
-                have = spark.read.schema(rows.schema).parquet(path).select("event_date", *NATURAL_KEY)
-                rows = rows.join(have, ["event_date", *NATURAL_KEY], "left_anti")
-            rows.write.mode("append").partitionBy("event_date").parquet(path)
-    finally:
-        bundles.unpersist()
+    """T2 / K1 straight from nested transactions (pairing needs no shuffle)."""
+    write_event_tables(pair_fold(tx), sink_root, table_names, kinds, dedupe, layout)
 
 
 def ingest_batch(spark: SparkSession, archive_dir: str, ledger_path: str, transactions: DataFrame,

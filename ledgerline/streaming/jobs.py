@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.scalars import epoch_to_date, narrow_u32
+from ledgerline.functions.scalars import epoch_to_date
 from ledgerline.operators.envelope import SIGNAL_TYPE_V1, build_envelopes, route, to_v1
 from ledgerline.operators.pairing import pair_fold
-from ledgerline.operators.project import bundle_json, bundle_total, event_bundle_inrow, project
+from ledgerline.operators.project import bundle_json, bundle_total, event_bundle_inrow, rows_of, table_rows
 from ledgerline.schemas import TABLES
 
 BATCH_COL = "batch_id"
@@ -36,16 +36,6 @@ def file_stream(spark: SparkSession, directory: str, schema: T.StructType, glob:
     return r.parquet(directory)
 
 
-def by_day_ranges(paired: DataFrame) -> DataFrame:
-    """Range-partition paired events on (event day, slot, tx index, position)
-    once, before the 8 projections: each task then covers a contiguous run of
-    days, so a date-partitioned write makes about one file per partition
-    instead of tasks x days, a hot day still spreads over several files, and
-    rows land in the reference's total order.  Projections keep the layout."""
-    day = epoch_to_date(narrow_u32(F.col("event.event.timestamp")))
-    return paired.repartitionByRange(day, "slot", "index", "position")
-
-
 def dedupe_within(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
     """Drop redelivered messages (at-least-once sources): one row per key while
     the key's event time is inside the watermark delay; state is bounded by it."""
@@ -73,21 +63,19 @@ def _run(writer, trigger: dict):
 
 def fanout_batch(to_transactions: Callable[[DataFrame], DataFrame], sink_root: str,
                  kinds=tuple(t.name for t in TABLES)):
-    """Per micro-batch, pair once (in-row bundles,
-    persisted), then one append per event table, partitioned by ``event_date``.  A kind without
+    """Per micro-batch, pair once (all tables' rows in one
+    persisted projection), then one append per event table, partitioned by ``event_date``.  A kind without
     rows writes nothing.  A micro-batch is bounded by the trigger limits and
     spans few days, so no re-layout is needed before the dated writes."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # the 8 arrays are built in each transaction row (base58 once for all
-        # kinds) and persisted; each table is one explode of its array
-        bundles = event_bundle_inrow(to_transactions(batch), []).persist()
+        # all 8 tables' rows from one codegen'd projection, persisted once
+        rows_all = table_rows(pair_fold(to_transactions(batch))).persist()
         try:
             for kind in kinds:
-                rows = bundles.select(F.explode(kind).alias("_r")).select("_r.*") \
-                    .withColumn("event_date", epoch_to_date(F.col("timestamp")))
+                rows = rows_of(rows_all, kind).withColumn("event_date", epoch_to_date(F.col("timestamp")))
                 write_batch(rows, f"{sink_root}/{kind}", batch_id, ["event_date"])
         finally:
-            bundles.unpersist()
+            rows_all.unpersist()
     return handle
 
 
