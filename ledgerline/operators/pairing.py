@@ -40,29 +40,28 @@ def explode_instructions(tx: DataFrame, instructions: str = "instructions") -> D
 
 
 _FOLD = """
-IF(coalesce(size({types}), 0) <= 0,
-  CAST(array() AS array<struct<position:int,partner_position:int>>),
-  aggregate(
-  sequence(0, size({types}) - 1),
+aggregate(
+  transform(coalesce({types}, CAST(array() AS array<string>)), (t, i) -> named_struct('t', t, 'i', i)),
   named_struct('stack', CAST(array() AS array<int>),
                'out', CAST(array() AS array<struct<position:int,partner_position:int>>)),
-  (acc, i) -> CASE
-    WHEN NOT ({types}[i] IN ({events})) THEN
-      named_struct('stack', array_append(acc.stack, i), 'out', acc.out)
+  (acc, x) -> CASE
+    WHEN NOT (x.t IN ({events})) OR x.t IS NULL THEN
+      named_struct('stack', array_append(acc.stack, x.i), 'out', acc.out)
     WHEN size(acc.stack) = 0 THEN acc
     ELSE named_struct(
       'stack', slice(acc.stack, 1, size(acc.stack) - 1),
-      'out', array_append(acc.out, named_struct('position', i,
+      'out', array_append(acc.out, named_struct('position', x.i,
                                                 'partner_position', element_at(acc.stack, -1))))
   END,
-  acc -> acc.out))
+  acc -> acc.out)
 """
 
 
 def pair_positions_expr(instructions: str = "instructions") -> Column:
-    """The fold reads only ``instructions.type`` (a string array), so a scan of
-    a nested transactions table prunes every other instruction field unless a
-    later projection asks for it."""
+    """The fold reads only ``instructions.type`` (a string array, extracted once
+    and zipped with its index, so each step is O(1)); a scan of a nested
+    transactions table prunes every other instruction field unless a later
+    projection asks for it."""
     events = ", ".join(f"'{e}'" for e in EVENT_TYPES)
     return F.expr(_FOLD.format(types=f"`{instructions}`.type", events=events))
 
