@@ -9,15 +9,36 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe
+import corpus_pipeline
+from ledgerline.llm import bpe, decontaminate, lang_id, pseudonyms, simhash
 from ledgerline.llm.common import table
 
 BPE_FILE = "byte_bpe_50k.json"
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.query(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe_round_trip,)}
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.query(table(spark, sf_dir, "documents"))
+
+
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.query(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op4_bpe_round_trip, op5_simhash,
+                                   op6_pseudonyms)}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -95,7 +95,7 @@ def variants(fp: Column) -> Column:
             rest = rest.bitwiseOR(F.shiftleft(above, low))
         base = rest.bitwiseOR(F.lit(b << KEY_BITS))
         flips = F.array(*[F.lit(m).cast("long") for m in [0, *(1 << p for p in range(low, KEY_BITS))]])
-        keys.append(F.transform(flips, lambda m, base=base: base.bitwiseXOR(m)))
+        keys.append(F.transform(flips, base.bitwiseXOR))
     return F.concat(*keys)
 
 
