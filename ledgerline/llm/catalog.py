@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ledgerline.llm import bpe, decontaminate, lang_id, pseudonyms, simhash
+from ledgerline.llm import bpe, decontaminate, host_rules, lang_id, pseudonyms, simhash
 from ledgerline.llm.common import table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -24,6 +24,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.query(table(spark, sf_dir, "documents"))
 
 
+def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.query(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
@@ -36,9 +40,9 @@ def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.query(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op4_bpe_round_trip, op5_simhash,
-                                   op6_pseudonyms)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_host_rules, op4_bpe_round_trip,
+                                   op5_simhash, op6_pseudonyms)}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_host_rules": host_rules.ORACLE_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
