@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ledgerline.llm import bpe, decontaminate, host_rules, lang_id, pseudonyms, quality, simhash
+from ledgerline.llm import bpe, decontaminate, host_rules, lang_id, pseudonyms, quality, secrets, simhash
 from ledgerline.llm.common import table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -44,8 +44,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.query(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_host_rules, op4_bpe_round_trip,
-                                   op5_simhash, op6_pseudonyms, op9_quality)}
+                                   op5_simhash, op6_pseudonyms, op9_quality, op10_secrets)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {"op3_host_rules": host_rules.ORACLE_SQL}
 if corpus_pipeline.ORACLE_SQL:
