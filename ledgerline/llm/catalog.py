@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ledgerline.llm import bpe, decontaminate, host_rules, html_text, lang_id, pseudonyms, quality, secrets, simhash
+from ledgerline.llm import bpe, decontaminate, host_rules, html_text, lang_id, pseudonyms, quality, quotes, secrets, simhash
 from ledgerline.llm.common import table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -44,6 +44,10 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.query(table(spark, sf_dir, "pages"))
 
 
+def op8_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.query(table(spark, sf_dir, "conversations"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,8 +57,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_host_rules, op4_bpe_round_trip,
-                                   op5_simhash, op6_pseudonyms, op7_main_text, op9_quality, op10_secrets)}
+                                   op5_simhash, op6_pseudonyms, op7_main_text, op8_quotations, op9_quality, op10_secrets)}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {"op3_host_rules": host_rules.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op3_host_rules": host_rules.ORACLE_SQL, "op8_quotations": quotes.ORACLE_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
