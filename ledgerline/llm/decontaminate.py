@@ -89,7 +89,7 @@ class Template:
         for i in range(n):
             h = h * np.uint64(0x2545F4914F6CDD1D) + self.hash[i:i + k]
         literal = np.concatenate([[0], np.cumsum(self.kind == LITERAL)])
-        usable = (self.text[n - 1:] == self.text[:k]) & (literal[n:] - literal[:k] >= min(n, MIN_LITERALS))
+        usable = (self.text[n - 1:] == self.text[:k]) & (literal[n:] - literal[:k] >= MIN_LITERALS)
         at = np.flatnonzero(usable)
         return at, mix(h[at])
 
