@@ -26,6 +26,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, islice
+from operator import itemgetter
 
 import pandas as pd
 import regex
@@ -41,12 +42,13 @@ CACHE_KEY = 64               # longest pre-token that is kept
 
 
 
-@lru_cache(maxsize=1)
-def pretoken_pattern() -> re.Pattern:
-    """The pre-token pattern of byte-level BPE vocabularies.  The standard library's
-    matcher is several times faster than ``regex`` but lacks Unicode properties, so
-    the ranges of letters, numbers and white space are taken from ``regex`` here."""
-    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+@lru_cache(maxsize=2)
+def pretoken_pattern(limit: int) -> re.Pattern:
+    """The pre-token pattern of byte-level BPE vocabularies, for texts of code points below
+    ``limit``.  The standard library's matcher is several times faster than ``regex`` but
+    lacks Unicode properties, so the ranges of letters, numbers and white space are taken
+    from ``regex``; sets within the basic plane compile to a table, wider ones to a list."""
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, limit))))
 
     def ranges(name: str) -> str:
         runs = regex.findall(rf"\p{{{name}}}+", every)
@@ -59,6 +61,15 @@ def pretoken_pattern() -> re.Pattern:
                       f"|[{space}]+(?![^{space}])|[{space}]+")
 
 
+BASIC_PLANE = 0x10000
+_BEYOND = re.compile(r"[^\u0000-\uffff]")
+
+
+def pretokens(text: str) -> re.Pattern:
+    """The fastest pattern that is right for the text."""
+    return pretoken_pattern(0x110000 if _BEYOND.search(text) else BASIC_PLANE)
+
+
 @lru_cache(maxsize=1)
 def byte_chars() -> list[str]:
     """The character that stands for each byte in byte-level vocabularies: printable
@@ -82,9 +93,8 @@ class ByteBpe(dict):
         self.made = [vocab[a + b] for a, b in pairs]
         self.byte_id = [vocab[c] for c in byte_chars()]
         self.special = {t["content"]: t["id"] for t in j["added_tokens"]}
-        self.strings = {i: s for s, i in vocab.items()} | {i: s for s, i in self.special.items()}
-        self.to_byte = {ord(c): b for b, c in enumerate(byte_chars())}
-        self.pretoken = pretoken_pattern()
+        to_byte = {c: b for b, c in enumerate(byte_chars())}
+        self.strings = {i: bytes(map(to_byte.__getitem__, s)) for s, i in (vocab | self.special).items()}
         longest = sorted(self.special, key=len, reverse=True)
         self.split = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
 
@@ -140,9 +150,9 @@ class ByteBpe(dict):
             if part in self.special:
                 yield [((self.special[part],), str(self.special[part]))]
             elif len(part) <= BLOCK:
-                yield list(map(self.__getitem__, self.pretoken.findall(part)))
+                yield list(map(self.__getitem__, pretokens(part).findall(part)))
             else:
-                words = (m.group() for m in self.pretoken.finditer(part))
+                words = (m.group() for m in pretokens(part).finditer(part))
                 while block := list(map(self.__getitem__, islice(words, BLOCK))):
                     yield block
 
@@ -150,8 +160,8 @@ class ByteBpe(dict):
         return [i for block in self.blocks(text or "") for ids, _ in block for i in ids]
 
     def decode_bytes(self, ids: list[int]) -> bytes:
-        """Bytes of concatenated vocabulary strings."""
-        return "".join(map(self.strings.__getitem__, ids)).translate(self.to_byte).encode("latin-1")
+        """Concatenated vocabulary strings, which are kept as the bytes they stand for."""
+        return b"".join(map(self.strings.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         return self.decode_bytes(ids).decode("utf-8", "replace")
@@ -162,8 +172,8 @@ class ByteBpe(dict):
         for block in self.blocks(text or ""):
             if not block:
                 continue
-            ids = [i for e in block for i in e[0]]
-            of_ids.update(((n > 0) * "," + ",".join([e[1] for e in block])).encode())
+            ids = list(chain.from_iterable(map(itemgetter(0), block)))
+            of_ids.update(((n > 0) * "," + ",".join(map(itemgetter(1), block))).encode())
             of_text.update(self.decode_bytes(ids))
             n += len(ids)
         return n, of_ids.hexdigest(), of_text.hexdigest()
