@@ -1,7 +1,9 @@
 """Host-level quality rules, with DataFrame functions only.
 
 Every document is held against document rules (below).  Failures are added up by host, each
-host's failure rate is shrunk with a beta prior fitted to all hosts by moments, and a host
+host's failure rate is shrunk with a beta prior fitted to all hosts by the moments of the
+beta-binomial distribution (so the scatter of small hosts is not taken for difference
+between hosts), and a host
 whose shrunk rate is over HOST_LIMIT is a bad host.  The verdict goes back to its documents:
 on a bad host a document must pass every rule, elsewhere only the two base rules.  So a
 clean document is kept wherever it stands.
@@ -18,8 +20,8 @@ hashes have 64 bits; two different windows of one text share one with probabilit
 
 Cases: null text counts as empty (no words, base_failed); a null host is no host: only the
 base rules count; repeated rows count repeatedly; ties in sorting only concern equal hashes;
-an empty table gives an empty result; with one host, or equal rates, the prior is as strong
-as PRIOR_LIMIT documents; extra columns are ignored.
+an empty table gives an empty result; the prior is worth 1 to PRIOR_LIMIT documents, the
+latter with one host or equal rates; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -83,10 +85,11 @@ def bad_hosts(rows: DataFrame) -> DataFrame:
     """host, shrunk_rate of the hosts whose shrunk failure rate is over HOST_LIMIT."""
     hosts = rows.where("host is not null").groupBy("host").agg(
         F.count("*").alias("n"), F.sum(F.col("rule_failed").cast("long")).alias("failed"))
-    rate = F.col("failed") / F.col("n")
-    m, v = hosts.agg(F.avg(rate), F.var_pop(rate)).first()        # one row, whatever the hosts
-    m = 0.0 if m is None else m
-    strength = min(PRIOR_LIMIT, max(1.0, m * (1 - m) / v - 1)) if v else PRIOR_LIMIT
+    k, n, failed, square = hosts.agg(F.count("*"), F.sum("n"), F.sum("failed"),
+                                     F.sum(F.col("failed") * F.col("failed") / F.col("n"))).first()   # one row
+    m = failed / n if n else 0.0
+    rho = ((square - n * m * m) / (m * (1 - m)) - k) / (n - k) if 0 < m < 1 and n > k else 0.0
+    strength = min(PRIOR_LIMIT, max(1.0, 1 / rho - 1)) if rho > 0 else PRIOR_LIMIT
     shrunk = (F.col("failed") + F.lit(m * strength)) / (F.col("n") + F.lit(strength))
     return hosts.select("host", shrunk.alias("shrunk_rate")).where(F.col("shrunk_rate") > HOST_LIMIT)
 
@@ -134,10 +137,13 @@ WITH t AS (
 ), hosts AS (
   SELECT host, count(*) AS n, sum(CASE WHEN base_failed OR other_failed THEN 1 ELSE 0 END) AS failed
   FROM j WHERE host IS NOT NULL GROUP BY host
+), moments AS (
+  SELECT count(*) AS k, sum(n) AS n, sum(failed) / sum(n) AS m, sum(failed * failed / n) AS square FROM hosts
 ), prior AS (
-  SELECT avg(failed / n) AS m, var_pop(failed / n) AS v FROM hosts
+  SELECT m, CASE WHEN m > 0 AND m < 1 AND n > k THEN ((square - n * m * m) / (m * (1 - m)) - k) / (n - k) ELSE 0.0 END AS rho
+  FROM moments
 ), strength AS (
-  SELECT m, CASE WHEN v > 0 THEN least({PRIOR_LIMIT}, greatest(1.0, m * (1 - m) / v - 1)) ELSE {PRIOR_LIMIT} END AS s FROM prior
+  SELECT m, CASE WHEN rho > 0 THEN least({PRIOR_LIMIT}, greatest(1.0, 1 / rho - 1)) ELSE {PRIOR_LIMIT} END AS s FROM prior
 ), bad AS (
   SELECT host FROM hosts, strength WHERE (failed + m * s) / (n + s) > {HOST_LIMIT}
 )

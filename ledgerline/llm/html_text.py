@@ -294,11 +294,11 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> Labeller:
     key = F.xxhash64("html")
     got = rows.where(F.pmod(key, F.lit(_BINS)) < share).select(key.alias("h"), "html").distinct().limit(4 * sample).collect()
     rng = np.random.default_rng(SEED)
-    made = [varied(blocks(r["html"]), rng) for r in sorted(got, key=lambda r: r["h"])[:sample]]
-    made = [(b, y) for b, y in made if b]
+    found = [b for r in sorted(got, key=lambda r: r["h"])[:sample] if (b := blocks(r["html"]))]
+    made = [varied(found[i % len(found)], rng) for i in range(sample if found else 0)]      # few pages are varied often
     out = Labeller()
-    if made:
-        out.fit(made * max(1, min(8, 200 // len(made))))
+    if found:
+        out.fit(made)
     return out
 
 
