@@ -3,21 +3,16 @@ from ledgerline.functions.scalars import (
     authority_level,
     bucket_start,
     channel_subject,
-    date_label,
-    day_bounds,
     epoch_seconds,
     flag_u8,
-    hour_start,
     key_from_long,
-    minute_start,
     narrow_u32,
     start_slot,
     strip_repeated_suffix,
-    to_mb,
 )
 
 __all__ = [
-    "authority_level", "b58encode", "base58", "bucket_start", "channel_subject", "date_label", "day_bounds",
-    "encode_many", "epoch_seconds", "flag_u8", "hour_start", "key_from_long", "minute_start", "narrow_u32",
-    "start_slot", "strip_repeated_suffix", "to_mb",
+    "authority_level", "b58encode", "base58", "bucket_start", "channel_subject",
+    "encode_many", "epoch_seconds", "flag_u8", "key_from_long", "narrow_u32",
+    "start_slot", "strip_repeated_suffix",
 ]

@@ -37,29 +37,10 @@ def bucket_start(epoch, seconds: int) -> Column:
     return (e - F.pmod(e, F.lit(seconds))).cast("bigint")
 
 
-def hour_start(epoch) -> Column:
-    return bucket_start(epoch, 3600)
-
-
-def minute_start(epoch) -> Column:
-    return bucket_start(epoch, 60)
-
-
-def day_bounds(date_str: str) -> tuple[Column, Column]:
-    """``[midnight, midnight + 86400)`` of a UTC date, as epoch seconds."""
-    lo = F.unix_seconds(F.to_timestamp(F.lit(date_str)))
-    return lo, lo + F.lit(86400)
-
-
 def epoch_to_date(epoch) -> Column:
     return F.to_date(F.timestamp_seconds(_c(epoch)))
 
 
-def date_label(col) -> Column:
-    """``yyyy-MM-dd`` as used in daily file names."""
-    return F.date_format(_c(col), "yyyy-MM-dd")
-
-
 def strip_repeated_suffix(col, suffix: str) -> Column:
     """``a.meta.meta`` -> ``a``: remove the suffix as often as it ends the name."""
     return F.regexp_replace(_c(col), "(" + suffix.replace(".", "\\.") + ")+$", "")
@@ -101,10 +82,6 @@ def channel_subject(channel, authority) -> Column:
     return F.concat(channel_stream(channel), F.lit(SUBJECT_LEVEL), _c(authority).cast("string"))
 
 
-def to_mb(bytes_col) -> Column:
-    return _c(bytes_col).cast("double") / F.lit(MB)
-
-
 def key_from_long(col, width: int = 32) -> Column:
     """Big-endian ``width``-byte key holding a non-negative BIGINT (stand-in keys):
     a constant zero prefix and the 8 value bytes."""

@@ -71,7 +71,8 @@ def subscribe(routed: DataFrame, subscriptions: DataFrame) -> DataFrame:
 
 def sequence(env: DataFrame, order=("ts", "uuid"), skew_safe: bool = True) -> DataFrame:
     """1-based sequence number per channel in (ts, uuid) order.  One channel
-    may hold most messages, so the default is the range-partitioned scan."""
+    may hold most messages, so the default is the range-partitioned scan; pass
+    the narrow columns (channel, order, id), not the payloads."""
     if skew_safe:
         return segmented_scan(env, ["channel"], list(order), rownum="seq")
     return env.withColumn("seq", F.row_number().over(Window.partitionBy("channel").orderBy(*order)))
@@ -96,9 +97,6 @@ def retain(env: DataFrame, as_of: str, ttl_seconds: int = DEFAULT_TTL_SECONDS,
             running = F.sum(size_col).over(newest_first.rowsBetween(Window.unboundedPreceding, 0))
             kept = kept.withColumn("_bytes", running)
         else:
-            neg = kept.withColumn("_o1", -F.unix_micros(F.col("ts").cast("timestamp"))) \
-                .withColumn("_o2", F.col(order[1]))
-            kept = segmented_scan(neg, ["channel"], ["_o1", "_o2"], cumsums={"_bytes": size_col}) \
-                .drop("_o1", "_o2")
+            kept = segmented_scan(kept, ["channel"], [F.col(c).desc() for c in order], cumsums={"_bytes": size_col})
         kept = kept.where(F.col("_bytes") <= max_bytes).drop("_bytes")
     return kept

@@ -1,10 +1,7 @@
 """Key dictionary (F1): base58 text of the distinct binary keys of a table.
 
 Encoding is a numpy-vectorized Arrow UDF; applying it to
-the distinct keys only pays off when keys repeat a lot (mints, pools).  The
-join back is left to the planner: AQE turns it into a broadcast join when the
-dictionary's runtime size is under the broadcast threshold and keeps a
-shuffle join otherwise, so no size is assumed up front.
+the distinct keys only pays off when keys repeat a lot (mints, pools).
 """
 
 from __future__ import annotations
@@ -23,8 +20,3 @@ def address_dictionary(df: DataFrame, key_cols: list[str]) -> DataFrame:
     keys = reduce(DataFrame.unionByName, parts).where(F.col("key").isNotNull()).distinct()
     return keys.withColumn("address", base58("key"))
 
-
-def with_addresses(df: DataFrame, key_col: str, dictionary: DataFrame, out_col: str | None = None) -> DataFrame:
-    """Replace a binary key column by its dictionary address."""
-    d = dictionary.select(F.col("key").alias(key_col), F.col("address").alias(out_col or key_col + "_b58"))
-    return df.join(d, key_col, "left")

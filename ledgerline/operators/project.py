@@ -28,9 +28,9 @@ def _source(src: str, field: str, event: str, partner: str) -> Column:
     return F.col(f"{partner}.{field}")
 
 
-def _convert(c: Column, conv: str, out_type) -> Column:
+def _convert(c: Column, conv: str, out_type, encode: bool = True) -> Column:
     if conv == "key":
-        return base58(c)
+        return base58(c) if encode else c.cast("binary")
     if conv == "u32":
         return narrow_u32(c)
     if conv == "u8":
@@ -38,10 +38,11 @@ def _convert(c: Column, conv: str, out_type) -> Column:
     return c.cast(out_type)
 
 
-def column_exprs(spec: TableSpec, event: str = "event", partner: str = "partner") -> list[Column]:
+def column_exprs(spec: TableSpec, event: str = "event", partner: str = "partner", encode: bool = True) -> list[Column]:
+    """Columns of one table; ``encode=False`` leaves its keys binary."""
     schema = spec.schema
     return [
-        _convert(_source(src, field, event, partner), conv, schema[name].dataType).alias(name)
+        _convert(_source(src, field, event, partner), conv, schema[name].dataType, encode).alias(name)
         for name, src, field, conv in spec.columns
     ]
 
@@ -69,12 +70,6 @@ def project_tx(tx: DataFrame, kind: str) -> DataFrame:
     return project(pair_fold(tx, fields=fields_of(kind)), kind)
 
 
-def project_all(paired: DataFrame) -> dict[str, DataFrame]:
-    """All 8 tables.  Persist ``paired`` (or pass a written table) when all 8 are
-    materialized, or the input is scanned once per table."""
-    return {t.name: project(paired, t.name) for t in TABLES}
-
-
 def classify_pairs(paired: DataFrame) -> DataFrame:
     """Adds ``event_table`` (short name) and ``valid`` (P10) to paired rows."""
     return paired.withColumn("event_table", target_table(F.col("event.type"))) \
@@ -84,16 +79,25 @@ def classify_pairs(paired: DataFrame) -> DataFrame:
 def table_rows(paired: DataFrame) -> DataFrame:
     """All 8 tables' rows in one codegen'd projection: per valid pair its
     ``event_table`` and one struct column per kind (non-null only for its own
-    kind).  Persisting this keeps about the output's size, not the instruction
-    structs; ``rows_of(kind)`` then selects one table."""
+    kind), keys still binary.  Persisting this keeps about the output's size,
+    not the instruction structs; ``rows_of(kind)`` then selects one table and
+    encodes the keys of its rows alone."""
     valid = classify_pairs(paired).where("valid")
     return valid.select("event_table", *[
-        F.when(F.col("event_table") == F.lit(t.name), F.struct(*column_exprs(t))).alias(f"_t_{t.name}")
+        F.when(F.col("event_table") == F.lit(t.name), F.struct(*column_exprs(t, encode=False))).alias(f"_t_{t.name}")
         for t in TABLES])
 
 
-def rows_of(rows: DataFrame, kind: str) -> DataFrame:
-    return rows.where(F.col("event_table") == F.lit(kind)).select(f"_t_{kind}.*")
+def common_field(name: str) -> Column:
+    """A column that all 8 tables have, from whichever struct of ``table_rows`` is filled."""
+    return F.coalesce(*[F.col(f"_t_{t.name}.{name}") for t in TABLES])
+
+
+def rows_of(rows: DataFrame, kind: str, keep=()) -> DataFrame:
+    """One table of ``table_rows`` (and the columns ``keep``), keys encoded."""
+    own = F.col(f"_t_{kind}")
+    return rows.where(F.col("event_table") == F.lit(kind)).select(*[
+        (base58(own[name]) if conv == "key" else own[name]).alias(name) for name, _, _, conv in table_spec(kind).columns], *keep)
 
 
 def event_counts(paired: DataFrame) -> DataFrame:
@@ -186,9 +190,9 @@ def bundle_total() -> Column:
     return sum((F.size(t.name) for t in TABLES[1:]), F.size(TABLES[0].name)).cast("bigint")
 
 
-def bundle_sizes(bundles: DataFrame, tx_keys: list[str]) -> DataFrame:
+def bundle_sizes(bundles: DataFrame, tx_keys: list[str], keep=()) -> DataFrame:
     cols = [F.size(t.name).cast("bigint").alias(f"n_{t.name}") for t in TABLES]
-    return bundles.select(*tx_keys, *cols, bundle_total().alias("n_events"))
+    return bundles.select(*tx_keys, *cols, bundle_total().alias("n_events"), *keep)
 
 
 def bundle_json(bundles: DataFrame) -> Column:

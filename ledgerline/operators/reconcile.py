@@ -24,10 +24,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.scalars import bucket_start
+from ledgerline.functions.scalars import bucket_start, epoch_to_date
+from ledgerline.sources.transfer import DAY, append_rows, in_time_range
 
 KEY = ("signature", "instruction_index")
 TS = "timestamp"
+MAX_BROADCAST = 100_000      # hours or minutes, 8 bytes each
 
 
 def time_window(as_of: str, lag_hours: int = 2, check_days: int = 7) -> tuple[int, int]:
@@ -40,20 +42,11 @@ def time_window(as_of: str, lag_hours: int = 2, check_days: int = 7) -> tuple[in
     return end - check_days * 86400, end
 
 
-def _in_range(start: int | None, end: int | None, ts: str = TS) -> Column:
-    cond = F.lit(True)
-    if start is not None:
-        cond = cond & (F.col(ts) >= F.lit(start))
-    if end is not None:
-        cond = cond & (F.col(ts) < F.lit(end))
-    return cond
-
-
 def distinct_per_bucket(df: DataFrame, seconds: int, start: int | None = None, end: int | None = None,
                         key=KEY, ts: str = TS, bucket: str = "bucket") -> DataFrame:
     """A1/A2: exact distinct key tuples per bucket of ``seconds``.  The key is
     counted as a struct, so NULL members still count (as ``uniqExact(tuple)``)."""
-    rows = df.where(_in_range(start, end, ts)).select(
+    rows = in_time_range(df, start, end, ts).select(
         bucket_start(F.col(ts), seconds).alias(bucket), F.struct(*key).alias("_k"))
     return rows.groupBy(bucket).agg(F.count_distinct("_k").cast("bigint").alias("unique_count"))
 
@@ -97,14 +90,17 @@ def hour_span(start: int, end: int) -> tuple[int, int]:
 
 
 def _in_hours(df: DataFrame, hours: DataFrame, ts: str, bound: int, span: tuple[int, int] | None) -> DataFrame:
-    """Rows whose whole hour differs.  ``hours`` has at most ``bound`` rows
-    (one per hour of the checked range), so it is broadcast.  The literal hour
-    span is added as well so the scan prunes row groups / partitions."""
-    assert bound < 1_000_000, "hour list must stay small enough to broadcast"
+    """Rows whose whole hour differs.  With a ``span`` the hour list is cut
+    to it and has at most ``bound`` rows; up to MAX_BROADCAST of them are
+    broadcast, more are left to the planner.  The literal span also lets the
+    scan skip days and row groups."""
+    keys = hours.select(F.col("hour").alias("_hour"))
     if span is not None:
-        df = df.where(_in_range(span[0], span[1], ts))
+        df = in_time_range(df, span[0], span[1], ts)
+        keys = keys.where((F.col("_hour") >= span[0]) & (F.col("_hour") < span[1]))
+        keys = F.broadcast(keys) if bound <= MAX_BROADCAST else keys
     tagged = df.withColumn("_hour", bucket_start(F.col(ts), 3600))
-    return tagged.join(F.broadcast(hours.select(F.col("hour").alias("_hour"))), "_hour", "left_semi").drop("_hour")
+    return tagged.join(keys, "_hour", "left_semi").drop("_hour")
 
 
 def reconcile_minutes(local: DataFrame, remote: DataFrame, start: int, end: int, key=KEY, ts=TS,
@@ -119,13 +115,13 @@ def reconcile_minutes(local: DataFrame, remote: DataFrame, start: int, end: int,
 
 def _in_minutes(df: DataFrame, minutes: DataFrame, ts: str, span: tuple[int, int] | None = None) -> DataFrame:
     """Rows of the differing minutes.  With a ``span`` the minute list is
-    cut to it, so it holds at most ``(hi - lo) / 60`` rows and is broadcast;
-    without one the join strategy is left to AQE's runtime size check."""
+    cut to it, so it holds at most ``(hi - lo) / 60`` rows; up to MAX_BROADCAST
+    of them are broadcast.  Otherwise the join is left to the planner."""
     keys = minutes.select(F.col("minute").alias("_minute"))
     if span is not None:
-        df = df.where(_in_range(span[0], span[1], ts))
-        assert (span[1] - span[0]) // 60 < 10_000_000, "minute list must stay small enough to broadcast"
-        keys = F.broadcast(keys.where((F.col("_minute") >= span[0]) & (F.col("_minute") < span[1])))
+        df = in_time_range(df, span[0], span[1], ts)
+        keys = keys.where((F.col("_minute") >= span[0]) & (F.col("_minute") < span[1]))
+        keys = F.broadcast(keys) if (span[1] - span[0]) // 60 <= MAX_BROADCAST else keys
     tagged = df.withColumn("_minute", bucket_start(F.col(ts), 60))
     return tagged.join(keys, "_minute", "left_semi").drop("_minute")
 
@@ -169,8 +165,22 @@ def reconcile_summary(table: str, diff_hours: DataFrame, diff_minutes: DataFrame
 
 
 def apply_repair(rows: DataFrame, target_path: str, partition_by: list[str] | None = None) -> None:
-    """Append the repair rows to the remote copy (one distributed write)."""
+    """Append the repair rows to the remote copy in its own layout (one
+    distributed write).  A target laid out by day needs ``partition_by``: files
+    beside its day folders are not read."""
+    if partition_by == [DAY] and DAY not in rows.columns:
+        rows = rows.withColumn(DAY, epoch_to_date(F.col(TS)))
+    if partition_by == [DAY]:
+        append_rows(rows, target_path, dedupe=False)
+        return
     w = rows.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target_path)
+
+
+def still_missing(local: DataFrame, remote: DataFrame, diff_minutes: DataFrame, key=KEY, ts=TS,
+                  span: tuple[int, int] | None = None) -> DataFrame:
+    """Local keys of the differing minutes that the remote copy lacks."""
+    mine = _in_minutes(local, diff_minutes, ts, span).select(*key).distinct()
+    return mine.join(_in_minutes(remote, diff_minutes, ts, span).select(*key), list(key), "left_anti")

@@ -2,216 +2,73 @@
 
 ``Window.partitionBy(key)`` sends every row of a key to one task; a key that
 holds a third of the data then becomes one straggler task.  ``segmented_scan``
-computes the same running values without that:
+computes the same running values with windows over segments of a key:
 
 1. ``repartitionByRange`` on ``(keys, order)`` -- the range sampler splits a
-   hot key over many partitions -- then ``sortWithinPartitions``; the result is
-   persisted, so both passes below read one materialization.  The range
-   bounds live in the shuffle dependency, so a lost block is recomputed into
-   the same partition (``durable=True`` takes a reliable checkpoint instead,
-   cutting the lineage at the cost of writing the data once);
-2. pass 1 (``mapInPandas``) emits one summary row per partition: first/last
-   key, running totals of the last key, last value for lags;
-3. carries for the first key of each partition are derived from the summary
-   (at most one row per partition, so its broadcast is bounded by the
-   partition count, not by the data);
-4. pass 2 (``mapInPandas``) computes the local running values per partition
-   and adds the carry to the rows of the partition's first key.
-
-Only keys that straddle partitions need carries; everything else is local.
+   hot key over many partitions -- and the partition number is kept with the
+   rows, which are written to the shared folder (range bounds are sampled, so
+   they must not be drawn anew when a lost executor's work is repeated);
+2. built-in windows by (partition number, keys): no window is larger than a
+   range partition;
+3. one total per (partition number, keys); only keys that go on from an earlier
+   partition need a carry, at most one for each partition, so the broadcast
+   of the carries is bounded by the partition count, not by the data.
+
+Everything is built-in and exact: sums have Spark's sum types.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerline.session import checkpoint_root
+from ledgerline.session import scratch_dir
 
 _PID = "_scan_pid"
 
 
-def _key_change(keys: pd.DataFrame, prev_key: tuple | None) -> np.ndarray:
-    """Boolean array: row starts a new key group (relative to ``prev_key`` for row 0)."""
-    n = len(keys)
-    change = np.zeros(n, dtype=bool)
-    if n == 0:
-        return change
-    for c in keys.columns:
-        v = keys[c]
-        change[1:] |= ~_eq(v.iloc[1:].to_numpy(), v.iloc[:-1].to_numpy())
-    if prev_key is None:
-        change[0] = True
-    else:
-        first = tuple(keys.iloc[0])
-        change[0] = not all(_eq_scalar(a, b) for a, b in zip(first, prev_key))
-    return change
-
-
-def _eq(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    eq = a == b
-    both_null = pd.isna(a) & pd.isna(b)
-    return np.asarray(eq | both_null, dtype=bool)
-
-
-def _eq_scalar(a, b) -> bool:
-    if pd.isna(a) and pd.isna(b):
-        return True
-    return a == b
-
-
-def _local_scan(pdf: pd.DataFrame, keys, cumsums, rownum, lags, state):
-    """Running values within key groups of one sorted batch; ``state`` carries
-    the open group across batches of the same partition."""
-    change = _key_change(pdf[keys], state.get("key"))
-    gid = np.cumsum(change)
-    continues = len(pdf) > 0 and not change[0]
-    out = {}
-    for name, src in cumsums.items():
-        vals = pdf[src].fillna(0).to_numpy()
-        cs = pd.Series(vals).groupby(gid).cumsum().to_numpy()
-        if continues:
-            cs = cs.astype(np.result_type(cs, type(state["cs"][name])))
-            cs[gid == gid[0]] += state["cs"][name]
-        out[name] = cs
-    if rownum:
-        ones = np.ones(len(pdf), dtype=np.int64)
-        rn = pd.Series(ones).groupby(gid).cumsum().to_numpy()
-        if continues:
-            rn[gid == gid[0]] += state["rn"]
-        out[rownum] = rn
-    for name, src in lags.items():
-        s = pdf[src].reset_index(drop=True)
-        lagged = s.shift(1).astype(object)
-        lagged[change] = None
-        if continues:
-            lagged.iloc[0] = state["lag"][name]
-        out[name] = lagged
-    if len(pdf):
-        state["key"] = tuple(pdf[keys].iloc[-1])
-        state["cs"] = {n: out[n][-1] for n in cumsums}
-        state["rn"] = int(out[rownum][-1]) if rownum else 0
-        state["lag"] = {n: pdf[src].iloc[-1] for n, src in lags.items()}
-    return out
-
-
-def segmented_scan(df: DataFrame, keys: list[str], order: list[str], *,
+def segmented_scan(df: DataFrame, keys: list[str], order: list[str | Column], *,
                    cumsums: dict[str, str] | None = None, rownum: str | None = None,
-                   lags: dict[str, str] | None = None, num_partitions: int | None = None,
-                   durable: bool = False) -> DataFrame:
+                   lags: dict[str, str] | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add running columns per key group ordered by ``order``.
 
-    ``cumsums``: ``{out: src}`` inclusive running sum of ``src``;
+    ``cumsums``: ``{out: src}`` inclusive running sum of ``src`` (nulls count 0);
     ``rownum``: 1-based row number; ``lags``: ``{out: src}`` previous row's ``src``.
-    ``order`` must make the order total (ties are broken arbitrarily otherwise).
+    ``order``: column names or sort expressions that make the order total (ties
+    are broken arbitrarily otherwise).  Select narrow columns first: all columns
+    of ``df`` are shuffled twice.
     """
-    cumsums = cumsums or {}
-    lags = lags or {}
+    cumsums, lags = cumsums or {}, lags or {}
     spark = df.sparkSession
-    checkpoint_root(spark)
+    by = [F.col(o) if isinstance(o, str) else o for o in order]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys, *order)
-              .sortWithinPartitions(*keys, *order)
-              .withColumn(_PID, F.spark_partition_id()))
-    ranged = ranged.checkpoint(eager=True) if durable else ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    fields = {f.name: f.dataType for f in ranged.schema.fields}
-
-    def cs_type(src):
-        dt = fields[src]
-        return T.DoubleType() if isinstance(dt, (T.FloatType, T.DoubleType)) else T.LongType()
-
-    # ---- pass 1: one summary row per partition --------------------------------------------
-    summ_fields = [T.StructField(_PID, T.IntegerType())]
-    summ_fields += [T.StructField(f"_f_{k}", fields[k]) for k in keys]
-    summ_fields += [T.StructField(f"_l_{k}", fields[k]) for k in keys]
-    summ_fields += [T.StructField(f"_cs_{n_}", cs_type(s)) for n_, s in cumsums.items()]
-    if rownum:
-        summ_fields.append(T.StructField("_rn", T.LongType()))
-    summ_fields += [T.StructField(f"_lag_{n_}", fields[s]) for n_, s in lags.items()]
-    summ_schema = T.StructType(summ_fields)
-    summary_cols = [_PID] + keys + sorted(set(cumsums.values()) | set(lags.values()))
-
-    def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: dict = {}
-        first_key = None
-        pid = None
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            if first_key is None:
-                first_key = tuple(pdf[keys].iloc[0])
-                pid = int(pdf[_PID].iloc[0])
-            _local_scan(pdf, keys, cumsums, rownum, lags, state)
-        if first_key is None:
-            return
-        row = {_PID: pid}
-        row.update({f"_f_{k}": v for k, v in zip(keys, first_key)})
-        row.update({f"_l_{k}": v for k, v in zip(keys, state["key"])})
-        row.update({f"_cs_{n_}": state["cs"][n_] for n_ in cumsums})
-        if rownum:
-            row["_rn"] = state["rn"]
-        row.update({f"_lag_{n_}": state["lag"][n_] for n_ in lags})
-        yield pd.DataFrame([row])
-
-    summary = ranged.select(*summary_cols).mapInPandas(summarize, summ_schema)
-
-    # ---- carries: bounded by the number of partitions ---------------------------------------
-    by_last = Window.partitionBy(*[f"_l_{k}" for k in keys]).orderBy(_PID) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    chained = summary
-    for n_ in cumsums:
-        chained = chained.withColumn(f"_run_{n_}", F.sum(f"_cs_{n_}").over(by_last))
+    path = f"{scratch_dir(spark, 'scan')}/{uuid.uuid4().hex}"
+    ranged = df.repartitionByRange(n, *keys, *by).withColumn(_PID, F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+
+    local = Window.partitionBy(_PID, *keys).orderBy(*by)
+    upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = {f"_s_{out}": F.coalesce(F.sum(src).over(upto), F.lit(0)) for out, src in cumsums.items()}
+    prev = {f"_l_{out}": F.lag(src).over(local) for out, src in lags.items()}
+    scanned = ranged.withColumns({"_n": F.row_number().over(local).cast("bigint"), **sums, **prev})
+
+    totals = scanned.groupBy(_PID, *keys).agg(
+        F.max("_n").alias("_tn"), *[F.max_by(f"_s_{o}", "_n").alias(f"_ts_{o}") for o in cumsums],
+        *[F.max_by(s, "_n").alias(f"_tl_{o}") for o, s in lags.items()])
+    over = Window.partitionBy(*keys).orderBy(_PID)
+    earlier = over.rowsBetween(Window.unboundedPreceding, -1)
+    carries = totals.select(
+        F.col(_PID).alias("_cp"), *[F.col(k).alias(f"_ck_{k}") for k in keys], F.sum("_tn").over(earlier).alias("_cn"),
+        *[F.sum(f"_ts_{o}").over(earlier).alias(f"_cs_{o}") for o in cumsums],
+        *[F.lag(f"_tl_{o}").over(over).alias(f"_cl_{o}") for o in lags]).where("_cn is not null")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_ck_{k}")) for k in keys], F.col(_PID) == F.col("_cp"))
+    out = scanned.join(F.broadcast(carries), same, "left")
+    added = [(F.col(f"_s_{o}") + F.coalesce(f"_cs_{o}", F.lit(0))).alias(o) for o in cumsums]
     if rownum:
-        chained = chained.withColumn("_run_rn", F.sum("_rn").over(by_last))
-    all_pids = Window.orderBy(_PID)
-    prev = chained
-    prev_cols = [f"_l_{k}" for k in keys] + [f"_run_{n_}" for n_ in cumsums] + \
-        (["_run_rn"] if rownum else []) + [f"_lag_{n_}" for n_ in lags]
-    for c in prev_cols:
-        prev = prev.withColumn(f"_p{c}", F.lag(c).over(all_pids))
-    # the previous non-empty partition ends with this partition's first key
-    cont = F.row_number().over(all_pids) > 1
-    for k in keys:
-        cont = cont & F.col(f"_p_l_{k}").eqNullSafe(F.col(f"_f_{k}"))
-    carry_cols = [F.col(_PID)]
-    carry_cols += [F.col(f"_p_run_{n_}").alias(f"_c_{n_}") for n_ in cumsums]
-    if rownum:
-        carry_cols.append(F.col("_p_run_rn").alias("_c_rn"))
-    carry_cols += [F.col(f"_p_lag_{n_}").alias(f"_c_{n_}") for n_ in lags]
-    carries = prev.withColumn("_cont", cont).where("_cont").select(*carry_cols, F.lit(True).alias("_cont"))
-
-    # ---- pass 2: local scan + carry for the partition's first key --------------------------
-    joined = ranged.join(F.broadcast(carries), on=_PID, how="left")
-    out_fields = list(ranged.schema.fields)
-    out_fields += [T.StructField(n_, cs_type(s)) for n_, s in cumsums.items()]
-    if rownum:
-        out_fields.append(T.StructField(rownum, T.LongType()))
-    out_fields += [T.StructField(n_, fields[s]) for n_, s in lags.items()]
-    out_schema = T.StructType(out_fields)
-    base_cols = [f.name for f in ranged.schema.fields]
-
-    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: dict = {}
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            if not state:
-                first = pdf.iloc[0]
-                if first["_cont"] is True or first["_cont"] == True:  # noqa: E712
-                    state["key"] = tuple(pdf[keys].iloc[0])
-                    state["cs"] = {n_: (first[f"_c_{n_}"] if pd.notna(first[f"_c_{n_}"]) else 0) for n_ in cumsums}
-                    state["rn"] = int(first["_c_rn"]) if rownum and pd.notna(first["_c_rn"]) else 0
-                    state["lag"] = {n_: first[f"_c_{n_}"] for n_ in lags}
-            vals = _local_scan(pdf, keys, cumsums, rownum, lags, state)
-            res = pdf[base_cols].reset_index(drop=True).copy()
-            for name, v in vals.items():
-                res[name] = v
-            yield res
-
-    return joined.mapInPandas(finish, out_schema).drop(_PID)
+        added.append((F.col("_n") + F.coalesce("_cn", F.lit(0))).cast("bigint").alias(rownum))
+    added += [F.when(F.col("_n") == 1, F.col(f"_cl_{o}")).otherwise(F.col(f"_l_{o}")).alias(o) for o in lags]
+    return out.select(*df.columns, *added)

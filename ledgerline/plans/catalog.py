@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from ledgerline.functions.scalars import epoch_seconds, key_from_long, narrow_u32
 from ledgerline.operators import envelope as V
@@ -17,9 +18,10 @@ from ledgerline.operators import reconcile as R
 from ledgerline.operators import stats as T
 from ledgerline.operators.keys import address_dictionary
 from ledgerline.operators.pairing import explode_instructions, pair_fold, pair_window
-from ledgerline.operators.project import bundle_sizes, classify_pairs, event_bundle_inrow, event_counts, project_tx
+from ledgerline.operators.project import bundle_json, bundle_sizes, classify_pairs, event_bundle_inrow, event_counts, fields_of, project_tx
+from ledgerline.plans import jobs as P
 from ledgerline.plans import standins as S
-from ledgerline.schemas import TABLES
+from ledgerline.schemas import EVENT_STRUCT, TABLES, table_schema
 from ledgerline.session import scratch_dir
 from ledgerline.sources import archive as A
 from ledgerline.sources import transfer as X
@@ -45,19 +47,22 @@ def _with(*ctes: str) -> str:
 
 # ------------------------------------------------------------------ pairing and projections
 CLASSIFY_FIELDS = ([], ["pool"])     # validity needs kinds and accounts presence only
+TYPE_FIELDS = ([], [])               # pairing alone needs the types
+
+
 @register("event_classify", _with(S.SQL_INSTRUCTIONS) + """
-SELECT user_id, chunk, pos AS position, type AS instruction_type, is_ev AS is_event FROM ins""")
+SELECT user_id, pos AS position, type AS instruction_type, is_ev AS is_event FROM ins""")
 def q_event_classify(spark, d):
-    flat = explode_instructions(S.transactions(spark, d))
-    return flat.select("user_id", "chunk", F.col("position").cast("bigint").alias("position"),
+    flat = explode_instructions(S.transactions(spark, d, TYPE_FIELDS))
+    return flat.select("user_id", F.col("position").cast("bigint").alias("position"),
                        F.col("instruction.type").alias("instruction_type"), "is_event")
 
 
 @register("pair_events_fold", _with(S.SQL_INSTRUCTIONS) + """
-SELECT user_id, chunk, position, partner_position, e_type AS event_type, p_type AS partner_type FROM paired""")
+SELECT user_id, position, partner_position, e_type AS event_type, p_type AS partner_type FROM paired""")
 def q_pair_fold(spark, d):
-    p = pair_fold(S.transactions(spark, d))
-    return p.select("user_id", "chunk", "position", "partner_position",
+    p = pair_fold(S.transactions(spark, d, TYPE_FIELDS), fields=TYPE_FIELDS)
+    return p.select("user_id", "position", "partner_position",
                     F.col("event.type").alias("event_type"), F.col("partner.type").alias("partner_type"))
 
 
@@ -90,12 +95,12 @@ def q_pair_window(spark, d):
 
 
 @register("pair_validity", _with(S.SQL_INSTRUCTIONS) + f"""
-SELECT user_id, chunk, position, {S.sql_table_name()} AS event_table, p_kind AS partner_kind,
+SELECT user_id, position, {S.sql_table_name()} AS event_table, p_kind AS partner_kind,
        {S.sql_valid()} AS valid
 FROM paired""")
 def q_pair_validity(spark, d):
-    p = classify_pairs(pair_fold(S.transactions(spark, d), fields=CLASSIFY_FIELDS))
-    return p.select("user_id", "chunk", "position", "event_table", F.col("partner.kind").alias("partner_kind"),
+    p = classify_pairs(pair_fold(S.transactions(spark, d, CLASSIFY_FIELDS), fields=CLASSIFY_FIELDS))
+    return p.select("user_id", "position", "event_table", F.col("partner.kind").alias("partner_kind"),
                     "valid")
 
 
@@ -106,7 +111,7 @@ FROM paired WHERE e_type = '{event_type}' AND {S.sql_valid()}"""
 
     @register(f"project_{kind}", sql)
     def q(spark, d):
-        return project_tx(S.transactions(spark, d), kind)
+        return project_tx(S.transactions(spark, d, fields_of(kind)), kind)
     return q
 
 
@@ -118,15 +123,38 @@ for _t in TABLES:
 SELECT {S.sql_table_name()} AS event_table, CAST(count(*) AS BIGINT) AS row_count
 FROM paired WHERE {S.sql_valid()} GROUP BY 1""")
 def q_event_counts(spark, d):
-    return event_counts(pair_fold(S.transactions(spark, d), fields=CLASSIFY_FIELDS))
+    return event_counts(pair_fold(S.transactions(spark, d, CLASSIFY_FIELDS), fields=CLASSIFY_FIELDS))
+
 
+def _bundle_index(t):
+    """instruction_index list of one bundle array, as text."""
+    return F.array_join(F.transform(t.name, lambda x: x["instruction_index"].cast("string")), ",").alias(f"rows_{t.name}")
 
-@register("event_bundle", _with(S.SQL_INSTRUCTIONS) + "\nSELECT user_id, chunk, " + ", ".join(
-    f"CAST(count(*) FILTER (WHERE e_type = '{t.event_type}') AS BIGINT) AS n_{t.name}" for t in TABLES)
-    + f", CAST(count(*) AS BIGINT) AS n_events FROM paired WHERE {S.sql_valid()} GROUP BY user_id, chunk")
+
+@register("event_bundle", _with(S.SQL_INSTRUCTIONS) + "\nSELECT user_id, " + ", ".join(
+    f"CAST(count(*) FILTER (WHERE e_type = '{t.event_type}') AS BIGINT) AS n_{t.name}, "
+    f"coalesce(string_agg(CAST(position AS VARCHAR), ',' ORDER BY position) FILTER (WHERE e_type = '{t.event_type}'), '') "
+    f"AS rows_{t.name}" for t in TABLES)
+    + f", CAST(count(*) AS BIGINT) AS n_events FROM paired WHERE {S.sql_valid()} GROUP BY user_id")
 def q_event_bundle(spark, d):
-    b = event_bundle_inrow(S.transactions(spark, d), ["user_id", "chunk"])
-    return bundle_sizes(b, ["user_id", "chunk"])
+    """Sizes and instruction indexes of each bundle's 8 arrays."""
+    b = event_bundle_inrow(S.transactions(spark, d), ["user_id"])
+    return bundle_sizes(b, ["user_id"], keep=[_bundle_index(t) for t in TABLES])
+
+
+def _make_bundle_rows(kind: str):
+    @register(f"event_bundle_rows_{kind}", ORACLES[f"project_{kind}"])
+    def q(spark, d):
+        """Every column of a bundle array's rows, through its JSON encoding and back."""
+        b = event_bundle_inrow(S.transactions(spark, d), ["user_id"])
+        kept = b.select(bundle_json(b).alias("payload"))
+        rows = F.from_json("payload", T_.StructType([T_.StructField(kind, T_.ArrayType(table_schema(kind)))]))
+        return kept.select(F.inline(rows[kind]))
+    return q
+
+
+for _kind in ("trade", "amm_buy"):
+    _make_bundle_rows(_kind)
 
 
 _NARROW_RAW = "(l_orderkey * 1000003 + l_partkey) * (CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END)"
@@ -329,12 +357,13 @@ def q_import_idempotent(spark, d):
 @register("import_totals", _with(S.SQL_DAILY_SOURCE, _SQL_SRC_RANGE) + """,
 per_day AS (SELECT CAST(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000) AS DATE) AS event_date, CAST(count(*) AS BIGINT) AS rows
             FROM rng GROUP BY 1)
-SELECT event_date, rows, CAST(sum(rows) OVER (ORDER BY event_date ROWS UNBOUNDED PRECEDING) AS BIGINT)
+SELECT event_date, TRUE AS has_files, rows, CAST(sum(rows) OVER (ORDER BY event_date ROWS UNBOUNDED PRECEDING) AS BIGINT)
        AS running_rows FROM per_day""")
 def q_import_totals(spark, d):
     root = _exported(spark, d)
     back = X.read_daily_folder(spark, f"{root}/events", S.daily_source(spark, d).schema)
-    return X.import_totals(back).drop("files")
+    totals = X.import_totals(back)
+    return totals.select("event_date", (F.col("files") > 0).alias("has_files"), "rows", "running_rows")
 
 
 # ------------------------------------------------------------------ archive pairs, slot index, ledger
@@ -348,10 +377,12 @@ def q_archive_pairs(spark, d):
 
 
 def _ledger(spark, d):
-    """LEDGER as what it is, a text file: the stand-in lines are written in line
-    order (range-partitioned part files) and read back with their order key."""
+    """LEDGER as what it is, text files of several appends: the stand-in lines
+    are dealt to four appends that each hold lines of all times."""
     path = scratch_dir(spark, "ledger")
-    S.ledger_source(spark, d).orderBy("ord").select(F.col("line").alias("value")).write.mode("overwrite").text(path)
+    lines = S.ledger_source(spark, d)
+    for k in range(4):
+        A.append_lines(lines.where(F.col("ord") % 4 == k).select(F.col("line").alias("value")), path)
     return A.read_ledger_lines(spark, path)
 
 
@@ -377,6 +408,16 @@ def q_slot_index_scan(spark, d):
     return A.slot_status(S.slot_entries(spark, d), manifest).select("prefix", "slot", "offset", "size", "status")
 
 
+@register("slot_index_totals", ORACLES["slot_index_scan"].replace("SELECT e.prefix, e.slot", ", st AS (SELECT e.prefix, e.slot")
+          .replace("LEFT JOIN manifest m ON m.prefix = e.prefix", """LEFT JOIN manifest m ON m.prefix = e.prefix)
+SELECT prefix, CAST(count(*) AS BIGINT) AS entries, CAST(count(*) FILTER (WHERE status = 'ok') AS BIGINT) AS readable,
+       CAST(coalesce(sum(size) FILTER (WHERE status = 'ok'), 0) AS BIGINT) AS bytes FROM st GROUP BY prefix"""))
+def q_slot_index_totals(spark, d):
+    """Nested slot indexes expanded; entries, readable entries and bytes per file."""
+    entries = A.expand_slot_index(S.slot_indexes(spark, d))
+    return A.file_totals(A.slot_status(entries, A.archive_pairs(S.archive_listing(spark, d))))
+
+
 @register("ledger_load", _with(S.SQL_LEDGER) + "\nSELECT prefix FROM processed")
 def q_ledger_load(spark, d):
     return A.processed_prefixes(_ledger(spark, d))
@@ -448,7 +489,7 @@ def q_envelope_subscribe(spark, d):
 @register("envelope_sequence", _with(S.SQL_EVENT_ENV) + """
 SELECT channel, uuid, row_number() OVER (PARTITION BY channel ORDER BY ts, uuid) AS seq FROM env""")
 def q_envelope_sequence(spark, d):
-    return V.sequence(S.event_envelopes(spark, d)).select("channel", "uuid", "seq")
+    return V.sequence(S.event_envelopes(spark, d).select("channel", "ts", "uuid")).select("channel", "uuid", "seq")
 
 
 @register("envelope_retention", _with(S.SQL_EVENT_ENV) + f"""
@@ -464,6 +505,14 @@ def q_envelope_retention(spark, d):
     return kept.select("channel", "uuid", "ts", "payload_bytes")
 
 
+@register("envelope_retention_bytes", ORACLES["envelope_retention"].replace(f"rn <= {RETAIN_MSGS} AND ", "")
+          .replace(f"running_bytes <= {RETAIN_BYTES}", f"running_bytes <= {100 * RETAIN_BYTES}"))
+def q_envelope_retention_bytes(spark, d):
+    kept = V.retain(S.event_envelopes(spark, d).select("channel", "uuid", "ts", "payload_bytes"),
+                    RETAIN_AS_OF, RETAIN_TTL, -1, 100 * RETAIN_BYTES)
+    return kept.select("channel", "uuid", "ts", "payload_bytes")
+
+
 @register("ingest_stats", _with(S.SQL_LOGS) + """
 , g AS (SELECT epoch - epoch % 60 AS period_start, count(*) AS n, sum(sig) AS b, sum(bytes) AS byt,
                sum(processing_us) AS pr FROM lg GROUP BY 1)
@@ -502,28 +551,71 @@ def _event_stream(spark, d):
     return J.file_stream(spark, d, schema, glob="events.parquet")
 
 
-def _fanout(spark, d, runs: int, dedupe: bool = False):
-    sink, ckpt = scratch_dir(spark, "fanout"), scratch_dir(spark, "fanout-ckpt")
-    for _ in range(runs):
-        st = _event_stream(spark, d)
-        if dedupe:
-            st = J.dedupe_within(st.withColumn("_ets", F.col("ts").cast("timestamp")), ["event_id"], "_ets",
-                                 "1 hour").drop("_ets")
-        J.run_fanout(st, S.transactions_from, sink, ckpt)
-    return J.sink_counts(spark, sink)
+def _tx_files(spark, d, n: int = 3):
+    """Whole transactions as ``n`` Parquet files, so that a stream of one file a
+    trigger has that many micro-batches and splits no transaction."""
+    path = scratch_dir(spark, "tx-files") + "/tx"
+    S.transactions(spark, d).repartition(n, "user_id").write.option("maxRecordsPerFile", 0).parquet(path)
+    return path
+
+
+def _tx_stream(spark, path):
+    return J.file_stream(spark, path, spark.read.parquet(path).schema, max_files_per_trigger=1)
+
+
+def _same(tx):
+    return tx
+
+
+_SQL_SINK_KEYS = _with(S.SQL_INSTRUCTIONS) + f"""
+SELECT {S.sql_table_name()} AS event_table, {S.sql_tx_column("signature")} AS signature, {S.sql_tx_column("slot")} AS slot,
+       {S.sql_tx_column("transaction_index")} AS transaction_index, {S.sql_tx_column("instruction_index")} AS instruction_index,
+       {S.sql_event_field("timestamp", [f.name for f in EVENT_STRUCT.fields].index("timestamp"), eid="e_id", ts="e_ts")} AS "timestamp"
+FROM paired WHERE {S.sql_valid()}"""
 
 
-@register("stream_event_fanout", ORACLES["event_counts"])
+@register("stream_event_fanout", _SQL_SINK_KEYS)
 def q_stream_event_fanout(spark, d):
-    """File stream of ``events`` -> pair -> 8 idempotent appends; counts read back."""
-    return _fanout(spark, d, 1)
+    """Stream of transaction files, one a micro-batch -> pair -> the 8 event tables; rows read back."""
+    sink = scratch_dir(spark, "fanout")
+    J.run_fanout(_tx_stream(spark, _tx_files(spark, d)), _same, sink, scratch_dir(spark, "fanout-ckpt"))
+    return J.sink_keys(spark, sink)
 
 
-@register("stream_archive_once", ORACLES["event_counts"])
+@register("stream_archive_once", _SQL_SINK_KEYS)
 def q_stream_archive_once(spark, d):
-    """Single-pass mode run twice on one checkpoint, with redelivery dedupe on
-    the message key: the restart adds no rows."""
-    return _fanout(spark, d, 2, dedupe=True)
+    """Single-pass mode: a restart on its checkpoint, then the files delivered once
+    more, then a second run with a checkpoint of its own: each row stays once."""
+    path, sink = _tx_files(spark, d), scratch_dir(spark, "once")
+    first, second = scratch_dir(spark, "once-ckpt"), scratch_dir(spark, "once-ckpt")
+    J.run_fanout(_tx_stream(spark, path), _same, sink, first)
+    spark.read.parquet(path).where("user_id % 2 = 0").coalesce(1).write.mode("append").parquet(path)
+    J.run_fanout(_tx_stream(spark, path), _same, sink, first)
+    J.run_fanout(_tx_stream(spark, path), _same, sink, second)
+    return J.sink_keys(spark, sink)
+
+
+_SQL_TX_LOG = _with(S.SQL_INSTRUCTIONS) + f""", ok AS (
+  SELECT user_id, count(*) AS n FROM paired WHERE {S.sql_valid()} GROUP BY user_id
+), lg AS (
+  SELECT i.user_id, min(CASE WHEN is_ev THEN epoch_us(ts) // 1000000 - CASE WHEN event_id % 5 = 0 THEN {S.TS_SHIFT} ELSE 0 END END) AS raw,
+         count(*) AS n_ins FROM ins i GROUP BY i.user_id
+), l2 AS (
+  SELECT ((raw % 4294967296) + 4294967296) % 4294967296 AS epoch, n_ins, coalesce(n, 0) AS n FROM lg LEFT JOIN ok USING (user_id)
+)
+SELECT epoch - epoch % 60 AS period_start, CAST(count(*) AS BIGINT) AS transactions,
+       CAST(sum(CASE WHEN n > 0 THEN 1 ELSE 0 END) AS BIGINT) AS bundles, CAST(sum(n) AS BIGINT) AS rows_written,
+       CAST(sum(n_ins) AS DOUBLE) / count(*) AS avg_processing_us
+FROM l2 GROUP BY 1"""
+
+
+@register("stream_ingest_job", _SQL_TX_LOG)
+def q_stream_ingest_job(spark, d):
+    """The fan-out with its statistics: the job's own log, summed up by period."""
+    sink, ckpt, log = (scratch_dir(spark, n) for n in ("job", "job-ckpt", "job-log"))
+    J.run_fanout(_tx_stream(spark, _tx_files(spark, d)), _same, sink, ckpt, log=J.ingest_log_batch(log, ckpt))
+    stats = T.ingest_stats(spark.read.parquet(log))
+    return stats.select("period_start", "transactions", "bundles", "rows_written", "avg_processing_us")
 
 
 @register("stream_ingest_stats", ORACLES["ingest_stats"].replace("\nFROM g", f"""
@@ -551,21 +643,24 @@ def q_stream_distinct_minute(spark, d):
 
 
 @register("envelope_bundle_stream", _with(S.SQL_INSTRUCTIONS) + f"""
-SELECT user_id, chunk, {S._sql_uuid("'tx|' || CAST(user_id AS VARCHAR) || '|' || CAST(chunk AS VARCHAR)")} AS uuid,
+SELECT user_id, {S._sql_uuid("'tx|' || CAST(user_id AS VARCHAR)")} AS uuid, {S.EPOCH_2024} + user_id AS sent,
        'events' AS channel, 0 AS authority, 'bytes' AS signal_type, 'telepath_events.lv0' AS subject,
-       CAST(count(*) AS BIGINT) AS n_events
-FROM paired WHERE {S.sql_valid()} GROUP BY user_id, chunk""")
+       CAST(count(*) AS BIGINT) AS n_events, """ + ", ".join(
+    f"coalesce(string_agg(CAST(position AS VARCHAR), ',' ORDER BY position) FILTER (WHERE e_type = '{t.event_type}'), '') "
+    f"AS rows_{t.name}" for t in TABLES) + f" FROM paired WHERE {S.sql_valid()} GROUP BY user_id")
 def q_envelope_bundle_stream(spark, d):
+    """Bundles of streamed transactions as envelopes; the payload is decoded again."""
     sink, ckpt = scratch_dir(spark, "bundles"), scratch_dir(spark, "bundles-ckpt")
-    J.run_foreach(_event_stream(spark, d),
-                  J.bundle_envelopes_batch(S.transactions_from, ["user_id", "chunk"], sink, "ledgerline"), ckpt)
-    return spark.read.parquet(sink).select("user_id", "chunk", "uuid", "channel", "authority", "signal_type",
-                                           "subject", "n_events")
+    J.run_foreach(_tx_stream(spark, _tx_files(spark, d)), J.bundle_envelopes_batch(
+        _same, ["user_id"], sink, ckpt, "ledgerline", ts=F.timestamp_seconds(F.col("user_id") + S.EPOCH_2024)), ckpt)
+    item = T_.ArrayType(T_.StructType([T_.StructField("instruction_index", T_.LongType())]))
+    body = F.from_json(F.col("binary_data").cast("string"), T_.StructType([T_.StructField(t.name, item) for t in TABLES]))
+    out = spark.read.parquet(sink).withColumn("_b", body).select("*", "_b.*")
+    return out.select("user_id", "uuid", F.unix_seconds("ts").alias("sent"), "channel", "authority", "signal_type", "subject",
+                      "n_events", *[_bundle_index(t) for t in TABLES])
 
 
-@register("envelope_raw_stream", _with(S.SQL_EVENT_ENV) + """
-SELECT uuid, 'telepath_' || channel || '.lv' || CAST(authority AS VARCHAR) AS subject, payload_bytes FROM env""")
-def q_envelope_raw_stream(spark, d):
+def _raw_stream(spark, d):
     sink, ckpt = scratch_dir(spark, "raw"), scratch_dir(spark, "raw-ckpt")
     st = _event_stream(spark, d)
     env = J.raw_envelopes(st, channel="event_type", ts="ts", payload=F.col("props"),
@@ -574,7 +669,102 @@ def q_envelope_raw_stream(spark, d):
                           sender_agent="ledgerline")
     J.run_append(env.withColumn("payload_bytes", F.length("payload").cast("bigint")), sink, ckpt,
                  partition_by=["subject"])
-    return spark.read.parquet(sink).select("uuid", "subject", "payload_bytes")
+    return spark.read.parquet(sink)
+
+
+@register("envelope_raw_stream", _with(S.SQL_EVENT_ENV) + """
+SELECT uuid, 'telepath_' || channel || '.lv' || CAST(authority AS VARCHAR) AS subject, payload_bytes, payload_sha FROM env""")
+def q_envelope_raw_stream(spark, d):
+    return _raw_stream(spark, d).select("uuid", "subject", "payload_bytes", F.sha2("payload", 256).alias("payload_sha"))
+
+
+@register("republish_retained", ORACLES["envelope_retention"].replace("SELECT channel, uuid, ts, payload_bytes FROM ranked",
+          "SELECT 'telepath_' || channel || '.lv' || CAST(authority AS VARCHAR) AS subject, uuid, ts, payload_bytes FROM ranked"))
+def q_republish_retained(spark, d):
+    """Stream in, envelope, route, store by subject; what the channels then still hold."""
+    held = V.retain(_raw_stream(spark, d).drop("payload"), RETAIN_AS_OF, RETAIN_TTL, RETAIN_MSGS, RETAIN_BYTES)
+    return held.select("subject", "uuid", "ts", "payload_bytes")
+
+
+# ------------------------------------------------------------------ user-level jobs
+
+PAIRS_DONE = 9               # archive pairs 0..8 are complete, pair 9 lacks its data file
+
+
+def _archive(spark) -> str:
+    """An archive folder of ten prefixes; the last has no ``.bin``."""
+    root = scratch_dir(spark, "archive")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for k in range(10):
+        for suffix in (".meta", ".bin")[: 1 if k == PAIRS_DONE else 2]:
+            p = jvm.org.apache.hadoop.fs.Path(f"{root}/{k * 100}_{k * 100 + 99}{suffix}")
+            out = p.getFileSystem(conf).create(p)
+            out.write(k)                       # a listing leaves empty files out
+            out.close()
+    return root
+
+
+@register("ingest_batch_job", _SQL_SINK_KEYS + f" AND user_id % 10 < {PAIRS_DONE}")
+def q_ingest_batch_job(spark, d):
+    """C1, three times: once, once more with its ledger (nothing pending), and after the
+    ledger was lost (all pairs again); transactions come twice in the input."""
+    k = (F.col("user_id") % 10) * 100
+    tx = S.transactions(spark, d).withColumn("prefix", F.concat_ws("_", k, k + 99)).drop("user_id")
+    twice = tx.unionByName(tx)
+    root, sink = _archive(spark), scratch_dir(spark, "ingest")
+    ledger, lost = scratch_dir(spark, "ledger-a"), scratch_dir(spark, "ledger-b")
+    for at, path in (("2024-01-01T00:00:00Z", ledger), ("2024-01-02T00:00:00Z", ledger), ("2024-01-03T00:00:00Z", lost)):
+        P.ingest_batch(spark, root, path, twice, sink, at)
+    return J.sink_keys(spark, sink)
+
+
+@register("export_import_job", _with(S.SQL_DAILY_SOURCE, _SQL_SRC_RANGE) + """
+SELECT CASE WHEN event_type = 'purchase' THEN 'buys' ELSE 'others' END AS table_name,
+       CAST(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000) AS DATE) AS event_date, CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(*) AS BIGINT) AS imported FROM rng GROUP BY 1, 2""")
+def q_export_import_job(spark, d):
+    """Two tables exported, imported twice with dedupe; rows per day of the folder and of the target."""
+    src = S.daily_source(spark, d)
+    tables = {"buys": src.where("event_type = 'purchase'"), "others": src.where("event_type <> 'purchase'")}
+    mapping, root, target = {t: f"{t}_copy" for t in tables}, scratch_dir(spark, "export-job"), scratch_dir(spark, "import-job")
+    P.export_tables(tables, mapping, root, DAY_FIRST, DAY_LAST)
+    for _ in range(2):
+        totals = P.import_tables(spark, root, mapping, target, {t: src.schema for t in tables}, dedupe=True)
+    parts = [X.read_target(spark, target, mapping[t], src.schema).groupBy("event_date").agg(
+        F.count(F.lit(1)).cast("bigint").alias("imported")).withColumn("table_name", F.lit(t)) for t in tables]
+    return totals.join(parts[0].unionByName(parts[1]), ["table_name", "event_date"]).select(
+        "table_name", "event_date", "rows", "imported")
+
+
+_REMOTE_ONLY = 1_000_000_000
+
+
+@register("reconcile_repair_roundtrip", _with(_SQL_LOCAL_REMOTE) + f"""
+SELECT signature, instruction_index, "timestamp", event_type, CAST(count(*) AS BIGINT) AS copies FROM (
+  SELECT signature, instruction_index, "timestamp", event_type FROM loc
+  UNION ALL SELECT signature, instruction_index, "timestamp", event_type FROM loc
+    WHERE instruction_index % 89 = 0 AND instruction_index % 97 <> 0 AND instruction_index % 50 > 4
+  UNION ALL SELECT signature, instruction_index + {_REMOTE_ONLY}, {X._day_epoch(DAY_LAST)} + instruction_index % 86400, event_type
+    FROM loc WHERE instruction_index % 101 = 0
+) GROUP BY ALL""")
+def q_reconcile_repair_roundtrip(spark, d):
+    """C5 on tables laid out by day: the remote copy lacks rows and whole minutes, holds second
+    copies and rows of its own (on a day of their own: equal counts hide a difference);
+    after the repair it has every local row."""
+    root, k = scratch_dir(spark, "repair-job"), F.col("instruction_index")
+    local = S.event_table(spark, d).drop("value").withColumn("event_date", F.to_date(F.timestamp_seconds("timestamp")))
+    kept = local.where((k % 97 != 0) & (k % 50 > 4))
+    remote = kept.unionByName(kept.where(k % 89 == 0)) \
+        .unionByName(local.where(k % 101 == 0).withColumns({
+            "timestamp": k % 86400 + X._day_epoch(DAY_LAST), "instruction_index": k + _REMOTE_ONLY,
+            "event_date": F.to_date(F.lit(DAY_LAST))}))
+    for name, rows in (("local", local), ("remote", remote)):
+        rows.repartitionByRange("event_date", "timestamp").write.partitionBy("event_date").parquet(f"{root}/{name}")
+    tables = [spark.read.schema(local.schema).parquet(f"{root}/{name}") for name in ("local", "remote")]
+    P.reconcile_and_repair({"events": (*tables, f"{root}/remote")}, AS_OF, check_days=CHECK_DAYS, apply=True)
+    after = spark.read.schema(local.schema).parquet(f"{root}/remote")
+    return after.groupBy("signature", "instruction_index", "timestamp", "event_type").agg(
+        F.count(F.lit(1)).cast("bigint").alias("copies"))
 
 
 # ------------------------------------------------------------------ key dictionary

@@ -12,50 +12,47 @@ from pyspark.sql import functions as F
 from ledgerline.functions.scalars import epoch_to_date
 from ledgerline.operators import reconcile as R
 from ledgerline.operators.pairing import pair_fold
-from ledgerline.operators.project import rows_of, table_rows
+from ledgerline.operators.project import common_field, rows_of, table_rows
 from ledgerline.schemas import TABLES
+from ledgerline.session import scratch_dir
 from ledgerline.sources import archive as A
 from ledgerline.sources import transfer as X
 
 
-NATURAL_KEY = ("signature", "instruction_index")
-
-
 def write_event_tables(paired: DataFrame, sink_root: str, table_names: dict[str, str] | None = None,
-                       kinds=tuple(t.name for t in TABLES), dedupe: bool = False, layout: bool = True) -> None:
-    """The 8 tables from one pairing.  All tables' rows come from one
-    codegen'd projection (``table_rows``: the event table tag plus one struct
-    per kind) that is persisted -- about the size of the output, and a lost
-    executor only recomputes its own blocks -- so the input is not scanned
-    once per table.  ``layout`` range-partitions each table by (day, total
-    order) so a multi-day backfill writes about one file per partition instead
-    of tasks x days, and rows land in the reference order; ``dedupe`` skips
-    rows whose natural key (signature, instruction_index) the target already
-    holds (anti join on the key plus ``event_date``, so only the days being
-    written are read), which makes a repeated run idempotent.  A kind without
-    rows writes nothing (P15)."""
+                       kinds=tuple(t.name for t in TABLES), dedupe: bool = False, layout: bool = True) -> dict[str, int]:
+    """The 8 tables from one pairing, ``{sink_root}/{table name}/event_date=...``,
+    for batch and stream alike; ``table_names`` maps kinds to configured names.
+
+    All tables' rows come from one codegen'd projection (``table_rows``: the
+    event table tag plus one struct per kind, keys binary) that is persisted --
+    about the size of the output, and a lost executor only recomputes its own
+    blocks -- so the input is not scanned once per table.  ``layout`` and
+    ``dedupe`` as in ``append_rows``.  A kind without rows writes nothing (P15).
+    Returns the rows of each kind in the pairing."""
     names = table_names or {t.name: t.table for t in TABLES}
-    spark = paired.sparkSession
-    rows_all = table_rows(paired).persist(StorageLevel.MEMORY_AND_DISK)
+    rows_all = table_rows(paired).withColumn(X.DAY, epoch_to_date(common_field("timestamp")))
+    if dedupe:
+        rows_all = rows_all.withColumns({f"_k_{c}": common_field(c) for c in X.NATURAL_KEY})
+        rows_all = rows_all.dropDuplicates(["event_table", X.DAY, *[f"_k_{c}" for c in X.NATURAL_KEY]])
+    rows_all = rows_all.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        found = rows_all.groupBy("event_table", X.DAY).count().collect()       # a row per kind and day
         for kind in kinds:
-            path = f"{sink_root.rstrip('/')}/{names[kind]}"
-            rows = rows_of(rows_all, kind).withColumn("event_date", epoch_to_date(F.col("timestamp")))
-            if layout:
-                rows = rows.repartitionByRange("event_date", "slot", "transaction_index", "instruction_index")
-            if dedupe and X._exists(spark, path):
-                have = spark.read.schema(rows.schema).parquet(path).select("event_date", *NATURAL_KEY)
-                rows = rows.join(have, ["event_date", *NATURAL_KEY], "left_anti")
-            rows.write.mode("append").partitionBy("event_date").parquet(path)
+            days = sorted(r[1] for r in found if r[0] == kind)
+            if days:
+                X.append_rows(rows_of(rows_all, kind, [X.DAY]), f"{sink_root.rstrip('/')}/{names[kind]}", dedupe=dedupe,
+                              layout=X.ORDER if layout else None, days=days, distinct=True)
+        return {kind: sum(r[2] for r in found if r[0] == kind) for kind in kinds}
     finally:
         rows_all.unpersist()
 
 
 def write_tables_from_transactions(tx: DataFrame, sink_root: str, table_names: dict[str, str] | None = None,
                                    kinds=tuple(t.name for t in TABLES), dedupe: bool = False,
-                                   layout: bool = True) -> None:
+                                   layout: bool = True) -> dict[str, int]:
     """T2 / K1 straight from nested transactions (pairing needs no shuffle)."""
-    write_event_tables(pair_fold(tx), sink_root, table_names, kinds, dedupe, layout)
+    return write_event_tables(pair_fold(tx), sink_root, table_names, kinds, dedupe, layout)
 
 
 def ingest_batch(spark: SparkSession, archive_dir: str, ledger_path: str, transactions: DataFrame,
@@ -67,11 +64,12 @@ def ingest_batch(spark: SparkSession, archive_dir: str, ledger_path: str, transa
     reference does); the appends skip keys already present, so the repeat
     adds no duplicates."""
     manifest = A.archive_pairs(A.list_files(spark, archive_dir))
-    try:
+    if A.ledger_exists(spark, ledger_path):
         done = A.processed_prefixes(A.read_ledger_lines(spark, ledger_path))
-    except Exception:  # noqa: BLE001 - no ledger yet
+    else:
         done = spark.createDataFrame([], "prefix string")
-    pending = A.pending_pairs(manifest, done).select("prefix")
+    # the ledger grows below, so the pending list is cut from it
+    pending = A.pending_pairs(manifest, done).select("prefix").checkpoint(eager=True)
     todo = transactions.join(pending, "prefix", "left_semi")
     write_tables_from_transactions(todo.drop("prefix"), sink_root, dedupe=True)
     A.append_ledger(pending, ledger_path, now)
@@ -115,23 +113,37 @@ def reconcile_and_repair(tables: dict[str, tuple[DataFrame, DataFrame, str | Non
                          lag_hours: int = 2, check_days: int = 7, mode: str = "missing_only",
                          apply: bool = False, fail_on_error: bool = True) -> SyncResult:
     """Per table: hour compare -> minute drill-down -> repair rows ->
-    optional append to the remote path -> summary.  Errors are collected per
+    optional append to the remote path -> check -> summary.
+
+    The repair rows are written once to the shared folder; their count, the
+    append and the summary all use that table.  The append keeps the remote's
+    layout (by ``event_date`` if it has that column), and the remote is read
+    again: local keys still missing fail the table.  ``synced_records`` counts
+    rows that were appended, 0 without ``apply``.  Errors are collected per
     table and the others go on; any error fails the run at the end."""
     start, end = R.time_window(as_of, lag_hours, check_days)
     span = R.hour_span(start, end)
     summaries, errors = [], []
     for name, (local, remote, remote_path) in tables.items():
         try:
+            spark = local.sparkSession
             # the difference lists are small (bounded by the checked hours) and
             # must not be re-evaluated after the repair changed the remote copy:
             # cut their lineage with reliable checkpoints before writing
             dh = R.reconcile_hours(local, remote, start, end).checkpoint(eager=True)
             dm = R.reconcile_minutes(local, remote, start, end, diff_hours=dh).checkpoint(eager=True)
-            rows = R.repair_rows(local, remote, dm, mode=mode, span=span)
-            summary = R.reconcile_summary(name, dh, dm, rows).checkpoint(eager=True)
-            if apply and remote_path:
-                R.apply_repair(rows, remote_path)
-            summaries.append(summary)
+            found = R.repair_rows(local, remote, dm, mode=mode, span=span)
+            staged = scratch_dir(spark, "repair") + "/rows"
+            found.write.parquet(staged)
+            rows = spark.read.schema(found.schema).parquet(staged)
+            done = bool(apply and remote_path)
+            if done:
+                R.apply_repair(rows, remote_path, [X.DAY] if X.DAY in remote.columns else None)
+                after = spark.read.schema(remote.schema).parquet(remote_path)
+                left = R.still_missing(local, after, dm, span=span).count()
+                if left:
+                    raise RuntimeError(f"{left} keys are still missing after the repair")
+            summaries.append(R.reconcile_summary(name, dh, dm, rows if done else rows.limit(0)))
         except Exception as e:  # noqa: BLE001
             errors.append(f"{name}: {e}")
     summary = None

@@ -4,10 +4,12 @@ The driver's tables carry no ledger data, so every operator runs on a stated
 stand-in built from them (Spark side) and the oracle SQL rebuilds the same
 stand-in independently (DuckDB side).  All stand-ins keep every source row.
 
-* TX       ``events``: transaction = (user_id, event_id div TX_CHUNK), instruction
-           order = (ts, event_id); an instruction is an event when
-           event_type is purchase or error.  The chunk bounds a transaction
-           at TX_CHUNK instructions, like the protocol bounds real ones.
+* TX       ``events``: transaction = user_id, instruction order = (ts, event_id);
+           an instruction is an event when event_type is purchase or error.
+           One transaction is one row with its instruction array: a user's
+           events fit in a row (the largest user has about 100; real
+           transactions are bounded by their block).  The flat form
+           (``flat_instructions``) has no such assumption.
 * KINDED   TX with kind = event_id % 8 and typed fields derived from columns.
 * LOCAL / REMOTE  ``events`` as an event table; remote drops event_id % 97 = 0
            and holds a second copy of event_id % 89 = 0.
@@ -23,10 +25,10 @@ from ledgerline.functions.scalars import epoch_seconds, key_from_long
 from ledgerline.operators.envelope import build_envelopes
 from ledgerline.schemas import ACCOUNTS_STRUCT, EVENT_STRUCT, TABLES, U64
 
-TX_CHUNK = 4096
 EVENT_NAMES = ("purchase", "error")
 KEY_MULT = 1000003          # stand-in key value = id * KEY_MULT + field ordinal
 ACCOUNT_BASE = 100
+EPOCH_2024 = 1704067200
 TS_SHIFT = 4294967296       # some raw timestamps are shifted by 2^32 to exercise wrapping
 
 # Instruction type strings / variants that precede each event kind (stand-in).
@@ -69,8 +71,9 @@ def _event_field(field: str, j: int) -> Column:
     return F.concat(F.lit(field + "_"), eid.cast("string"))
 
 
-def instruction_struct() -> Column:
-    """KINDED instruction built from one ``events`` row."""
+def instruction_struct(event_fields=None, account_fields=None) -> Column:
+    """KINDED instruction built from one ``events`` row; only the named event
+    and account fields are built (None: all)."""
     eid = F.col("event_id")
     r = (eid % 8).cast("int")
     ev = F.col("event_type").isin(*EVENT_NAMES)
@@ -80,23 +83,22 @@ def instruction_struct() -> Column:
     ins_kind = F.when(eid % 13 == 0, F.lit(None).cast("string")) \
         .when(eid % 11 == 0, F.lit("PumpfunAmmBuyExactQuoteIn")) \
         .otherwise(F.element_at(F.array(*[F.lit(x) for x in INSTRUCTION_VARIANTS]), r + 1))
-    event = F.struct(*[_event_field(f.name, j).cast(f.dataType).alias(f.name)
-                       for j, f in enumerate(EVENT_STRUCT.fields)])
-    accounts = F.struct(*[key_from_long(eid * KEY_MULT + ACCOUNT_BASE + j).alias(f.name)
-                          for j, f in enumerate(ACCOUNTS_STRUCT.fields)])
-    return F.struct(
-        F.when(ev, ev_type).otherwise(ins_type).alias("type"),
-        F.when(ev, ev_kind).otherwise(ins_kind).alias("kind"),
-        F.when(ev, event).alias("event"),
-        F.when(~ev & (eid % 7 != 0), accounts).alias("accounts"),
-        F.when(~ev, eid % 2 == 0).alias("is_main_pool"),
-    )
-
-
-def tx_columns(user_id: Column, chunk: Column) -> list[Column]:
+    parts = [F.when(ev, ev_type).otherwise(ins_type).alias("type"), F.when(ev, ev_kind).otherwise(ins_kind).alias("kind")]
+    event = [_event_field(f.name, j).cast(f.dataType).alias(f.name) for j, f in enumerate(EVENT_STRUCT.fields)
+             if event_fields is None or f.name in event_fields]
+    accounts = [key_from_long(eid * KEY_MULT + ACCOUNT_BASE + j).alias(f.name)
+                for j, f in enumerate(ACCOUNTS_STRUCT.fields) if account_fields is None or f.name in account_fields]
+    if event:
+        parts.append(F.when(ev, F.struct(*event)).alias("event"))
+    if accounts:
+        parts.append(F.when(~ev & (eid % 7 != 0), F.struct(*accounts)).alias("accounts"))
+    return F.struct(*parts, F.when(~ev, eid % 2 == 0).alias("is_main_pool"))
+
+
+def tx_columns(user_id: Column) -> list[Column]:
     return [
-        key_from_long(user_id * KEY_MULT + chunk, 64).alias("signature"),
-        (chunk * 100000 + user_id).cast(U64).alias("slot"),
+        key_from_long(user_id * KEY_MULT, 64).alias("signature"),
+        (user_id * 7 + 1).cast(U64).alias("slot"),
         (user_id - F.when(user_id % 3 == 0, F.lit(TS_SHIFT)).otherwise(F.lit(0))).alias("index"),
     ]
 
@@ -106,25 +108,23 @@ def flat_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_instructions_from(table(spark, sf_dir, "events"))
 
 
-def flat_instructions_from(ev: DataFrame) -> DataFrame:
-    return ev.select("user_id", F.expr(f"event_id div {TX_CHUNK}").alias("chunk"),
-                     "ts", "event_id", "event_type", instruction_struct().alias("instruction"))
+def flat_instructions_from(ev: DataFrame, fields=None) -> DataFrame:
+    return ev.select("user_id", "ts", "event_id", "event_type", instruction_struct(*(fields or ())).alias("instruction"))
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, fields=None) -> DataFrame:
     """TX nested: one row per transaction with its ordered instruction array.
-    Groups are bounded by TX_CHUNK rows."""
-    return transactions_from(table(spark, sf_dir, "events"))
+    ``fields``: (event fields, account fields) to build, as ``pair_fold`` takes
+    them; the other ~90 fields then never pass through the grouping."""
+    return transactions_from(table(spark, sf_dir, "events"), fields)
 
 
-def transactions_from(ev: DataFrame) -> DataFrame:
-    """TX nested, from any DataFrame (or micro-batch) of ``events`` rows."""
-    flat = flat_instructions_from(ev)
-    grouped = flat.groupBy("user_id", "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("ts", "event_id", "instruction"))).alias("_ins"))
-    return grouped.select(
-        "user_id", "chunk", *tx_columns(F.col("user_id"), F.col("chunk")),
-        F.transform("_ins", lambda x: x["instruction"]).alias("instructions"))
+def transactions_from(ev: DataFrame, fields=None) -> DataFrame:
+    """TX nested, from any DataFrame of ``events`` rows."""
+    grouped = flat_instructions_from(ev, fields).groupBy("user_id").agg(
+        F.sort_array(F.collect_list(F.struct("ts", "event_id", "instruction"))).alias("_ins"))
+    return grouped.select("user_id", *tx_columns(F.col("user_id")),
+                          F.transform("_ins", lambda x: x["instruction"]).alias("instructions"))
 
 
 def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +184,7 @@ def _sql_list(values) -> str:
 
 SQL_INSTRUCTIONS = f"""
 ins AS (
-  SELECT user_id, event_id // {TX_CHUNK} AS chunk, ts, event_id, event_type,
+  SELECT user_id, ts, event_id, event_type,
          event_type IN ('purchase', 'error') AS is_ev,
          CASE WHEN event_type IN ('purchase', 'error')
               THEN {_sql_list(t.event_type for t in TABLES)}[event_id % 8 + 1]
@@ -195,28 +195,28 @@ ins AS (
               WHEN event_id % 11 = 0 THEN 'PumpfunAmmBuyExactQuoteIn'
               ELSE {_sql_list(INSTRUCTION_VARIANTS)}[event_id % 8 + 1] END AS kind,
          (NOT event_type IN ('purchase', 'error')) AND event_id % 7 <> 0 AS has_accounts,
-         row_number() OVER (PARTITION BY user_id, event_id // {TX_CHUNK} ORDER BY ts, event_id) - 1 AS pos
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos
   FROM events
 ),
 bal AS (
   SELECT *, sum(CASE WHEN is_ev THEN -1 ELSE 1 END)
-              OVER (PARTITION BY user_id, chunk ORDER BY pos ROWS UNBOUNDED PRECEDING) AS s
+              OVER (PARTITION BY user_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS s
   FROM ins
 ),
 pairs AS (
-  SELECT e.user_id, e.chunk, e.pos AS position, max(p.pos) AS partner_position
+  SELECT e.user_id, e.pos AS position, max(p.pos) AS partner_position
   FROM bal e JOIN bal p
-    ON p.user_id = e.user_id AND p.chunk = e.chunk AND NOT p.is_ev AND p.pos < e.pos AND p.s - 1 = e.s
+    ON p.user_id = e.user_id AND NOT p.is_ev AND p.pos < e.pos AND p.s - 1 = e.s
   WHERE e.is_ev
-  GROUP BY e.user_id, e.chunk, e.pos
+  GROUP BY e.user_id, e.pos
 ),
 paired AS (
-  SELECT pr.user_id, pr.chunk, pr.position, pr.partner_position,
+  SELECT pr.user_id, pr.position, pr.partner_position,
          e.event_id AS e_id, e.ts AS e_ts, e.type AS e_type, e.kind AS e_kind,
          p.event_id AS p_id, p.type AS p_type, p.kind AS p_kind, p.has_accounts AS p_has_accounts
   FROM pairs pr
-  JOIN ins e ON e.user_id = pr.user_id AND e.chunk = pr.chunk AND e.pos = pr.position
-  JOIN ins p ON p.user_id = pr.user_id AND p.chunk = pr.chunk AND p.pos = pr.partner_position
+  JOIN ins e ON e.user_id = pr.user_id AND e.pos = pr.position
+  JOIN ins p ON p.user_id = pr.user_id AND p.pos = pr.partner_position
 )"""
 
 
@@ -239,9 +239,9 @@ def sql_table_name() -> str:
 
 def sql_tx_column(name: str) -> str:
     if name == "signature":
-        return sql_b58(f"user_id * {KEY_MULT} + chunk", 64)
+        return sql_b58(f"user_id * {KEY_MULT}", 64)
     if name == "slot":
-        return "CAST(chunk * 100000 + user_id AS DECIMAL(20,0))"
+        return "CAST(user_id * 7 + 1 AS DECIMAL(20,0))"
     if name == "transaction_index":
         return f"CAST({sql_u32(f'user_id - CASE WHEN user_id % 3 = 0 THEN {TS_SHIFT} ELSE 0 END')} AS BIGINT)"
     return f"CAST({sql_u32('position')} AS BIGINT)"
@@ -283,6 +283,11 @@ src AS (SELECT 'sig' || CAST(user_id AS VARCHAR) AS signature,
 
 
 # --------------------------------------------------------------------------- FILES / LEDGER (from orders)
+def slot_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per file with its slot index: the entries of ``slot_entries`` nested."""
+    return slot_entries(spark, sf_dir).groupBy("prefix").agg(F.collect_list(F.struct("slot", "offset", "size")).alias("entries"))
+
+
 def _prefix(k: Column) -> Column:
     base = F.concat(k.cast("string"), F.lit("_"), (k + 99).cast("string"))
     return F.when(k % 7 == 0, F.concat(F.lit("slot"), base)).otherwise(base)
@@ -324,11 +329,12 @@ def slot_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ledger_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LEDGER: (line, ord) text lines from ``orders``: completed / failed
     entries of prefixes shared by up to 4 orders, short lines, comments,
-    blank lines and padded lines; ``ord`` is the line number."""
+    blank lines and padded lines; ``ord`` is the line number, and each entry's
+    time grows with it."""
     o = table(spark, sf_dir, "orders")
     k, prio = F.col("o_orderkey"), F.col("o_orderpriority")
     p = F.expr("o_orderkey div 4") * 4
-    ts = F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("T00:00:00Z"))
+    ts = F.date_format(F.timestamp_seconds(F.lit(EPOCH_2024) + k), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     pfx = _prefix(p)
     status = F.when(F.col("o_orderstatus") == "F", F.lit("failed")).otherwise(F.lit("completed"))
     line = F.when((prio == "4-NOT SPECIFIED") & (k % 2 == 0), F.concat(F.lit("# note "), k.cast("string"))) \
@@ -375,7 +381,7 @@ manifest AS (
 
 SQL_LEDGER = f"""
 lo AS (SELECT o_orderkey AS ord, (o_orderkey // 4) * 4 AS p, o_orderpriority, o_orderstatus,
-              CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || 'T00:00:00Z' AS lts FROM orders),
+              strftime(make_timestamp(CAST({EPOCH_2024} + o_orderkey AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS lts FROM orders),
 lines AS (
   SELECT ord, CASE WHEN ord % 13 = 0 THEN '  ' ELSE '' END || CASE
     WHEN o_orderpriority = '4-NOT SPECIFIED' AND ord % 2 = 0 THEN '# note ' || CAST(ord AS VARCHAR)
@@ -396,8 +402,6 @@ processed AS (SELECT DISTINCT prefix FROM parsed
 
 
 # --------------------------------------------------------------------------- ENV and logs
-EPOCH_2024 = 1704067200
-
 
 def conversation_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ENV: one envelope per ``conversations`` turn; channel = conv_id, role ->
@@ -449,7 +453,7 @@ env AS (
   SELECT event_type AS channel, ts,
          {_sql_uuid("'ev|' || CAST(event_id AS VARCHAR)")} AS uuid,
          {_sql_authority("'lv' || CAST(user_id % 7 AS VARCHAR)")} AS authority,
-         CAST(strlen(props) AS BIGINT) AS payload_bytes
+         CAST(strlen(props) AS BIGINT) AS payload_bytes, sha256(props) AS payload_sha
   FROM events)"""
 
 

@@ -212,22 +212,6 @@ TRANSACTION_SCHEMA = T.StructType([
     T.StructField("instructions", T.ArrayType(INSTRUCTION_STRUCT, False), False),
 ])
 
-ENVELOPE_SCHEMA = T.StructType([
-    T.StructField("ts", T.TimestampType(), False),
-    T.StructField("uuid", T.StringType(), False),
-    T.StructField("parent_uuid", T.StringType(), False),
-    T.StructField("sender_agent", T.StringType(), False),
-    T.StructField("authority", T.IntegerType(), False),
-    T.StructField("content_type", T.StringType(), False),
-    T.StructField("payload", T.BinaryType(), True),
-])
-
-LEDGER_SCHEMA = T.StructType([
-    T.StructField("ts", T.StringType(), False),
-    T.StructField("prefix", T.StringType(), False),
-    T.StructField("status", T.StringType(), False),
-])
-
 
 def table_spec(name: str) -> TableSpec:
     """Look a table up by kind, event type or table name; unknown names fail."""

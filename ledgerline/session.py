@@ -8,7 +8,6 @@ we create one of our own, and only on a local master.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -76,6 +75,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
     path = root.rstrip("/") + f"/ledgerline/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
     return path

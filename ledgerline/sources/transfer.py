@@ -16,12 +16,60 @@ from pyspark.sql import types as T
 from ledgerline.functions.scalars import epoch_to_date
 
 ORDER = ("slot", "transaction_index", "instruction_index")
+NATURAL_KEY = ("signature", "instruction_index")
+DAY = "event_date"
 
 
 def _day_epoch(d: str) -> int:
     return int(dt.datetime.fromisoformat(d).replace(tzinfo=dt.timezone.utc).timestamp())
 
 
+def in_time_range(df: DataFrame, start: int | None, end: int | None, ts: str = "timestamp") -> DataFrame:
+    """Rows with ``start <= ts < end`` (epoch seconds).  On a table laid out by
+    ``event_date`` the same range is also put on the day, so that a scan lists
+    and opens the days in question only."""
+    dated = DAY in df.columns
+    if start is not None:
+        df = df.where(F.col(ts) >= F.lit(start))
+        df = df.where(F.col(DAY) >= F.lit(_day_of(start))) if dated else df
+    if end is not None:
+        df = df.where(F.col(ts) < F.lit(end))
+        df = df.where(F.col(DAY) <= F.lit(_day_of(end - 1))) if dated else df
+    return df
+
+
+def _day_of(epoch: int) -> dt.date:
+    return dt.datetime.fromtimestamp(epoch, dt.timezone.utc).date()
+
+
+def days_in(rows: DataFrame) -> list[dt.date]:
+    """The days of ``rows`` (one value per day, whatever the rows)."""
+    return sorted(r[0] for r in rows.select(DAY).distinct().collect() if r[0] is not None)
+
+
+def append_rows(rows: DataFrame, path: str, key=NATURAL_KEY, dedupe: bool = True, layout=None,
+                days: list[dt.date] | None = None, distinct: bool = False) -> None:
+    """Append ``rows`` (with ``event_date``) to the dated table at ``path``.
+
+    ``dedupe`` keeps one row for each natural key within the run (unless the
+    rows are ``distinct`` by it) and skips the keys that the target holds, so a
+    redelivery, a replayed batch or a run on a new checkpoint adds nothing; of
+    the target it reads the ``days`` of the rows alone (looked up if not given).
+    ``layout``: order columns of a range partitioning by (day, order), done
+    last, so that a backfill of many days writes few files a day and no later
+    shuffle undoes it."""
+    spark = rows.sparkSession
+    if dedupe:
+        rows = rows if distinct else rows.dropDuplicates([DAY, *key])
+        if _exists(spark, path):
+            days = days_in(rows) if days is None else days
+            have = spark.read.schema(rows.schema).parquet(path).where(F.col(DAY).isin(days)).select(DAY, *key)
+            rows = rows.join(have, [DAY, *key], "left_anti")
+    if layout:
+        rows = rows.repartitionByRange(DAY, *layout)
+    rows.write.mode("append").partitionBy(DAY).parquet(path)
+
+
 def day_range(start_date: str, end_date: str) -> list[str]:
     """Inclusive list of ``YYYY-MM-DD`` dates (the export covers today too)."""
     a, b = dt.date.fromisoformat(start_date), dt.date.fromisoformat(end_date)
@@ -35,8 +83,7 @@ def extract_daily(df: DataFrame, start_date: str, end_date: str, ts: str = "time
     partitions -- a hot day is spread over several partitions, and the
     partition sequence is the global order."""
     lo, hi = _day_epoch(start_date), _day_epoch(end_date) + 86400
-    rows = df.where((F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi))) \
-        .withColumn("event_date", epoch_to_date(F.col(ts)))
+    rows = in_time_range(df, lo, hi, ts).withColumn(DAY, epoch_to_date(F.col(ts)))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartitionByRange(n, "event_date", *order).sortWithinPartitions("event_date", *order)
 
@@ -44,8 +91,8 @@ def extract_daily(df: DataFrame, start_date: str, end_date: str, ts: str = "time
 def export_daily(df: DataFrame, table: str, root: str, start_date: str, end_date: str,
                  ts: str = "timestamp", order=ORDER) -> list[str]:
     """K2: one job writes all days of ``[start_date, end_date]`` (inclusive),
-    Snappy, overwriting only the days it covers; days without rows are written
-    as empty partitions so a rerun also clears them.  Returns the dates."""
+    Snappy, overwriting only the days it covers; days without rows become
+    empty folders, so a rerun also clears them.  Returns the dates."""
     spark = df.sparkSession
     dates = day_range(start_date, end_date)
     path = f"{root.rstrip('/')}/{table}"
@@ -57,12 +104,12 @@ def export_daily(df: DataFrame, table: str, root: str, start_date: str, end_date
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy("event_date").parquet(path))
     written = set(seen.get.get("days") or [])
-    empty = spark.createDataFrame([], out.drop("event_date").schema)
-    for d in dates:
+    for d in dates:        # a day without rows keeps an empty folder (a rerun clears old rows)
         if d not in written:
-            part = f"{path}/event_date={d}"
+            part = f"{path}/{DAY}={d}"
             _delete(spark, part)
-            empty.coalesce(1).write.mode("overwrite").option("compression", "snappy").parquet(part)
+            fs, p = _fs(spark, part)
+            fs.mkdirs(p)
     return dates
 
 
@@ -105,17 +152,10 @@ def import_folder(spark: SparkSession, folder_root: str, table: str, mapping: di
                   target_root: str, schema: T.StructType, dedupe: bool = False,
                   key=("signature", "instruction_index")) -> DataFrame:
     """K3: append a table folder to its mapped target.  Not idempotent unless
-    ``dedupe=True``, which skips rows whose natural key the target already has.
-    Returns the rows that were appended (lazily re-readable from the target)."""
+    ``dedupe=True`` (see ``append_rows``).  Returns the folder's rows."""
     target = check_mapping(mapping, table)
     rows = read_daily_folder(spark, f"{folder_root.rstrip('/')}/{table}", schema).drop("file_name")
-    target_path = f"{target_root.rstrip('/')}/{target}"
-    if dedupe and _exists(spark, target_path):
-        # a key's day is fixed by its timestamp, so joining on event_date too lets
-        # dynamic partition pruning read only the target days being imported
-        have = spark.read.schema(rows.schema).parquet(target_path).select("event_date", *key)
-        rows = rows.join(have, on=["event_date", *key], how="left_anti")
-    rows.write.mode("append").partitionBy("event_date").parquet(target_path)
+    append_rows(rows, f"{target_root.rstrip('/')}/{target}", key, dedupe)
     return rows
 
 

@@ -3,27 +3,34 @@
 * Sources are ``readStream`` with explicit schemas (a file source here; any
   connector in production); back-pressure is ``maxFilesPerTrigger`` /
   ``maxOffsetsPerTrigger``, the reference's size/time flush is the trigger.
-* Sinks write inside ``foreachBatch`` into a directory owned by the batch id:
-  a replayed batch (crash after write, before commit) replaces its own
-  output, so a restart adds no duplicates.
+* The event tables are the batch writer's (``plans.jobs.write_event_tables``):
+  the same names and layout, and rows are kept once per natural key, so a
+  replayed batch, a redelivered file or a second checkpoint adds nothing.
+* Other sinks write inside ``foreachBatch`` into a directory owned by the run
+  (its checkpoint) and the batch id: a replayed batch (crash after write,
+  before commit) replaces its own output and never another run's.
 * An exception in ``foreachBatch`` stops the query without committing the
   batch -- the ack-after-success behaviour of the reference's callbacks.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.scalars import epoch_to_date
 from ledgerline.operators.envelope import SIGNAL_TYPE_V1, build_envelopes, route, to_v1
 from ledgerline.operators.pairing import pair_fold
-from ledgerline.operators.project import bundle_json, bundle_total, event_bundle_inrow, rows_of, table_rows
-from ledgerline.schemas import TABLES
+from ledgerline.operators.project import bundle_json, bundle_total, classify_pairs, event_bundle_inrow
+from ledgerline.plans.jobs import write_event_tables
+from ledgerline.schemas import TABLES, table_schema
+from ledgerline.sources.transfer import _exists
 
+RUN_COL = "run_id"
 BATCH_COL = "batch_id"
 
 
@@ -42,14 +49,19 @@ def dedupe_within(stream: DataFrame, keys: list[str], event_time: str, delay: st
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str]) -> None:
-    """Idempotent per-batch append: the batch owns ``{path}/batch_id=N`` and
+def run_id(checkpoint: str) -> str:
+    """Name of a run: the same for restarts on one checkpoint, another for another one."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def write_batch(df: DataFrame, path: str, run: str, batch_id: int, partition_by: list[str]) -> None:
+    """Idempotent per-batch append: the batch owns ``{path}/run_id=R/batch_id=N`` and
     overwrites it whole, so a replayed batch replaces its own output and never
-    touches other batches (readers discover ``batch_id`` as a partition)."""
+    touches other batches or runs (readers discover both as partitions)."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
+    w.parquet(f"{path.rstrip('/')}/{RUN_COL}={run}/{BATCH_COL}={batch_id}")
 
 
 def _run(writer, trigger: dict):
@@ -61,46 +73,69 @@ def _run(writer, trigger: dict):
     return q
 
 
-def fanout_batch(to_transactions: Callable[[DataFrame], DataFrame], sink_root: str,
-                 kinds=tuple(t.name for t in TABLES)):
-    """Per micro-batch, pair once (all tables' rows in one
-    persisted projection), then one append per event table, partitioned by ``event_date``.  A kind without
-    rows writes nothing.  A micro-batch is bounded by the trigger limits and
-    spans few days, so no re-layout is needed before the dated writes."""
+def fanout_batch(to_transactions: Callable[[DataFrame], DataFrame], sink_root: str, table_names=None,
+                 log: Callable[[DataFrame, int, dict[str, int]], None] | None = None):
+    """Per micro-batch, pair once and append to the 8 event
+    tables (one natural key, one row, across batches and runs).  ``log`` gets
+    the batch, its id and the rows of each kind after the tables are written."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # all 8 tables' rows from one codegen'd projection, persisted once
-        rows_all = table_rows(pair_fold(to_transactions(batch))).persist()
+        batch = to_transactions(batch).persist()
         try:
-            for kind in kinds:
-                rows = rows_of(rows_all, kind).withColumn("event_date", epoch_to_date(F.col("timestamp")))
-                write_batch(rows, f"{sink_root}/{kind}", batch_id, ["event_date"])
+            found = write_event_tables(pair_fold(batch), sink_root, table_names, dedupe=True, layout=False)
+            if log is not None:
+                log(batch, batch_id, found)
         finally:
-            rows_all.unpersist()
+            batch.unpersist()
     return handle
 
 
 def run_fanout(stream: DataFrame, to_transactions, sink_root: str, checkpoint: str,
-               trigger: dict | None = None):
+               trigger: dict | None = None, table_names=None, log=None):
     """``trigger={'availableNow': True}`` is the single pass,
     ``{'processingTime': '600 seconds'}`` the watch mode."""
-    w = stream.writeStream.foreachBatch(fanout_batch(to_transactions, sink_root)) \
+    w = stream.writeStream.foreachBatch(fanout_batch(to_transactions, sink_root, table_names, log)) \
         .option("checkpointLocation", checkpoint)
     return _run(w, trigger or {"availableNow": True})
 
 
-def read_sink(spark: SparkSession, sink_root: str, kind: str) -> DataFrame:
-    from ledgerline.schemas import table_schema
-    schema = T.StructType(list(table_schema(kind).fields) + [
-        T.StructField(BATCH_COL, T.LongType()), T.StructField("event_date", T.DateType())])
-    return spark.read.schema(schema).parquet(f"{sink_root}/{kind}")
+def ingest_log_batch(path: str, checkpoint: str):
+    """``log`` of ``fanout_batch`` that keeps one row for each transaction
+    (event time, bytes, instructions, bundles, rows written) for ``ingest_stats``."""
+    run = run_id(checkpoint)
+
+    def log(batch: DataFrame, batch_id: int, found: dict[str, int]) -> None:
+        sizes = event_sizes(batch)
+        write_batch(sizes, path, run, batch_id, [])
+    return log
+
 
+def event_sizes(tx: DataFrame) -> DataFrame:
+    """Ingest-log row of each transaction: ``epoch`` of its first event, ``bytes`` and
+    ``processing_us`` (its instructions, stand-ins without a clock or the raw
+    message), ``bundles`` and ``rows_written``."""
+    valid = classify_pairs(pair_fold(tx)).where("valid").groupBy("signature").agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows_written"))
+    first = F.array_min(F.transform("instructions", lambda x: x["event"]["timestamp"]))
+    base = tx.select("signature", F.pmod(first, F.lit(1 << 32)).alias("epoch"),
+                     F.size("instructions").cast("bigint").alias("bytes"),
+                     F.size("instructions").cast("bigint").alias("processing_us"))
+    rows = F.coalesce("rows_written", F.lit(0)).cast("bigint")
+    return base.join(valid, "signature", "left").select(
+        "signature", "epoch", "bytes", "processing_us", (rows > 0).cast("int").alias("bundles"), rows.alias("rows_written"))
 
-def sink_counts(spark: SparkSession, sink_root: str) -> DataFrame:
-    parts = [read_sink(spark, sink_root, t.name).select(F.lit(t.name).alias("event_table")) for t in TABLES]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("event_table").agg(F.count(F.lit(1)).cast("bigint").alias("row_count"))
+
+def read_sink(spark: SparkSession, sink_root: str, kind: str, table_names=None) -> DataFrame:
+    names = table_names or {t.name: t.table for t in TABLES}
+    schema = T.StructType([*table_schema(kind).fields, T.StructField("event_date", T.DateType())])
+    path = f"{sink_root.rstrip('/')}/{names[kind]}"
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def sink_keys(spark: SparkSession, sink_root: str) -> DataFrame:
+    """event_table and the common columns of every row in the 8 tables."""
+    parts = [read_sink(spark, sink_root, t.name).select(F.lit(t.name).alias("event_table"), "signature", "slot",
+                                                        "transaction_index", "instruction_index", "timestamp") for t in TABLES]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def closed_window_stats(stream: DataFrame, stats_fn, sink: str, checkpoint: str, event_time: str,
@@ -130,18 +165,23 @@ def run_append(df: DataFrame, sink: str, checkpoint: str, partition_by: list[str
     return _run(w, trigger or {"availableNow": True})
 
 
-def bundle_envelopes_batch(to_transactions, tx_keys: list[str], sink: str, sender_agent: str,
+def bundle_envelopes_batch(to_transactions, tx_keys: list[str], sink: str, checkpoint: str, sender_agent: str, ts,
                            authority_text: str = "lv0", channel: str = "events"):
     """T5 (v1): per transaction a bundle of the 8 arrays; empty bundles are
     dropped; each bundle becomes one envelope (replay-stable uuid, payload =
-    self-describing JSON of the bundle), routed by authority."""
+    self-describing JSON of the bundle), routed by authority.  ``ts``: column of
+    the transactions that is the envelope's time (no clock, so a replay gives
+    the same row)."""
+    run = run_id(checkpoint)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        bundles = event_bundle_inrow(to_transactions(batch), tx_keys)
-        sized = bundles.select(*tx_keys, bundle_total().alias("n_events"), bundle_json(bundles).alias("_payload"))
-        env = build_envelopes(sized, channel=F.lit(channel), ts=F.current_timestamp(), payload="_payload",
+        tx = to_transactions(batch)
+        bundles = event_bundle_inrow(tx.withColumn("_ts", ts), [*tx_keys, "_ts"])
+        sized = bundles.select(*tx_keys, "_ts", bundle_total().alias("n_events"), bundle_json(bundles).alias("_payload"))
+        env = build_envelopes(sized, channel=F.lit(channel), ts="_ts", payload="_payload",
                               id_cols=[F.lit("tx"), *tx_keys], authority_text=F.lit(authority_text),
                               sender_agent=sender_agent, content_type=SIGNAL_TYPE_V1, keep=[*tx_keys, "n_events"])
-        write_batch(to_v1(route(env)), sink, batch_id, [])
+        write_batch(to_v1(route(env)), sink, run, batch_id, [])
     return handle
 
 
