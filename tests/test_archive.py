@@ -1,73 +1,110 @@
+"""Archive pairs, the slot index and the ledger, each rule with a case of its own."""
 from decimal import Decimal
 
-from ledgerline.sources import archive as A
-
-LISTING = "path string, name string, length long"
-
+import pytest
+from pyspark.sql import functions as F
 
-def listing(spark, names):
-    return spark.createDataFrame([(f"/d/{n}", n, 100) for n in names], LISTING)
-
-
-def test_pairs_newest_first(spark):
-    got = A.archive_pairs(listing(spark, ["100_200.meta", "100_200.bin", "300_400.meta", "300_400.bin"])).collect()
-    assert [r.prefix for r in got] == ["300_400", "100_200"]
+from ledgerline.session import scratch_dir
+from ledgerline.sources import archive as A
 
+FILE = "path string, name string, length long"
+ENTRY = "prefix string, entries array<struct<slot:decimal(20,0),offset:decimal(20,0),size:decimal(20,0)>>"
 
-def test_incomplete_and_junk(spark):
-    names = ["500_600.meta", "700_800.bin", "900_1000.meta", "900_1000.bin", "invalid.txt", "no_extension",
-             "wrong.extension", ".meta", ".bin", "valid_123.meta", "valid_123.bin", "a.meta.meta", "a.bin"]
-    got = [r.prefix for r in A.archive_pairs(listing(spark, names)).collect()]
-    assert got == ["900_1000", "a", "valid_123"]
 
+def manifest(spark, *names):
+    return A.archive_pairs(spark.createDataFrame([(f"/x/{n}", n, 10 + i) for i, n in enumerate(names)], FILE))
 
-def test_pending_and_slot_status(spark):
-    man = A.archive_pairs(listing(spark, ["1_2.meta", "1_2.bin", "3_4.meta", "3_4.bin"]))
-    done = spark.createDataFrame([("3_4",)], "prefix string")
-    assert [r.prefix for r in A.pending_pairs(man, done).collect()] == ["1_2"]
-    idx = spark.createDataFrame(
-        [("1_2", [tuple(None if v is None else Decimal(v) for v in e)
-                  for e in [(1000, None, 100), (1001, 1000000, 100), (1002, 0, 17)]]), ("1_2", [])],
-        "prefix string, entries array<struct<slot:decimal(20,0),offset:decimal(20,0),size:decimal(20,0)>>")
-    st = A.slot_status(A.expand_slot_index(idx), man.withColumn("bin_length", man.bin_length * 0 + 17))
-    assert sorted((int(r.slot), r.status) for r in st.collect()) == [(1000, "no_offset"), (1001, "out_of_range"),
-                                                                        (1002, "ok")]
 
+def prefixes(df):
+    return [r.prefix for r in df.collect()]
 
-LEDGER = ["# This is a comment", "", "2025-01-01T00:00:00Z,valid_001,completed", "invalid_line_without_commas",
-          "2025-01-01T00:00:00Z,valid_002", "2025-01-01T00:00:00Z,failed_003,failed",
-          "2025-01-01T00:00:00Z,valid_004,completed"]
 
+@pytest.mark.parametrize("names,want", [
+    ([], []),
+    (["7_9.meta", "7_9.bin"], ["7_9"]),
+    (["7_9.meta", "8_9.bin"], []),                                            # two halves of different pairs
+    (["7_9.META", "7_9.bin"], []),                                            # suffixes are case-sensitive
+    (["7_9.meta.meta.meta", "7_9.bin"], ["7_9"]),                             # a repeated suffix counts once
+    (["7_9.bin.meta", "7_9.bin"], []),                                        # only its own suffix is taken off
+    ([".bin", ".meta", ".meta.meta"], []),                                    # no prefix left
+    (["notes", "7_9.metadata", "7_9.bin"], []),
+    (["90_99.meta", "90_99.bin", "100_109.meta", "100_109.bin"], ["100_109", "90_99"]),     # by number, not by text
+    (["zz_1.meta", "zz_1.bin", "5_6.meta", "5_6.bin"], ["5_6", "zz_1"]),      # no number counts as 0
+])
+def test_pairs(spark, names, want):
+    assert prefixes(manifest(spark, *names)) == want
 
-def lines(spark, ls):
-    return spark.createDataFrame([(l, i) for i, l in enumerate(ls)], "line string, ord long")
 
+def test_repeated_suffix_keeps_the_smallest_path(spark):
+    row = manifest(spark, "4_5.meta.meta", "4_5.meta", "4_5.bin").collect()[0]
+    assert (row.meta_path, row.meta_length, row.bin_length) == ("/x/4_5.meta", 11, 12)
 
-def test_corrupted_ledger(spark):
-    got = sorted(r.prefix for r in A.processed_prefixes(lines(spark, LEDGER)).collect())
-    assert got == ["valid_001", "valid_004"]
 
+def test_pending(spark):
+    pairs = manifest(spark, "1_1.meta", "1_1.bin", "2_2.meta", "2_2.bin", "3_3.meta", "3_3.bin")
+    done = spark.createDataFrame([("2_2",), ("2_2",), ("9_9",)], "prefix string")
+    assert prefixes(A.pending_pairs(pairs, done)) == ["3_3", "1_1"]
 
-def test_compaction_first_vs_last(spark):
-    ls = ["t1,duplicate_001,completed", "t2,duplicate_001,completed", "t3,duplicate_001,completed",
-          "t4,unique_002,completed", "# keep me", "t5,p,failed", "t6,p,completed", "short"]
-    first = [r.line for r in A.compact_ledger(lines(spark, ls), "first").orderBy("ord").collect()]
-    last = [r.line for r in A.compact_ledger(lines(spark, ls), "last").orderBy("ord").collect()]
-    assert first == ["t1,duplicate_001,completed", "t4,unique_002,completed", "# keep me", "t5,p,failed"]
-    assert last == ["t3,duplicate_001,completed", "t4,unique_002,completed", "# keep me", "t6,p,completed"]
 
+def test_slot_status_and_totals(spark):
+    pairs = manifest(spark, "1_1.meta", "1_1.bin").withColumn("bin_length", F.lit(50).cast("long"))
 
-def test_tail_and_stats(spark):
-    ls = [f"t,p{i:02d},completed" for i in range(13)]
-    tail = A.ledger_tail(lines(spark, ls)).collect()
-    assert sorted(r.prefix for r in tail) == [f"p{i:02d}" for i in range(3, 13)]
-    assert {r.others for r in tail} == {3}
-    assert A.ledger_stats(lines(spark, ls)).collect()[0].processed_count == 13
+    def entry(*values):
+        return tuple(None if v is None else Decimal(v) for v in values)
+    index = spark.createDataFrame([
+        ("1_1", [entry(11, 0, 50), entry(12, 1, 50), entry(13, None, 5), entry(14, 49, 1), entry(15, 2 ** 64 - 1, 2 ** 64 - 1)]),
+        ("2_2", [entry(21, 0, 1)]), ("3_3", [])], ENTRY)
+    status = A.slot_status(A.expand_slot_index(index), pairs)
+    assert {int(r.slot): r.status for r in status.collect()} == {
+        11: "ok", 12: "out_of_range", 13: "no_offset", 14: "ok", 15: "out_of_range", 21: "missing_file"}
+    assert {r.prefix: (r.entries, r.readable, r.bytes) for r in A.file_totals(status).collect()} == {"1_1": (5, 2, 51), "2_2": (1, 0, 0)}
 
 
-def test_ledger_file_roundtrip(spark):
-    from ledgerline.session import scratch_dir
+# ------------------------------------------------------------------ ledger
+def ledger(spark, *appends):
+    """A ledger of several appends, each a list of lines."""
     path = scratch_dir(spark, "ledger")
-    A.append_ledger(spark.createDataFrame([("a_1",), ("b_2",)], "prefix string"), path, "2025-01-01T00:00:00Z")
-    got = sorted(r.prefix for r in A.processed_prefixes(A.read_ledger_lines(spark, path)).collect())
-    assert got == ["a_1", "b_2"]
+    for lines in appends:
+        A.append_lines(spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1), path)
+    return A.read_ledger_lines(spark, path)
+
+
+@pytest.mark.parametrize("line,done", [
+    ("2024-05-01T10:00:00Z,k,completed", True), ("  2024-05-01T10:00:00Z,k,completed ", True), ("t,k,completed,more", True),
+    ("t,k,COMPLETED", False), ("t,k,failed", False), ("t,k", False), ("k", False), ("", False), ("   ", False), ("#t,k,completed", False)])
+def test_which_lines_count(spark, line, done):
+    assert prefixes(A.processed_prefixes(ledger(spark, [line, "t,other,completed"]))) in ([["other", "k"], ["k", "other"]] if done else [["other"]])
+
+
+@pytest.mark.parametrize("trial", range(3))
+def test_compaction_follows_the_lines_own_time(spark, trial):
+    """Four appends that write the times in no order; the part files' names are random."""
+    times = ["03", "01", "04", "02"]
+    lines = ledger(spark, *[[f"2024-05-{t},k,failed", "# note", ""] for t in times])
+    picked = {keep: [r.line for r in A.compact_ledger(lines, keep).where("line_kind = 'entry'").collect()] for keep in ("first", "last")}
+    assert picked == {"first": ["2024-05-01,k,failed"], "last": ["2024-05-04,k,failed"]}
+    assert A.compact_ledger(lines).where("line_kind <> 'entry'").count() == 8
+
+
+def test_compaction_of_equal_times_follows_the_position(spark):
+    lines = ledger(spark, ["t,k,failed", "t,k,completed", "lone", "t,m,completed"])
+    assert sorted(r.line for r in A.compact_ledger(lines, "first").collect()) == ["t,k,failed", "t,m,completed"]
+    assert sorted(r.line for r in A.compact_ledger(lines, "last").collect()) == ["t,k,completed", "t,m,completed"]
+    plan = A.compact_ledger(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_stats_and_tail(spark):
+    lines = ledger(spark, [f"t,{c},completed" for c in "gfedcba"], ["t,a,completed", "t,zz,failed"])
+    assert A.ledger_stats(lines).first()[0] == 7
+    assert sorted(tuple(r) for r in A.ledger_tail(lines, 2).collect()) == [("f", 5), ("g", 5)]
+    assert {r.others for r in A.ledger_tail(lines, 20).collect()} == {0}
+
+
+def test_append_and_existence(spark):
+    path = scratch_dir(spark, "fresh")
+    assert not A.ledger_exists(spark, path) and not A.ledger_exists(spark, path + "/none")
+    A.append_ledger(spark.createDataFrame([("5_6",)], "prefix string"), path, "2024-05-01T00:00:00Z")
+    A.append_ledger(spark.createDataFrame([("7_8",)], "prefix string"), path, "2024-05-02T00:00:00Z", status="failed")
+    assert A.ledger_exists(spark, path)
+    assert prefixes(A.processed_prefixes(A.read_ledger_lines(spark, path))) == ["5_6"]

@@ -26,6 +26,14 @@ def test_retention_count_ttl_bytes(spark):
     assert V.retain(e, as_of, ttl_seconds=300, max_msgs=100, max_bytes=50).count() == 5
 
 
+def test_byte_limit_keeps_the_same_messages_with_and_without_a_message_limit(spark):
+    at = dt.datetime(2024, 1, 1)
+    e = spark.createDataFrame([(1, at, f"u{i}", 10) for i in range(6)] + [(2, at, "x", 31), (2, at - dt.timedelta(seconds=1), "y", 1)],
+                              "channel long, ts timestamp_ntz, uuid string, payload_bytes long")
+    kept = [sorted(r.uuid for r in V.retain(e, "2024-01-01 00:00:01", 300, m, 30).collect()) for m in (100, -1)]
+    assert kept == [["u3", "u4", "u5"]] * 2
+
+
 def test_ttl_drops_old(spark):
     e = env(spark, 3)
     assert V.retain(e, "2024-01-01 00:05:01", ttl_seconds=300).count() == 0

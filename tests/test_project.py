@@ -85,8 +85,20 @@ def test_inrow_bundle_equals_regrouped(spark):
     tx = S.transactions(spark, "/root/testdata/sf0.001")
 
     def norm(df):
-        return sorted((r["user_id"], r["chunk"], tuple(tuple(tuple(x) for x in r[t.name]) for t in TABLES))
-                      for r in df.collect())
-    assert norm(event_bundle(pair_fold(tx), ["user_id", "chunk"])) == norm(event_bundle_inrow(tx, ["user_id", "chunk"]))
-    plan = event_bundle_inrow(tx, ["user_id", "chunk"])._jdf.queryExecution().executedPlan().toString()
+        return sorted((r["user_id"], tuple(tuple(tuple(x) for x in r[t.name]) for t in TABLES)) for r in df.collect())
+    assert norm(event_bundle(pair_fold(tx), ["user_id"])) == norm(event_bundle_inrow(tx, ["user_id"]))
+    plan = event_bundle_inrow(tx, ["user_id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1          # only the stand-in's own grouping
+
+
+def test_keys_are_encoded_for_the_rows_of_a_kind_only(spark):
+    from ledgerline.operators.project import rows_of, table_rows
+    from ledgerline.plans import standins as S
+    from ledgerline.schemas import TABLES, table_spec
+    rows = table_rows(pair_fold(S.transactions(spark, "/root/testdata/sf0.001")))
+    assert "_b58_udf" not in rows._jdf.queryExecution().executedPlan().toString()
+    for t in TABLES:
+        plan = rows_of(rows, t.name)._jdf.queryExecution().optimizedPlan().toString()
+        udf = next(line for line in plan.split("\n") if "ArrowEvalPython" in line)
+        assert udf.count("_b58_udf(") == sum(conv == "key" for *_, conv in table_spec(t.name).columns) <= 15
+        assert plan.index("ArrowEvalPython") < plan.index("Filter")          # below the UDF: rows are filtered first

@@ -1,4 +1,5 @@
 import pandas as pd
+from pyspark.sql import functions as F
 
 from ledgerline.operators.scan import segmented_scan
 
@@ -31,3 +32,12 @@ def test_empty_partitions_and_null_keys(spark):
     assert (got["rn"].to_numpy() == (g.cumcount() + 1).to_numpy()).all()
     lag = g["o"].shift(1)
     assert got["lg"].isna().equals(lag.isna())
+
+
+def test_exact_sums_with_nulls_and_descending_order(spark):
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(1, 1, big), (1, 2, None), (1, 3, 0)], "k long, o long, v long")
+    up = {r.o: r.cs for r in segmented_scan(df, ["k"], ["o"], cumsums={"cs": "v"}, num_partitions=3).collect()}
+    assert up == {1: big, 2: big, 3: big}
+    down = {r.o: r.cs for r in segmented_scan(df, ["k"], [F.col("o").desc()], cumsums={"cs": "v"}, num_partitions=3).collect()}
+    assert down == {1: big, 2: 0, 3: 0}
