@@ -79,13 +79,10 @@ def fanout_batch(to_transactions: Callable[[DataFrame], DataFrame], sink_root: s
     tables (one natural key, one row, across batches and runs).  ``log`` gets
     the batch, its id and the rows of each kind after the tables are written."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = to_transactions(batch).persist()
-        try:
-            found = write_event_tables(pair_fold(batch), sink_root, table_names, dedupe=True, layout=False)
-            if log is not None:
-                log(batch, batch_id, found)
-        finally:
-            batch.unpersist()
+        batch = to_transactions(batch)
+        found = write_event_tables(pair_fold(batch), sink_root, table_names, dedupe=True, layout=False)
+        if log is not None:
+            log(batch, batch_id, found)
     return handle
 
 
