@@ -3,9 +3,10 @@ functions of DataFrames and paths.  Clocks and settings are arguments."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,9 @@ from ledgerline.sources import archive as A
 from ledgerline.sources import transfer as X
 
 
+CONCURRENT_WRITES = 4        # event tables that are written at a time
+
+
 def write_event_tables(paired: DataFrame, sink_root: str, table_names: dict[str, str] | None = None,
                        kinds=tuple(t.name for t in TABLES), dedupe: bool = False, layout: bool = True) -> dict[str, int]:
     """The 8 tables from one pairing, ``{sink_root}/{table name}/event_date=...``,
@@ -38,11 +42,17 @@ def write_event_tables(paired: DataFrame, sink_root: str, table_names: dict[str,
     rows_all = rows_all.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         found = rows_all.groupBy("event_table", X.DAY).count().collect()       # a row per kind and day
-        for kind in kinds:
+
+        def write(kind: str) -> None:
             days = sorted(r[1] for r in found if r[0] == kind)
             if days:
                 X.append_rows(rows_of(rows_all, kind, [X.DAY]), f"{sink_root.rstrip('/')}/{names[kind]}", dedupe=dedupe,
                               layout=X.ORDER if layout else None, days=days, distinct=True)
+
+        job = inheritable_thread_target(paired.sparkSession)
+        with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:      # the tables are independent; a failed one fails the call
+            for done in [pool.submit(job(write), kind) for kind in kinds]:
+                done.result()
         return {kind: sum(r[2] for r in found if r[0] == kind) for kind in kinds}
     finally:
         rows_all.unpersist()
