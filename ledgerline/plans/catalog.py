@@ -22,7 +22,7 @@ from ledgerline.operators.project import bundle_json, bundle_sizes, classify_pai
 from ledgerline.plans import jobs as P
 from ledgerline.plans import standins as S
 from ledgerline.schemas import EVENT_STRUCT, TABLES, table_schema
-from ledgerline.session import scratch_dir
+from ledgerline.session import scratch_dir, staged
 from ledgerline.sources import archive as A
 from ledgerline.sources import transfer as X
 from ledgerline.streaming import jobs as J
@@ -257,22 +257,24 @@ SPAN = R.hour_span(START, END)
 
 
 def _diff_minutes(spark, d):
+    """The difference lists are staged: each is derived once, not once per use."""
     local, remote = _local_remote(spark, d)
-    return local, remote, R.reconcile_minutes(local, remote, START, END)
+    dh = staged(R.reconcile_hours(local, remote, START, END), "hours")
+    return local, remote, dh, staged(R.reconcile_minutes(local, remote, START, END, diff_hours=dh), "minutes")
 
 
 @register("repair_counts", _with(_SQL_LOCAL_REMOTE) + """
 SELECT dm.minute, CAST(count(r.instruction_index) AS BIGINT) AS local_rows
 FROM dm LEFT JOIN resend r ON r."timestamp" - r."timestamp" % 60 = dm.minute GROUP BY dm.minute""")
 def q_repair_counts(spark, d):
-    local, _, dm = _diff_minutes(spark, d)
+    local, _, _, dm = _diff_minutes(spark, d)
     return R.repair_counts(local, dm, span=SPAN)
 
 
 @register("repair_append", _with(_SQL_LOCAL_REMOTE) + """
 SELECT * FROM resend""")
 def q_repair_append(spark, d):
-    local, remote, dm = _diff_minutes(spark, d)
+    local, remote, _, dm = _diff_minutes(spark, d)
     return R.repair_rows(local, remote, dm, mode="append", span=SPAN)
 
 
@@ -281,7 +283,7 @@ SELECT * FROM resend s WHERE NOT EXISTS (
   SELECT 1 FROM rem r WHERE r.signature = s.signature AND r.instruction_index = s.instruction_index
     AND r."timestamp" - r."timestamp" % 60 IN (SELECT minute FROM dm))""")
 def q_repair_missing_only(spark, d):
-    local, remote, dm = _diff_minutes(spark, d)
+    local, remote, _, dm = _diff_minutes(spark, d)
     return R.repair_rows(local, remote, dm, mode="missing_only", span=SPAN)
 
 
@@ -290,9 +292,7 @@ SELECT 'events' AS table_name, (SELECT CAST(count(*) AS BIGINT) FROM dh) AS diff
        (SELECT CAST(count(*) AS BIGINT) FROM dm) AS diff_minutes,
        (SELECT CAST(count(*) AS BIGINT) FROM resend) AS synced_records""")
 def q_reconcile_summary(spark, d):
-    local, remote = _local_remote(spark, d)
-    dh = R.reconcile_hours(local, remote, START, END)
-    dm = R.reconcile_minutes(local, remote, START, END, diff_hours=dh)
+    local, remote, dh, dm = _diff_minutes(spark, d)
     return R.reconcile_summary("events", dh, dm, R.repair_rows(local, remote, dm, mode="append", span=SPAN))
 
 

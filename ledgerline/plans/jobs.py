@@ -15,7 +15,7 @@ from ledgerline.operators import reconcile as R
 from ledgerline.operators.pairing import pair_fold
 from ledgerline.operators.project import common_field, rows_of, table_rows
 from ledgerline.schemas import TABLES
-from ledgerline.session import scratch_dir
+from ledgerline.session import staged
 from ledgerline.sources import archive as A
 from ledgerline.sources import transfer as X
 
@@ -79,7 +79,7 @@ def ingest_batch(spark: SparkSession, archive_dir: str, ledger_path: str, transa
     else:
         done = spark.createDataFrame([], "prefix string")
     # the ledger grows below, so the pending list is cut from it
-    pending = A.pending_pairs(manifest, done).select("prefix").checkpoint(eager=True)
+    pending = staged(A.pending_pairs(manifest, done).select("prefix"), "pending")
     todo = transactions.join(pending, "prefix", "left_semi")
     write_tables_from_transactions(todo.drop("prefix"), sink_root, dedupe=True)
     A.append_ledger(pending, ledger_path, now)
@@ -139,13 +139,10 @@ def reconcile_and_repair(tables: dict[str, tuple[DataFrame, DataFrame, str | Non
             spark = local.sparkSession
             # the difference lists are small (bounded by the checked hours) and
             # must not be re-evaluated after the repair changed the remote copy:
-            # cut their lineage with reliable checkpoints before writing
-            dh = R.reconcile_hours(local, remote, start, end).checkpoint(eager=True)
-            dm = R.reconcile_minutes(local, remote, start, end, diff_hours=dh).checkpoint(eager=True)
-            found = R.repair_rows(local, remote, dm, mode=mode, span=span)
-            staged = scratch_dir(spark, "repair") + "/rows"
-            found.write.parquet(staged)
-            rows = spark.read.schema(found.schema).parquet(staged)
+            # their lineage is cut before writing
+            dh = staged(R.reconcile_hours(local, remote, start, end), "hours")
+            dm = staged(R.reconcile_minutes(local, remote, start, end, diff_hours=dh), "minutes")
+            rows = staged(R.repair_rows(local, remote, dm, mode=mode, span=span), "repair")
             done = bool(apply and remote_path)
             if done:
                 R.apply_repair(rows, remote_path, [X.DAY] if X.DAY in remote.columns else None)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -78,3 +78,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
     return path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage of ``df``: written once to the shared folder and read back
+    (``checkpoint()`` would run its plan twice)."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name) + "/rows"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
