@@ -15,7 +15,7 @@ from ledgerline.llm.common import materialize, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with no or an ambiguous language go."""
+    """Documents of undetermined language go."""
     return lang_id.keep_identified(docs)
 
 

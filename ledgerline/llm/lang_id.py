@@ -192,8 +192,9 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` without those whose language is undetermined or ambiguous."""
+    """``docs`` without those whose language is undetermined.  Ambiguous texts stay: they are
+    in one or two of the learned languages."""
     name = free_name(docs, "_language")
     out = docs.withColumn(name, language_column(fitted(docs), col(docs, "text")))
     found = col(out, name)
-    return out.where((found["lang_pred"] != UNDETERMINED) & ~found["ambiguous"]).drop(name)
+    return out.where(found["lang_pred"] != UNDETERMINED).drop(name)

@@ -9,7 +9,7 @@ from tests.llm.data import SF, awkward, frame, with_clash
 def test_run_is_the_stages_by_hand(spark):
     """The pipeline against its operators' single-row functions and queries."""
     docs = table(spark, SF, "documents")
-    kept = {r.doc_id for r in lang_id.query(docs).collect() if r.lang_pred != "und" and not r.ambiguous}
+    kept = {r.doc_id for r in lang_id.query(docs).collect() if r.lang_pred != "und"}
     docs = docs.where(docs.doc_id.isin(*kept))
     kept = {r.component_id for r in simhash.query(docs).collect()}
     docs = docs.where(docs.doc_id.isin(*kept))
