@@ -201,12 +201,12 @@ EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-
 PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})(?![A-Za-z0-9])",
     "date": r"(?<![0-9A-Za-z./-])(?:(?P<y1>[0-9]{4})(?P<ysep>[-/.])(?P<y2>[0-9]{1,2})(?P=ysep)(?P<y3>[0-9]{1,2})"
-            r"|(?P<d1>[0-9]{1,2})(?P<dsep>[./])(?P<d2>[0-9]{1,2})(?P=dsep)(?P<d3>[0-9]{4}))(?![0-9A-Za-z]|[./-][0-9])",
+            r"|(?P<d1>[0-9]{1,2})(?P<dsep>[./])(?P<d2>[0-9]{1,2})(?P=dsep)(?P<d3>[0-9]{4}))(?:(?=T[0-9]{2}:)|(?![0-9A-Za-z]|[./-][0-9]))",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?P<csep>[ -])[0-9]{4}(?P=csep)[0-9]{4}(?P=csep)[0-9]{4}"
             r"|[0-9]{4}(?P<asep>[ -])[0-9]{6}(?P=asep)[0-9]{5})(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])(?:(?P<code>\+[0-9]{1,3}[ .-]?)(?P<rest>\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4})"
+    "phone": r"(?<![0-9A-Za-z+])(?:(?P<code>\+[0-9]{1,3}[ .-]?)(?P<rest>\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4})"
              r"|(?:1[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])",
 }
 NUMBERS = re.compile("|".join(f"(?:{p})" for p in PATTERNS.values()))

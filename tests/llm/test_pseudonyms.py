@@ -17,7 +17,7 @@ def test_permutation(size):
 
 
 VALUES = ["4111111111111111", "4111 1111 1111 1111", "3782-822463-10005", "GB82WEST12345698765432", "DE89 3704 0044 0532 0130 00",
-          "078-05-1120", "+1 (017) 555-7713", "(212) 555-1234", "212-555-1234", "+49 30 1234 5678", "97.51.17.173", "2020-02-29", "2/28/2021",
+          "078-05-1120", "+1 (017) 555-7713", "(212) 555-1234", "212-555-1234", "+49 30 1234 5678", "+33 1 23 45 67 89", "+14155552671", "97.51.17.173", "2020-02-29", "2/28/2021",
           "25/12/1999", "25.12.1999", "ann.55@mail4.example.com"]
 LEFT = ["4111111111111112", "999.1.1.1", "127.0.0.1", "2021-02-29", "000-12-1234", "GB82WEST12345698765431", "version 4.0", "31.02.2020",
         "a@b", "1234567890123456789012", "deadbeef4111111111111111", "in 1999 or 2001"]
@@ -65,6 +65,11 @@ def test_one_to_one():
         assert len({P.pseudonyms(t)[0] for t in texts}) == len(texts)
 
 
+def test_time_of_day_stays():
+    new, n = P.pseudonyms("at 2021-03-04T10:20:30Z")
+    assert n == 1 and new.endswith("T10:20:30Z") and "2021-03-04" not in new
+
+
 def test_overlapping_candidates():
     """A longer candidate that fails does not hide a valid value inside it."""
     assert P.pseudonyms("AB12 3456 4111 1111 1111 1111")[1] == 1
