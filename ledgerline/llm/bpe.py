@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import col, free_name, text_udf
+from ledgerline.llm.common import col, free_name, small_batches, text_udf
 
 MAX_VOCAB_BYTES = 64 << 20
 BLOCK = 1 << 16              # pre-tokens that are held at once
@@ -186,6 +186,7 @@ def _coder(spec: str) -> ByteBpe:
 
 def vocabulary(spark: SparkSession, path: str):
     """The vocabulary file as a broadcast; refuses files over MAX_VOCAB_BYTES."""
+    small_batches(spark)
     if os.path.getsize(path) > MAX_VOCAB_BYTES:
         raise ValueError(f"{path} is larger than {MAX_VOCAB_BYTES} bytes")
     with open(path, encoding="utf-8") as f:

@@ -16,6 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """At most BATCH_ROWS rows in an Arrow batch: texts are long, and a Python worker
+    holds a batch several times over.  Changes no result."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` below the shared checkpoint folder and read
     it back.  One computation (``checkpoint()`` would run the plan twice), and

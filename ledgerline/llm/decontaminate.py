@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import col, free_name, materialize
+from ledgerline.llm.common import col, free_name, materialize, small_batches
 from ledgerline.llm.textcodes import DIGIT, LETTER, UPPER, Codes, mix, portions
 
 WINDOW = 8
@@ -161,6 +161,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_broadcast: int = MAX
     """A row for every document and benchmark item that it contains: doc_id, text_key (hash of
     the text), item_id, n_item_tokens, n_covered, kind."""
     spark = docs.sparkSession
+    small_batches(spark)
     items = benchmark.select(col(benchmark, "item_id").alias("item_id"), col(benchmark, "text").alias("text")) \
         .where("item_id is not null")
     items = materialize(spark, _windows(items, ["item_id"], [], short=True), "benchmark-windows")

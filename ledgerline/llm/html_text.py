@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import col, text_udf
+from ledgerline.llm.common import col, small_batches, text_udf
 from ledgerline.llm.textcodes import DIGIT, LETTER, Codes
 
 # Element names.
@@ -333,6 +333,7 @@ def text_column(labeller, page: Column) -> Column:
 
 def query(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
+    small_batches(pages.sparkSession)
     labeller = pages.sparkSession.sparkContext.broadcast(train(pages))
     out = pages.select(col(pages, "page_id").alias("page_id"), col(pages, "url").alias("url"),
                        text_column(labeller, col(pages, "html")).alias("text"))

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import col, crc_mod, free_name, text_udf
+from ledgerline.llm.common import col, crc_mod, free_name, small_batches, text_udf
 from ledgerline.llm.textcodes import LETTER, Codes, portions
 
 DIMS = 1 << 12
@@ -179,6 +179,7 @@ def language_column(model, text: Column) -> Column:
 
 def fitted(docs: DataFrame):
     """Broadcast model learned from ``docs`` outside the held-out fold."""
+    small_batches(docs.sparkSession)
     own = docs.select(col(docs, "doc_id").alias("id"), col(docs, "text").alias("text"), col(docs, "lang").alias("lang"))
     return docs.sparkSession.sparkContext.broadcast(train(own.where(crc_mod(F.col("id"), FOLDS) != HELD_OUT)))
 

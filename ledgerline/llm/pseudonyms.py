@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import col, free_name, text_udf
+from ledgerline.llm.common import col, free_name, small_batches, text_udf
 
 #: Stands in where no key is given; a deployment passes its own.
 DEMO_KEY = b"demonstration key, not a secret"
@@ -251,12 +251,14 @@ def pseudonym_column(text: Column, key: bytes = DEMO_KEY) -> Column:
 
 def query(docs: DataFrame, key: bytes = DEMO_KEY) -> DataFrame:
     """doc_id, text with pseudonyms, and n_values for every document."""
+    small_batches(docs.sparkSession)
     out = docs.select(col(docs, "doc_id").alias("doc_id"), pseudonym_column(col(docs, "text"), key).alias("_p"))
     return out.select("doc_id", F.col("_p.text").alias("text"), F.col("_p.n_values").alias("n_values"))
 
 
 def pseudonymise(docs: DataFrame, key: bytes = DEMO_KEY) -> DataFrame:
     """``docs`` with pseudonyms in ``text``, and n_chars (if there) of the new text."""
+    small_batches(docs.sparkSession)
     name = free_name(docs, "_pseudonyms")
     out = docs.withColumn(name, pseudonym_column(col(docs, "text"), key))
     new = col(out, name)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import col, crc_mod, text_udf
+from ledgerline.llm.common import col, crc_mod, small_batches, text_udf
 from ledgerline.llm.textcodes import DIGIT, LETTER, SPACE, UPPER, Codes, mix, portions
 
 WORDS, DIMS, NONZERO, SPAN = 1 << 13, 32, 4, 2
@@ -187,6 +187,7 @@ def score_column(vectors, network, text: Column) -> Column:
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
+    small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     vectors = sc.broadcast(word_vectors(docs))
     known = labels.select(col(labels, "doc_id").alias("id"), col(labels, "quality").cast("int").alias("label"))

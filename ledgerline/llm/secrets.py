@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import col, text_udf
+from ledgerline.llm.common import col, small_batches, text_udf
 from ledgerline.llm.textcodes import DIGIT, LETTER, SPACE, UPPER, Codes, portions
 
 # The base patterns, and the least length of each kind's checked part.
@@ -305,6 +305,7 @@ def scan_column(field, text: Column) -> Column:
 
 def query(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every document."""
+    small_batches(docs.sparkSession)
     field = docs.sparkSession.sparkContext.broadcast(train(docs))
     out = docs.select(col(docs, "doc_id").alias("doc_id"), scan_column(field, col(docs, "text")).alias("_s"))
     return out.select("doc_id", *[F.col(f"_s.{c}") for c in ("n_assign", "n_access", "n_hex", "base_sha256", "spans")])

@@ -37,10 +37,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import col, free_name, materialize, text_udf
+from ledgerline.llm.common import col, free_name, materialize, small_batches, text_udf
 from ledgerline.llm.components import components
 
 SHINGLE = 3
@@ -213,6 +213,7 @@ def links(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """doc_id, fp (signed), root (fp that stands for the component), component_id: a row for every row of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     prints = materialize(spark, docs.select(
         col(docs, "doc_id").alias("doc_id"), fingerprint_column(col(docs, "text"), shingle).alias("fp")), "prints")
     heads = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))

@@ -11,7 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 
-PORTION = 1 << 20
+PORTION = 1 << 18
 LETTER, DIGIT, UPPER, SPACE = 1, 2, 4, 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = 0xD6E8FEB86659FD93
