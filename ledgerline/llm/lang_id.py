@@ -7,13 +7,21 @@ its codeword are summed, each weighted by how well that bit's classifier did on
 language's training texts, and the nearest codeword wins.  A text whose best two
 codewords are closer than MARGIN is flagged ambiguous.
 
+The bits only tell learned languages apart, so whether a text is in any of them is decided by
+its mean surprise: minus the mean log share of its n-grams in all learned languages together.
+A text of JUDGED letters or more whose surprise is over the model's reach is ``und``.  The
+reach is calibrated on labelled texts that neither bits nor shares were made from; a text in
+several learned languages has a mean of its parts' surprises, so it lies within it too.
+
 The classifiers are fitted on the driver on at most SAMPLE_PER_LANGUAGE labelled texts a
 language (taken by hash, whole texts; their n-gram vectors are made by Spark tasks, DIMS
 floats each).  The model is a few hundred KB and is broadcast; prediction is one scan
 without a shuffle.
 
-Cases: a null text or one without a letter is ``und`` with score 0, as is every text when
-nothing was learned; one learned language is predicted for all other texts; rows with a null
+Cases: a null text or one without a letter is ``und`` with score 0, as is a text out of reach
+and every text when nothing was learned (``keep_identified`` then keeps all with a letter);
+one learned language is predicted for all other texts; with fewer than MIN_MEASURED
+calibration texts in all no text is out of reach; rows with a null
 label, text or id are not learned from; repeated rows are predicted alike; texts of any
 length are read whole; ties go to the first language by name; the input's other columns,
 whatever their names, never reach the classifier.
@@ -36,6 +44,9 @@ DIMS = 1 << 12
 SAMPLE_PER_LANGUAGE = 300
 MAX_LANGUAGES = 1 << 10
 MARGIN = 0.02
+JUDGED = 100                 # letters from which on a text can be out of reach
+WITHIN, SLACK = 0.998, 1.05  # share of a language's calibration texts within the reach, and what is added
+MIN_MEASURED = 20            # calibration texts a language that need no holding out
 FOLDS, HELD_OUT = 4, 2
 UNDETERMINED = "und"
 _BINS = 1 << 20
@@ -45,6 +56,12 @@ _BINS = 1 << 20
 def ngram_vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Rows of root-scaled, unit-length hashed n-gram counts, and whether a text has a letter.
     Letters are lower-cased; every run of other characters counts as one space."""
+    x, letters = _vectors(texts)
+    return x, letters > 0
+
+
+def _vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of ``ngram_vectors`` and each text's number of letters."""
     c = Codes(texts)
     letter = (c.kind & LETTER) > 0
     codes = np.where(letter, c.lower, np.uint32(32)).astype(np.uint64)
@@ -62,8 +79,8 @@ def ngram_vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 counts[i] += np.bincount(cell[edges[i]:b], minlength=DIMS)
     counts = np.sqrt(counts)
     norm = np.linalg.norm(counts, axis=1, keepdims=True)
-    some = np.add.reduceat(letter.astype(np.int64), c.starts) > 0 if len(texts) else np.zeros(0, dtype=bool)
-    return counts / np.maximum(norm, 1e-9), some
+    letters = np.add.reduceat(letter.astype(np.int64), c.starts) if len(texts) else np.zeros(0, dtype=np.int64)
+    return counts / np.maximum(norm, 1e-9), letters
 
 
 # ------------------------------------------------------------------ codewords and training
@@ -87,6 +104,11 @@ class Model:
     code: np.ndarray          # languages x bits
     weights: np.ndarray       # DIMS + 1 x bits
     trust: np.ndarray         # languages x bits, rows sum to 1
+    rarity: np.ndarray        # DIMS: minus log of an n-gram's share in all languages
+    reach: float = np.inf     # surprise beyond which a text is in no language
+
+    def surprise(self, x: np.ndarray) -> np.ndarray:
+        return np.square(x) @ self.rarity
 
 
 def fit(x: np.ndarray, labels: list[str], steps: int = 150, rate: float = 0.3) -> Model:
@@ -95,6 +117,8 @@ def fit(x: np.ndarray, labels: list[str], steps: int = 150, rate: float = 0.3) -
     languages = sorted(set(labels))
     code = codewords(len(languages))
     y = np.searchsorted(languages, labels) if len(labels) else np.zeros(0, dtype=np.int64)
+    share = [np.square(x[y == i], dtype=np.float64).mean(axis=0) for i in range(len(languages))]
+    rarity = -np.log(0.9999 * np.mean(share, axis=0) + 0.0001 / DIMS) if share else np.zeros(DIMS)
     x = np.concatenate([x, np.ones((len(x), 1), dtype=np.float32)], axis=1)
     w = np.zeros((x.shape[1], code.shape[1]))
     if code.shape[1]:
@@ -110,7 +134,7 @@ def fit(x: np.ndarray, labels: list[str], steps: int = 150, rate: float = 0.3) -
         trust /= trust.sum(axis=1, keepdims=True)
     else:
         trust = np.ones_like(code)
-    return Model(languages, code, w.astype(np.float32), trust)
+    return Model(languages, code, w.astype(np.float32), trust, rarity)
 
 
 def decode(model: Model, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,37 +168,49 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for first, texts in portions(batch["text"].tolist()):
-                x, _ = ngram_vectors(texts)
+                x, letters = _vectors(texts)
                 some = batch.iloc[first:first + len(texts)]
-                yield pd.DataFrame({"h": some["_h"], "lang": some["lang"], "x": [v.tobytes() for v in x.astype(np.float32)]})
+                yield pd.DataFrame({"h": some["_h"], "lang": some["lang"], "x": [v.tobytes() for v in x.astype(np.float32)],
+                                    "n": letters})
 
-    got = sorted((r["lang"], r["h"], r["x"]) for r in
-                 picked.select("_h", "lang", "text").mapInPandas(vectors, "h long, lang string, x binary").collect())
+    got = sorted((r["lang"], r["h"], r["x"], r["n"]) for r in picked.select("_h", "lang", "text").mapInPandas(
+        vectors, "h long, lang string, x binary, n long").collect())
     seen: dict[str, int] = {}
-    kept = []
-    for lang, _, x in got:
+    kept, more = [], []
+    for lang, _, x, n in got:
         seen[lang] = seen.get(lang, 0) + 1
-        if seen[lang] <= per_language:
-            kept.append((lang, np.frombuffer(x, dtype=np.float32)))
-    x = np.stack([v for _, v in kept]) if kept else np.zeros((0, DIMS), dtype=np.float32)
-    return fit(x, [lang for lang, _ in kept])
+        (kept if seen[lang] <= per_language else more).append((lang, np.frombuffer(x, dtype=np.float32), n))
+
+    def parts(some: list[tuple]) -> tuple[np.ndarray, list[str]]:
+        return np.stack([v for _, v, _ in some]) if some else np.zeros((0, DIMS), dtype=np.float32), [lang for lang, _, _ in some]
+    model = judge = fit(*parts(kept))
+    if any(sum(r[0] == lang and r[2] >= JUDGED for r in more) < MIN_MEASURED for lang in seen):   # every fourth text is held out
+        at = np.concatenate([np.arange(min(n, per_language)) for _, n in sorted(seen.items())])
+        more = [r for r, i in zip(kept, at, strict=True) if i % 4 == 0]
+        judge = fit(*parts([r for r, i in zip(kept, at, strict=True) if i % 4]), steps=0)
+    x, labels = parts([r for r in more if r[2] >= JUDGED])
+    far = [np.quantile(judge.surprise(x[np.array(labels) == lang]), WITHIN) for lang in set(labels)]
+    if len(labels) >= MIN_MEASURED:
+        model.reach = SLACK * float(max(far))
+    return model
 
 
 def language_column(model, text: Column) -> Column:
-    """struct(lang_pred, score, ambiguous); ``model`` is a broadcast Model."""
+    """struct(lang_pred, score, ambiguous, letters); ``model`` is a broadcast Model."""
     def run(s: pd.Series) -> pd.DataFrame:
         m: Model = model.value
-        out = [pd.DataFrame({"lang_pred": [], "score": [], "ambiguous": []})]
+        out = [pd.DataFrame({"lang_pred": [], "score": [], "ambiguous": [], "letters": []})]
         for _, texts in portions(s.tolist()):
             for i in range(0, len(texts), 512):
-                x, letters = ngram_vectors(texts[i:i + 512])
+                x, letters = _vectors(texts[i:i + 512])
                 best, score, unsure = decode(m, x)
-                known = letters & (len(m.languages) > 0)
+                known = (letters > 0) & (len(m.languages) > 0) & ((letters < JUDGED) | (m.surprise(x) <= m.reach))
                 names = np.array([*m.languages, UNDETERMINED], dtype=object)
                 out.append(pd.DataFrame({"lang_pred": names[np.where(known, best, len(m.languages))],
-                                         "score": np.where(known, score, 0.0), "ambiguous": unsure & known}))
-        return pd.concat(out, ignore_index=True).astype({"score": float, "ambiguous": bool})
-    return text_udf(run, "lang_pred string, score double, ambiguous boolean")(text)
+                                         "score": np.where(known, score, 0.0), "ambiguous": unsure & known,
+                                         "letters": letters > 0}))
+        return pd.concat(out, ignore_index=True).astype({"score": float, "ambiguous": bool, "letters": bool})
+    return text_udf(run, "lang_pred string, score double, ambiguous boolean, letters boolean")(text)
 
 
 def fitted(docs: DataFrame):
@@ -194,8 +230,9 @@ def query(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` without those whose language is undetermined.  Ambiguous texts stay: they are
-    in one or two of the learned languages."""
+    in one or two of the learned languages.  If none was learned, all texts with a letter stay."""
     name = free_name(docs, "_language")
-    out = docs.withColumn(name, language_column(fitted(docs), col(docs, "text")))
+    model = fitted(docs)
+    out = docs.withColumn(name, language_column(model, col(docs, "text")))
     found = col(out, name)
-    return out.where(found["lang_pred"] != UNDETERMINED).drop(name)
+    return out.where(found["lang_pred"] != UNDETERMINED if model.value.languages else found["letters"]).drop(name)

@@ -76,3 +76,25 @@ def test_nothing_or_one_language(spark):
     assert {(r.lang_pred, r.score) for r in L.query(frame(spark, none)).collect()} == {("und", 0.0)}
     one = [(i, "some text here", "en", "s", 1) for i in range(8)]
     assert {(r.lang_pred, r.score) for r in L.query(frame(spark, one)).collect()} == {("en", 1.0)}
+
+
+FOREIGN = ["съешь же ещё этих мягких французских булок да выпей чаю каждый день мы идём гулять в тёмный лес " * 3,
+           "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto " * 3,
+           "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem " * 3]
+
+
+def test_other_languages_go_and_mixed_ones_stay(spark):
+    rows = sample()
+    by = {lang: [r[1] for r in rows if r[2] == lang and len(r[1]) > 200] for lang in ("en", "de", "fr", "es")}
+    mixed = [(7000 + i, a[:600] + "\n" + b[:600], None, "s", 1)
+             for i, (a, b) in enumerate((by[x][k], by[y][k]) for x in by for y in by if x < y for k in range(3))]
+    foreign = [(7500 + i, t, None, "s", 1) for i, t in enumerate(FOREIGN)]
+    df = frame(spark, rows + mixed + foreign)
+    kept = {r.doc_id for r in L.keep_identified(df).collect()}
+    assert {r[0] for r in rows + mixed} <= kept and kept.isdisjoint(r[0] for r in foreign)
+    assert {r.lang_pred for r in L.query(df).collect() if r.doc_id >= 7500} == {"und"}
+
+
+def test_without_labels_texts_stay(spark):
+    rows = [(i, t, None, "s", 1) for i, t in enumerate(["some text here", "???", None, "mehr Text"])]
+    assert {r.doc_id for r in L.keep_identified(frame(spark, rows)).collect()} == {0, 3}
