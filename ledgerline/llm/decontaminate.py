@@ -2,15 +2,22 @@
 
 Every token of a text becomes itself in lower case or a typed placeholder: a number (it
 starts with a digit), a unit (a word of UNITS after a number) or a name (a capitalised word
-that does not begin a sentence).  Windows of ``WINDOW`` template tokens are hashed on both
-sides and joined on the hash; windows with fewer than ``MIN_LITERALS`` tokens that are no
+that does not begin a sentence).  Whether a capitalised word that begins a sentence is a name
+cannot be seen, so a text is read in three ways: such words are literals, all are names, or
+those are that are names elsewhere in the text.  Windows of ``WINDOW`` template tokens are hashed on both
+sides, reading by reading, and joined on the hash; windows with fewer than ``MIN_LITERALS`` tokens that are no
 placeholder are too general and not used.  An item shorter than a window is one window.
 
 Slot consistency: windows of one document and item on the same alignment (document place
 minus item place) must fill each of the item's slot values with one value throughout, as a
-re-parameterised question does; an alignment that does not is dropped.  A document contains
-an item if consistent windows cover MIN_COVERED of the item's tokens, or all of a shorter
-item.  ``kind`` is verbatim if all slots are filled as in the item, else reparameterised.
+re-parameterised question does; an alignment that does so in no reading is dropped.  A document contains
+an item if consistent windows of any reading cover MIN_COVERED of the item's tokens, or all of a shorter
+item.  ``kind`` is verbatim if all slots of an alignment are filled as in the item, else
+reparameterised.
+
+A fourth, plain reading takes all tokens as they are in lower case, without a least number of
+literals; it finds verbatim copies whatever their case and line breaks, and those of items
+without usable template windows.
 
 The benchmark's window hashes are broadcast as a prefilter while they are at most
 MAX_BROADCAST, and its window rows while they are at most MAX_BROADCAST_ROWS
@@ -19,8 +26,8 @@ hash, with the same result.  A passage that very many documents hold only repeat
 the documents' side of the join, which Spark can split; from there on keys are document and
 item.
 
-Cases: null and empty texts hold nothing and are in no item; items without usable windows
-match nothing; rows with a null item_id are left out; repeated document rows (same doc_id and
+Cases: null and empty texts hold nothing and are in no item; items of one token or of
+numbers alone match nothing; rows with a null item_id are left out; repeated document rows (same doc_id and
 text) are one; a null doc_id is told apart by its text's hash; extra columns are ignored by
 ``contaminated`` and kept by ``remove_contaminated``; empty tables give empty results.
 """
@@ -54,10 +61,12 @@ UNITS = ("mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "foot", "yard",
 #: Code points after which a word begins a sentence.
 SENTENCE_ENDS = '.!?:;\n\r"“”„«»'
 LITERAL, NUMBER, UNIT, NAME = range(4)
+#: Readings of a capitalised word that begins a sentence, and the plain one.
+AS_LITERAL, AS_NAME, AS_KNOWN, PLAIN = range(4)
 
 
 class Template:
-    """Template tokens of several texts: start, end, text index, kind and template hash."""
+    """Template tokens of several texts: start, end, text index, and by reading kind and hash."""
 
     def __init__(self, texts: list[str]):
         c = self.codes = Codes(texts)
@@ -75,30 +84,43 @@ class Template:
         upper = (c.kind & UPPER) > 0
         second = np.minimum(self.start + 1, len(c.codes) - 1)
         capital = upper[self.start] & (self.end - self.start > 1) & ~upper[second] & ((c.kind[second] & LETTER) > 0)
-        self.kind = np.where(digit[self.start], NUMBER, np.where(capital & ~begins, NAME, LITERAL))
-        after_number = np.concatenate([[False], (self.kind[:-1] == NUMBER) & ~first[1:]])[: len(self.start)]
-        self.kind[after_number & np.isin(hashes, _unit_hashes())] = UNIT
-        self.hash = np.where(self.kind == LITERAL, hashes, mix(self.kind.astype(np.uint64)))
-
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """First tokens and hashes of the usable windows of n tokens."""
+        owned = hashes + mix(self.text.astype(np.uint64))             # a word of a text
+        known = np.zeros(len(self.start), dtype=bool)
+        known[capital & begins] = np.isin(owned[capital & begins], owned[capital & ~begins])
+        number = digit[self.start]
+        unit = np.concatenate([[False], number[:-1] & ~first[1:]])[: len(number)] & np.isin(hashes, _unit_hashes()) & ~number
+        self.kind, self.hash = [], []
+        for name in (capital & ~begins, capital, capital & ~begins | known):
+            kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, LITERAL)))
+            self.kind.append(kind)
+            self.hash.append(np.where(kind == LITERAL, hashes, mix(kind.astype(np.uint64))))
+        self.kind.append(np.full(len(number), LITERAL))
+        self.hash.append(hashes)
+        count = np.bincount(self.text, minlength=len(texts))
+        #: texts whose plain windows say enough: more than one token, not numbers alone
+        self.telling = (count > 1) & (np.bincount(self.text[number], minlength=len(texts)) < count)
+
+    def windows(self, n: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
+        """First tokens and hashes of the usable windows of n tokens in a reading."""
         k = len(self.start) - n + 1
         if k <= 0:
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
-        h = np.full(k, n, dtype=np.uint64)
+        h = np.full(k, n + (reading << 32), dtype=np.uint64)
         for i in range(n):
-            h = h * np.uint64(0x2545F4914F6CDD1D) + self.hash[i:i + k]
-        literal = np.concatenate([[0], np.cumsum(self.kind == LITERAL)])
-        usable = (self.text[n - 1:] == self.text[:k]) & (literal[n:] - literal[:k] >= MIN_LITERALS)
+            h = h * np.uint64(0x2545F4914F6CDD1D) + self.hash[reading][i:i + k]
+        usable = self.text[n - 1:] == self.text[:k]
+        if reading != PLAIN:
+            literal = np.concatenate([[0], np.cumsum(self.kind[reading] == LITERAL)])
+            usable &= literal[n:] - literal[:k] >= MIN_LITERALS
         at = np.flatnonzero(usable)
         return at, mix(h[at])
 
-    def slots(self, texts: list[str], at: int, n: int) -> list[str]:
+    def slots(self, texts: list[str], at: int, n: int, reading: int) -> list[str]:
         """Kind and value of each placeholder of the window of n tokens from token ``at``."""
-        out, base = [], self.codes.starts[self.text[at]]
+        out, kind, base = [], self.kind[reading], self.codes.starts[self.text[at]]
         for i in range(at, at + n):
-            if self.kind[i] != LITERAL:
-                out.append(f"{self.kind[i]}:{texts[self.text[i]][self.start[i] - base:self.end[i] - base].lower()}")
+            if kind[i] != LITERAL:
+                out.append(f"{kind[i]}:{texts[self.text[i]][self.start[i] - base:self.end[i] - base].lower()}")
         return out
 
 
@@ -113,8 +135,8 @@ def _unit_hashes() -> np.ndarray:
 
 
 def _windows(rows: DataFrame, keys: list[str], lengths: list[int], short: bool, wanted=None) -> DataFrame:
-    """``keys``, n_tokens (of the text), place, length, hash and slots of the windows of
-    column ``text``: of each of ``lengths``, or if ``short`` of WINDOW or a whole shorter text.
+    """``keys``, n_tokens (of the text), place, length, reading, hash and slots of the windows
+    of column ``text``: of each of ``lengths``, or if ``short`` of WINDOW or a whole shorter text.
     ``wanted``: broadcast of the sorted hashes outside which windows are not needed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,25 +146,30 @@ def _windows(rows: DataFrame, keys: list[str], lengths: list[int], short: bool,
                 token0 = np.concatenate([[0], np.cumsum(count)])
                 found = []
                 for n in sorted({WINDOW, *(set(count[count < WINDOW].tolist()) - {0} if short else lengths)}):
-                    at, h = t.windows(n)
-                    if short and n < WINDOW:
-                        keep = count[t.text[at]] == n
-                        at, h = at[keep], h[keep]
-                    if wanted is not None:
-                        keep = _contains(wanted.value, h)
-                        at, h = at[keep], h[keep]
-                    found.append((at, h, np.full(len(at), n)))
-                at, h, n = (np.concatenate(x) for x in zip(*found, strict=True))
+                    for reading in (AS_LITERAL, AS_NAME, AS_KNOWN, PLAIN):
+                        at, h = t.windows(n, reading)
+                        if short and n < WINDOW:
+                            keep = count[t.text[at]] == n
+                            at, h = at[keep], h[keep]
+                        if short and reading == PLAIN:
+                            keep = t.telling[t.text[at]]
+                            at, h = at[keep], h[keep]
+                        if wanted is not None:
+                            keep = _contains(wanted.value, h)
+                            at, h = at[keep], h[keep]
+                        found.append((at, h, np.full(len(at), n), np.full(len(at), reading)))
+                at, h, n, reading = (np.concatenate(x) for x in zip(*found, strict=True))
                 of = t.text[at]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(k).take(pa.array(of + first)) for k in range(len(keys))]
                     + [pa.array(count[of].astype(np.int32)), pa.array((at - token0[of]).astype(np.int32)),
-                       pa.array(n.astype(np.int32)), pa.array(h.view(np.int64)),
-                       pa.array([t.slots(texts, int(a), int(k)) for a, k in zip(at, n, strict=True)], pa.list_(pa.string()))],
-                    names=[*keys, "n_tokens", "place", "length", "hash", "slots"])
+                       pa.array(n.astype(np.int32)), pa.array(reading.astype(np.int32)), pa.array(h.view(np.int64)),
+                       pa.array([t.slots(texts, int(a), int(k), int(r)) for a, k, r in zip(at, n, reading, strict=True)],
+                                pa.list_(pa.string()))],
+                    names=[*keys, "n_tokens", "place", "length", "reading", "hash", "slots"])
 
     kinds = dict(rows.dtypes)
-    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["n_tokens int, place int, length int, hash long, slots array<string>"])
+    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["n_tokens int, place int, length int, reading int, hash long, slots array<string>"])
     return rows.select(*keys, "text").mapInArrow(run, schema)
 
 
@@ -166,7 +193,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_broadcast: int = MAX
         .where("item_id is not null")
     items = materialize(spark, _windows(items, ["item_id"], [], short=True), "benchmark-windows")
     items = items.select("item_id", F.col("n_tokens").alias("n_item_tokens"), F.col("place").alias("item_place"),
-                         "length", "hash", F.col("slots").alias("item_slots")).distinct()
+                         "length", "reading", "hash", F.col("slots").alias("item_slots")).distinct()
     lengths = [r[0] for r in items.select("length").distinct().collect()]           # WINDOW of them at most
     wanted = None
     hashes = items.select("hash").distinct().limit(max_broadcast + 1)
@@ -180,16 +207,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_broadcast: int = MAX
     if not lengths:
         rows = rows.limit(0)
     # repeated rows of a document give the same windows; sets below make them one
-    pairs = _windows(rows, ["doc_id", "text_key"], lengths, short=False, wanted=wanted).join(items, ["hash", "length"])
+    pairs = _windows(rows, ["doc_id", "text_key"], lengths, short=False, wanted=wanted).join(items, ["hash", "length", "reading"])
     value = F.zip_with("item_slots", "slots", lambda i, d: F.struct(i.alias("item"), d.alias("doc")))
-    lined = pairs.groupBy("doc_id", "text_key", "item_id", "n_item_tokens", "length", (F.col("place") - F.col("item_place")).alias("_line")).agg(
+    line = ["doc_id", "text_key", "item_id", "n_item_tokens", "length", "_line"]
+    lined = pairs.withColumn("_line", F.col("place") - F.col("item_place")).groupBy(*line, "reading").agg(
         F.collect_set("item_place").alias("places"),
         F.array_distinct(F.flatten(F.collect_set(value))).alias("filled"))
-    lined = lined.where(F.size("filled") == F.size(F.array_distinct(F.transform("filled", lambda x: x["item"]))))
-    tokens = F.transform("places", lambda p: F.sequence(p, p + F.col("length") - 1))
-    covered = lined.groupBy("doc_id", "text_key", "item_id", "n_item_tokens").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set(F.array_distinct(F.flatten(tokens)))))).cast("long").alias("n_covered"),
-        F.max(F.forall("filled", lambda x: x["item"] == x["doc"])).alias("_same"))
+    consistent = F.size("filled") == F.size(F.array_distinct(F.transform("filled", lambda x: x["item"])))
+    tokens = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.col("length") - 1))))
+    plain, same = F.col("reading") == PLAIN, F.forall("filled", lambda x: x["item"] == x["doc"])
+    # an alignment of which no template reading is consistent has no plain windows either
+    aligned = lined.withColumn("_ok", consistent).groupBy(*line).agg(
+        F.flatten(F.collect_set(F.when(F.col("_ok") & ~plain, tokens))).alias("_template"),
+        F.flatten(F.collect_set(F.when(plain, tokens))).alias("_plain"),
+        F.max(F.when(~plain, F.col("_ok"))).alias("_any"), F.min(F.when(F.col("_ok") & ~plain, same)).alias("_same"))
+    aligned = aligned.where(F.coalesce("_any", F.lit(True)))
+    covered = aligned.groupBy("doc_id", "text_key", "item_id", "n_item_tokens").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_set(F.array_distinct(F.concat("_template", "_plain")))))).cast("long").alias("n_covered"),
+        F.coalesce(F.max("_same"), F.lit(True)).alias("_same"))
     return covered.where(F.col("n_covered") >= F.least(F.lit(MIN_COVERED), F.col("n_item_tokens"))).select(
         "doc_id", "text_key", "item_id", F.col("n_item_tokens").cast("long").alias("n_item_tokens"), "n_covered",
         F.when(F.col("_same"), "verbatim").otherwise("reparameterised").alias("kind"))

@@ -81,3 +81,16 @@ def test_rows_and_columns(spark):
     assert d.query(df, bench).count() == 2
     assert d.remove_contaminated(df, spark.createDataFrame([], BENCH)).count() == len(rows)
     assert d.remove_contaminated(frame(spark, []), bench).count() == 0
+
+
+TOM = "Tom has 3 apples. Tom buys 5 more. How many apples does Tom have?"
+
+
+def test_names_that_begin_sentences(spark):
+    """A new name at sentence starts, in lower case, and behind a line break."""
+    item = "We see that a runner called Tom went from the old town up to Leeds with his dog and two friends"
+    docs = [doc(1, "So: " + TOM.replace("Tom", "Anna")), doc(2, "so: " + TOM.lower()),
+            doc(3, item.replace("Tom", "\nTom").replace("Leeds", "\nLeeds")), doc(4, item.replace("Tom", "\nAnna").replace("Leeds", "\nYork"))]
+    got = pairs(spark, docs, [(1, TOM), (2, item)])
+    assert {k: v[1] for k, v in got.items()} == {
+        (1, 1): "reparameterised", (2, 1): "verbatim", (3, 2): "verbatim", (4, 2): "reparameterised"}
