@@ -94,3 +94,11 @@ def test_names_that_begin_sentences(spark):
     got = pairs(spark, docs, [(1, TOM), (2, item)])
     assert {k: v[1] for k, v in got.items()} == {
         (1, 1): "reparameterised", (2, 1): "verbatim", (3, 2): "verbatim", (4, 2): "reparameterised"}
+
+
+def test_verbatim_copies_of_items_with_few_literals(spark):
+    bench = [(1, "Compute 12 + 7 * 3 - 4 / 2"), (2, "Give Anna Bert Carl Dora Emil Fritz Gerda Hans Ida Jan Karl Lena"),
+             (3, "capital of Peru"), (4, "Total 5 km 7 km 8 km 9 km 4 km 3 km 2 km")]
+    docs = [doc(i, f"we read here: {text} and so on") for i, text in bench]
+    docs += [doc(5, "compute 12 + 7 * 3 - 4 / 5"), doc(6, "capital in Peru"), doc(7, "total 5 km 7 km 8 km 1 km 4 km 3 km 2 km")]
+    assert {k: v[1] for k, v in pairs(spark, docs, bench).items()} == {(i, i): "verbatim" for i in range(1, 5)}
