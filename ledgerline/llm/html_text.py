@@ -12,8 +12,10 @@ word of BOILERPLATE as tag, class or id are put between their blocks, and articl
 are renamed, so that the network meets markup which the sample lacks.
 
 Cases: null and empty html give an empty text; markup that breaks off, unclosed and stray tags
-are read as far as they go; script, style and the like, comments and the head never yield
-blocks; repeated rows get the same text; pages of any length are read whole (memory follows
+are read as far as they go; script, style and the like, comments and what stands in a head
+never yield blocks; a head ends at the first tag that cannot stand in it, svg and math at '/>'
+or at a tag of the page, and unclosed script, style, textarea and title at the next tag of the
+page; of other unclosed raw elements only the start tag is dropped; repeated rows get the same text; pages of any length are read whole (memory follows
 the longest page); a null page_id or url stays null; extra columns are ignored; without any
 page the result is empty.
 """
@@ -35,7 +37,11 @@ from ledgerline.llm.common import col, small_batches, text_udf
 from ledgerline.llm.textcodes import DIGIT, LETTER, Codes
 
 # Element names.
-RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "head", "title", "math")
+RAW = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "title", "math")
+#: Raw elements that hold text and no tags, and those that end at '/>' or at a tag of the page.
+TEXT_ONLY, FOREIGN = ("script", "style", "textarea", "title"), ("svg", "math")
+#: Tags that can stand in a head besides raw elements.
+HEAD = frozenset("base link meta".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark output q rp rt ruby s
 samp small span strike strong sub sup time tt u var wbr img picture source br""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,8 +55,13 @@ feedback tags skip""".split()
 CONTENT = ("article", "main", "section", "content", "post", "entry", "story", "body", "text", "page", "wrapper", "container")
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})\b(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})\b(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*+>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*+)(?:>|\Z)|<[!?/][^<>]*(?:>|\Z)", re.S | re.I)
+#: Tags of the page, which end a foreign element and what text-only elements leave unclosed.
+PAGE_TAG = re.compile(r"""</?(?:html|head|body|article|section|main|header|footer|nav|aside|form|div|p|h[1-6]|ul|ol|li|dl|dt|dd|table
+|tr|td|th|blockquote|pre|figure|hr|img)(?=[\s/>])""".replace("\n", ""), re.I)
+INTEGRATION = re.compile(r"<(?:foreignObject|desc|annotation-xml|mtext)\b", re.I)
+ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 PATHS, WORDS, NUMBERS, HIDDEN = 2048, 64, 4, 16
@@ -70,12 +81,31 @@ class Block:
     linked: int               # characters inside links
 
 
+def _raw_end(page: str, name: str, at: int, ends: dict[str, re.Match | None]) -> int:
+    """Where a raw element whose start tag ends at ``at`` ends; ``ends``: the next end tag of each
+    name as last searched (None: no more), so that no part of a page is searched twice."""
+    if name in FOREIGN and page[at - 2] == "/":
+        return at
+    if name not in ends or ends[name] and ends[name].start() < at:
+        ends[name] = ENDS[name].search(page, at)
+    end = ends[name]
+    if end is None:
+        if name not in TEXT_ONLY:
+            return at                                     # its children are read as the page's
+        found = PAGE_TAG.search(page, at)
+        return found.start() if found else len(page)
+    if name in FOREIGN and (out := PAGE_TAG.search(page, at, end.start())) and not INTEGRATION.search(page, at, out.start()):
+        return out.start()
+    return end.end()
+
+
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks of a page, in order."""
     page = page or ""
     stack: list[tuple[str, tuple[str, ...]]] = []
     found: list[Block] = []
     parts: list[str] = []
+    ends: dict[str, re.Match | None] = {}
     linked = links = at = 0
 
     def flush() -> None:
@@ -88,15 +118,17 @@ def blocks(page: str | None) -> list[Block]:
         parts.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             parts.append(page[at:m.start()])
             linked += (m.start() - at) * (links > 0)
-        at = m.end()
+        at = _raw_end(page, m["raw"].lower(), m.end(), ends) if m["raw"] else m.end()
         tag = m["tag"]
         if tag is None:
             continue
         tag = tag.lower()
+        if stack and stack[-1][0] == "head" and tag not in HEAD and not m["close"]:
+            stack.pop()
         if tag == "a":
             links = 0 if m["close"] else 1
         if tag == "br":

@@ -94,3 +94,22 @@ def test_query(spark, pages):
     assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
     assert {r.text for r in got if r.page_id in (900, 901)} == {""}
     assert H.query(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("raw", [
+    '<svg class="i"/>', "<math />", "<svg><path d=x></path>", "<svg><g>", "<noscript>", "<template>", "<iframe src=x>", "<object>",
+    "<script>a<b", "<style>p{}", "<textarea>", "<title>T", "<head><title>T</title><meta a=b>", "<head><script>x='<p>'</script>"])
+@pytest.mark.parametrize("after", ["", "<svg></svg><template></template>"])
+def test_raw_elements_end(raw, after):
+    if after and not raw.startswith(("<svg", "<math", "<head")):
+        after = ""
+    got = H.blocks(f"<body>{raw}<div class=x>One</div>{after}<p>Two")
+    assert [b.text for b in got] == ["One", "Two"] and "head" not in got[0].path
+    assert H.blocks("<svg><foreignObject><div>x</div></foreignObject></svg>") == []
+
+
+def test_unclosed_raw_elements_are_linear():
+    for name in H.RAW:
+        H.blocks(f"<{name}>" * 30_000)
+        H.blocks(f"<{name}>" * 30_000 + f"</{name}>")
+        H.blocks(f"<{name}><p>" * 30_000 + f"</{name}>")
