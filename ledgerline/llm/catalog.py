@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ledgerline.llm import bpe, decontaminate, host_rules, html_text, lang_id, pseudonyms, quality, quotes, secrets, simhash
+from ledgerline.llm import bpe, decontaminate, host_rules, html_text, lang_id, lexical, pseudonyms, quality, quotes, secrets, simhash
+from ledgerline.llm import url_vocabulary, vector_codes
 from ledgerline.llm.common import table
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -56,9 +57,24 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.query(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_vocabulary.query(table(spark, sf_dir, "pages"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.query(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_host_rules, op4_bpe_round_trip,
-                                   op5_simhash, op6_pseudonyms, op7_main_text, op8_quotations, op9_quality, op10_secrets)}
+                                   op5_simhash, op6_pseudonyms, op7_main_text, op8_quotations, op9_quality, op10_secrets, op11_lexical_search,
+                                   op12_url_vocabulary, op13_vector_codes)}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {"op3_host_rules": host_rules.ORACLE_SQL, "op8_quotations": quotes.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op3_host_rules": host_rules.ORACLE_SQL, "op8_quotations": quotes.ORACLE_SQL,
+                           "op11_lexical_search": lexical.ORACLE_SQL, "op12_url_vocabulary": url_vocabulary.ORACLE_SQL,
+                           "op13_vector_codes": vector_codes.ORACLE_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
