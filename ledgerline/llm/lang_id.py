@@ -7,28 +7,32 @@ its codeword are summed, each weighted by how well that bit's classifier did on
 language's training texts, and the nearest codeword wins.  A text whose best two
 codewords are closer than MARGIN is flagged ambiguous.
 
-The bits only tell learned languages apart, so whether a text is in any of them is decided by
-its mean surprise: minus the mean log share of its n-grams in all learned languages together.
-A text of JUDGED letters or more whose surprise is over the model's reach is ``und``.  The
-reach is calibrated on labelled texts that neither bits nor shares were made from; a text in
-several learned languages has a mean of its parts' surprises, so it lies within it too.
+Every text with a letter gets the learned language of the nearest codeword.  Whether a document
+is in any learned language is a matter for ``keep_identified`` alone, and there only for the
+decoder's own evidence: a text goes if its bits abstain (their mean margin is under ABSTAIN, as
+in a script that was never learned) or contradict every codeword (the distance to the nearest one
+is at least log 2, that of bits that know nothing).  Both limits ease continuously for
+short texts, which show little: a text of DOUBT letters is never judged by its margin.  Such
+a text is looked at again in stretches of STRETCH characters and stays if the bits speak in any,
+so a text in several learned languages, whose bits cancel out over the whole, stays; so does
+text of a foreign language in a learned script that looks like one of the learned.
 
 The classifiers are fitted on the driver on at most SAMPLE_PER_LANGUAGE labelled texts a
 language (taken by hash, whole texts; their n-gram vectors are made by Spark tasks, DIMS
 floats each).  The model is a few hundred KB and is broadcast; prediction is one scan
 without a shuffle.
 
-Cases: a null text or one without a letter is ``und`` with score 0, as is a text out of reach
-and every text when nothing was learned (``keep_identified`` then keeps all with a letter);
-one learned language is predicted for all other texts; with fewer than MIN_MEASURED
-calibration texts in all no text is out of reach; rows with a null
-label, text or id are not learned from; repeated rows are predicted alike; texts of any
-length are read whole; ties go to the first language by name; the input's other columns,
-whatever their names, never reach the classifier.
+Cases: a null text or one without a letter is ``und`` with score 0, as is every text when
+nothing was learned (``keep_identified`` then keeps all with a letter); one learned language
+is predicted for all other texts, and nothing with a letter goes; rows with a null label, text
+or id are not learned from; repeated rows are predicted alike; texts of any length are read
+whole; ties go to the first language by name; the input's other columns, whatever their
+names, never reach the classifier.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,9 +48,9 @@ DIMS = 1 << 12
 SAMPLE_PER_LANGUAGE = 300
 MAX_LANGUAGES = 1 << 10
 MARGIN = 0.02
-JUDGED = 100                 # letters from which on a text can be out of reach
-WITHIN, SLACK = 0.998, 1.05  # share of a language's calibration texts within the reach, and what is added
-MIN_MEASURED = 20            # calibration texts a language that need no holding out
+ABSTAIN = 1.25               # mean margin of the bits (log odds) under which they do not speak
+DOUBT = 30                   # letters; limits of a text of n letters are eased by DOUBT / n
+STRETCH = 400                # characters of the stretches that a silent text is looked at in
 FOLDS, HELD_OUT = 4, 2
 UNDETERMINED = "und"
 _BINS = 1 << 20
@@ -54,14 +58,8 @@ _BINS = 1 << 20
 
 # ------------------------------------------------------------------ features
 def ngram_vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of root-scaled, unit-length hashed n-gram counts, and whether a text has a letter.
+    """Rows of root-scaled, unit-length hashed n-gram counts, and each text's number of letters.
     Letters are lower-cased; every run of other characters counts as one space."""
-    x, letters = _vectors(texts)
-    return x, letters > 0
-
-
-def _vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The rows of ``ngram_vectors`` and each text's number of letters."""
     c = Codes(texts)
     letter = (c.kind & LETTER) > 0
     codes = np.where(letter, c.lower, np.uint32(32)).astype(np.uint64)
@@ -104,11 +102,6 @@ class Model:
     code: np.ndarray          # languages x bits
     weights: np.ndarray       # DIMS + 1 x bits
     trust: np.ndarray         # languages x bits, rows sum to 1
-    rarity: np.ndarray        # DIMS: minus log of an n-gram's share in all languages
-    reach: float = np.inf     # surprise beyond which a text is in no language
-
-    def surprise(self, x: np.ndarray) -> np.ndarray:
-        return np.square(x) @ self.rarity
 
 
 def fit(x: np.ndarray, labels: list[str], steps: int = 150, rate: float = 0.3) -> Model:
@@ -117,8 +110,6 @@ def fit(x: np.ndarray, labels: list[str], steps: int = 150, rate: float = 0.3) -
     languages = sorted(set(labels))
     code = codewords(len(languages))
     y = np.searchsorted(languages, labels) if len(labels) else np.zeros(0, dtype=np.int64)
-    share = [np.square(x[y == i], dtype=np.float64).mean(axis=0) for i in range(len(languages))]
-    rarity = -np.log(0.9999 * np.mean(share, axis=0) + 0.0001 / DIMS) if share else np.zeros(DIMS)
     x = np.concatenate([x, np.ones((len(x), 1), dtype=np.float32)], axis=1)
     w = np.zeros((x.shape[1], code.shape[1]))
     if code.shape[1]:
@@ -134,21 +125,45 @@ def fit(x: np.ndarray, labels: list[str], steps: int = 150, rate: float = 0.3) -
         trust /= trust.sum(axis=1, keepdims=True)
     else:
         trust = np.ones_like(code)
-    return Model(languages, code, w.astype(np.float32), trust, rarity)
+    return Model(languages, code, w.astype(np.float32), trust)
+
+
+@dataclass
+class Decoded:
+    best: np.ndarray          # index of the nearest codeword
+    score: np.ndarray         # its share of exp(-bits * distance)
+    ambiguous: np.ndarray
+    distance: np.ndarray      # to the nearest codeword
+    margin: np.ndarray        # mean size of the bits' log odds
+
+    def speaks(self, letters: np.ndarray) -> np.ndarray:
+        """Whether the bits stand behind some codeword, given each text's letters."""
+        ease = DOUBT / np.maximum(letters, 1)
+        return (self.margin >= ABSTAIN * (1 - ease)) & (self.distance < np.log(2) * (1 + ease))
 
 
-def decode(model: Model, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Index of the nearest codeword, its share of exp(-bits * distance), and ambiguity."""
+def decode(model: Model, x: np.ndarray) -> Decoded:
     n, k = len(x), len(model.languages)
     if model.code.shape[1] == 0:
-        return np.zeros(n, dtype=np.int64), np.full(n, float(k > 0)), np.zeros(n, dtype=bool)
+        return Decoded(np.zeros(n, dtype=np.int64), np.full(n, float(k > 0)), np.zeros(n, dtype=bool), np.zeros(n), np.full(n, np.inf))
     f = x @ model.weights[:-1] + model.weights[-1]
     loss = np.logaddexp(0, -model.code[None] * f[:, None, :])
     distance = (loss * model.trust[None]).sum(axis=2)
     order = np.sort(distance, axis=1)
     odds = np.exp(-model.code.shape[1] * (distance - order[:, :1]))
-    best = distance.argmin(axis=1)
-    return best, 1 / odds.sum(axis=1), order[:, 1] - order[:, 0] < MARGIN
+    return Decoded(distance.argmin(axis=1), 1 / odds.sum(axis=1), order[:, 1] - order[:, 0] < MARGIN, order[:, 0], np.abs(f).mean(axis=1))
+
+
+def speaks(model: Model, texts: list[str], found: Decoded, letters: np.ndarray) -> np.ndarray:
+    """Whether the bits speak for a learned language, over the whole of a text or in a stretch of it."""
+    out = found.speaks(letters)
+    for i in np.flatnonzero(~out & (letters > 0)).tolist():
+        for _, parts in portions([texts[i][a:a + STRETCH] for a in range(0, len(texts[i]), STRETCH)]):
+            x, n = ngram_vectors(parts)
+            if decode(model, x).speaks(n)[n > DOUBT].any():
+                out[i] = True
+                break
+    return out
 
 
 # ------------------------------------------------------------------ on Spark
@@ -162,55 +177,44 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model
         return fit(np.zeros((0, DIMS), dtype=np.float32), [])
     bins = {lang: min(_BINS, 2 * _BINS * per_language // n + 1) for lang, n in counts.items()}
     share = F.create_map(*[F.lit(v) for kv in bins.items() for v in kv])[F.col("lang")]
-    order = F.xxhash64("id", "text")
-    picked = rows.withColumn("_h", order).where(F.pmod(F.col("_h"), F.lit(_BINS)) < share).limit(4 * per_language * len(counts))
+    picked = rows.withColumn("_h", F.xxhash64("id", "text")).where(F.pmod(F.col("_h"), F.lit(_BINS)) < share)
+    picked = picked.dropDuplicates(["_h", "lang"])          # about twice per_language a language, however often a row is repeated
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for first, texts in portions(batch["text"].tolist()):
-                x, letters = _vectors(texts)
                 some = batch.iloc[first:first + len(texts)]
-                yield pd.DataFrame({"h": some["_h"], "lang": some["lang"], "x": [v.tobytes() for v in x.astype(np.float32)],
-                                    "n": letters})
-
-    got = sorted((r["lang"], r["h"], r["x"], r["n"]) for r in picked.select("_h", "lang", "text").mapInPandas(
-        vectors, "h long, lang string, x binary, n long").collect())
-    seen: dict[str, int] = {}
-    kept, more = [], []
-    for lang, _, x, n in got:
-        seen[lang] = seen.get(lang, 0) + 1
-        (kept if seen[lang] <= per_language else more).append((lang, np.frombuffer(x, dtype=np.float32), n))
-
-    def parts(some: list[tuple]) -> tuple[np.ndarray, list[str]]:
-        return np.stack([v for _, v, _ in some]) if some else np.zeros((0, DIMS), dtype=np.float32), [lang for lang, _, _ in some]
-    model = judge = fit(*parts(kept))
-    if any(sum(r[0] == lang and r[2] >= JUDGED for r in more) < MIN_MEASURED for lang in seen):   # every fourth text is held out
-        at = np.concatenate([np.arange(min(n, per_language)) for _, n in sorted(seen.items())])
-        more = [r for r, i in zip(kept, at, strict=True) if i % 4 == 0]
-        judge = fit(*parts([r for r, i in zip(kept, at, strict=True) if i % 4]), steps=0)
-    x, labels = parts([r for r in more if r[2] >= JUDGED])
-    far = [np.quantile(judge.surprise(x[np.array(labels) == lang]), WITHIN) for lang in set(labels)]
-    if len(labels) >= MIN_MEASURED:
-        model.reach = SLACK * float(max(far))
-    return model
+                yield pd.DataFrame({"h": some["_h"], "lang": some["lang"],
+                                    "x": [v.tobytes() for v in ngram_vectors(texts)[0].astype(np.float32)]})
+
+    got = sorted((r["lang"], r["h"], r["x"]) for r in picked.select("_h", "lang", "text").mapInPandas(
+        vectors, "h long, lang string, x binary").collect())
+    seen: Counter = Counter()
+    kept = []
+    for lang, _, x in got:
+        seen[lang] += 1
+        if seen[lang] <= per_language:
+            kept.append((lang, np.frombuffer(x, dtype=np.float32)))
+    return fit(np.stack([x for _, x in kept]) if kept else np.zeros((0, DIMS), dtype=np.float32), [lang for lang, _ in kept])
 
 
 def language_column(model, text: Column) -> Column:
-    """struct(lang_pred, score, ambiguous, letters); ``model`` is a broadcast Model."""
+    """struct(lang_pred, score, ambiguous, letters, speaks); ``model`` is a broadcast Model.
+    ``speaks``: whether the decoder's bits stand behind a learned language."""
     def run(s: pd.Series) -> pd.DataFrame:
         m: Model = model.value
-        out = [pd.DataFrame({"lang_pred": [], "score": [], "ambiguous": [], "letters": []})]
+        out = [pd.DataFrame({"lang_pred": [], "score": [], "ambiguous": [], "letters": [], "speaks": []})]
         for _, texts in portions(s.tolist()):
             for i in range(0, len(texts), 512):
-                x, letters = _vectors(texts[i:i + 512])
-                best, score, unsure = decode(m, x)
-                known = (letters > 0) & (len(m.languages) > 0) & ((letters < JUDGED) | (m.surprise(x) <= m.reach))
+                x, letters = ngram_vectors(texts[i:i + 512])
+                found = decode(m, x)
+                known = (letters > 0) & (len(m.languages) > 0)
                 names = np.array([*m.languages, UNDETERMINED], dtype=object)
-                out.append(pd.DataFrame({"lang_pred": names[np.where(known, best, len(m.languages))],
-                                         "score": np.where(known, score, 0.0), "ambiguous": unsure & known,
-                                         "letters": letters > 0}))
-        return pd.concat(out, ignore_index=True).astype({"score": float, "ambiguous": bool, "letters": bool})
-    return text_udf(run, "lang_pred string, score double, ambiguous boolean, letters boolean")(text)
+                out.append(pd.DataFrame({"lang_pred": names[np.where(known, found.best, len(m.languages))],
+                                         "score": np.where(known, found.score, 0.0), "ambiguous": found.ambiguous & known,
+                                         "letters": letters > 0, "speaks": known & speaks(m, texts[i:i + 512], found, letters)}))
+        return pd.concat(out, ignore_index=True).astype({"score": float, "ambiguous": bool, "letters": bool, "speaks": bool})
+    return text_udf(run, "lang_pred string, score double, ambiguous boolean, letters boolean, speaks boolean")(text)
 
 
 def fitted(docs: DataFrame):
@@ -229,10 +233,11 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` without those whose language is undetermined.  Ambiguous texts stay: they are
-    in one or two of the learned languages.  If none was learned, all texts with a letter stay."""
+    """``docs`` without texts that have no letter or in which the decoder's bits do not speak
+    for any learned language.  Ambiguous texts stay: they are in one or two of the learned
+    languages.  If none was learned, all texts with a letter stay."""
     name = free_name(docs, "_language")
     model = fitted(docs)
     out = docs.withColumn(name, language_column(model, col(docs, "text")))
     found = col(out, name)
-    return out.where(found["lang_pred"] != UNDETERMINED if model.value.languages else found["letters"]).drop(name)
+    return out.where(found["speaks"] if model.value.languages else found["letters"]).drop(name)
