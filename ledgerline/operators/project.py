@@ -7,6 +7,7 @@ source (transaction, event, partner accounts, partner flag) and conversion.
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,16 +77,34 @@ def classify_pairs(paired: DataFrame) -> DataFrame:
         .withColumn("valid", pair_is_valid())
 
 
-def table_rows(paired: DataFrame) -> DataFrame:
+def table_rows(paired: DataFrame, keep=()) -> DataFrame:
     """All 8 tables' rows in one codegen'd projection: per valid pair its
     ``event_table`` and one struct column per kind (non-null only for its own
     kind), keys still binary.  Persisting this keeps about the output's size,
     not the instruction structs; ``rows_of(kind)`` then selects one table and
-    encodes the keys of its rows alone."""
+    encodes the keys of its rows alone.  ``keep``: columns carried along."""
     valid = classify_pairs(paired).where("valid")
-    return valid.select("event_table", *[
-        F.when(F.col("event_table") == F.lit(t.name), F.struct(*column_exprs(t, encode=False))).alias(f"_t_{t.name}")
-        for t in TABLES])
+    return valid.select("event_table", *keep, *_once(_structs))
+
+
+_BUILT: dict = {}
+
+
+def _once(build, *args):
+    """Column expressions by name alone are the same in every batch; they are built once for a JVM."""
+    key = (id(SparkContext._gateway), build.__name__, *args)
+    if key not in _BUILT:
+        _BUILT[key] = build(*args)
+    return _BUILT[key]
+
+
+def _structs() -> list[Column]:
+    return [F.when(F.col("event_table") == F.lit(t.name), F.struct(*column_exprs(t, encode=False))).alias(f"_t_{t.name}") for t in TABLES]
+
+
+def _table_columns(kind: str) -> list[Column]:
+    own = F.col(f"_t_{kind}")
+    return [(base58(own[name]) if conv == "key" else own[name]).alias(name) for name, _, _, conv in table_spec(kind).columns]
 
 
 def common_field(name: str) -> Column:
@@ -95,9 +114,7 @@ def common_field(name: str) -> Column:
 
 def rows_of(rows: DataFrame, kind: str, keep=()) -> DataFrame:
     """One table of ``table_rows`` (and the columns ``keep``), keys encoded."""
-    own = F.col(f"_t_{kind}")
-    return rows.where(F.col("event_table") == F.lit(kind)).select(*[
-        (base58(own[name]) if conv == "key" else own[name]).alias(name) for name, _, _, conv in table_spec(kind).columns], *keep)
+    return rows.where(F.col("event_table") == F.lit(kind)).select(*_once(_table_columns, kind), *keep)
 
 
 def event_counts(paired: DataFrame) -> DataFrame:

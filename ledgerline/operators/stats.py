@@ -38,10 +38,11 @@ def ingest_stats(log: DataFrame, period: int = PERIOD_SECONDS, event_time: str |
     the mean processing time (float, 0 without transactions).
 
     ``log`` columns: ``epoch`` (seconds), ``bytes``, ``processing_us``,
-    ``bundles`` (0/1), ``rows_written``."""
+    ``bundles``, ``rows_written``; a row is a transaction, or a batch with the
+    number of its ``transactions`` (the job's own log)."""
     key, start = _period(log, period, event_time)
     g = log.groupBy(key).agg(
-        F.count(F.lit(1)).cast("bigint").alias("transactions"),
+        F.sum("transactions" if "transactions" in log.columns else F.lit(1)).cast("bigint").alias("transactions"),
         F.sum("bundles").cast("bigint").alias("bundles"),
         F.sum("rows_written").cast("bigint").alias("rows_written"),
         F.sum("bytes").cast("bigint").alias("bytes"),

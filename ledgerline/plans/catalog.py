@@ -6,25 +6,30 @@ full.  Columns are aliased identically on both sides.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
+from ledgerline.functions.base58 import base58
 from ledgerline.functions.scalars import epoch_seconds, key_from_long, narrow_u32
 from ledgerline.operators import envelope as V
 from ledgerline.operators import reconcile as R
 from ledgerline.operators import stats as T
-from ledgerline.operators.keys import address_dictionary
+from ledgerline.operators.keys import address_dictionary, extend_dictionary, read_dictionary, resolve
 from ledgerline.operators.pairing import explode_instructions, pair_fold, pair_window
 from ledgerline.operators.project import bundle_json, bundle_sizes, classify_pairs, event_bundle_inrow, event_counts, fields_of, project_tx
 from ledgerline.plans import jobs as P
+from ledgerline.plans import sink as K
 from ledgerline.plans import standins as S
 from ledgerline.schemas import EVENT_STRUCT, TABLES, table_schema
 from ledgerline.session import scratch_dir, staged
 from ledgerline.sources import archive as A
+from ledgerline.sources import files as W
 from ledgerline.sources import transfer as X
+from ledgerline.streaming import channels as C
 from ledgerline.streaming import jobs as J
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -453,6 +458,21 @@ def q_ledger_tail(spark, d):
     return A.ledger_tail(_ledger(spark, d), 10)
 
 
+@register("ledger_rewrite", _with(S.SQL_LEDGER) + """
+, ranked AS (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY ord) AS rn FROM parsed WHERE line_kind = 'entry' AND n_fields >= 2)
+SELECT text AS line FROM ranked WHERE rn = 1 UNION ALL SELECT text FROM parsed WHERE line_kind <> 'entry'""")
+def q_ledger_rewrite(spark, d):
+    """Half of the lines, rewritten in place; the other half appended, rewritten again:
+    the lines that the folder then holds."""
+    path, lines = scratch_dir(spark, "ledger-rewrite"), S.ledger_source(spark, d)
+    middle = lines.agg(F.expr("median(ord)")).first()[0]
+    for part in (lines.where(F.col("ord") <= middle), lines.where(F.col("ord") > middle)):
+        for k in range(2):
+            A.append_lines(part.where(F.col("ord") % 2 == k).select(F.col("line").alias("value")), path)
+        A.rewrite_ledger(spark, path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 # ------------------------------------------------------------------ envelopes and statistics
 
 RETAIN_AS_OF, RETAIN_TTL, RETAIN_MSGS, RETAIN_BYTES = "2024-01-30 12:00:00", 86400, 100, 700
@@ -551,11 +571,21 @@ def _event_stream(spark, d):
     return J.file_stream(spark, d, schema, glob="events.parquet")
 
 
-def _tx_files(spark, d, n: int = 3):
-    """Whole transactions as ``n`` Parquet files, so that a stream of one file a
-    trigger has that many micro-batches and splits no transaction."""
+TX_FILES = 3
+
+
+def _tx_files(spark, d, change=lambda tx: tx):
+    """Whole transactions as TX_FILES Parquet files, file k those with user_id % TX_FILES = k, so
+    that a stream of one file a trigger has that many micro-batches, in this order."""
     path = scratch_dir(spark, "tx-files") + "/tx"
-    S.transactions(spark, d).repartition(n, "user_id").write.option("maxRecordsPerFile", 0).parquet(path)
+    tx = change(S.transactions(spark, d)).withColumn("_file", F.col("user_id") % TX_FILES)
+    tx.repartition(TX_FILES, "_file").write.partitionBy("_file").parquet(path)
+    for k in range(TX_FILES):                 # a file source takes files by their times
+        for name in W.names_in(spark, f"{path}/_file={k}"):
+            W.rename(spark, f"{path}/_file={k}/{name}", f"{path}/{k}-{name}")
+            fs, p = W.fs_of(spark, f"{path}/{k}-{name}")
+            fs.setTimes(p, 1_700_000_000_000 + 60_000 * k, -1)
+        W.delete(spark, f"{path}/_file={k}")
     return path
 
 
@@ -595,27 +625,106 @@ def q_stream_archive_once(spark, d):
     return J.sink_keys(spark, sink)
 
 
+BATCH_SECONDS, CLOCK_STEP = 30, 2.5
+
+
 _SQL_TX_LOG = _with(S.SQL_INSTRUCTIONS) + f""", ok AS (
   SELECT user_id, count(*) AS n FROM paired WHERE {S.sql_valid()} GROUP BY user_id
-), lg AS (
-  SELECT i.user_id, min(CASE WHEN is_ev THEN epoch_us(ts) // 1000000 - CASE WHEN event_id % 5 = 0 THEN {S.TS_SHIFT} ELSE 0 END END) AS raw,
-         count(*) AS n_ins FROM ins i GROUP BY i.user_id
-), l2 AS (
-  SELECT ((raw % 4294967296) + 4294967296) % 4294967296 AS epoch, n_ins, coalesce(n, 0) AS n FROM lg LEFT JOIN ok USING (user_id)
-)
-SELECT epoch - epoch % 60 AS period_start, CAST(count(*) AS BIGINT) AS transactions,
-       CAST(sum(CASE WHEN n > 0 THEN 1 ELSE 0 END) AS BIGINT) AS bundles, CAST(sum(n) AS BIGINT) AS rows_written,
-       CAST(sum(n_ins) AS DOUBLE) / count(*) AS avg_processing_us
+), sz AS (SELECT user_id, CAST(sum(strlen(props)) AS BIGINT) AS bytes FROM events GROUP BY user_id),
+bt AS (
+  SELECT s.user_id % {TX_FILES} AS k, count(*) AS n_tx, CAST(sum(bytes) AS BIGINT) AS bytes, count(n) AS b, CAST(coalesce(sum(n), 0) AS BIGINT) AS w
+  FROM sz s LEFT JOIN ok USING (user_id) GROUP BY 1
+), l2 AS (SELECT *, CAST(floor({S.EPOCH_2024} + k * {BATCH_SECONDS} + {CLOCK_STEP}) AS BIGINT) AS epoch FROM bt)
+SELECT epoch - epoch % 60 AS period_start, CAST(sum(n_tx) AS BIGINT) AS transactions, CAST(sum(n_tx) AS BIGINT) / 60.0::DOUBLE AS tx_per_sec,
+       CAST(sum(b) AS BIGINT) AS bundles, CAST(sum(w) AS BIGINT) AS rows_written, CAST(sum(bytes) AS BIGINT) AS bytes,
+       CAST(sum(bytes) AS DOUBLE) / 1048576.0 AS mb, CAST(sum(bytes) AS DOUBLE) / 1048576.0 / 60.0 AS mb_per_sec,
+       CAST(count(*) * {int(CLOCK_STEP * 1_000_000)} AS DOUBLE) / sum(n_tx) AS avg_processing_us
 FROM l2 GROUP BY 1"""
 
 
+def _stepping_clock():
+    """A clock for the job: batches begin BATCH_SECONDS apart and take CLOCK_STEP seconds each."""
+    calls = itertools.count()
+    return lambda: S.EPOCH_2024 + (k := next(calls)) // 2 * BATCH_SECONDS + k % 2 * CLOCK_STEP
+
+
+def _with_size(spark, d):
+    """Transactions with the bytes of their raw messages (the props of their events)."""
+    sizes = S.table(spark, d, "events").groupBy("user_id").agg(F.sum(F.length(F.col("props").cast("binary"))).alias("message_bytes"))
+    return lambda tx: tx.join(sizes, "user_id")
+
+
 @register("stream_ingest_job", _SQL_TX_LOG)
 def q_stream_ingest_job(spark, d):
-    """The fan-out with its statistics: the job's own log, summed up by period."""
+    """The fan-out with its statistics: what the running batches measured, by period."""
     sink, ckpt, log = (scratch_dir(spark, n) for n in ("job", "job-ckpt", "job-log"))
-    J.run_fanout(_tx_stream(spark, _tx_files(spark, d)), _same, sink, ckpt, log=J.ingest_log_batch(log, ckpt))
-    stats = T.ingest_stats(spark.read.parquet(log))
-    return stats.select("period_start", "transactions", "bundles", "rows_written", "avg_processing_us")
+    stream = _tx_stream(spark, _tx_files(spark, d, _with_size(spark, d)))
+    J.run_fanout(stream, _same, sink, ckpt, log=J.ingest_log(spark, log, ckpt), size_col="message_bytes", clock=_stepping_clock())
+    return T.ingest_stats(spark.read.parquet(log))
+
+
+_BAD = {"no signature": 17, "no slot": 19, "no index": 23, "no instructions": 29, "no event time": 13}     # by user_id % n = 1
+
+
+def _spoil(tx):
+    """Transactions that miss something; of several faults the sink names the first."""
+    def bad(reason):
+        return F.col("user_id") % _BAD[reason] == 1
+    time = tx.schema["instructions"].dataType.elementType["event"].dataType["timestamp"].dataType
+    untimed = F.transform("instructions", lambda x: F.when(x["event"].isNotNull(), x.withField(
+        "event", x["event"].withField("timestamp", F.lit(None).cast(time)))).otherwise(x))
+    return tx.withColumns({
+        "signature": F.when(~bad("no signature"), F.col("signature")), "slot": F.when(~bad("no slot"), F.col("slot")),
+        "index": F.when(~bad("no index"), F.col("index")),
+        "instructions": F.when(~bad("no instructions"), F.when(bad("no event time"), untimed).otherwise(F.col("instructions")))})
+
+
+_SQL_REASON = "CASE " + " ".join(f"WHEN user_id % {n} = 1{' AND has_event' * (r == 'no event time')} THEN '{r}'" for r, n in _BAD.items()) + " END"
+
+
+@register("stream_rejects", _with(S.SQL_INSTRUCTIONS) + f""", judged AS (
+  SELECT user_id, {_SQL_REASON} AS reason FROM (SELECT user_id, bool_or(is_ev) AS has_event FROM ins GROUP BY user_id)
+)
+SELECT user_id, position, CAST(NULL AS VARCHAR) AS reason FROM (SELECT * FROM paired WHERE {S.sql_valid()}) p JOIN judged USING (user_id)
+WHERE reason IS NULL
+UNION ALL SELECT user_id, NULL, reason FROM judged WHERE reason IS NOT NULL""")
+def q_stream_rejects(spark, d):
+    """H2: malformed transactions in every batch; a restart, then all files on a second
+    checkpoint: every transaction is kept or set aside once."""
+    path, sink = _tx_files(spark, d, _spoil), scratch_dir(spark, "rejecting")
+    first, second = scratch_dir(spark, "rejecting-ckpt"), scratch_dir(spark, "rejecting-ckpt")
+    for ckpt in (first, first, second):
+        J.run_fanout(_tx_stream(spark, path), _same, sink, ckpt)
+    rejects = K.read_rejects(spark, sink, spark.read.parquet(path).schema)
+    users = spark.read.parquet(path).where("signature is not null").select(base58("signature").alias("signature"), "user_id")
+    kept = J.sink_keys(spark, sink).join(users, "signature")
+    return kept.select("user_id", F.col("instruction_index").alias("position"), F.lit(None).cast("string").alias("reason")) \
+        .unionByName(rejects.select("user_id", F.lit(None).cast("bigint").alias("position"), "reason"))
+
+
+@register("stream_redelivery", _SQL_SINK_KEYS)
+def q_stream_redelivery(spark, d):
+    """The same malformed transactions, mended and delivered again from the rejects, twice: the
+    tables then hold what they hold without faults, and nothing is set aside."""
+    path, sink = _tx_files(spark, d, _spoil), scratch_dir(spark, "redelivery")
+    whole = S.transactions(spark, d)
+    J.run_fanout(_tx_stream(spark, path), _same, sink, scratch_dir(spark, "redelivery-ckpt"))
+    schema = spark.read.parquet(path).schema
+    for _ in range(2):
+        K.redeliver(spark, sink, schema, lambda bad: whole.join(bad.select("user_id"), "user_id", "left_semi"))
+    return J.sink_keys(spark, sink)
+
+
+@register("sink_compaction", _SQL_SINK_KEYS.replace("SELECT CASE", "SELECT TRUE AS merged, CASE", 1))
+def q_sink_compaction(spark, d):
+    """Three loads merged into one, then the last batch repeated and all files on a second
+    checkpoint: rows stay once, all in merged files."""
+    path, sink, ckpt = _tx_files(spark, d), scratch_dir(spark, "compaction"), scratch_dir(spark, "compaction-ckpt")
+    J.run_fanout(_tx_stream(spark, path), _same, sink, ckpt)
+    K.compact(spark, sink)
+    J.fanout_batch(_same, sink, run=J.run_id(ckpt))(spark.read.parquet(path).where(f"user_id % {TX_FILES} = 2"), 2)
+    J.run_fanout(_tx_stream(spark, path), _same, sink, scratch_dir(spark, "compaction-ckpt"))
+    return J.sink_keys(spark, sink, [F.col(W.LOAD).startswith("merged-").alias("merged")])
 
 
 @register("stream_ingest_stats", ORACLES["ingest_stats"].replace("\nFROM g", f"""
@@ -686,30 +795,107 @@ def q_republish_retained(spark, d):
     return held.select("subject", "uuid", "ts", "payload_bytes")
 
 
+CHANNEL_BUCKET = 86400 * 2
+_DAY_10, _DAY_20 = "2024-01-10", "2024-01-20"
+
+
+def _message_files(spark, d):
+    """Envelopes of ``events`` up to RETAIN_AS_OF in three files of growing event time."""
+    path = scratch_dir(spark, "messages")
+    env = S.event_envelopes(spark, d).where(F.col("ts") <= F.lit(RETAIN_AS_OF).cast("timestamp_ntz"))
+    part = F.when(F.col("ts") < _DAY_10, 0).when(F.col("ts") < _DAY_20, 1).otherwise(2)
+    return path, [env.where(part == k) for k in range(3)], env.schema
+
+
+def _publish(spark, d, root, after=lambda k: None):
+    """Three files, one a run on the same checkpoint; the second batch is repeated once."""
+    path, files, schema = _message_files(spark, d)
+    ckpt = scratch_dir(spark, "publish-ckpt")
+    for k, rows in enumerate(files):
+        rows.coalesce(1).write.mode("append").parquet(path)
+        C.publish(J.file_stream(spark, path, schema), root, ckpt, bucket_seconds=CHANNEL_BUCKET)
+        if k == 1:
+            C.publish_batch(spark, root, J.run_id(ckpt), CHANNEL_BUCKET)(rows, k)
+        after(k)
+    return C.message_schema(schema)
+
+
+_SQL_DUE_ENV = S.SQL_EVENT_ENV.replace("env AS (", "env AS (SELECT * FROM (", 1).rstrip()[:-1] + f") WHERE ts <= TIMESTAMP '{RETAIN_AS_OF}')"
+
+
+@register("channel_publish", _with(_SQL_DUE_ENV) + """
+SELECT channel, uuid, 'telepath_' || channel || '.lv' || CAST(authority AS VARCHAR) AS subject,
+       row_number() OVER (PARTITION BY channel ORDER BY ts, uuid) AS seq FROM env""")
+def q_channel_publish(spark, d):
+    """W4 in the stream: numbers per channel over three batches with restarts and a repeated batch."""
+    root = scratch_dir(spark, "channels")
+    schema = _publish(spark, d, root)
+    return C.read_messages(spark, root, schema).select("channel", "uuid", "subject", "seq")
+
+
+@register("channel_expire", ORACLES["envelope_retention"].replace("SELECT channel, uuid, ts, payload_bytes FROM ranked",
+          "SELECT channel, uuid, ts, payload_bytes, FALSE AS expired_folder FROM ranked"))
+def q_channel_expire(spark, d):
+    """The store after the expiry job, run twice; ``expired_folder``: whether a folder of an expired bucket is left."""
+    root = scratch_dir(spark, "expire")
+    schema = _publish(spark, d, root)
+    for _ in range(2):
+        C.expire(spark, root, schema, RETAIN_AS_OF, RETAIN_TTL, RETAIN_MSGS, RETAIN_BYTES, bucket_seconds=CHANNEL_BUCKET)
+    oldest = min(int(b) for _, b in W.partitions(spark, f"{root}/{C.MESSAGES}", C.PARTITIONS))
+    end = spark.sql(f"SELECT unix_seconds(CAST(TIMESTAMP '{RETAIN_AS_OF}' AS TIMESTAMP))").first()[0] - RETAIN_TTL
+    return C.read_messages(spark, root, schema).select("channel", "uuid", "ts", "payload_bytes", F.lit(oldest + CHANNEL_BUCKET <= end).alias("expired_folder"))
+
+
+@register("channel_deliver", _with(_SQL_DUE_ENV) + f"""
+, num AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY ts, uuid) AS seq FROM env)
+SELECT 'early' AS subscriber, channel, seq, uuid FROM num WHERE channel IN ('purchase', 'click')
+UNION ALL SELECT 'late', channel, seq, uuid FROM num WHERE channel IN ('click', 'error') AND ts >= TIMESTAMP '{_DAY_20}'""")
+def q_channel_deliver(spark, d):
+    """A delivery run after each publication on one checkpoint; a second subscriber joins
+    before the last; a batch is published twice and the store expires between two runs."""
+    root, sink, ckpt = scratch_dir(spark, "deliver"), scratch_dir(spark, "deliver-sink"), scratch_dir(spark, "deliver-ckpt")
+    early = [("early", "purchase"), ("early", "click")]
+    schema = C.message_schema(_message_files(spark, d)[2])
+
+    def after(k):
+        subs = early + [("late", "click"), ("late", "error")] * (k == 2)
+        C.deliver(spark, root, schema, lambda: spark.createDataFrame(subs, "subscriber string, channel string"), sink, ckpt,
+                  channels=["purchase", "click", "error"], ttl="60 days")
+        if k == 1:
+            C.expire(spark, root, schema, "2024-01-20 00:00:00", 86400 * 5 // 2, 50, -1, bucket_seconds=CHANNEL_BUCKET)
+    _publish(spark, d, root, after)
+    return spark.read.parquet(sink).select("subscriber", "channel", "seq", "uuid")
+
+
 # ------------------------------------------------------------------ user-level jobs
 
 PAIRS_DONE = 9               # archive pairs 0..8 are complete, pair 9 lacks its data file
 
 
+def _put(spark, root, k: int, *suffixes) -> None:
+    for suffix in suffixes:
+        W.write_text(spark, f"{root}/{k * 100}_{k * 100 + 99}{suffix}", "x")       # a listing leaves empty files out
+
+
 def _archive(spark) -> str:
     """An archive folder of ten prefixes; the last has no ``.bin``."""
     root = scratch_dir(spark, "archive")
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for k in range(10):
-        for suffix in (".meta", ".bin")[: 1 if k == PAIRS_DONE else 2]:
-            p = jvm.org.apache.hadoop.fs.Path(f"{root}/{k * 100}_{k * 100 + 99}{suffix}")
-            out = p.getFileSystem(conf).create(p)
-            out.write(k)                       # a listing leaves empty files out
-            out.close()
+        _put(spark, root, k, *(".meta", ".bin")[: 1 if k == PAIRS_DONE else 2])
     return root
 
 
+def _archive_transactions(spark, d):
+    """TX with the prefix of the archive pair it is in: ten pairs."""
+    k = (F.col("user_id") % 10) * 100
+    return S.transactions(spark, d).withColumn("prefix", F.concat_ws("_", k, k + 99)).drop("user_id")
+
+
 @register("ingest_batch_job", _SQL_SINK_KEYS + f" AND user_id % 10 < {PAIRS_DONE}")
 def q_ingest_batch_job(spark, d):
     """C1, three times: once, once more with its ledger (nothing pending), and after the
     ledger was lost (all pairs again); transactions come twice in the input."""
-    k = (F.col("user_id") % 10) * 100
-    tx = S.transactions(spark, d).withColumn("prefix", F.concat_ws("_", k, k + 99)).drop("user_id")
+    tx = _archive_transactions(spark, d)
     twice = tx.unionByName(tx)
     root, sink = _archive(spark), scratch_dir(spark, "ingest")
     ledger, lost = scratch_dir(spark, "ledger-a"), scratch_dir(spark, "ledger-b")
@@ -718,6 +904,48 @@ def q_ingest_batch_job(spark, d):
     return J.sink_keys(spark, sink)
 
 
+_WATCHED = (0, 1, 2, 3, 5, 6)
+
+
+@register("archive_watch", _SQL_SINK_KEYS + f" AND user_id % 10 IN {_WATCHED}")
+def q_archive_watch(spark, d):
+    """Halves of pairs arrive in three steps, out of order, on one checkpoint; pairs 4 and 7
+    to 9 never get their second file.  Rows of the completed pairs."""
+    root, sink, ckpt, ledger = (scratch_dir(spark, n) for n in ("watch", "watch-sink", "watch-ckpt", "watch-ledger"))
+    tx = staged(_archive_transactions(spark, d), "watch-tx")
+    steps = [((0, ".meta", ".bin"), (1, ".meta"), (2, ".bin"), (3, ".bin"), (7, ".meta")),
+             ((2, ".meta"), (1, ".bin"), (4, ".meta"), (5, ".bin")), ((3, ".meta"), (5, ".meta"), (6, ".bin", ".meta"), (8, ".bin"), (9, ".meta"))]
+    for n, step in enumerate(steps):
+        for k, *suffixes in step:
+            _put(spark, root, k, *suffixes)
+        J.watch_archive(spark, root, ledger, lambda: tx, sink, ckpt, lambda n=n: f"2024-01-0{n + 1}T00:00:00Z")
+    processed = A.processed_prefixes(A.read_ledger_lines(spark, ledger)).count()
+    if processed != len(_WATCHED):
+        raise RuntimeError(f"{processed} pairs in the ledger")
+    return J.sink_keys(spark, sink)
+
+
+@register("ingest_waves", _SQL_SINK_KEYS.replace("SELECT CASE", "SELECT (8 - user_id % 10) // 3 AS wave, CASE", 1) + f" AND user_id % 10 < {PAIRS_DONE}")
+def q_ingest_waves(spark, d):
+    """C1 in waves of three pairs, newest first: the second wave fails, the next run starts with
+    it.  ``wave``: the order in which the ledger got the row's pair."""
+    root, sink, ledger = _archive(spark), scratch_dir(spark, "waves"), scratch_dir(spark, "waves-ledger")
+    tx = staged(_archive_transactions(spark, d), "waves-tx")
+    second = F.when(F.col("prefix") == "500_599", F.raise_error(F.lit("wave 2"))).otherwise(F.col("index"))
+    try:
+        P.ingest_batch(spark, root, ledger, tx.withColumn("index", second.cast(tx.schema["index"].dataType)), sink, "2024-01-01T00:00:00Z", wave_bytes=6)
+    except Exception as e:  # noqa: BLE001
+        if "wave 2" not in str(e):
+            raise
+    P.ingest_batch(spark, root, ledger, tx, sink, "2024-01-02T00:00:00Z", wave_bytes=6)
+    lines = A.parse_ledger(A.read_ledger_lines(spark, ledger)).select("ts", "prefix", F.split("prefix", "_")[0].cast("int").alias("slot"))
+    by_wave = Window.orderBy("ts", F.col("newest").desc())                     # one row a wave
+    waves = lines.groupBy("ts", F.expr("(8 - slot div 100) div 3").alias("part")).agg(F.max("slot").alias("newest"), F.collect_list("prefix").alias("p")) \
+        .withColumn("wave", F.row_number().over(by_wave).cast("bigint") - 1).select("wave", F.explode("p").alias("prefix"))
+    return J.sink_keys(spark, sink).join(tx.select(base58("signature").alias("signature"), "prefix"), "signature") \
+        .join(waves, "prefix").drop("prefix")
+
+
 @register("export_import_job", _with(S.SQL_DAILY_SOURCE, _SQL_SRC_RANGE) + """
 SELECT CASE WHEN event_type = 'purchase' THEN 'buys' ELSE 'others' END AS table_name,
        CAST(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000) AS DATE) AS event_date, CAST(count(*) AS BIGINT) AS rows,
@@ -777,3 +1005,20 @@ def q_address_dictionary(spark, d):
     keys = S.table(spark, d, "orders").select(key_from_long(F.col("o_custkey") * 1000003 + 7).alias("k1")) \
         .unionByName(S.table(spark, d, "documents").select(key_from_long(F.col("doc_id") * 1000003 + 11).alias("k1")))
     return address_dictionary(keys, ["k1"]).select(F.hex("key").alias("key_hex"), "address")
+
+
+@register("address_dictionary_kept", f"""
+SELECT o_orderkey, {S.sql_b58('o_custkey * 1000003 + 7', 32)} AS customer,
+       CASE WHEN o_orderkey % 5 <> 0 THEN {S.sql_b58('(o_orderkey % 50) * 1000003 + 11', 32)} END AS clerk, CAST(0 AS BIGINT) AS encoded_again
+FROM orders""")
+def q_address_dictionary_kept(spark, d):
+    """a dictionary extended by two runs and a third that finds nothing new, joined back to two key columns."""
+    path, k = scratch_dir(spark, "dictionary") + "/keys", F.col("o_orderkey")
+    rows = S.table(spark, d, "orders").select("o_orderkey", key_from_long(F.col("o_custkey") * 1000003 + 7).alias("customer"),
+                                              F.when(k % 5 != 0, key_from_long((k % 50) * 1000003 + 11)).alias("clerk"))
+    both = ["customer", "clerk"]
+    extend_dictionary(spark, path, rows.where(k % 2 == 0), both, "run-1")
+    extend_dictionary(spark, path, rows, both, "run-2")
+    again = extend_dictionary(spark, path, rows, both, "run-3")
+    out = resolve(rows, ["o_orderkey"], both, read_dictionary(spark, path))
+    return out.withColumn("encoded_again", F.lit(again).cast("bigint"))

@@ -3,6 +3,7 @@ functions of DataFrames and paths.  Clocks and settings are arguments."""
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -14,6 +15,8 @@ from ledgerline.functions.scalars import epoch_to_date
 from ledgerline.operators import reconcile as R
 from ledgerline.operators.pairing import pair_fold
 from ledgerline.operators.project import common_field, rows_of, table_rows
+from ledgerline.operators.scan import segmented_scan
+from ledgerline.plans.sink import append_transactions, drop_unfinished, is_complete
 from ledgerline.schemas import TABLES
 from ledgerline.session import staged
 from ledgerline.sources import archive as A
@@ -25,8 +28,8 @@ CONCURRENT_WRITES = 4        # event tables that are written at a time
 
 def write_event_tables(paired: DataFrame, sink_root: str, table_names: dict[str, str] | None = None,
                        kinds=tuple(t.name for t in TABLES), dedupe: bool = False, layout: bool = True) -> dict[str, int]:
-    """The 8 tables from one pairing, ``{sink_root}/{table name}/event_date=...``,
-    for batch and stream alike; ``table_names`` maps kinds to configured names.
+    """The 8 tables from one pairing, ``{sink_root}/{table name}/event_date=...``, appended
+    as they are (the keyed sink of the jobs is ``plans.sink``); ``table_names`` maps kinds to configured names.
 
     All tables' rows come from one codegen'd projection (``table_rows``: the
     event table tag plus one struct per kind, keys binary) that is persisted --
@@ -44,7 +47,7 @@ def write_event_tables(paired: DataFrame, sink_root: str, table_names: dict[str,
         found = rows_all.groupBy("event_table", X.DAY).count().collect()       # a row per kind and day
 
         def write(kind: str) -> None:
-            days = sorted(r[1] for r in found if r[0] == kind)
+            days = {r[1] for r in found if r[0] == kind}
             if days:
                 X.append_rows(rows_of(rows_all, kind, [X.DAY]), f"{sink_root.rstrip('/')}/{names[kind]}", dedupe=dedupe,
                               layout=X.ORDER if layout else None, days=days, distinct=True)
@@ -65,24 +68,48 @@ def write_tables_from_transactions(tx: DataFrame, sink_root: str, table_names: d
     return write_event_tables(pair_fold(tx), sink_root, table_names, kinds, dedupe, layout)
 
 
-def ingest_batch(spark: SparkSession, archive_dir: str, ledger_path: str, transactions: DataFrame,
-                 sink_root: str, now: str) -> DataFrame:
-    """Archive pairs not yet in the ledger -> their transactions -> 8 event
-    tables -> ledger lines for the pairs done.  ``transactions`` carries a
-    ``prefix`` column naming its archive pair.  The ledger is written only
-    after all tables are written, so a crash repeats whole pairs (as the
-    reference does); the appends skip keys already present, so the repeat
-    adds no duplicates."""
-    manifest = A.archive_pairs(A.list_files(spark, archive_dir))
+WAVE_BYTES, WAVE_PAIRS = 64 << 30, 1000
+
+
+def pending_waves(spark: SparkSession, manifest: DataFrame, ledger_path: str, wave_bytes: int = WAVE_BYTES) -> DataFrame:
+    """Pairs that the ledger does not hold, newest first, with the ``wave`` that each falls in:
+    about ``wave_bytes`` of files or WAVE_PAIRS pairs, whichever is less.  Staged, as the ledger
+    grows while the waves run."""
+    A.finish_ledger(spark, ledger_path)
     if A.ledger_exists(spark, ledger_path):
         done = A.processed_prefixes(A.read_ledger_lines(spark, ledger_path))
     else:
         done = spark.createDataFrame([], "prefix string")
-    # the ledger grows below, so the pending list is cut from it
-    pending = staged(A.pending_pairs(manifest, done).select("prefix"), "pending")
-    todo = transactions.join(pending, "prefix", "left_semi")
-    write_tables_from_transactions(todo.drop("prefix"), sink_root, dedupe=True)
-    A.append_ledger(pending, ledger_path, now)
+    weight = F.greatest(F.col("meta_length") + F.col("bin_length"), F.lit(-(-wave_bytes // WAVE_PAIRS)))
+    pairs = A.pending_pairs(manifest, done).select("prefix", "start_slot", weight.alias("weight"), F.lit(0).alias("all"))
+    summed = segmented_scan(pairs, ["all"], [F.col("start_slot").desc(), F.col("prefix")], cumsums={"upto": "weight"})
+    return staged(summed.select("prefix", "start_slot", F.expr(f"(upto - weight) div {wave_bytes}").alias("wave")), "pending")
+
+
+def ingest_pairs(pending: DataFrame, ledger_path: str, transactions: DataFrame, sink_root: str, now: str,
+                 table_names: dict[str, str] | None = None) -> None:
+    """C1, wave by wave: the transactions of the wave's pairs go to the keyed sink as one load,
+    then the pairs to the ledger.  A failure leaves the waves before it recorded; the next run
+    drops what the failed one had written and starts with its pairs.  One such job at a time."""
+    spark = pending.sparkSession
+    drop_unfinished(spark, sink_root, table_names, prefix="wave-")
+    for wave in sorted(r[0] for r in pending.select("wave").distinct().collect()):
+        pairs = pending.where(F.col("wave") == wave)
+        prefixes = sorted(r[0] for r in pairs.select("prefix").collect())           # WAVE_PAIRS and one at most
+        load = f"wave-{hashlib.sha256(','.join(prefixes).encode()).hexdigest()[:16]}"
+        if not is_complete(spark, sink_root, load):                                 # else only its ledger lines were lost
+            append_transactions(transactions.where(F.col("prefix").isin(prefixes)).drop("prefix"), sink_root, load, table_names)
+        A.append_ledger(pairs, ledger_path, now)
+
+
+def ingest_batch(spark: SparkSession, archive_dir: str, ledger_path: str, transactions: DataFrame,
+                 sink_root: str, now: str, wave_bytes: int = WAVE_BYTES, table_names: dict[str, str] | None = None) -> DataFrame:
+    """Archive pairs not yet in the ledger -> their transactions -> 8 event
+    tables -> ledger lines, in waves of pairs.  ``transactions`` carries a
+    ``prefix`` column naming its archive pair.  Returns the pairs that were pending."""
+    manifest = A.archive_pairs(A.list_files(spark, archive_dir))
+    pending = pending_waves(spark, manifest, ledger_path, wave_bytes)
+    ingest_pairs(pending, ledger_path, transactions, sink_root, now, table_names)
     return pending
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import start_slot, strip_repeated_suffix
+from ledgerline.sources import files as W
 
 
 # --------------------------------------------------------------------------- listing
@@ -82,9 +83,13 @@ def read_ledger_lines(spark: SparkSession, path: str) -> DataFrame:
     field of an entry), then file modification time, file, split and position.
     Appends put their lines into files with random names, so the names alone
     say nothing about the order."""
+    return _lines(spark, [path])
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     t = F.trim("value")
     ts = F.when((t != "") & ~t.startswith("#"), F.get(F.split(t, ","), 0)).otherwise(F.lit(""))
-    return spark.read.text(path).select(F.col("value").alias("line"), F.struct(
+    return spark.read.text(paths).select(F.col("value").alias("line"), F.struct(
         ts.alias("ts"), F.col("_metadata.file_modification_time").alias("written"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos")).alias("ord"))
 
@@ -146,3 +151,27 @@ def append_lines(lines: DataFrame, path: str) -> None:
 
 def append_ledger(prefixes: DataFrame, path: str, ts: str, status: str = "completed") -> None:
     append_lines(ledger_lines(prefixes, ts, status), path)
+
+
+def finish_ledger(spark: SparkSession, path: str) -> None:
+    """Complete a rewrite of the ledger that was interrupted."""
+    W.finish(spark, path)
+
+
+def rewrite_ledger(spark: SparkSession, path: str, keep: str = "first") -> None:
+    """Replace the ledger's files by its compacted lines, in their order.
+
+    Only the files that are there when it starts are read and replaced; lines appended
+    meanwhile are in other files and stay.  The new files are written beside the old ones and
+    swapped in (``files.replace``): a run that fails before leaves the old ledger, one that
+    fails during the swap is completed by the next reader that calls ``finish_ledger``."""
+    W.finish(spark, path)
+    root = path.rstrip("/")
+    old = [n for n in W.names_in(spark, root) if not n.startswith(("_", "."))]
+    if not old:
+        return
+    lines = compact_ledger(_lines(spark, [f"{root}/{n}" for n in old]), keep)
+
+    def write(to: str) -> None:
+        lines.repartitionByRange("ord").sortWithinPartitions("ord").select(F.col("line").alias("value")).write.text(to)
+    W.replace(spark, root, write, old, lambda to: [(n, n) for n in W.names_in(spark, to) if n.startswith("part-")])

@@ -8,8 +8,9 @@ split over several files whose name order is the row order.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,19 +43,26 @@ def _day_of(epoch: int) -> dt.date:
     return dt.datetime.fromtimestamp(epoch, dt.timezone.utc).date()
 
 
-def days_in(rows: DataFrame) -> list[dt.date]:
-    """The days of ``rows`` (one value per day, whatever the rows)."""
-    return sorted(r[0] for r in rows.select(DAY).distinct().collect() if r[0] is not None)
+def days_in(rows: DataFrame) -> list[dt.date | None]:
+    """The days of ``rows`` (one value per day, whatever the rows); None for rows without one."""
+    return [r[0] for r in rows.select(DAY).distinct().collect()]
+
+
+def on_days(df: DataFrame, days) -> DataFrame:
+    """Rows of the listed days; None stands for rows without a day."""
+    dated = F.col(DAY).isin([d for d in days if d is not None])
+    return df.where(dated | F.col(DAY).isNull() if None in days else dated)
 
 
 def append_rows(rows: DataFrame, path: str, key=NATURAL_KEY, dedupe: bool = True, layout=None,
-                days: list[dt.date] | None = None, distinct: bool = False) -> None:
+                days=None, distinct: bool = False) -> None:
     """Append ``rows`` (with ``event_date``) to the dated table at ``path``.
 
     ``dedupe`` keeps one row for each natural key within the run (unless the
     rows are ``distinct`` by it) and skips the keys that the target holds, so a
-    redelivery, a replayed batch or a run on a new checkpoint adds nothing; of
-    the target it reads the ``days`` of the rows alone (looked up if not given).
+    redelivery, a replayed batch or a run on a new checkpoint adds nothing (a
+    null day or key member equals itself); of the target it reads the ``days``
+    of the rows alone (looked up if not given).
     ``layout``: order columns of a range partitioning by (day, order), done
     last, so that a backfill of many days writes few files a day and no later
     shuffle undoes it."""
@@ -63,8 +71,9 @@ def append_rows(rows: DataFrame, path: str, key=NATURAL_KEY, dedupe: bool = True
         rows = rows if distinct else rows.dropDuplicates([DAY, *key])
         if _exists(spark, path):
             days = days_in(rows) if days is None else days
-            have = spark.read.schema(rows.schema).parquet(path).where(F.col(DAY).isin(days)).select(DAY, *key)
-            rows = rows.join(have, [DAY, *key], "left_anti")
+            have = on_days(spark.read.schema(rows.schema).parquet(path), days).select(*[F.col(c).alias(f"_h_{c}") for c in (DAY, *key)])
+            same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in (DAY, *key)])
+            rows = rows.join(have, same, "left_anti")
     if layout:
         rows = rows.repartitionByRange(DAY, *layout)
     rows.write.mode("append").partitionBy(DAY).parquet(path)

@@ -3,9 +3,9 @@
 * Sources are ``readStream`` with explicit schemas (a file source here; any
   connector in production); back-pressure is ``maxFilesPerTrigger`` /
   ``maxOffsetsPerTrigger``, the reference's size/time flush is the trigger.
-* The event tables are the batch writer's (``plans.jobs.write_event_tables``):
-  the same names and layout, and rows are kept once per natural key, so a
-  replayed batch, a redelivered file or a second checkpoint adds nothing.
+* The event tables are the keyed sink of the batch job (``plans.sink``): a
+  transaction is kept once, so a replayed batch, a redelivered file or a second
+  checkpoint adds nothing, and malformed transactions are set aside.
 * Other sinks write inside ``foreachBatch`` into a directory owned by the run
   (its checkpoint) and the batch id: a replayed batch (crash after write,
   before commit) replaces its own output and never another run's.
@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -23,11 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.scalars import start_slot, strip_repeated_suffix
 from ledgerline.operators.envelope import SIGNAL_TYPE_V1, build_envelopes, route, to_v1
-from ledgerline.operators.pairing import pair_fold
-from ledgerline.operators.project import bundle_json, bundle_total, classify_pairs, event_bundle_inrow
-from ledgerline.plans.jobs import write_event_tables
+from ledgerline.operators.project import bundle_json, bundle_total, event_bundle_inrow
+from ledgerline.plans.jobs import WAVE_BYTES, ingest_pairs, pending_waves
+from ledgerline.plans.sink import append_transactions
 from ledgerline.schemas import TABLES, table_schema
+from ledgerline.sources.files import LOAD
 from ledgerline.sources.transfer import _exists
 
 RUN_COL = "run_id"
@@ -74,64 +77,58 @@ def _run(writer, trigger: dict):
 
 
 def fanout_batch(to_transactions: Callable[[DataFrame], DataFrame], sink_root: str, table_names=None,
-                 log: Callable[[DataFrame, int, dict[str, int]], None] | None = None):
-    """Per micro-batch, pair once and append to the 8 event
-    tables (one natural key, one row, across batches and runs).  ``log`` gets
-    the batch, its id and the rows of each kind after the tables are written."""
+                 log: Callable[[int, float, float, dict], None] | None = None, run: str = "run",
+                 size_col: str | None = None, clock: Callable[[], float] = time.time):
+    """Each micro-batch is a load of the keyed sink (``plans.sink``): a
+    transaction once across batches and runs, malformed ones set aside.  ``log`` gets the batch
+    id, the seconds at which the batch began and ended by ``clock``, and what the sink found."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = to_transactions(batch)
-        found = write_event_tables(pair_fold(batch), sink_root, table_names, dedupe=True, layout=False)
+        began = clock()
+        found = append_transactions(to_transactions(batch), sink_root, f"{run}-{batch_id}", table_names, size_col)
         if log is not None:
-            log(batch, batch_id, found)
+            log(batch_id, began, clock(), found)
     return handle
 
 
 def run_fanout(stream: DataFrame, to_transactions, sink_root: str, checkpoint: str,
-               trigger: dict | None = None, table_names=None, log=None):
+               trigger: dict | None = None, table_names=None, log=None, size_col: str | None = None,
+               clock: Callable[[], float] = time.time):
     """``trigger={'availableNow': True}`` is the single pass,
     ``{'processingTime': '600 seconds'}`` the watch mode."""
-    w = stream.writeStream.foreachBatch(fanout_batch(to_transactions, sink_root, table_names, log)) \
-        .option("checkpointLocation", checkpoint)
+    handle = fanout_batch(to_transactions, sink_root, table_names, log, run_id(checkpoint), size_col, clock)
+    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _run(w, trigger or {"availableNow": True})
 
 
-def ingest_log_batch(path: str, checkpoint: str):
-    """``log`` of ``fanout_batch`` that keeps one row for each transaction
-    (event time, bytes, instructions, bundles, rows written) for ``ingest_stats``."""
-    run = run_id(checkpoint)
+BATCH_LOG = "epoch long, transactions long, rejected long, duplicates long, bundles long, rows_written long, bytes long, processing_us long"
 
-    def log(batch: DataFrame, batch_id: int, found: dict[str, int]) -> None:
-        sizes = event_sizes(batch)
-        write_batch(sizes, path, run, batch_id, [])
-    return log
 
+def ingest_log(spark: SparkSession, path: str, checkpoint: str):
+    """``log`` of ``fanout_batch`` that keeps one row for each micro-batch as it was
+    measured: when it ended, its transactions and their bytes, what the sink did with them and
+    how long the batch took.  ``stats.ingest_stats`` sums the rows up by period."""
+    run = run_id(checkpoint)
 
-def event_sizes(tx: DataFrame) -> DataFrame:
-    """Ingest-log row of each transaction: ``epoch`` of its first event, ``bytes`` and
-    ``processing_us`` (its instructions, stand-ins without a clock or the raw
-    message), ``bundles`` and ``rows_written``."""
-    valid = classify_pairs(pair_fold(tx)).where("valid").groupBy("signature").agg(
-        F.count(F.lit(1)).cast("bigint").alias("rows_written"))
-    first = F.array_min(F.transform("instructions", lambda x: x["event"]["timestamp"]))
-    base = tx.select("signature", F.pmod(first, F.lit(1 << 32)).alias("epoch"),
-                     F.size("instructions").cast("bigint").alias("bytes"),
-                     F.size("instructions").cast("bigint").alias("processing_us"))
-    rows = F.coalesce("rows_written", F.lit(0)).cast("bigint")
-    return base.join(valid, "signature", "left").select(
-        "signature", "epoch", "bytes", "processing_us", (rows > 0).cast("int").alias("bundles"), rows.alias("rows_written"))
+    def log(batch_id: int, began: float, ended: float, found: dict) -> None:
+        row = (int(ended), found["transactions"], found["rejected"], found["duplicates"], found["bundles"], sum(found["rows"].values()),
+               found["bytes"], round((ended - began) * 1_000_000))
+        write_batch(spark.createDataFrame([row], BATCH_LOG), path, run, batch_id, [])
+    return log
 
 
-def read_sink(spark: SparkSession, sink_root: str, kind: str, table_names=None) -> DataFrame:
+def read_sink(spark: SparkSession, sink_root: str, kind: str, table_names=None, load: bool = False) -> DataFrame:
     names = table_names or {t.name: t.table for t in TABLES}
-    schema = T.StructType([*table_schema(kind).fields, T.StructField("event_date", T.DateType())])
+    own = [T.StructField("event_date", T.DateType())] + [T.StructField(LOAD, T.StringType())] * load
+    schema = T.StructType([*table_schema(kind).fields, *own])
     path = f"{sink_root.rstrip('/')}/{names[kind]}"
     return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def sink_keys(spark: SparkSession, sink_root: str) -> DataFrame:
-    """event_table and the common columns of every row in the 8 tables."""
-    parts = [read_sink(spark, sink_root, t.name).select(F.lit(t.name).alias("event_table"), "signature", "slot",
-                                                        "transaction_index", "instruction_index", "timestamp") for t in TABLES]
+def sink_keys(spark: SparkSession, sink_root: str, keep=()) -> DataFrame:
+    """event_table and the common columns of every row in the 8 tables; ``keep``: further
+    columns, of the ``load`` that brought the row."""
+    parts = [read_sink(spark, sink_root, t.name, load=bool(keep)).select(
+        F.lit(t.name).alias("event_table"), "signature", "slot", "transaction_index", "instruction_index", "timestamp", *keep) for t in TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -191,3 +188,44 @@ def raw_envelopes(stream: DataFrame, *, channel, ts, payload, id_cols, authority
     """T6 (v2): payload passed through undecoded, nothing skipped, routed."""
     return route(build_envelopes(stream, channel=channel, ts=ts, payload=payload, id_cols=id_cols,
                                  authority_text=authority_text, sender_agent=sender_agent))
+
+
+# ------------------------------------------------------------------ watch mode of the archive
+#: Columns of Spark's binaryFile source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def listing_stream(spark: SparkSession, directory: str, suffix: str, tag: str, max_files: int | None = None) -> DataFrame:
+    """S1 as a stream: prefix, path, length and time of the files with ``suffix`` as they come."""
+    r = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", f"*{suffix}")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    files = r.load(directory).select("path", "length", "modificationTime")
+    name = F.element_at(F.split("path", "/"), -1)
+    return files.select(strip_repeated_suffix(name, suffix).alias(f"{tag}_prefix"), F.col("path").alias(f"{tag}_path"),
+                        F.col("length").alias(f"{tag}_length"), F.col("modificationTime").alias(f"{tag}_time"))
+
+
+def completed_pairs(spark: SparkSession, directory: str, wait: str, max_files: int | None = None) -> DataFrame:
+    """J1 as a stream-stream join: a pair comes out when its second file does, in whichever order
+    they arrive.  A file waits for its other half for ``wait``, which bounds the state; a half
+    that comes later stays pending and is found by the next full scan (``plans.jobs.ingest_batch``)."""
+    meta = listing_stream(spark, directory, ".meta", "meta", max_files).withWatermark("meta_time", wait)
+    data = listing_stream(spark, directory, ".bin", "bin", max_files).withWatermark("bin_time", wait)
+    near = F.expr(f"meta_prefix = bin_prefix AND bin_time BETWEEN meta_time - INTERVAL {wait} AND meta_time + INTERVAL {wait}")
+    pairs = meta.where("meta_prefix <> ''").join(data, near, "inner")
+    return pairs.select(F.col("meta_prefix").alias("prefix"), "meta_path", "meta_length", "bin_path", "bin_length")
+
+
+def watch_archive(spark: SparkSession, directory: str, ledger_path: str, transactions: Callable[[], DataFrame], sink_root: str,
+                  checkpoint: str, now: Callable[[], str], wait: str = "7 days", trigger: dict | None = None,
+                  wave_bytes: int = WAVE_BYTES, max_files: int | None = None):
+    """Pairs are ingested as they are completed (C1: wave by wave, each pair once by ledger
+    and keyed sink).  ``transactions()`` is read anew for each batch; ``now()`` stamps the ledger.
+    ``trigger={'processingTime': '600 seconds'}`` watches; the default takes what is there."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        manifest = batch.groupBy("prefix").agg(F.min_by("meta_length", "meta_path").alias("meta_length"),
+                                               F.min_by("bin_length", "bin_path").alias("bin_length"))
+        manifest = manifest.withColumn("start_slot", F.coalesce(start_slot("prefix"), F.lit(0).cast("decimal(20,0)")))
+        ingest_pairs(pending_waves(spark, manifest, ledger_path, wave_bytes), ledger_path, transactions(), sink_root, now())
+    return run_foreach(completed_pairs(spark, directory, wait, max_files), handle, checkpoint, trigger)
