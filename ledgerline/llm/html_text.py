@@ -6,6 +6,12 @@ and the words of class, id and role, hashed), hashed words of the text and a few
 (length, share of links, punctuation), and labels every block with the whole page as
 context.  The text of a page is its blocks labelled as article, in page order.
 
+What marks boilerplate is a tag name, or a class, id or role token whose words all name
+boilerplate or its place (``site-header``, ``comment-list``): a token that only mentions it
+(``with-sidebar``, ``ad-free``, ``comment-open``) is dropped, as are the tokens of html and body.  An
+element that holds more than half of the page's text, and an h1 if the page has any, is no
+boilerplate whatever it is called.
+
 There are no gold labels, so the network is trained here on at most SAMPLE pages taken by
 hash, labelled by what their paths say (``path_label``); stretches of boilerplate with every
 word of BOILERPLATE as tag, class or id are put between their blocks, and article wrappers
@@ -52,6 +58,10 @@ cookie consent notice alert popup modal overlay comment comments reply replies d
 sharing social related recommended newsletter subscribe signup login search widget widgets toolbar pagination pager
 copyright legal disclaimer button select option fieldset navigation topbar masthead complementary contentinfo dialog
 feedback tags skip""".split()
+#: Words that may stand beside one of BOILERPLATE in a token that marks it.
+PLACE = """area bar block body bottom box button buttons col column container content entry global group header inner item
+items left link links list main meta module outer page panel post posts primary right row secondary section site
+text top widget wrap wrapper""".split()
 CONTENT = ("article", "main", "section", "content", "post", "entry", "story", "body", "text", "page", "wrapper", "container")
 
 TOKEN = re.compile(
@@ -66,6 +76,7 @@ NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 
 PATHS, WORDS, NUMBERS, HIDDEN = 2048, 64, 4, 16
 INNER, OUTER = 16, 8         # elements of a path that are read
+HIDE = 0.5                   # share of blocks whose words are hidden in a training step
 SAMPLE = 300                 # pages to train on
 SAMPLE_CHARS = 200_000       # longer pages are labelled but not trained on
 CHUNK = 1 << 14              # blocks whose inputs are made at once
@@ -81,6 +92,32 @@ class Block:
     linked: int               # characters inside links
 
 
+@dataclass
+class Element:
+    """An open element: its names for paths, whether they mark boilerplate, and the text and h1 inside
+    (negative or running counts while it is open)."""
+    tag: str
+    names: tuple[str, ...]
+    marked: bool
+    chars: int
+    heads: int
+
+
+_BAD = frozenset(BOILERPLATE)
+_BESIDE = _BAD | frozenset(PLACE)
+
+
+def _element(tag: str, attrs: str, chars: int, heads: int) -> Element:
+    """``chars``, ``heads``: the page's counts where the element begins."""
+    names = [tag]
+    for value in NAMING.findall(attrs) if tag not in ("html", "body") else ():
+        for token in "".join(value).split():
+            words = [w.lower() for w in re.findall(r"[A-Za-z]+", token)]
+            if _BAD.isdisjoint(words) or _BESIDE.issuperset(words):
+                names += words
+    return Element(tag, tuple(dict.fromkeys(names)), not _BAD.isdisjoint(names), -chars, -heads)
+
+
 def _raw_end(page: str, name: str, at: int, ends: dict[str, re.Match | None]) -> int:
     """Where a raw element whose start tag ends at ``at`` ends; ``ends``: the next end tag of each
     name as last searched (None: no more), so that no part of a page is searched twice."""
@@ -102,19 +139,26 @@ def _raw_end(page: str, name: str, at: int, ends: dict[str, re.Match | None]) ->
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks of a page, in order."""
     page = page or ""
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    found: list[Block] = []
+    stack: list[Element] = []
+    found: list[tuple[str, list[Element], int]] = []
     parts: list[str] = []
     ends: dict[str, re.Match | None] = {}
-    linked = links = at = 0
+    linked = links = at = chars = heads = 0
+
+    def shut(k: int) -> None:
+        """Close the elements from place k of the stack."""
+        for e in stack[k:]:
+            e.chars += chars
+            e.heads += heads
+        del stack[k:]
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, chars, heads
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            inner = [n for _, names in stack[-INNER:] for n in names]
-            outer = [n for _, names in stack[:-INNER][:OUTER] for n in names]
-            found.append(Block(text, tuple(dict.fromkeys(outer + inner)), min(linked, len(text))))
+            found.append((text, stack[:min(OUTER, max(len(stack) - INNER, 0))] + stack[-INNER:], min(linked, len(text))))
+            chars += len(text)
+            heads += stack[-1].tag == "h1" if stack else 0
         parts.clear()
         linked = 0
 
@@ -127,8 +171,8 @@ def blocks(page: str | None) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
-        if stack and stack[-1][0] == "head" and tag not in HEAD and not m["close"]:
-            stack.pop()
+        if stack and stack[-1].tag == "head" and tag not in HEAD and not m["close"]:
+            shut(len(stack) - 1)
         if tag == "a":
             links = 0 if m["close"] else 1
         if tag == "br":
@@ -139,28 +183,30 @@ def blocks(page: str | None) -> list[Block]:
         links = 0
         if m["close"]:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
+                if stack[k].tag == tag:
+                    shut(k)
                     break
         elif tag not in VOID:
-            if tag in SELF_CLOSING and stack and stack[-1][0] == tag:
-                stack.pop()
-            names = [tag]
-            for value in NAMING.findall(m["attrs"]):
-                names += [w.lower() for w in re.findall(r"[A-Za-z]+", "".join(value))]
-            stack.append((tag, tuple(names)))
+            if tag in SELF_CLOSING and stack and stack[-1].tag == tag:
+                shut(len(stack) - 1)
+            stack.append(_element(tag, m["attrs"], chars, heads))
     parts.append(page[at:])
     flush()
-    return found
+    shut(0)
 
+    def names(e: Element) -> tuple[str, ...]:
+        wraps = e.marked and 2 * e.chars > chars and (e.heads > 0 or not heads)
+        return tuple(n for n in ("div" if e.tag in _BAD else e.tag, *e.names[1:]) if n not in _BAD) if wraps else e.names
+    return [Block(text, tuple(dict.fromkeys(n for e in path for n in names(e))), link) for text, path, link in found]
 
-_BAD = frozenset(BOILERPLATE)
+
+_STORY = frozenset(("article", "main", "post", "entry", "story"))
 
 
 def path_label(path: tuple[str, ...]) -> int:
     """1 if nothing in the path marks boilerplate (a headline's header inside an article is none)."""
     bad = _BAD.intersection(path)
-    return int(not bad or bad == {"header"} and "article" in path and "h1" in path)
+    return int(not bad or bad == {"header"} and "h1" in path and not _STORY.isdisjoint(path))
 
 
 # ------------------------------------------------------------------ inputs
@@ -265,7 +311,7 @@ class Labeller:
             dh[:n], dc[:n] = g @ w.T, c * f
         return dx, dw
 
-    def fit(self, pages: list[tuple[list[Block], np.ndarray]], epochs: int = 14, batch: int = 32, rate: float = 0.01) -> None:
+    def fit(self, pages: list[tuple[list[Block], np.ndarray]], epochs: int = 20, batch: int = 32, rate: float = 0.01) -> None:
         rng = np.random.default_rng(SEED)
         m, v = ({k: np.zeros_like(a) for k, a in self.p.items()} for _ in range(2))
         made = [(*inputs(b), y) for b, y in pages]
@@ -277,6 +323,7 @@ class Labeller:
                 width = max(p.shape[1] for p, _, _ in some)
                 paths = np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for p, _, _ in some])
                 dense, y = (np.concatenate([s[k] for s in some]) for k in (1, 2))
+                dense[:, :WORDS] *= rng.random((len(dense), 1)) >= HIDE       # markup must do for many blocks
                 x = self.project(paths, dense)
                 ahead, behind = self.rows([len(s[2]) for s in some])
                 kf, kb, h = [], [], 4 * HIDDEN
@@ -303,13 +350,14 @@ def varied(found: list[Block], rng: np.random.Generator) -> tuple[list[Block], n
     wrap = {"article": CONTENT[rng.integers(len(CONTENT))]} if rng.random() < 0.5 else {}
     wrap |= {"h1": f"h{rng.integers(1, 5)}"} if rng.random() < 0.5 else {}
     bare = rng.random() < 0.1                                    # a fragment without wrappers
-    found = [Block(b.text, tuple(dict.fromkeys(wrap.get(n, n) for n in b.path if not bare or n in _BAD)), b.linked) for b in found]
+    around = ("div", CONTENT[rng.integers(len(CONTENT))])[:rng.integers(3)]          # wrappers of the whole page
+    found = [Block(b.text, tuple(dict.fromkeys((*around, *(wrap.get(n, n) for n in b.path if not bare or n in _BAD)))), b.linked) for b in found]
     a, n = (int(rng.integers(len(found))), int(rng.integers(1, 6))) if found and rng.random() < 0.3 else (0, 200)
     found = found[a:a + n]
     stretches: dict[int, list[Block]] = {}
     for _ in range(int(rng.integers(3, 9)) if found else 0):
         at, word = int(rng.integers(len(found) + 1)), BOILERPLATE[rng.integers(len(BOILERPLATE))]
-        outer = found[min(at, len(found) - 1)].path if rng.random() < 0.5 else ("html", "body")
+        outer = found[min(at, len(found) - 1)].path if rng.random() < 0.5 else ("html", "body", *around)
         tag = [("div", word), ("section", word), (word,), ("ul", word, "li"), ("div", word, "p"), ("div", word, "h3")][rng.integers(6)]
         for _ in range(int(rng.integers(1, 5))):
             words = found[rng.integers(len(found))].text.split()

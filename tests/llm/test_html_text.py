@@ -42,6 +42,47 @@ def test_main_text(labeller):
         "The headline First & second line with a link. Third line", "", ""]
 
 
+STORY = ("The council of the town voted on Monday for the new bridge over the river, after two years of talks.",
+         "Work on the foundations should begin in spring, and the first cars may cross before the end of next year.",
+         "Neighbours had asked for a lower speed limit, which the council will discuss in a later meeting.")
+OUTER = """<html><body{body}><header><a href=/>The Daily</a></header><nav><ul><li><a href=/a>Home</a></li></ul></nav>
+<div{div}><article{article}><h1>A bridge at last</h1>{story}</article></div><aside class="sidebar"><p>Most read</p></aside>
+<section class="comments"><p>I like it.</p></section><footer><p>All rights reserved</p></footer></body></html>"""
+
+
+@pytest.mark.parametrize("where, value", [
+    ("body", "header-fixed"), ("body", "ad-free"), ("body", "home admin-bar logged-in widget-area"), ("body", "has-sidebar"), ("body", "nav-open"),
+    ("div", "content with-sidebar"), ("div", "no-sidebar"), ("div", "page has-footer"), ("div", "sidebar-right-layout"),
+    ("article", "post comment-open"), ("article", "post tags-news"), ("article", "entry share"), ("article", "")])
+def test_state_words_of_wrappers(labeller, where, value):
+    """A word in the class of an outer element, or of the article, takes nothing away and lets nothing in."""
+    named = {k: f' class="{value}"' if k == where else "" for k in ("body", "div", "article")}
+    page = OUTER.format(story="".join(f"<p>{p}</p>" for p in STORY), **named)
+    assert [b.text for b in H.blocks(page) if H.path_label(b.path)] == ["A bridge at last", *STORY]
+    assert list(H.extract(labeller, [page])) == [" ".join(["A bridge at last", *STORY])]
+
+
+def test_forward_brute(labeller, pages):
+    """The labels against a plain loop over blocks, gate by gate."""
+    h, p = H.HIDDEN, labeller.p
+    for _, _, page in pages[:3]:
+        found = H.blocks(page)
+        paths, dense = H.inputs(found)
+        sums = []
+        for way, part, order in (("f", 0, range(len(found))), ("b", 1, range(len(found) - 1, -1, -1))):
+            state, cell, out = np.zeros(h), np.zeros(h), {}
+            for i in order:
+                g = dense[i] @ p["dense"] + sum(p["path"][k] for k in paths[i] if k)
+                g = g[part * 4 * h:(part + 1) * 4 * h] + state @ p[way]
+                enter, forget, leave = (1 / (1 + np.exp(-g[k * h:(k + 1) * h])) for k in range(3))
+                cell = forget * cell + enter * np.tanh(g[3 * h:])
+                state = leave * np.tanh(cell)
+                out[i] = state
+            sums.append(out)
+        want = [np.concatenate([sums[0][i], sums[1][i]]) @ p["out"] + p["bias"][0] for i in range(len(found))]
+        assert np.allclose(labeller.logits(found, [len(found)]), want)
+
+
 def test_held_out_pages(labeller, pages):
     """Pages that were varied anew, with boilerplate between their blocks."""
     rng = np.random.default_rng(99)
