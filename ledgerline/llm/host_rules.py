@@ -3,10 +3,10 @@
 Every document is held against document rules (below).  Failures are added up by host, each
 host's failure rate is shrunk with a beta prior fitted to all hosts by the moments of the
 beta-binomial distribution (so the scatter of small hosts is not taken for difference
-between hosts), and a host
-whose shrunk rate is over HOST_LIMIT is a bad host.  The verdict goes back to its documents:
-on a bad host a document must pass every rule, elsewhere only the two base rules.  So a
-clean document is kept wherever it stands.
+between hosts), and the shrunk rate is held against the fitted mean.  The verdict goes back to
+the host's documents and says how strictly a failing one is judged: a document that fails any
+rule is dropped, unless its host's shrunk rate is below TRUSTED times the mean; on such a trusted
+host the two base rules alone count.  A document that passes every rule is kept wherever it stands.
 
 Rules: too short (under 50 words), repetitive (more than half of the words lie in repeated
 3-word windows) - these two are the base rules -, symbols (over a tenth of the word
@@ -38,7 +38,7 @@ MAX_REPEATED = 50            # per cent of the words
 MAX_SYMBOLS = 10             # per cent of the word characters
 MAX_DUP_LINES = 30           # per cent of the lines with a word
 WORD_LENGTH = (2, 20)
-HOST_LIMIT = 0.5
+TRUSTED = 0.5                # times the mean failure rate
 PRIOR_LIMIT = 10_000.0
 
 
@@ -81,8 +81,8 @@ def judged(rows: DataFrame) -> DataFrame:
     return rows.withColumn("base_failed", base).withColumn("rule_failed", base | other)
 
 
-def bad_hosts(rows: DataFrame) -> DataFrame:
-    """host, shrunk_rate of the hosts whose shrunk failure rate is over HOST_LIMIT."""
+def trusted_hosts(rows: DataFrame) -> DataFrame:
+    """host, shrunk_rate of the hosts whose shrunk failure rate is below TRUSTED times the mean."""
     hosts = rows.where("host is not null").groupBy("host").agg(
         F.count("*").alias("n"), F.sum(F.col("rule_failed").cast("long")).alias("failed"))
     k, n, failed, square = hosts.agg(F.count("*"), F.sum("n"), F.sum("failed"),
@@ -91,14 +91,15 @@ def bad_hosts(rows: DataFrame) -> DataFrame:
     rho = ((square - n * m * m) / (m * (1 - m)) - k) / (n - k) if 0 < m < 1 and n > k else 0.0
     strength = min(PRIOR_LIMIT, max(1.0, 1 / rho - 1)) if rho > 0 else PRIOR_LIMIT
     shrunk = (F.col("failed") + F.lit(m * strength)) / (F.col("n") + F.lit(strength))
-    return hosts.select("host", shrunk.alias("shrunk_rate")).where(F.col("shrunk_rate") > HOST_LIMIT)
+    return hosts.select("host", shrunk.alias("shrunk_rate")).where(F.col("shrunk_rate") < F.lit(TRUSTED * m))
 
 
 def query(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed and kept of every document."""
     rows = materialize(docs.sparkSession, judged(features(docs)), "rules")
-    verdict = bad_hosts(rows).select("host", F.lit(True).alias("bad"))
-    kept = ~F.col("base_failed") & ~(F.coalesce("bad", F.lit(False)) & F.col("rule_failed"))
+    verdict = trusted_hosts(rows).select("host", F.lit(True).alias("trusted"))
+    lenient = F.col("host").isNull() | F.coalesce("trusted", F.lit(False))
+    kept = ~F.col("base_failed") & (~F.col("rule_failed") | lenient)
     return rows.join(verdict, "host", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))
 
@@ -144,10 +145,10 @@ WITH t AS (
   FROM moments
 ), strength AS (
   SELECT m, CASE WHEN rho > 0 THEN least({PRIOR_LIMIT}, greatest(1.0, 1 / rho - 1)) ELSE {PRIOR_LIMIT} END AS s FROM prior
-), bad AS (
-  SELECT host FROM hosts, strength WHERE (failed + m * s) / (n + s) > {HOST_LIMIT}
+), trusted AS (
+  SELECT host FROM hosts, strength WHERE (failed + m * s) / (n + s) < {TRUSTED} * m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (other_failed AND host IS NOT NULL AND host IN (SELECT host FROM bad)) AS kept
+       NOT base_failed AND (NOT other_failed OR host IS NULL OR host IN (SELECT host FROM trusted)) AS kept
 FROM j
 """

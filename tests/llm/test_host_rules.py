@@ -23,7 +23,7 @@ TEXTS = ["a b c a b c", "a a a a a", "x\nx\n\n \nx y\nx", "a\x85b c #*|", "a b
 def test_counts(spark):
     rows = [(20_000 + i, t, "en", "s", 0) for i, t in enumerate(TEXTS)] + [r for r in awkward() if r[0] is not None]
     got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
-           for r in H.query(with_clash(frame(spark, rows), "host", "s", "bad")).collect()}
+           for r in H.query(with_clash(frame(spark, rows), "host", "s", "trusted")).collect()}
     assert got == {r[0]: brute(r[1]) for r in rows}
 
 
@@ -46,10 +46,11 @@ def test_verdicts(spark):
 
 
 def test_shrinking(spark):
-    """One failing document alone makes no bad host where hosts seldom fail."""
+    """Hosts alike are judged alike, and a host of few documents is not trusted for having had no failure yet."""
     rows = [(h * 100 + i, good(i) if i > 1 else symbols(i), "en", f"h{h}", 0) for h in range(10) for i in range(20)]
-    rows.append((5000, symbols(1), "en", "small", 0))
-    assert {r.doc_id: r.kept for r in H.query(frame(spark, rows)).collect()}[5000]
+    rows += [(5000 + i, good(i) if i else symbols(i), "en", "small", 0) for i in range(12)]
+    got = {r.doc_id: r.kept for r in H.query(frame(spark, rows)).collect()}
+    assert not got[5000] and not got[0] and all(k for i, k in got.items() if i % 100 > 1)
 
 
 @pytest.mark.parametrize("extra", [[], [(9100 + i, symbols(i), "en", "src0", 0) for i in range(400)]])
