@@ -6,8 +6,10 @@ shape, its neighbouring words and features of the file, and is decoded by Viterb
 that overlap no base span are added as kind ``crf``.
 
 The field is trained here by maximum likelihood (forward-backward in numpy, on the driver) on
-at most SEGMENTS stretches of LENGTH tokens, tagged by the secret parts of base matches in
-documents sampled by hash (documents of the sample without a match give one stretch each).
+at most SEGMENTS stretches of LENGTH tokens, tagged by the secret parts of base matches.  They come
+from two bounded samples by hash, of the documents with a base match and of the others (one stretch
+each), so the field learns however rare secrets are.  In a share of the stretches the neighbouring
+words are hidden, so that shapes must do where no known keyword stands.
 Its weights are a table of FEATURES x 3 and are broadcast.
 
 Decoding is exact and takes few steps in Python: a token whose outside score leads by more
@@ -16,7 +18,7 @@ rest, so the chain falls apart there, and only the stretches between are decoded
 batch side by side.
 
 Cases: null text counts as empty (no spans, digest of the empty string); without any base
-match in the sample the field adds nothing; repeated rows and ties get the same result (ties
+match in the table the field adds nothing; repeated rows and ties get the same result (ties
 go to outside, then begin); texts of any length are scanned whole; extra columns are ignored.
 """
 
@@ -32,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import col, small_batches, text_udf
+from ledgerline.llm.common import col, materialize, small_batches, text_udf
 from ledgerline.llm.textcodes import DIGIT, LETTER, SPACE, UPPER, Codes, portions
 
 # The base patterns, and the least length of each kind's checked part.
@@ -40,10 +42,14 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 MIN_ASSIGNED = 12
+#: The same as one pattern for Spark, for whether a text has a match.
+ANY = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12}"""
+       r"|AKIA[A-Z0-9]{14}|[0-9a-f]{16}")
 KINDS = ("assign", "access", "hex")
 
 OUTSIDE, BEGIN, INSIDE = range(3)
-SAMPLE = 4_000               # documents that training stretches are taken from
+SAMPLE = 4_000               # documents that training stretches are taken from, half of them with a base match
+HIDE = 0.25                  # share of stretches whose neighbouring words are hidden
 SEGMENTS = 3_000
 LENGTH = 32
 NEIGHBOURS = (-3, -2, -1, 1)
@@ -51,6 +57,7 @@ WORDS = 512
 SHAPES, TURNS, FILES = 9 * 32, 9 * 8, 32
 FEATURES = SHAPES + TURNS + FILES + len(NEIGHBOURS) * WORDS
 PER_TOKEN = 3 + len(NEIGHBOURS)
+SEED = 7
 _BINS = 1 << 20
 
 
@@ -185,7 +192,7 @@ def fit(features: np.ndarray, tags: np.ndarray, rounds: int = 50, rate: float =
         return None
     s, length = tags.shape
     real = tags >= 0
-    index = np.where(real[:, :, None], features, FEATURES)       # one more row that stays zero
+    index = np.where(real[:, :, None] & (features >= 0), features, FEATURES)       # one more row that stays zero
     params = [np.zeros((FEATURES + 1, 3)), np.zeros((3, 3)), np.zeros(3)]
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     flat, gold = index.reshape(-1), np.eye(3)[np.maximum(tags, 0)] * real[:, :, None]
@@ -220,7 +227,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
     """Fit the field on stretches of a bounded sample of documents."""
     rows = docs.select(F.xxhash64(col(docs, "doc_id"), col(docs, "text")).alias("h"), col(docs, "text").alias("text")) \
         .where("text is not null")
-    share = min(_BINS, _BINS * sample // max(rows.count(), 1) + 1)
+    hit = F.col("text").rlike(ANY)
+    n = {r["hit"]: r["count"] for r in rows.groupBy(hit.alias("hit")).count().collect()}          # two rows
+    share, rest = (min(_BINS, _BINS * (sample // 2) // max(n.get(k, 0), 1) + 1) for k in (True, False))
+    place = F.pmod("h", F.lit(_BINS))
+    sampled = rows.where((place < max(share, rest)) & (place < F.when(hit, share).otherwise(rest)))
 
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -240,15 +251,15 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
                         found.append((h, int(p - a), bool(len(begins)), x.tobytes(), y.tobytes()))
                 yield pd.DataFrame(found, columns=["h", "p", "some", "x", "y"])
 
-    picked = rows.where(F.pmod("h", F.lit(_BINS)) < share).mapInPandas(
-        stretches, "h long, p long, some boolean, x binary, y binary")
-    got = picked.limit(4 * SEGMENTS).collect()
-    got = sorted(got, key=lambda r: (r["h"], r["p"]))
-    with_secret = [r for r in got if r["some"]][: SEGMENTS // 2]
-    got = with_secret + [r for r in got if not r["some"]][: SEGMENTS - len(with_secret)]
+    picked = materialize(docs.sparkSession, sampled.mapInPandas(
+        stretches, "h long, p long, some boolean, x binary, y binary").dropDuplicates(["h", "p"]), "stretches")
+    with_secret = picked.where("some").orderBy("h", "p").limit(SEGMENTS // 2).collect()
+    got = with_secret + picked.where("not some").orderBy("h", "p").limit(SEGMENTS - len(with_secret)).collect()
     if not with_secret:
         return None
-    return fit(np.stack([np.frombuffer(r["x"], dtype=np.int32).reshape(LENGTH, PER_TOKEN) for r in got]),
+    x = np.stack([np.frombuffer(r["x"], dtype=np.int32).reshape(LENGTH, PER_TOKEN) for r in got])
+    x[np.random.default_rng(SEED).random(len(x)) < HIDE, :, PER_TOKEN - len(NEIGHBOURS):] = -1
+    return fit(x,
                np.stack([np.frombuffer(r["y"], dtype=np.int8) for r in got]))
 
 

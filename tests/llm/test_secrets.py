@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import secrets as S
 from tests.llm.data import awkward, frame, sample, with_clash
@@ -100,3 +101,16 @@ def test_query(spark):
         assert sum(not s.startswith("crf") for s in spans) == r.n_assign + r.n_access + r.n_hex
         assert [int(s.split(":")[1]) for s in spans] == sorted(int(s.split(":")[1]) for s in spans)
     assert S.query(frame(spark, [])).count() == 0
+
+
+def test_rare_secrets_are_learned(spark):
+    """A few secrets among many more documents than are sampled still train the field, and the pattern that
+    picks them agrees with the base patterns."""
+    plain = [(i, f"some plain words of text number {i} and nothing else in it", "en", "s", 0) for i in range(3000)]
+    rare = [(9000 + i, f'noise words here token = "{hashlib.sha1(str(i).encode()).hexdigest()}" and more', "en", "s", 0) for i in range(20)]
+    field = S.train(frame(spark, plain + rare), sample=100)
+    text = 'and so Token = "77de68daecd823babbb58edb1c8e14d7106e83bb" ends'
+    assert [text[a:b] for a, b in S.crf_spans(field, [text])[0]] == ["77de68daecd823babbb58edb1c8e14d7106e83bb"]
+    texts = [t or "" for t in TEXTS] + [r[1] for r in sample()]
+    got = frame(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)]).select("doc_id", F.col("text").rlike(S.ANY).alias("hit"))
+    assert {r.doc_id: r.hit for r in got.collect()} == {i: bool(brute_base(t)) for i, t in enumerate(texts)}
