@@ -29,6 +29,7 @@ from ledgerline.session import scratch_dir, staged
 from ledgerline.sources import archive as A
 from ledgerline.sources import files as W
 from ledgerline.sources import transfer as X
+from ledgerline.sources.ranges import read_ranges
 from ledgerline.streaming import channels as C
 from ledgerline.streaming import jobs as J
 
@@ -423,6 +424,21 @@ def q_slot_index_totals(spark, d):
     return A.file_totals(A.slot_status(entries, A.archive_pairs(S.archive_listing(spark, d))))
 
 
+@register("slot_ranges", f"""
+WITH ent AS (SELECT event_id AS slot, event_id // {S.RANGE_FILE} AS file, concat_ws('|', event_id, user_id, event_type, props) AS line FROM events)
+SELECT CAST(file AS VARCHAR) AS prefix, slot, CAST(strlen(line) AS BIGINT) AS size, sha256(line) AS content_sha256
+FROM ent WHERE slot % 10 <> 0 AND slot % 97 <> 0 AND slot % 89 <> 0""")
+def q_slot_ranges(spark, d):
+    """The readable entries of the slot index, read as byte ranges; packs of 64 KB, so that
+    a file is read by several tasks and a task reads several files."""
+    root = scratch_dir(spark, "slot-files") + "/files"
+    entries = S.write_slot_files(spark, d, root)
+    files = S.slot_files(spark, root)
+    ok = A.slot_status(entries, files).where("status = 'ok'").drop("bin_length", "status")
+    got = read_ranges(ok.join(files.select("prefix", "path"), "prefix"), pack_bytes=1 << 16)
+    return got.select("prefix", "slot", "size", F.sha2("content", 256).alias("content_sha256"))
+
+
 @register("ledger_load", _with(S.SQL_LEDGER) + "\nSELECT prefix FROM processed")
 def q_ledger_load(spark, d):
     return A.processed_prefixes(_ledger(spark, d))

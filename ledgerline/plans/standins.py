@@ -17,7 +17,7 @@ stand-in independently (DuckDB side).  All stand-ins keep every source row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.base58 import ALPHABET
@@ -288,6 +288,32 @@ def slot_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slot_entries(spark, sf_dir).groupBy("prefix").agg(F.collect_list(F.struct("slot", "offset", "size")).alias("entries"))
 
 
+RANGE_FILE = 4_000          # events a stand-in archive file
+
+
+def write_slot_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Archive files under ``root`` with a line an event (slot = event_id), one file for every
+    RANGE_FILE of them, and their slot index: prefix, slot, offset, size.  Some entries
+    have no offset, some point behind their file and some into a file that is not there."""
+    ev = table(spark, sf_dir, "events")
+    lines = ev.select(F.floor(F.col("event_id") / RANGE_FILE).cast("string").alias("prefix"), F.col("event_id").alias("slot"),
+                      F.concat_ws("|", "event_id", "user_id", "event_type", "props").alias("value"))
+    lines.repartition("prefix").sortWithinPartitions("prefix", "slot").select("prefix", "value") \
+        .write.partitionBy("prefix").text(root)
+    size, slot = F.octet_length("value").cast("long"), F.col("slot")
+    upto = Window.partitionBy("prefix").orderBy("slot")            # RANGE_FILE rows at most
+    offset = F.sum(size + 1).over(upto) - size - 1
+    return lines.select(F.when(slot % 89 == 0, "gone").otherwise(F.col("prefix")).alias("prefix"), "slot",
+                        F.when(slot % 10 != 0, F.when(slot % 97 == 0, offset + 2 ** 40).otherwise(offset)).cast(U64).alias("offset"),
+                        size.cast(U64).alias("size"))
+
+
+def slot_files(spark: SparkSession, root: str) -> DataFrame:
+    """Prefix, path and length of the files of ``write_slot_files``."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(root)
+    return listing.select(F.regexp_extract("path", "prefix=([^/]*)/", 1).alias("prefix"), "path", F.col("length").alias("bin_length"))
+
+
 def _prefix(k: Column) -> Column:
     base = F.concat(k.cast("string"), F.lit("_"), (k + 99).cast("string"))
     return F.when(k % 7 == 0, F.concat(F.lit("slot"), base)).otherwise(base)
