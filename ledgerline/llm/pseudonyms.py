@@ -7,11 +7,13 @@ only on the key and the format, so equal values get equal pseudonyms in every do
 any partition and without a lookup table.
 
 Formats: payment numbers of 13 to 19 digits with a valid Luhn digit (contiguous, or in groups
-of 4-4-4-4 or 4-6-5); IBANs with a valid checksum; social security numbers in valid ranges;
-phone numbers (country code kept); IPv4 addresses (loopback and the all-zeros and all-ones
-addresses are kept); dates 1900-2099 in year-month-day, day.month.year and slashed order;
+of 4-4-4-4 or 4-6-5); IBANs with a valid checksum; social security numbers in valid ranges
+(with hyphens or spaces); phone numbers with + or 00 and a country code, which is kept, and North American ones without, in all of
+which equal national numbers stay equal; IPv4 addresses (loopback and the all-zeros and all-ones
+addresses are kept); dates 1900-2099 in year-month-day, day.month.year and slashed order and with English month names;
 e-mail addresses (letters stay letters, digits digits, the last label of the host is kept).
-Numbers that fail validation are left alone.
+Numbers that fail validation are left alone, and so are forms that cannot be told from other numbers: ten bare
+digits, national numbers of other countries without a code, 00 and digits without a separator, years of two digits.
 
 Cases: null text stays null with 0 values; empty text stays empty; repeated values and rows
 get the same pseudonyms; texts of any length are scanned whole, with patterns whose work is
@@ -124,20 +126,48 @@ def _ssn(m: re.Match, key: bytes) -> str | None:
     def valid(x: int) -> bool:
         area, group, serial = x // 10 ** 6, x // 10 ** 4 % 100, x % 10 ** 4
         return area not in (0, 666) and area < 900 and group > 0 and serial > 0
-    x = int(m.group().replace("-", ""))
+    x = int(re.sub(r"\D", "", m.group()))
     return _refill(m.group(), f"{walk(x, 10 ** 9, key, 'ssn', valid):09d}") if valid(x) else None
 
 
+def _code_length(digits: str) -> int:
+    """Digits of the country code that an international number begins with."""
+    return 1 if digits[0] in "17" else 2 if digits[:2] in CODES_OF_TWO else 3
+
+
+def _us_valid(x: int) -> bool:
+    """Area code and exchange of a North American number begin with 2 to 9."""
+    return x // 10 ** 9 >= 2 and x // 10 ** 6 % 10 >= 2
+
+
+def _national(digits: str, code: str, key: bytes) -> str:
+    """Permutation of the national numbers of a country and length, so that all notations of a
+    number get the same digits; North American ones stay valid, or not so."""
+    n, x = len(digits), int(digits)
+    if code == "1" and n == 10:
+        kind = _us_valid(x)
+        return f"{walk(x, 10 ** n, key, 'phone1-10', lambda y: _us_valid(y) == kind):0{n}d}"
+    return f"{permute(x, 10 ** n, key, f'phone{code}-{n}'):0{n}d}"
+
+
 def _phone(m: re.Match, key: bytes) -> str | None:
-    code, rest = m.group("code") or "", m.group("rest")
-    if rest is None:                           # a national number; a leading 1 is kept
-        at = 2 if m.group()[0] == "1" and m.group()[1] in " .-" else 0
-        code, rest = m.group()[:at], m.group()[at:]
-    digits = re.sub(r"\D", "", rest)
-    if not 8 <= len(digits) + len(re.sub(r"\D", "", code)) <= 15 and len(digits) != 10 or len(digits) < 7:
+    if rest := m.group("plus1") or m.group("us"):
+        digits = re.sub(r"\D", "", rest)
+        if m.group("us") and rest[3] == " " and not _us_valid(int(digits)):      # spaces alone: other numbers look like that, too
+            return None
+        return m.group()[:len(m.group()) - len(rest)] + _refill(rest, _national(digits, "1", key))
+    rest = m.group("intl")
+    digits = re.sub(r"\D", "", rest.replace("(0)", ""))
+    k = _code_length(digits)
+    code, n = digits[:k], len(digits) - k
+    if not 8 <= len(digits) <= 15 or n < 6:
         return None
-    n = len(digits)
-    return code + _refill(rest, f"{permute(int(digits), 10 ** n, key, f'phone{n}'):0{n}d}")
+    if m.group("plus") != "+" and (rest.isdigit() or code == "1" and n != 10):
+        return None                                            # a number that begins with zeros
+    at = [i for i, c in enumerate(rest) if c.isdigit()][k - 1] + 1
+    if trunk := re.match(r"[ .-]?\(0\)", rest[at:]):
+        at += trunk.end()
+    return m.group("plus") + rest[:at] + _refill(rest[at:], _national(digits[k:], code, key))
 
 
 def _ip(m: re.Match, key: bytes) -> str | None:
@@ -190,11 +220,35 @@ def _date(m: re.Match, key: bytes) -> str | None:
     return sep.join(f"{n:02d}" if wide else str(n) for n in new)
 
 
+def _month_date(m: re.Match, key: bytes) -> str | None:
+    """A date with a month name: the same permutation as of a date in numbers."""
+    first = m.group("mon") is not None
+    name, day, year = m.group("mon", "day", "year") if first else m.group("mon2", "day2", "year2")
+    month = next(k for k, full in enumerate(MONTHS, 1) if full[:3].lower() == name[:3].lower())
+    date = _read_date("ymd", int(year), month, int(day))
+    if date is None:
+        return None
+    new = dt.date.fromordinal(FIRST_DAY + permute(date.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date"))
+    to = MONTHS[new.month - 1] if name.lower() == MONTHS[month - 1].lower() else MONTHS[new.month - 1][:3]
+    to = to.upper() if name.isupper() else to.lower() if name.islower() else to
+    ordinal = m.group("ord" if first else "ord2")
+    at = f"{new.day:02d}" if day[0] == "0" else str(new.day)
+    if ordinal:
+        at += "th" if 11 <= new.day <= 13 else {1: "st", 2: "nd", 3: "rd"}.get(new.day % 10, "th")
+    if first:
+        return f"{to}{m.group('m1')}{at}{m.group('m2')}{new.year}"
+    return f"{at}{m.group('n1')}{to}{m.group('n2')}{new.year}"
+
+
 def _email(m: re.Match, key: bytes) -> str | None:
     head, dot, top = m.group().rpartition(".")
     return _mixed(head, key, "email") + dot + top
 
 
+# The names of months, and the country codes of two digits (1 and 7 have one, all others three).
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+CODES_OF_TWO = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                         "81 82 84 86 90 91 92 93 94 95 98".split())
 # The patterns of the formats.  Every one starts at a boundary and is bounded
 # or possessive, so a scan is linear.
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
@@ -202,13 +256,19 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})(?![A-Za-z0-9])",
     "date": r"(?<![0-9A-Za-z./-])(?:(?P<y1>[0-9]{4})(?P<ysep>[-/.])(?P<y2>[0-9]{1,2})(?P=ysep)(?P<y3>[0-9]{1,2})"
             r"|(?P<d1>[0-9]{1,2})(?P<dsep>[./])(?P<d2>[0-9]{1,2})(?P=dsep)(?P<d3>[0-9]{4}))(?:(?=T[0-9]{2}:)|(?![0-9A-Za-z]|[./-][0-9]))",
-    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
+    "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}(?P<ssep>[ -])[0-9]{2}(?P=ssep)[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?P<csep>[ -])[0-9]{4}(?P=csep)[0-9]{4}(?P=csep)[0-9]{4}"
             r"|[0-9]{4}(?P<asep>[ -])[0-9]{6}(?P=asep)[0-9]{5})(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])(?:(?P<code>\+[0-9]{1,3}[ .-]?)(?P<rest>\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4})"
-             r"|(?:1[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z+])(?:(?:\+|00)1[ .-]?(?P<plus1>\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4})"
+             r"|(?:1[ .-])?(?P<us>(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})"
+             r"|(?P<plus>\+|00[ .-]?)(?P<intl>[1-9][0-9]{0,2}(?:[ .-]?\(0\))?[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}))(?![0-9A-Za-z])",
 }
+_MONTH = "|".join([*MONTHS, *(x[:3] for x in MONTHS if x != "May"), "Sept"])
+MONTH_DATE = re.compile(
+    rf"(?<![0-9A-Za-z])(?:(?P<mon>{_MONTH})(?P<m1>\.? )(?P<day>[0-9]{{1,2}})(?P<ord>st|nd|rd|th)?(?P<m2>,? )(?P<year>[0-9]{{4}})"
+    rf"|(?P<day2>[0-9]{{1,2}})(?P<ord2>st|nd|rd|th)?(?P<n1> (?:of )?|-)(?P<mon2>{_MONTH})(?P<n2>[.,]? |-)(?P<year2>[0-9]{{4}}))(?![0-9A-Za-z])",
+    re.IGNORECASE)
 NUMBERS = re.compile("|".join(f"(?:{p})" for p in PATTERNS.values()))
 KINDS = {k: (re.compile(PATTERNS[k]), make) for k, make in
          {"iban": _iban, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card, "phone": _phone}.items()}
@@ -234,12 +294,13 @@ def pseudonyms(text: str | None, key: bytes = DEMO_KEY) -> tuple[str | None, int
     """The text with its validated values replaced, and how many there were."""
     if not text:
         return text, 0
-    mails = numbers = 0
+    mails = months = numbers = 0
     if "@" in text:
         text, mails = _replaced(text, EMAIL, [(EMAIL, _email)], key)
     if _DIGIT.search(text):
+        text, months = _replaced(text, MONTH_DATE, [(MONTH_DATE, _month_date)], key)
         text, numbers = _replaced(text, NUMBERS, KINDS.values(), key)
-    return text, mails + numbers
+    return text, mails + months + numbers
 
 
 def pseudonym_column(text: Column, key: bytes = DEMO_KEY) -> Column:
