@@ -1,15 +1,17 @@
 """Benchmark decontamination by template canonicalisation.
 
 Every token of a text becomes itself in lower case or a typed placeholder: a number (it
-starts with a digit), a unit (a word of UNITS after a number) or a name (a capitalised word
-that does not begin a sentence).  Whether a capitalised word that begins a sentence is a name
+starts with a digit or is one of NUMBER_WORDS), a unit (a word of UNITS after a number) or a name
+(a capitalised word that does not begin a sentence).  A run of names or of numbers, with no more than
+a space, hyphen or slash between, is one placeholder whose value is the run: "Mary Ann" may
+stand for "Tom", "3 1/2" or "twenty five" for "7".  Whether a capitalised word that begins a sentence is a name
 cannot be seen, so a text is read in three ways: such words are literals, all are names, or
 those are that are names elsewhere in the text.  Windows of ``WINDOW`` template tokens are hashed on both
 sides, reading by reading, and joined on the hash; windows with fewer than ``MIN_LITERALS`` tokens that are no
 placeholder are too general and not used.  An item shorter than a window is one window.
 
 Slot consistency: windows of one document and item on the same alignment (document place
-minus item place) must fill each of the item's slot values with one value throughout, as a
+minus item place, both counted in placeholders and literals) must fill each of the item's slot values with one value throughout, as a
 re-parameterised question does; an alignment that does so in no reading is dropped.  A document contains
 an item if consistent windows of any reading cover MIN_COVERED of the item's tokens, or all of a shorter
 item.  ``kind`` is verbatim if all slots of an alignment are filled as in the item, else
@@ -60,13 +62,18 @@ UNITS = ("mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "foot", "yard",
          "kb", "mb", "gb", "tb", "hz", "khz", "mhz", "ghz", "w", "kw", "v", "a", "j", "kj", "n", "pa", "mph")
 #: Code points after which a word begins a sentence.
 SENTENCE_ENDS = '.!?:;\n\r"“”„«»'
+#: Words that are numbers.
+NUMBER_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve",
+                "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty", "thirty", "forty",
+                "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million", "billion")
 LITERAL, NUMBER, UNIT, NAME = range(4)
 #: Readings of a capitalised word that begins a sentence, and the plain one.
 AS_LITERAL, AS_NAME, AS_KNOWN, PLAIN = range(4)
 
 
 class Template:
-    """Template tokens of several texts: start, end, text index, and by reading kind and hash."""
+    """Tokens of several texts (start, end, text index, place), and by reading the template: of
+    each placeholder or literal its first and last token, kind and hash."""
 
     def __init__(self, texts: list[str]):
         c = self.codes = Codes(texts)
@@ -87,28 +94,49 @@ class Template:
         owned = hashes + mix(self.text.astype(np.uint64))             # a word of a text
         known = np.zeros(len(self.start), dtype=bool)
         known[capital & begins] = np.isin(owned[capital & begins], owned[capital & ~begins])
-        number = digit[self.start]
-        unit = np.concatenate([[False], number[:-1] & ~first[1:]])[: len(number)] & np.isin(hashes, _unit_hashes()) & ~number
-        self.kind, self.hash = [], []
+        digits = digit[self.start]
+        words = np.isin(hashes, _word_hashes(NUMBER_WORDS))
+        number = digits | words
+        unit = np.concatenate([[False], number[:-1] & ~first[1:]])[: len(number)] & np.isin(hashes, _word_hashes(UNITS)) & ~number
+        # what may stand between the tokens of a run
+        between = c.codes[self.end[:-1]]
+        near = (self.start[1:] == self.end[:-1] + 1) & (self.text[1:] == self.text[:-1])
+        space, hyphen = between == ord(" "), between == ord("-")
+        numbers = near & (space | (between == ord("/")) | hyphen & (words[1:] | words[:-1]))
+        names = near & (space | hyphen | (between == ord("\n")))
+        self.kind, self.hash, self.first, self.last = [], [], [], []
         for name in (capital & ~begins, capital, capital & ~begins | known):
             kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, LITERAL)))
-            self.kind.append(kind)
-            self.hash.append(np.where(kind == LITERAL, hashes, mix(kind.astype(np.uint64))))
-        self.kind.append(np.full(len(number), LITERAL))
-        self.hash.append(hashes)
+            run = (kind[1:] == kind[:-1]) & ((kind[1:] == NUMBER) & numbers | (kind[1:] == NAME) & names)
+            self._reading(np.concatenate([[False], run])[: len(kind)], kind,
+                          np.where(kind == LITERAL, hashes, mix(kind.astype(np.uint64))))
+        self._reading(np.zeros(len(number), dtype=bool), np.full(len(number), LITERAL), hashes)
+        # places of tokens for alignments are counted in the template with all names, in every reading
+        head = np.zeros(len(number), dtype=np.int64)
+        head[self.first[AS_NAME]] = 1
+        self.place = np.cumsum(head)
         count = np.bincount(self.text, minlength=len(texts))
         #: texts whose plain windows say enough: more than one token, not numbers alone
-        self.telling = (count > 1) & (np.bincount(self.text[number], minlength=len(texts)) < count)
+        self.telling = (count > 1) & (np.bincount(self.text[digits], minlength=len(texts)) < count)
+
+    def _reading(self, joined: np.ndarray, kind: np.ndarray, hashes: np.ndarray) -> None:
+        """``joined``: tokens that go on the placeholder of the token before."""
+        first = np.flatnonzero(~joined)
+        self.first.append(first)
+        self.last.append(np.concatenate([first[1:], [len(joined)]])[: len(first)] - 1)
+        self.kind.append(kind[first])
+        self.hash.append(hashes[first])
 
     def windows(self, n: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
-        """First tokens and hashes of the usable windows of n tokens in a reading."""
-        k = len(self.start) - n + 1
+        """First elements of the reading's template and hashes of its usable windows of n."""
+        text = self.text[self.first[reading]]
+        k = len(text) - n + 1
         if k <= 0:
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
         h = np.full(k, n + (reading << 32), dtype=np.uint64)
         for i in range(n):
             h = h * np.uint64(0x2545F4914F6CDD1D) + self.hash[reading][i:i + k]
-        usable = self.text[n - 1:] == self.text[:k]
+        usable = text[n - 1:] == text[:k]
         if reading != PLAIN:
             literal = np.concatenate([[0], np.cumsum(self.kind[reading] == LITERAL)])
             usable &= literal[n:] - literal[:k] >= MIN_LITERALS
@@ -116,60 +144,66 @@ class Template:
         return at, mix(h[at])
 
     def slots(self, texts: list[str], at: int, n: int, reading: int) -> list[str]:
-        """Kind and value of each placeholder of the window of n tokens from token ``at``."""
-        out, kind, base = [], self.kind[reading], self.codes.starts[self.text[at]]
+        """Kind and value of each placeholder of the window of n from element ``at``."""
+        out, kind, first, last = [], self.kind[reading], self.first[reading], self.last[reading]
         for i in range(at, at + n):
             if kind[i] != LITERAL:
-                out.append(f"{kind[i]}:{texts[self.text[i]][self.start[i] - base:self.end[i] - base].lower()}")
+                text = self.text[first[i]]
+                base = self.codes.starts[text]
+                out.append(f"{kind[i]}:{' '.join(texts[text][self.start[first[i]] - base:self.end[last[i]] - base].lower().split())}")
         return out
 
 
-_UNIT_HASHES: list[np.ndarray] = []
+_HASHES: dict[tuple[str, ...], np.ndarray] = {}
 
 
-def _unit_hashes() -> np.ndarray:
-    if not _UNIT_HASHES:
-        c = Codes(list(UNITS))
-        _UNIT_HASHES.append(c.hashes(c.starts, c.starts + c.lengths))
-    return _UNIT_HASHES[0]
+def _word_hashes(words: tuple[str, ...]) -> np.ndarray:
+    if words not in _HASHES:
+        c = Codes(list(words))
+        _HASHES[words] = c.hashes(c.starts, c.starts + c.lengths)
+    return _HASHES[words]
 
 
 def _windows(rows: DataFrame, keys: list[str], lengths: list[int], short: bool, wanted=None) -> DataFrame:
-    """``keys``, n_tokens (of the text), place, length, reading, hash and slots of the windows
-    of column ``text``: of each of ``lengths``, or if ``short`` of WINDOW or a whole shorter text.
+    """``keys``, n_tokens (of the text), place, first and last token, length, reading, hash and slots of the
+    windows of column ``text``: of each of ``lengths``, or if ``short`` of WINDOW or a whole shorter template.
     ``wanted``: broadcast of the sorted hashes outside which windows are not needed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in portions(batch.column(len(keys)).to_pylist()):
+            for begin, texts in portions(batch.column(len(keys)).to_pylist()):
                 t = Template(texts)
                 count = np.bincount(t.text, minlength=len(texts))
                 token0 = np.concatenate([[0], np.cumsum(count)])
                 found = []
-                for n in sorted({WINDOW, *(set(count[count < WINDOW].tolist()) - {0} if short else lengths)}):
-                    for reading in (AS_LITERAL, AS_NAME, AS_KNOWN, PLAIN):
+                for reading in (AS_LITERAL, AS_NAME, AS_KNOWN, PLAIN):
+                    of = t.text[t.first[reading]]
+                    size = np.bincount(of, minlength=len(texts))
+                    for n in sorted({WINDOW, *(set(size[size < WINDOW].tolist()) - {0} if short else lengths)}):
                         at, h = t.windows(n, reading)
                         if short and n < WINDOW:
-                            keep = count[t.text[at]] == n
+                            keep = size[of[at]] == n
                             at, h = at[keep], h[keep]
                         if short and reading == PLAIN:
-                            keep = t.telling[t.text[at]]
+                            keep = t.telling[of[at]]
                             at, h = at[keep], h[keep]
                         if wanted is not None:
                             keep = _contains(wanted.value, h)
                             at, h = at[keep], h[keep]
-                        found.append((at, h, np.full(len(at), n), np.full(len(at), reading)))
-                at, h, n, reading = (np.concatenate(x) for x in zip(*found, strict=True))
-                of = t.text[at]
+                        found.append((at, t.first[reading][at], t.last[reading][at + n - 1], h, np.full(len(at), n), np.full(len(at), reading)))
+                at, first, last, h, n, reading = (np.concatenate(x) for x in zip(*found, strict=True))
+                of = t.text[first]
+                places = t.place[first] - t.place[token0[of]] if len(first) else first
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(k).take(pa.array(of + first)) for k in range(len(keys))]
-                    + [pa.array(count[of].astype(np.int32)), pa.array((at - token0[of]).astype(np.int32)),
-                       pa.array(n.astype(np.int32)), pa.array(reading.astype(np.int32)), pa.array(h.view(np.int64)),
+                    [batch.column(k).take(pa.array(of + begin)) for k in range(len(keys))]
+                    + [pa.array(x.astype(np.int32)) for x in (count[of], places, first - token0[of], last - token0[of], n, reading)]
+                    + [pa.array(h.view(np.int64)),
                        pa.array([t.slots(texts, int(a), int(k), int(r)) for a, k, r in zip(at, n, reading, strict=True)],
                                 pa.list_(pa.string()))],
-                    names=[*keys, "n_tokens", "place", "length", "reading", "hash", "slots"])
+                    names=[*keys, "n_tokens", "place", "first", "last", "length", "reading", "hash", "slots"])
 
     kinds = dict(rows.dtypes)
-    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["n_tokens int, place int, length int, reading int, hash long, slots array<string>"])
+    schema = ", ".join([f"{k} {kinds[k]}" for k in keys]
+                       + ["n_tokens int, place int, first int, last int, length int, reading int, hash long, slots array<string>"])
     return rows.select(*keys, "text").mapInArrow(run, schema)
 
 
@@ -193,7 +227,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_broadcast: int = MAX
         .where("item_id is not null")
     items = materialize(spark, _windows(items, ["item_id"], [], short=True), "benchmark-windows")
     items = items.select("item_id", F.col("n_tokens").alias("n_item_tokens"), F.col("place").alias("item_place"),
-                         "length", "reading", "hash", F.col("slots").alias("item_slots")).distinct()
+                         F.struct("first", "last").alias("item_span"), "length", "reading", "hash", F.col("slots").alias("item_slots")).distinct()
     lengths = [r[0] for r in items.select("length").distinct().collect()]           # WINDOW of them at most
     wanted = None
     hashes = items.select("hash").distinct().limit(max_broadcast + 1)
@@ -207,14 +241,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_broadcast: int = MAX
     if not lengths:
         rows = rows.limit(0)
     # repeated rows of a document give the same windows; sets below make them one
-    pairs = _windows(rows, ["doc_id", "text_key"], lengths, short=False, wanted=wanted).join(items, ["hash", "length", "reading"])
+    pairs = _windows(rows, ["doc_id", "text_key"], lengths, short=False, wanted=wanted).drop("first", "last").join(items, ["hash", "length", "reading"])
     value = F.zip_with("item_slots", "slots", lambda i, d: F.struct(i.alias("item"), d.alias("doc")))
     line = ["doc_id", "text_key", "item_id", "n_item_tokens", "length", "_line"]
     lined = pairs.withColumn("_line", F.col("place") - F.col("item_place")).groupBy(*line, "reading").agg(
-        F.collect_set("item_place").alias("places"),
+        F.collect_set("item_span").alias("spans"),
         F.array_distinct(F.flatten(F.collect_set(value))).alias("filled"))
     consistent = F.size("filled") == F.size(F.array_distinct(F.transform("filled", lambda x: x["item"])))
-    tokens = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.col("length") - 1))))
+    tokens = F.array_distinct(F.flatten(F.transform("spans", lambda p: F.sequence(p["first"], p["last"]))))
     plain, same = F.col("reading") == PLAIN, F.forall("filled", lambda x: x["item"] == x["doc"])
     # an alignment of which no template reading is consistent has no plain windows either
     aligned = lined.withColumn("_ok", consistent).groupBy(*line).agg(

@@ -1,3 +1,4 @@
+import random
 import re
 
 import duckdb
@@ -102,3 +103,105 @@ def test_verbatim_copies_of_items_with_few_literals(spark):
     docs = [doc(i, f"we read here: {text} and so on") for i, text in bench]
     docs += [doc(5, "compute 12 + 7 * 3 - 4 / 5"), doc(6, "capital in Peru"), doc(7, "total 5 km 7 km 8 km 1 km 4 km 3 km 2 km")]
     assert {k: v[1] for k, v in pairs(spark, docs, bench).items()} == {(i, i): "verbatim" for i in range(1, 5)}
+
+
+def test_slots_of_several_tokens(spark):
+    """Names and numbers of other lengths, and numbers in words."""
+    item = "a train travels for 4 hours from Leeds to Bath at 120 km an hour what distance does it cover then"
+    docs = [doc(1, TOM.replace("Tom", "Mary Ann")), doc(2, TOM.replace("3", "three").replace("5", "seven")),
+            doc(3, TOM.replace("Tom", "Jean-Luc").replace("3", "3 1/2").replace("5", "twenty-five")),
+            doc(4, item.replace("Leeds", "New York").replace("120", "1/2").replace("Bath", "San Diego Bay")),
+            doc(5, TOM.replace("Tom has", "Mary Ann has").replace("Tom buys", "Mary Sue buys").replace("Tom have", "Eve have"))]
+    got = pairs(spark, docs, [(1, TOM), (2, item)])
+    assert {k: v[1] for k, v in got.items()} == {(i, 2 if i == 4 else 1): "reparameterised" for i in (1, 2, 3, 4)}
+
+
+def test_runs_end_at_sentences_and_lists(spark):
+    t = d.Template(["we saw Ann Lee. Bob Ray left 3 1/2 or 5, 6 and forty two of New-York"])
+    text = "we saw Ann Lee. Bob Ray left 3 1/2 or 5, 6 and forty two of New-York"
+    assert t.slots([text], 0, len(t.first[d.AS_NAME]), d.AS_NAME) == [
+        f"{d.NAME}:ann lee", f"{d.NAME}:bob ray", f"{d.NUMBER}:3 1/2", f"{d.NUMBER}:5", f"{d.NUMBER}:6", f"{d.NUMBER}:forty two", f"{d.NAME}:new-york"]
+
+
+def template_brute(docs, bench):
+    """Texts as lists of (kind, words): items contained by the method's rules, in plain loops."""
+    def windows(parts):
+        """template window -> [(place, first word, behind last word, slot values)]"""
+        out, starts = {}, [0]
+        for _, words in parts:
+            starts.append(starts[-1] + len(words))
+        for i in range(len(parts) - 7):
+            w = parts[i:i + 8]
+            if sum(kind == "" for kind, _ in w) >= 4:
+                key = tuple(kind or words[0] for kind, words in w)
+                out.setdefault(key, []).append((i, starts[i], starts[i + 8], [(kind, " ".join(words)) for kind, words in w if kind]))
+        return out
+
+    def plain(parts):
+        """8 words -> [(place of the first one's part, first word)]"""
+        words = [(w, k) for k, (_, ws) in enumerate(parts) for w in ws]
+        out = {}
+        for i in range(len(words) - 7):
+            out.setdefault(tuple(w.lower() for w, _ in words[i:i + 8]), []).append((words[i][1], i))
+        return out
+    found = {}
+    for d_id, text in docs:
+        for b_id, item in bench:
+            lines, plains = {}, {}
+            has, own = windows(text), windows(item)
+            for key in own.keys() & has.keys():
+                for i, first, behind, values in own[key]:
+                    for at, _, _, filled in has[key]:
+                        spans, fills = lines.setdefault(at - i, (set(), set()))
+                        spans.update(range(first, behind))
+                        fills.update(zip(values, filled, strict=True))
+            has, own = plain(text), plain(item)
+            for key in own.keys() & has.keys():
+                for i, first in own[key]:
+                    for at, _ in has[key]:
+                        plains.setdefault(at - i, set()).update(range(first, first + 8))
+            good = {k for k, (_, fills) in lines.items() if len(fills) == len({a for a, _ in fills})}
+            covered = set().union(*(lines[k][0] for k in good), *(s for k, s in plains.items() if k in good or k not in lines))
+            if len(covered) >= min(13, sum(len(ws) for _, ws in item)):
+                found[d_id, b_id] = len(covered)
+    return found
+
+
+@pytest.mark.parametrize("max_broadcast", [d.MAX_BROADCAST, 0])
+def test_templates_against_brute_force(spark, max_broadcast):
+    rng = random.Random(5)
+    names = [["Ann"], ["Mary", "Ann"], ["Bob"], ["Leeds"], ["New", "York"]]
+    numbers = [["3"], ["4.5"], ["3", "1/2"], ["seven"], ["twenty", "five"], ["1,000"]]
+    literals = [chr(97 + k) * 4 for k in range(26)]
+
+    def item():
+        out = []
+        for _ in range(rng.randint(10, 24)):
+            slot = out and not out[-1][0] and rng.random() < 0.3
+            out.append(rng.choice([("name", rng.choice(names)), ("number", rng.choice(numbers))]) if slot else ("", [rng.choice(literals)]))
+        return out
+
+    def varied(parts):
+        """Slots filled anew (mostly one value by another throughout), some literals changed, a part cut out."""
+        to = {}
+        out = []
+        for kind, words in parts:
+            pool = {"name": names, "number": numbers}.get(kind)
+            if pool and rng.random() < 0.1:
+                words = rng.choice(pool)
+            elif pool:
+                words = to.setdefault(" ".join(words), rng.choice(pool))
+            elif rng.random() < 0.03:
+                words = [rng.choice(literals)]
+            out.append((kind, words))
+        first = rng.choice([0, 0, 0, rng.randrange(len(out))])
+        return [("", ["zzzz"])] * rng.randint(1, 9) + out[first:]
+    bench = [(k, item()) for k in range(12)]
+    docs = [(100 + k, varied(rng.choice(bench)[1]) + rng.choice([[], varied(rng.choice(bench)[1])])) for k in range(150)]
+
+    def text(parts):
+        return " ".join(w for _, words in parts for w in words)
+    want = template_brute([(k, [(kind, [x for w in ws for x in w.split("/")]) for kind, ws in p]) for k, p in docs],
+                          [(k, [(kind, [x for w in ws for x in w.split("/")]) for kind, ws in p]) for k, p in bench])
+    got = pairs(spark, [doc(k, text(p)) for k, p in docs], [(k, text(p)) for k, p in bench], max_broadcast=max_broadcast)
+    assert len(want) > 60 and {k: v[0] for k, v in got.items()} == want
