@@ -44,7 +44,8 @@ def publish_batch(spark: SparkSession, root: str, run: str, bucket_seconds: int
         base = F.coalesce(F.col("last"), F.lit(0))
         numbered = rows.join(new, "_row").join(before, "channel", "left").withColumn("seq", F.col("seq") + base).drop("last", "_row")
         period = bucket_start(F.unix_seconds(F.col("ts").cast("timestamp")), bucket_seconds)
-        W.write_load(numbered.withColumn("bucket", period), f"{root.rstrip('/')}/{MESSAGES}", PARTITIONS, load)
+        # few files a folder: the rows of one are gathered, else each task would open a file in each
+        W.write_load(numbered.withColumn("bucket", period).hint("rebalance", *PARTITIONS), f"{root.rstrip('/')}/{MESSAGES}", PARTITIONS, load)
         added = rows.groupBy("channel").agg(F.count(F.lit(1)).alias("added"))
         after = before.join(added, "channel", "full").select(
             "channel", (F.coalesce("last", F.lit(0)) + F.coalesce("added", F.lit(0))).cast("long").alias("last"))
@@ -103,7 +104,8 @@ def expire(spark: SparkSession, root: str, schema: T.StructType, as_of: str, ttl
         old = [folders[r["subject"], str(r["bucket"])] for r in partly]
         some = F.concat_ws("|", *PARTITIONS).isin([f"{r['subject']}|{r['bucket']}" for r in partly])
         rest = messages.where(F.col("subject").isin([r["subject"] for r in partly]) & F.col("bucket").isin([r["bucket"] for r in partly]) & some) \
-            .join(kept.select("channel", "seq"), ["channel", "seq"], "left_semi").withColumn(W.LOAD, F.lit(f"{KEPT}{now}"))
+            .join(kept.select("channel", "seq"), ["channel", "seq"], "left_semi") \
+            .hint("rebalance", *PARTITIONS).withColumn(W.LOAD, F.lit(f"{KEPT}{now}"))
         W.replace(spark, path, lambda to: rest.write.partitionBy(*PARTITIONS, W.LOAD).parquet(to), old,
                   lambda to: [(f, f) for f in W.partitions(spark, to, PARTITIONS).values()])
     return {"dropped": gone + empty, "rewritten": [folders[r["subject"], str(r["bucket"])] for r in partly]}
