@@ -66,6 +66,22 @@ def test_deliveries_of_many_files_are_a_batch_each(spark, monkeypatch):
     assert seen == [[0], [1], [2]]
 
 
+def test_a_delivered_file_holds_no_more_when_the_table_grows(spark, monkeypatch):
+    """A task writes, and a file holds, TASK_EVENTS events or so, however many there are; none is lost."""
+    monkeypatch.setattr(S, "TASK_EVENTS", 200)
+
+    def most(n: int) -> int:
+        d = scratch_dir(spark, "grown")
+        spark.range(n).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") + S.EPOCH_2024).cast("timestamp_ntz").alias("ts"),
+                              F.expr("id div 10").alias("user_id"), F.when(F.col("id") % 2 == 0, "click").otherwise("purchase").alias("event_type"),
+                              F.lit(1.0).alias("value"), F.lit("{}").alias("props")).write.parquet(f"{d}/events.parquet")
+        tx = spark.read.parquet(Q._tx_files(spark, d))
+        held = [r.n for r in tx.groupBy(F.input_file_name()).agg(F.sum(F.size("instructions")).alias("n")).collect()]
+        assert sum(held) == n
+        return max(held)
+    assert most(600) <= S.TASK_EVENTS and most(2400) <= S.TASK_EVENTS
+
+
 @pytest.mark.parametrize("name", ["stream_rejects", "ingest_waves"])
 def test_rows_of_a_sink_are_not_sent_to_every_task(spark, name):
     assert "SortMergeJoin [signature" in plan_of(Q.QUERIES[name](spark, SF))
